@@ -188,3 +188,197 @@ SQL["mesh_largest_component"] = query(
 select mesh_id, label, size from (
   select mesh_id, label, cast(size as bigint) as size,
     row_number() over (partition by mesh_id order by size desc, label) as rn from sizes) where rn = 1""")
+
+# --- measurements and quality rules -------------------------------------------
+
+STRIP_STATS = f"""
+{edges_of('fx_faces')}, {lengths_of('edges', 'fx_vertices')}, {areas_of('fx_faces', 'fx_vertices')},
+{normals_of('areas', 'fx_vertices')}, {COMPONENTS},
+es as (select mesh_id, cast(count(*) as double) as edge_count,
+    cast(count(*) filter (where k = 1) as double) as boundary,
+    cast(count(*) filter (where k > 2) as double) as nonmanifold, avg(length) as mean,
+    quantile_cont(length, 0.5) as median, quantile_cont(length, 0.05) as p05,
+    quantile_cont(length, 0.95) as p95 from lengths group by mesh_id),
+ms as (select l.mesh_id, median(abs(l.length - e.median)) as mad
+    from lengths l join es e on e.mesh_id = l.mesh_id group by l.mesh_id),
+fs as (select mesh_id, sum(double_area) * 0.5 as area,
+    cast(count(*) filter (where double_area <= 1e-12) as double) as flat,
+    avg(case when double_area <= 1e-12 then 1.0 else 0.0 end) as flat_fraction
+    from areas group by mesh_id),
+ds as (select mesh_id, cast(count(*) as double) as nv,
+    cast(count(*) - count(distinct (cast(x as varchar), cast(y as varchar), cast(z as varchar))) as double) as dup_v,
+    max(x)-min(x) as ex, max(y)-min(y) as ey, max(z)-min(z) as ez from fx_vertices group by mesh_id),
+dq as (select mesh_id, cast(count(*) - count(distinct list_sort([a, b, c])) as double) as dup_f from fx_faces group by mesh_id),
+cs as (select mesh_id, cast(count(*) as double) as comps, cast(max(size) as double) as largest from sizes group by mesh_id),
+ns as (select mesh_id, avg(case when nx = 0 and ny = 0 and nz = 0 then 1.0 else 0.0 end) as zero_n from normals group by mesh_id),
+stats as (select * from es join ms using (mesh_id) join fs using (mesh_id) join ds using (mesh_id)
+    join dq using (mesh_id) join cs using (mesh_id) join ns using (mesh_id))
+"""
+
+_METRICS = [
+    ("input.edge_length.expected_mm", "cast(1.2 as double)", "mm"),
+    ("input.edge_length.mean_mm", "mean", "mm"),
+    ("input.edge_length.median_mm", "median", "mm"),
+    ("input.edge_length.p05_mm", "p05", "mm"),
+    ("input.edge_length.p95_mm", "p95", "mm"),
+    ("input.edge_length.mad_mm", "mad", "mm"),
+    ("input.edge_length.median_to_expected_ratio", "median / cast(1.2 as double)", "ratio"),
+    ("input.degenerate_faces.count", "flat", "count"),
+    ("input.duplicate_geometry.vertex_count", "dup_v", "count"),
+    ("input.duplicate_geometry.face_count", "dup_f", "count"),
+    ("input.connected_components.count", "comps", "count"),
+    ("input.connected_components.largest_fraction", "largest / nv", "ratio"),
+    ("input.topology.boundary_edge_count", "boundary", "count"),
+    ("input.topology.boundary_edge_fraction", "boundary / edge_count", "ratio"),
+    ("input.topology.nonmanifold_edge_count", "nonmanifold", "count"),
+    ("input.extent_density.extent_x_mm", "ex", "mm"),
+    ("input.extent_density.extent_y_mm", "ey", "mm"),
+    ("input.extent_density.extent_z_mm", "ez", "mm"),
+    ("input.extent_density.vertices_per_mm3", "nv / nullif(ex * ey * ez, 0)", "count/mm3"),
+    ("input.extent_density.surface_area_mm2", "area", "mm2"),
+    ("input.extent_density.vertices_per_mm2", "nv / nullif(area, 0)", "count/mm2"),
+    ("input.normal_consistency.zero_normal_fraction", "zero_n", "ratio"),
+    ("input.normal_consistency.zero_face_normal_fraction", "flat_fraction", "ratio"),
+]
+MEASURED = "measured as (" + " union all ".join(
+    f"select cast(mesh_id as varchar) as output_key, '{m}' as metric, {e} as value, '{u}' as unit, "
+    f"case when {e} is null then 'not_applicable' else 'computed' end as compute_status from stats"
+    for m, e, u in _METRICS
+) + ")"
+
+SQL["mesh_input_measurements"] = query(
+    MESHES, STRIP_STATS, MEASURED, recursive=True,
+    body=f"select output_key, metric, {r('value', 5)} as value, unit, compute_status from measured")
+
+SQL["mesh_component_vertex_counts"] = query(
+    MESHES, edges_of("fx_faces_s"), COMPONENTS, recursive=True, body="""
+select mesh_id, cast(size as bigint) as size, cast(count(*) as bigint) as components
+from sizes group by mesh_id, size""")
+
+_VERDICT_RULES = [
+    ("edge_ratio", "median / cast(1.2 as double) > 400", True),
+    ("edge_mad", "mad > 210", True),
+    ("split", "comps > 1", True),
+    ("open", "not (boundary / edge_count between 0.4 and 0.6)", True),
+    ("doubles", "dup_v > 0", False),
+    ("tall", "ey < 1390", True),
+]
+SQL["mesh_quality_verdict"] = query(
+    MESHES, STRIP_STATS, recursive=True, body=f"""
+select cast(mesh_id as varchar) as output_key,
+  case when {' or '.join(f'({c})' for _, c, w in _VERDICT_RULES if w)} then 'warning' else 'passed' end as status,
+  false as qc_incomplete,
+  concat_ws(',', {', '.join(f"case when {c} then '{n}' end" for n, c, _ in _VERDICT_RULES)}) as triggered_rules
+from stats""")
+
+MEASUREMENTS = """
+fx_measurements as (
+  select cast(user_id as varchar) as output_key,
+    case event_type when 'view' then 'input.edge_length.median_mm'
+      when 'click' then 'crop.retention.vertex_fraction'
+      when 'signup' then 'landmark.anatomy.nose_height_mm'
+      when 'purchase' then 'gpa.transform.scale'
+      when 'error' then 'registration.deformation.mean_mm' end as metric,
+    round(avg(value), 6) as value_double,
+    case when event_type in ('click', 'purchase') then 'ratio' else 'mm' end as unit,
+    case when event_type = 'view' and user_id % 11 = 0 then 'not_available'
+      when event_type = 'error' and user_id % 13 = 0 then 'computation_error'
+      else 'computed' end as compute_status
+  from events where not (event_type = 'signup' and user_id % 17 = 0)
+  group by user_id, event_type)
+"""
+
+_EVENT_RULES = """
+rules(rule_ord, rule_id, metric, op, lo, hi, unit, severity, enhanced) as (values
+  (0, 'edge_high', 'input.edge_length.median_mm', 'gt', 62.0, null, 'mm', 'warning', false),
+  (1, 'retention_band', 'crop.retention.vertex_fraction', 'outside', 30.0, 70.0, 'ratio', 'warning', false),
+  (2, 'nose_low', 'landmark.anatomy.nose_height_mm', 'lt', 45.0, null, 'mm', 'record_only', false),
+  (4, 'deform_unit', 'registration.deformation.mean_mm', 'lte', 30.0, null, 'ratio', 'warning', false),
+  (5, 'deform_high', 'registration.deformation.mean_mm', 'gt', 52.0, null, 'mm', 'warning', true)),
+keys as (select output_key, bool_or(compute_status in ('error', 'computation_error', 'not_computed')) as any_error
+         from fx_measurements group by output_key),
+judged as (
+  select k.output_key, k.any_error, u.rule_ord, u.rule_id, u.metric, u.severity, u.enhanced,
+    case when m.metric is null then 'measurement missing'
+      when m.compute_status <> 'computed' then 'measurement ' || m.compute_status || ': no detail'
+      when m.unit <> u.unit then 'unit mismatch: expected ' || u.unit || ', got ' || m.unit end as problem,
+    case u.op when 'gt' then m.value_double > u.lo when 'lt' then m.value_double < u.lo
+      when 'lte' then m.value_double <= u.lo
+      when 'outside' then not (m.value_double >= u.lo and m.value_double <= u.hi) end as matched
+  from keys k cross join rules u
+  left join fx_measurements m on m.output_key = k.output_key and m.metric = u.metric),
+results as (
+  select output_key, any_error, rule_ord, rule_id, metric, enhanced, problem is null as evaluated,
+    case when problem is null then not matched end as passed,
+    case when problem is null then matched else true end as triggered,
+    case when problem is null then severity else 'warning' end as severity,
+    coalesce(problem, case when matched then 'trigger condition matched' else 'trigger condition not matched' end) as reason
+  from judged)
+"""
+_STATUS = """
+verdicts as (
+  select output_key, bool_or(any_error) or bool_or(not evaluated) as qc_incomplete,
+    coalesce(string_agg(case when triggered then rule_id end, ',' order by rule_ord), '') as triggered_rules,
+    case when bool_or(any_error) or bool_or(not evaluated) or bool_or(triggered and severity = 'warning')
+      then 'warning' else 'passed' end as status
+  from results where not enhanced and rule_id <> 'deform_unit' group by output_key)
+"""
+
+SQL["qc_measurements_long"] = query(
+    MEASUREMENTS, body="select output_key, metric, value_double, unit, compute_status from fx_measurements")
+SQL["qc_metric_group"] = query(
+    MEASUREMENTS, body="""
+select regexp_replace(metric, '\\.[^.]*$', '') as metric_group, cast(count(*) as bigint) as n
+from fx_measurements group by 1""")
+SQL["qc_rule_results"] = query(
+    MEASUREMENTS, _EVENT_RULES, body="""
+select output_key, rule_id, metric, evaluated, passed, triggered, severity, reason
+from results where not enhanced""")
+SQL["qc_rule_results_enhanced"] = query(
+    MEASUREMENTS, _EVENT_RULES, body="""
+select rule_id, severity, cast(count(*) as bigint) as n,
+  cast(count(*) filter (where evaluated) as bigint) as evaluated,
+  cast(count(*) filter (where triggered) as bigint) as triggered
+from results group by rule_id, severity""")
+SQL["qc_sample_status"] = query(
+    MEASUREMENTS, _EVENT_RULES, _STATUS,
+    body="select output_key, status, qc_incomplete, triggered_rules from verdicts")
+SQL["qc_status_counts"] = query(
+    MEASUREMENTS, _EVENT_RULES, _STATUS,
+    body="select status, cast(count(*) as bigint) as samples from verdicts group by status")
+SQL["qc_run_counts"] = query(
+    MEASUREMENTS, _EVENT_RULES, _STATUS, body="""
+select cast(count(*) as bigint) as sample_count,
+  cast(count(*) filter (where status = 'passed') as bigint) as passed,
+  cast(count(*) filter (where status = 'warning') as bigint) as warning,
+  cast(count(*) filter (where status = 'failed') as bigint) as failed from verdicts""")
+
+
+def _distribution(source: str, metric: str, unit: str, value: str) -> str:
+    ranks = {"p01": 0.01, "p05": 0.05, "median": 0.5, "p95": 0.95, "p99": 0.99}
+    picks = ", ".join(f"{r(f'quantile_cont({value}, {p})')} as {n}" for n, p in ranks.items())
+    return (f"select {metric} as metric, {unit} as unit, cast(count(*) as bigint) as n, "
+            f"{r(f'min({value})')} as min, {r(f'max({value})')} as max, {picks} from {source} group by 1, 2")
+
+
+SQL["qc_calibration"] = query(MEASUREMENTS, body=_distribution(
+    "(select * from fx_measurements where compute_status = 'computed')", "metric", "unit", "value_double"))
+SQL["qc_value_distribution"] = _distribution("events", "event_type", "'mm'", "value")
+SQL["qc_labeled_performance"] = f"""
+with joined as (
+  select l.quality = 0 as wrong, d.n_chars < 400 as flagged
+  from documents d join labels l on l.doc_id = d.doc_id)
+select cast(count(*) as bigint) as evaluable_count,
+  cast(count(*) filter (where flagged and wrong) as bigint) as true_positive,
+  cast(count(*) filter (where flagged and not wrong) as bigint) as false_positive,
+  cast(count(*) filter (where not flagged and not wrong) as bigint) as true_negative,
+  cast(count(*) filter (where not flagged and wrong) as bigint) as false_negative,
+  {r('count(*) filter (where flagged and wrong) / nullif(count(*) filter (where wrong), 0)')} as unacceptable_detection_rate,
+  {r('count(*) filter (where flagged and not wrong) / nullif(count(*) filter (where not wrong), 0)')} as acceptable_warning_rate
+from joined"""
+SQL["blinded_sample"] = """
+select format('B{:05d}', rn) as blind_id, output_key from (
+  select output_key, row_number() over (order by digest, output_key) as rn from (
+    select cast(doc_id as varchar) as output_key,
+      sha256('20260730:' || cast(doc_id as varchar)) as digest from documents))
+where rn <= 25"""

@@ -110,3 +110,180 @@ def mesh_largest_component(spark: SparkSession, sf_dir: str) -> DataFrame:
         meshes.vertices, topology.edge_list(meshes.faces), meshes.largest
     )
     return topology.largest_component(labels).select("mesh_id", "label", "size")
+
+
+# --- measurements and quality rules -------------------------------------------
+
+from meshwright.operators import measure, qc_rules, qc_tools  # noqa: E402
+from meshwright.operators.qc_rules import Rule, RuleSet  # noqa: E402
+
+EXPECTED_EDGE_MM = 1.2
+
+# Rules over the measurements that derive.measurements builds from the events.
+EVENT_RULES = RuleSet(
+    "event_profile", "1",
+    {
+        "input.edge_length": "warning",
+        "crop.retention": "warning",
+        "landmark.anatomy": "record_only",
+        "gpa.transform": "disabled",
+        "registration.deformation": "warning",
+    },
+    (
+        Rule("edge_high", "input.edge_length.median_mm", "gt", 62.0, "mm"),
+        Rule("retention_band", "crop.retention.vertex_fraction", "outside", [30.0, 70.0], "ratio"),
+        Rule("nose_low", "landmark.anatomy.nose_height_mm", "lt", 45.0, "mm"),
+        Rule("scale_any", "gpa.transform.scale", "gte", 0.0, "ratio"),
+        Rule("deform_unit", "registration.deformation.mean_mm", "lte", 30.0, "ratio"),
+        Rule("deform_high", "registration.deformation.mean_mm", "gt", 52.0, "mm", "warning", "enhanced"),
+    ),
+)
+
+# The same without the rule whose unit never matches, so that verdicts differ.
+STATUS_RULES = RuleSet(
+    "event_status", "1", EVENT_RULES.metric_groups,
+    tuple(rule for rule in EVENT_RULES.rules if rule.rule_id != "deform_unit"),
+)
+
+INPUT_RULES = RuleSet(
+    "mesh_profile", "1",
+    {g: "warning" for g in ("input.edge_length", "input.topology", "input.connected_components",
+                            "input.extent_density")} | {"input.duplicate_geometry": "record_only"},
+    (
+        Rule("edge_ratio", "input.edge_length.median_to_expected_ratio", "gt", 400.0, "ratio"),
+        Rule("edge_mad", "input.edge_length.mad_mm", "gt", 210.0, "mm"),
+        Rule("split", "input.connected_components.count", "gt", 1.0, "count"),
+        Rule("open", "input.topology.boundary_edge_fraction", "outside", [0.4, 0.6], "ratio"),
+        Rule("doubles", "input.duplicate_geometry.vertex_count", "gt", 0.0, "count"),
+        Rule("tall", "input.extent_density.extent_y_mm", "lt", 1390.0, "mm"),
+    ),
+)
+
+
+@registered
+def mesh_input_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All scalar input measurements of every strip mesh, in long form."""
+    rows = measure.input_measurements(derive.strip(spark, sf_dir), EXPECTED_EDGE_MM)
+    return rows.select(
+        "output_key", "metric", clean(F.col("value_double"), 5).alias("value"), "unit",
+        "compute_status",
+    )
+
+
+@registered
+def mesh_component_vertex_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return measure.component_vertex_counts(derive.scrambled(spark, sf_dir))
+
+
+@registered
+def mesh_quality_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From raw events to a verdict: measure every mesh and judge it."""
+    rows = measure.input_measurements(derive.strip(spark, sf_dir), EXPECTED_EDGE_MM)
+    verdicts = qc_rules.sample_status(rows, INPUT_RULES, "standard")
+    return verdicts.select(
+        "output_key", "status", "qc_incomplete",
+        F.concat_ws(",", "triggered_rules").alias("triggered_rules"),
+    )
+
+
+@registered
+def qc_measurements_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = qc_tools.scalar_measurements(derive.measurements(spark, sf_dir))
+    return rows.select("output_key", "metric", "value_double", "unit", "compute_status")
+
+
+@registered
+def qc_metric_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = derive.measurements(spark, sf_dir)
+    group = F.coalesce(qc_rules.metric_group_column(F.col("metric")), F.lit("none"))
+    return rows.groupBy(group.alias("metric_group")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@registered
+def qc_rule_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    results = qc_rules.rule_results(derive.measurements(spark, sf_dir), EVENT_RULES, "standard")
+    return results.select("output_key", "rule_id", "metric", "evaluated", "passed", "triggered",
+                          "severity", "reason")
+
+
+@registered
+def qc_rule_results_enhanced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    results = qc_rules.rule_results(derive.measurements(spark, sf_dir), EVENT_RULES, "enhanced")
+    return results.groupBy("rule_id", "severity").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("evaluated").alias("evaluated"),
+        F.count_if("triggered").alias("triggered"),
+    )
+
+
+@registered
+def qc_sample_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    verdicts = qc_rules.sample_status(derive.measurements(spark, sf_dir), STATUS_RULES, "standard")
+    return verdicts.select("output_key", "status", "qc_incomplete",
+                           F.concat_ws(",", "triggered_rules").alias("triggered_rules"))
+
+
+@registered
+def qc_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    verdicts = qc_rules.sample_status(derive.measurements(spark, sf_dir), STATUS_RULES, "standard")
+    return qc_tools.status_counts(verdicts)
+
+
+@registered
+def qc_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    verdicts = qc_rules.sample_status(derive.measurements(spark, sf_dir), STATUS_RULES, "standard")
+    return qc_tools.run_counts(verdicts)
+
+
+@registered
+def qc_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = qc_tools.metric_distributions(derive.measurements(spark, sf_dir))
+    names = ["min", "p01", "p05", "median", "p95", "p99", "max"]
+    return found.select("metric", "unit", "n", *[clean(F.col(c)).alias(c) for c in names])
+
+
+@registered
+def qc_value_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calibration distribution over every raw event value."""
+    events = derive.read(spark, sf_dir, "events").select(
+        F.col("event_type").alias("metric"), F.lit("mm").alias("unit"),
+        F.lit("double").alias("value_kind"), F.lit("computed").alias("compute_status"),
+        F.col("value").alias("value_double"),
+    )
+    found = qc_tools.metric_distributions(events)
+    names = ["min", "p01", "p05", "median", "p95", "p99", "max"]
+    return found.select("metric", "unit", "n", *[clean(F.col(c)).alias(c) for c in names])
+
+
+@registered
+def qc_labeled_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confusion of a length rule on documents against the reviewed labels."""
+    documents = derive.read(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    labels = derive.read(spark, sf_dir, "labels").select(
+        F.col("doc_id").cast("string").alias("output_key"),
+        F.when(F.col("quality") == 1, "acceptable").otherwise("unacceptable").alias("label"),
+    )
+    measured = documents.select(
+        F.col("doc_id").cast("string").alias("output_key"),
+        F.lit("final.geometry.vertex_count").alias("metric"), F.lit("long").alias("value_kind"),
+        F.col("n_chars").cast("double").alias("value_double"),
+        F.lit(None).cast("string").alias("value_string"),
+        F.lit(None).cast("array<double>").alias("value_array"),
+        F.lit("count").alias("unit"), F.lit("computed").alias("compute_status"),
+        F.lit(None).cast("string").alias("error"),
+    )
+    ruleset = RuleSet("length", "1", {"final.geometry": "warning"},
+                      (Rule("short", "final.geometry.vertex_count", "lt", 400.0, "count"),))
+    found = qc_tools.confusion(qc_tools.labeled_predictions(measured, labels, ruleset))
+    rates = ["unacceptable_detection_rate", "acceptable_warning_rate"]
+    return found.select(
+        "evaluable_count", "true_positive", "false_positive", "true_negative", "false_negative",
+        *[clean(F.col(c)).alias(c) for c in rates],
+    )
+
+
+@registered
+def blinded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = derive.read(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("output_key")
+    )
+    return qc_tools.blinded_order(documents, seed=20260730, limit=25)
