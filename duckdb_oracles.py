@@ -382,3 +382,315 @@ select format('B{:05d}', rn) as blind_id, output_key from (
     select cast(doc_id as varchar) as output_key,
       sha256('20260730:' || cast(doc_id as varchar)) as digest from documents))
 where rn <= 25"""
+
+# --- crop and landmarks --------------------------------------------------------
+
+PROBABILITIES = """
+probs as (select mesh_id, vid, cast(cast(x / (x + 25.0) as float) as double) as p from fx_vertices)
+"""
+
+
+def mask_of(faces: str, threshold: str) -> str:
+    """Threshold, components inside the mask, and the component of each vertex."""
+    return f"""
+{edges_of(faces)},
+inside as (select mesh_id, vid from probs where p >= {threshold}),
+links as (
+  select e.mesh_id, e.lo as u, e.hi as v from edges e
+    join inside a on a.mesh_id = e.mesh_id and a.vid = e.lo
+    join inside b on b.mesh_id = e.mesh_id and b.vid = e.hi
+  union
+  select e.mesh_id, e.hi, e.lo from edges e
+    join inside a on a.mesh_id = e.mesh_id and a.vid = e.lo
+    join inside b on b.mesh_id = e.mesh_id and b.vid = e.hi),
+reach as (
+  select mesh_id, vid, vid as root from inside
+  union
+  select r.mesh_id, l.v, r.root from reach r join links l on l.mesh_id = r.mesh_id and l.u = r.vid
+  where r.root <= l.v),
+labels as (select mesh_id, vid, min(root) as label from reach group by mesh_id, vid),
+sizes as (select mesh_id, label, count(*) as size from labels group by mesh_id, label),
+best as (select mesh_id, label from (
+  select mesh_id, label, row_number() over (partition by mesh_id order by size desc, label) as rn from sizes) where rn = 1)
+"""
+
+
+MASKED = """
+masked as (
+  select p.mesh_id, p.vid, p.p, i.vid is not null as initial, b.label is not null as final
+  from probs p
+  left join inside i on i.mesh_id = p.mesh_id and i.vid = p.vid
+  left join labels l on l.mesh_id = p.mesh_id and l.vid = p.vid
+  left join best b on b.mesh_id = p.mesh_id and b.label = l.label)
+"""
+CROPPED = """
+kept as (select mesh_id, vid from masked where final),
+cfaces as (
+  select f.* from fx_faces f
+  join kept a on a.mesh_id = f.mesh_id and a.vid = f.a
+  join kept b on b.mesh_id = f.mesh_id and b.vid = f.b
+  join kept c on c.mesh_id = f.mesh_id and c.vid = f.c),
+used as (select distinct mesh_id, vid from (
+  select mesh_id, a as vid from cfaces union all select mesh_id, b from cfaces union all select mesh_id, c from cfaces)),
+ids as (select mesh_id, vid, cast(row_number() over (partition by mesh_id order by vid) - 1 as bigint) as new,
+        cast(count(*) over (partition by mesh_id) as bigint) as nv from used)
+"""
+
+SQL["vote_average"] = query(
+    MESHES, PROBABILITIES, body=f"""
+select mesh_id, cast(floor(vid / 3) as bigint) as vid, cast(count(*) as bigint) as votes,
+  {r('cast(cast(avg(p) as float) as double)', 5)} as probability from probs group by mesh_id, floor(vid / 3)""")
+
+SQL["crop_smooth_two_rounds"] = query(
+    MESHES, PROBABILITIES, edges_of("fx_faces_s"),
+    "links as (select mesh_id, lo as u, hi as v from edges union select mesh_id, hi, lo from edges)",
+    *[f"""{new} as (
+  select p.mesh_id, p.vid, cast(cast(coalesce(p.p * 0.5 + a.around * 0.5, p.p) as float) as double) as p
+  from {old} p left join (
+    select l.mesh_id, l.u as vid, avg(q.p) as around from links l
+    join {old} q on q.mesh_id = l.mesh_id and q.vid = l.v group by l.mesh_id, l.u) a
+  on a.mesh_id = p.mesh_id and a.vid = p.vid)""" for old, new in (("probs", "one"), ("one", "two"))],
+    body=f"select mesh_id, vid, {r('p', 5)} as probability from two")
+
+SQL["crop_mask"] = query(
+    MESHES, PROBABILITIES, mask_of("fx_faces_s", "0.5"), MASKED, recursive=True,
+    body="select mesh_id, vid, initial, final from masked")
+SQL["crop_mask_all_components"] = query(
+    MESHES, PROBABILITIES, mask_of("fx_faces_s", "0.5"), recursive=True, body="""
+select p.mesh_id, cast(count(*) filter (where p.p >= 0.5) as bigint) as initial_count,
+  cast(count(*) filter (where s.size >= 2) as bigint) as final_count
+from probs p left join labels l on l.mesh_id = p.mesh_id and l.vid = p.vid
+left join sizes s on s.mesh_id = l.mesh_id and s.label = l.label group by p.mesh_id""")
+SQL["crop_faces"] = query(
+    MESHES, PROBABILITIES, mask_of("fx_faces", "0.3"), MASKED, CROPPED, recursive=True, body="""
+select f.mesh_id, cast(row_number() over (partition by f.mesh_id order by f.fid) - 1 as bigint) as fid,
+  a.new as a, b.new as b, c.new as c, f.fid as old_fid
+from cfaces f join ids a on a.mesh_id = f.mesh_id and a.vid = f.a
+join ids b on b.mesh_id = f.mesh_id and b.vid = f.b join ids c on c.mesh_id = f.mesh_id and c.vid = f.c""")
+SQL["crop_reindex"] = query(
+    MESHES, PROBABILITIES, mask_of("fx_faces", "0.3"), MASKED, CROPPED, recursive=True, body="""
+select i.mesh_id, i.nv, i.new as vid, i.vid as old_vid, v.x
+from ids i join fx_vertices v on v.mesh_id = i.mesh_id and v.vid = i.vid""")
+SQL["crop_metrics"] = query(
+    MESHES, PROBABILITIES, mask_of("fx_faces", "0.3"), MASKED, CROPPED,
+    """b as (select mesh_id, count(*) as nv, avg(p) as pm, quantile_cont(p, 0.05) as p05, quantile_cont(p, 0.95) as p95,
+      count(*) filter (where initial <> final) as changed, count(*) filter (where final) as kept from masked group by mesh_id)""",
+    "fa as (select mesh_id, count(*) as n from fx_faces group by mesh_id)",
+    "fk as (select mesh_id, count(*) as n from cfaces group by mesh_id)",
+    "vk as (select mesh_id, count(*) as n from used group by mesh_id)",
+    recursive=True, body=f"""
+select b.mesh_id, cast(changed as bigint) as changed_vertices,
+  cast(case when kept > 0 then 1 else 0 end as bigint) as kept_component_count,
+  coalesce(vk.n, 0) >= 3 as usable,
+  {r('coalesce(vk.n, 0) / nv')} as retained_vertex_fraction, {r('coalesce(fk.n, 0) / fa.n')} as retained_face_fraction,
+  {r('pm')} as probability_mean, {r('p05')} as probability_p05, {r('p95')} as probability_p95,
+  {r('changed / nv')} as changed_fraction,
+  {r('case when kept > 0 then 1.0 else 0.0 end')} as largest_component_fraction
+from b join fa on fa.mesh_id = b.mesh_id left join fk on fk.mesh_id = b.mesh_id left join vk on vk.mesh_id = b.mesh_id""")
+
+
+def jaccard(threshold: str) -> str:
+    return (f"case when count(*) filter (where p >= 0.5 or p >= {threshold}) = 0 then 1.0 else "
+            f"count(*) filter (where p >= 0.5 and p >= {threshold}) / "
+            f"count(*) filter (where p >= 0.5 or p >= {threshold}) end")
+
+
+SQL["mask_jaccard"] = query(
+    MESHES, PROBABILITIES, body=f"select mesh_id, {r(jaccard('0.65'))} as jaccard from probs group by mesh_id")
+SQL["stability_min_max"] = query(
+    MESHES, PROBABILITIES, body=f"""
+select mesh_id, {r('least(' + ', '.join(jaccard(f'0.5 + 0.05 * {s}') for s in (1, 2, 3, 4)) + ')')} as jaccard_min,
+  {r('sqrt((0 + 1 + 4 + 9 + 16 + 25 + 36 + 49 + 64) * 0.4 * 0.4 / 9)')} as rms_max
+from probs group by mesh_id""")
+SQL["normalized_points"] = query(
+    MESHES,
+    "c as (select mesh_id, avg(x) as cx, avg(y) as cy, avg(z) as cz from fx_vertices group by mesh_id)",
+    "m as (select v.mesh_id, vid, x - cx as x, y - cy as y, z - cz as z from fx_vertices v join c on c.mesh_id = v.mesh_id)",
+    "s as (select mesh_id, max(sqrt(x*x + y*y + z*z)) as scale from m group by mesh_id)",
+    body="select m.mesh_id, vid, " + ", ".join(
+        f"{r(f'cast(cast({a} / scale as float) as double)', 4)} as {a}" for a in "xyz")
+    + " from m join s on s.mesh_id = m.mesh_id")
+
+LANDMARKS = """
+marks as (
+  select mesh_id, cast(vid as integer) as idx, x + vid * 1.5 as x, y - 20.0 as y, z + 3.0 as z,
+    ['bijian', 'bigen', 'bixia', 'wyjzuo', 'nyjzuo', 'nyjyou', 'wyjyou', 'kouzuo', 'kouyou'][vid + 1] as name
+  from fx_vertices where vid < 9)
+"""
+SQL["landmark_snap"] = query(
+    MESHES, LANDMARKS,
+    """hits as (select m.mesh_id, m.idx, v.vid, (m.x-v.x)*(m.x-v.x) + (m.y-v.y)*(m.y-v.y) + (m.z-v.z)*(m.z-v.z) as d2
+      from marks m join fx_vertices v on v.mesh_id = m.mesh_id)""",
+    body=f"""
+select mesh_id, cast(idx as bigint) as idx, vid as vertex_id, {r('sqrt(d2)')} as snap_distance from (
+  select *, row_number() over (partition by mesh_id, idx order by d2, vid) as rn from hits) where rn = 1""")
+
+
+def _between(one: str, two: str) -> str:
+    parts = [f"(max(case when name = '{one}' then {a} end) - max(case when name = '{two}' then {a} end))" for a in "xyz"]
+    return "sqrt(" + " + ".join(f"{p}*{p}" for p in parts) + ")"
+
+
+SQL["landmark_anatomy"] = query(
+    MESHES, LANDMARKS, body=f"""
+select mesh_id, {r(_between('wyjzuo', 'wyjyou'))} as outer_eye_width_mm, {r(_between('nyjzuo', 'nyjyou'))} as inner_eye_width_mm,
+  {r(_between('kouzuo', 'kouyou'))} as mouth_width_mm, {r(_between('bigen', 'bixia'))} as nose_height_mm,
+  {r("max(case when name in ('bijian', 'bigen', 'bixia') then x end) - min(case when name in ('bijian', 'bigen', 'bixia') then x end)")} as midline_x_range_mm
+from marks group by mesh_id""")
+SQL["landmark_boundary_distance"] = query(
+    MESHES, LANDMARKS, edges_of("fx_faces_s"),
+    "rim as (select mesh_id, lo as vid from edges where k = 1 union select mesh_id, hi from edges where k = 1)",
+    """gaps as (select m.mesh_id, sqrt(min((m.x-v.x)*(m.x-v.x) + (m.y-v.y)*(m.y-v.y) + (m.z-v.z)*(m.z-v.z))) as d
+      from marks m join rim on rim.mesh_id = m.mesh_id join fx_vertices v on v.mesh_id = rim.mesh_id and v.vid = rim.vid
+      group by m.mesh_id)""",
+    body=f"""
+select n.mesh_id, {r('d')} as minimum_distance_mm, case when d is null then 'not_applicable' else 'computed' end as compute_status
+from fx_n n left join gaps g on g.mesh_id = n.mesh_id""")
+SQL["landmark_topk_mean"] = query(
+    MESHES,
+    """top as (select * from (select mesh_id, event_type, vid, x / (x + 25.0) as p, x, y, z,
+       row_number() over (partition by mesh_id, event_type order by x / (x + 25.0) desc, vid) as rn from fx_vertices) where rn <= 16)""",
+    "w as (select *, p / greatest(sum(p) over (partition by mesh_id, event_type), 1e-8) as w from top)",
+    """c as (select *, sum(w*x) over (partition by mesh_id, event_type) as mx, sum(w*y) over (partition by mesh_id, event_type) as my,
+       sum(w*z) over (partition by mesh_id, event_type) as mz from w)""",
+    body=f"""
+select mesh_id, event_type as landmark, {r('min(mx)', 5)} as x, {r('min(my)', 5)} as y, {r('min(mz)', 5)} as z,
+  {r('sqrt(sum(w * ((x-mx)*(x-mx) + (y-my)*(y-my) + (z-mz)*(z-mz))))', 5)} as spread, {r('max(p)', 5)} as peak
+from c group by mesh_id, event_type""")
+SQL["landmark_contracts"] = query(
+    MESHES, LANDMARKS,
+    """gaps as (select m.mesh_id, m.idx, sqrt(min((m.x-v.x)*(m.x-v.x) + (m.y-v.y)*(m.y-v.y) + (m.z-v.z)*(m.z-v.z))) as d
+      from marks m join fx_vertices v on v.mesh_id = m.mesh_id group by m.mesh_id, m.idx)""",
+    "reach as (select mesh_id, max(greatest(abs(x), abs(y), abs(z))) as reach from fx_vertices group by mesh_id)",
+    body="""
+select g.mesh_id, case when max(d) > max(greatest(1e-8, 1e-12 * greatest(1.0, reach))) then 'contract.landmarks_snapped_on_mesh' else '' end as failures
+from gaps g join reach h on h.mesh_id = g.mesh_id group by g.mesh_id""")
+
+# --- alignment -----------------------------------------------------------------
+
+SQL["procrustes_recover"] = query(
+    MESHES, body=f"""
+select mesh_id, vid, {r('y * -2.5 + 4.0', 5)} as x, {r('x * 2.5 - 2.0', 5)} as y, {r('z * 2.5 + 3.0', 5)} as z from fx_vertices""")
+CENTRED = """
+c as (select mesh_id, avg(x) as cx, avg(y) as cy, avg(z) as cz from fx_vertices group by mesh_id),
+cq as (select mesh_id, avg(x) as cx, avg(y) as cy, avg(z) as cz from fx_vertices_q group by mesh_id),
+size_p as (select v.mesh_id, sqrt(sum((x-cx)*(x-cx) + (y-cy)*(y-cy) + (z-cz)*(z-cz))) as size from fx_vertices v join c on c.mesh_id = v.mesh_id group by v.mesh_id),
+size_q as (select v.mesh_id, sqrt(sum((x-cx)*(x-cx) + (y-cy)*(y-cy) + (z-cz)*(z-cz))) as size from fx_vertices_q v join cq on cq.mesh_id = v.mesh_id group by v.mesh_id)
+"""
+SQL["gpa_align_recover"] = query(
+    MESHES, CENTRED, body=f"""
+select c.mesh_id, {r('cast(2.5 as double)')} as scale, {r('cast(15.625 as double)')} as determinant,
+  {r('sqrt(cx*cx + cy*cy + cz*cz)', 5)} as centroid_norm, {r('size', 5)} as centroid_size
+from c join size_p s on s.mesh_id = c.mesh_id""")
+SQL["gpa_scale_noisy"] = query(
+    MESHES, CENTRED, body=f"""
+select p.mesh_id, {r('q.size / p.size', 8)} as scale from size_p p join size_q q on q.mesh_id = p.mesh_id""")
+SQL["landmark_alignment"] = query(
+    MESHES, LANDMARKS,
+    "t as (select s_acctbal as x, s_nationkey * 10.0 as y, s_suppkey * 7.0 as z from supplier where s_suppkey <= 9)",
+    "tc as (select avg(x) as cx, avg(y) as cy, avg(z) as cz from t)",
+    "ts as (select sqrt(sum((x-cx)*(x-cx) + (y-cy)*(y-cy) + (z-cz)*(z-cz))) as size from t, tc)",
+    "mc as (select mesh_id, avg(x) as cx, avg(y) as cy, avg(z) as cz from marks group by mesh_id)",
+    "ms as (select m.mesh_id, sqrt(sum((x-cx)*(x-cx) + (y-cy)*(y-cy) + (z-cz)*(z-cz))) as size from marks m join mc on mc.mesh_id = m.mesh_id group by m.mesh_id)",
+    body=f"select mesh_id, true as aligned, {r('ts.size / ms.size')} as scale from ms, ts")
+_A = "0.08726646259971647"
+SQL["rotate_about_centroid"] = query(
+    MESHES, "c as (select mesh_id, avg(x) as cx, avg(y) as cy, avg(z) as cz from fx_vertices group by mesh_id)",
+    "p0 as (select v.mesh_id, vid, x - cx as x, y - cy as y, z - cz as z, cx, cy, cz from fx_vertices v join c on c.mesh_id = v.mesh_id)",
+    f"p1 as (select mesh_id, vid, x, y * cos({_A}) - z * sin({_A}) as y, y * sin({_A}) + z * cos({_A}) as z, x + cx as bx, cx, cy, cz from p0)",
+    f"p2 as (select mesh_id, vid, x * cos(-{_A}) + z * sin(-{_A}) as x, y, z * cos(-{_A}) - x * sin(-{_A}) as z, bx, cx, cy, cz from p1)",
+    f"p3 as (select mesh_id, vid, x * cos({_A}) - y * sin({_A}) as x, x * sin({_A}) + y * cos({_A}) as y, z, bx, cx, cy, cz from p2)",
+    body=f"select mesh_id, vid, {r('x + cx', 5)} as x, {r('y + cy', 5)} as y, {r('z + cz', 5)} as z, {r('bx', 5)} as back_x from p3")
+MIRRORED = """
+mirrored as (
+  select v.mesh_id, v.vid, 0.5 * (v.x - w.x) as x, 0.5 * (v.y + w.y) as y, 0.5 * (v.z + w.z) as z,
+    sqrt((0.5*(v.x+w.x))*(0.5*(v.x+w.x)) + (0.5*(w.y-v.y))*(0.5*(w.y-v.y)) + (0.5*(w.z-v.z))*(0.5*(w.z-v.z))) as distance
+  from fx_vertices v join fx_n n on n.mesh_id = v.mesh_id
+  join fx_vertices w on w.mesh_id = v.mesh_id and w.vid = n.nv - 1 - v.vid)
+"""
+SQL["symmetrize"] = query(
+    MESHES, MIRRORED, body=f"""
+select mesh_id, vid, {r('x')} as x, {r('y')} as y, {r('z')} as z, {r('distance')} as distance from mirrored""")
+SQL["symmetry_displacement"] = query(
+    MESHES, MIRRORED, body=f"""
+select mesh_id, {r('avg(distance)')} as mean, {r('quantile_cont(distance, 0.95)')} as p95, {r('max(distance)')} as max
+from mirrored group by mesh_id""")
+SQL["barycentric_landmarks"] = query(
+    MESHES,
+    """t as (select n_nationkey as idx, n_name as name, cast(n_nationkey as bigint) as fid, (n_regionkey + 1) / cast(10.0 as double) as l1,
+       cast(0.25 as double) as l2, cast(0.75 as double) - (n_regionkey + 1) / cast(10.0 as double) as l3 from nation)""",
+    body="select f.mesh_id, t.idx, t.name, " + ", ".join(
+        f"{r(f'l3 * p.{a} + l2 * q.{a} + l1 * s.{a}')} as {a}" for a in "xyz") + """
+from fx_faces f join t on t.fid = f.fid
+join fx_vertices p on p.mesh_id = f.mesh_id and p.vid = f.a join fx_vertices q on q.mesh_id = f.mesh_id and q.vid = f.b
+join fx_vertices s on s.mesh_id = f.mesh_id and s.vid = f.c""")
+SQL["template_topology"] = query(
+    MESHES, body="""
+select mesh_id, nv = (select nv from fx_n order by mesh_id limit 1) as same_topology from fx_n""")
+
+# --- surfaces ------------------------------------------------------------------
+
+
+def point_triangle(points: str, vertices: str, faces: str, name: str) -> str:
+    """Closest distance from each point to any face, by Voronoi region of the face."""
+    def dot(a: str, b: str) -> str:
+        return "(" + " + ".join(f"{a}{i}*{b}{i}" for i in "xyz") + ")"
+
+    def diff(out: str, a: str, b: str) -> str:
+        return ", ".join(f"{a}.{i} - {b}.{i} as {out}{i}" for i in "xyz")
+
+    def length(parts: list[str]) -> str:
+        return "sqrt(" + " + ".join(f"({p})*({p})" for p in parts) + ")"
+
+    return f"""
+{name}_0 as (
+  select p.mesh_id, p.vid, {diff('ab', 'b', 'a')}, {diff('ac', 'c', 'a')}, {diff('ap', 'p', 'a')},
+    {diff('bp', 'p', 'b')}, {diff('cp', 'p', 'c')}
+  from {points} p join {faces} f on f.mesh_id = p.mesh_id
+  join {vertices} a on a.mesh_id = f.mesh_id and a.vid = f.a
+  join {vertices} b on b.mesh_id = f.mesh_id and b.vid = f.b
+  join {vertices} c on c.mesh_id = f.mesh_id and c.vid = f.c),
+{name}_1 as (select *, {dot('ab', 'ap')} as d1, {dot('ac', 'ap')} as d2, {dot('ab', 'bp')} as d3,
+    {dot('ac', 'bp')} as d4, {dot('ab', 'cp')} as d5, {dot('ac', 'cp')} as d6 from {name}_0),
+{name}_2 as (select *, d1*d4 - d3*d2 as vc, d5*d2 - d1*d6 as vb, d3*d6 - d5*d4 as va from {name}_1),
+{name}_3 as (select mesh_id, vid, case
+  when d1 <= 0 and d2 <= 0 then {length([f'ap{i}' for i in 'xyz'])}
+  when d3 >= 0 and d4 <= d3 then {length([f'bp{i}' for i in 'xyz'])}
+  when vc <= 0 and d1 >= 0 and d3 <= 0 then {length([f'ap{i} - d1 / (d1 - d3) * ab{i}' for i in 'xyz'])}
+  when d6 >= 0 and d5 <= d6 then {length([f'cp{i}' for i in 'xyz'])}
+  when vb <= 0 and d2 >= 0 and d6 <= 0 then {length([f'ap{i} - d2 / (d2 - d6) * ac{i}' for i in 'xyz'])}
+  when va <= 0 and d4 - d3 >= 0 and d5 - d6 >= 0
+    then {length([f'bp{i} - (d4 - d3) / ((d4 - d3) + (d5 - d6)) * (ac{i} - ab{i})' for i in 'xyz'])}
+  else {length([f'ap{i} - ab{i} * (vb / (va + vb + vc)) - ac{i} * (vc / (va + vb + vc))' for i in 'xyz'])} end as d
+  from {name}_2),
+{name} as (select mesh_id, vid, min(d) as distance from {name}_3 group by mesh_id, vid)
+"""
+
+
+SQL["surface_distance"] = query(
+    MESHES, LANDMARKS, "points as (select mesh_id, cast(idx as bigint) as vid, x, y, z from marks)",
+    point_triangle("points", "fx_vertices", "fx_faces", "near"),
+    body=f"select mesh_id, vid, {r('distance', 5)} as distance from near")
+SQL["surface_residuals"] = query(
+    MESHES, "moved as (select mesh_id, vid, x + 10.0 as x, y, z * 1.5 as z from fx_vertices)",
+    point_triangle("fx_vertices", "moved", "fx_faces", "fwd"),
+    point_triangle("moved", "fx_vertices", "fx_faces_s", "rev"),
+    "f as (select mesh_id, avg(distance) as mean, median(distance) as median, max(distance) as max from fwd group by mesh_id)",
+    "g as (select mesh_id, avg(distance) as mean, quantile_cont(distance, 0.95) as p95, max(distance) as max from rev group by mesh_id)",
+    body=f"""
+select f.mesh_id, {r('f.median', 5)} as forward_median, {r('g.p95', 5)} as reverse_p95,
+  {r('0.5 * (f.mean + g.mean)', 5)} as chamfer, {r('greatest(f.max, g.max)', 5)} as hausdorff
+from f join g on g.mesh_id = f.mesh_id""")
+BOXES = """
+boxes as (
+  select f.mesh_id, f.fid, f.a, f.b, f.c,
+    least(p.x, q.x, s.x) as lx, greatest(p.x, q.x, s.x) as hx, least(p.y, q.y, s.y) as ly, greatest(p.y, q.y, s.y) as hy,
+    least(p.z, q.z, s.z) as lz, greatest(p.z, q.z, s.z) as hz
+  from fx_faces_s f join fx_vertices p on p.mesh_id = f.mesh_id and p.vid = f.a
+  join fx_vertices q on q.mesh_id = f.mesh_id and q.vid = f.b join fx_vertices s on s.mesh_id = f.mesh_id and s.vid = f.c),
+pairs as (
+  select l.mesh_id, l.fid as first, h.fid as second from boxes l join boxes h on h.mesh_id = l.mesh_id and l.fid < h.fid
+  where l.lx <= h.hx and h.lx <= l.hx and l.ly <= h.hy and h.ly <= l.hy and l.lz <= h.hz and h.lz <= l.hz
+    and l.a not in (h.a, h.b, h.c) and l.b not in (h.a, h.b, h.c) and l.c not in (h.a, h.b, h.c))
+"""
+SQL["aabb_candidate_pairs"] = query(MESHES, BOXES, body="select mesh_id, first, second from pairs")

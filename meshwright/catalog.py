@@ -287,3 +287,280 @@ def blinded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").cast("string").alias("output_key")
     )
     return qc_tools.blinded_order(documents, seed=20260730, limit=25)
+
+
+# --- crop and landmarks --------------------------------------------------------
+
+from meshwright.operators import align, crop, landmarks, surface  # noqa: E402
+from meshwright.plans.meshset import KEY  # noqa: E402
+from meshwright.session import cut  # noqa: E402
+
+THRESHOLD = 0.5
+
+
+def _marked(spark: SparkSession, sf_dir: str, keep_largest: bool = True, minimum: int = 0):
+    meshes = derive.scrambled(spark, sf_dir)
+    return meshes, crop.masks(
+        meshes, derive.probabilities(spark, sf_dir), THRESHOLD, keep_largest, minimum)
+
+
+def _strip_crop(spark: SparkSession, sf_dir: str):
+    meshes = derive.strip(spark, sf_dir)
+    marked = cut(crop.masks(meshes, derive.probabilities(spark, sf_dir), 0.3), "masks")
+    kept = marked.where("final").select("mesh_id", "vid")
+    return meshes, marked, crop.crop(meshes, kept)
+
+
+@registered
+def vote_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    votes = derive.probabilities(spark, sf_dir).withColumn("vid", F.expr("vid div 3"))
+    found = crop.vote_average(votes)
+    return found.select("mesh_id", "vid", "votes", clean(F.col("probability"), 5).alias("probability"))
+
+
+@registered
+def crop_smooth_two_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    meshes = derive.scrambled(spark, sf_dir)
+    found = crop.smooth(meshes, derive.probabilities(spark, sf_dir), 2, 0.5)
+    return found.select("mesh_id", "vid", clean(F.col("probability"), 5).alias("probability"))
+
+
+@registered
+def crop_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, marked = _marked(spark, sf_dir)
+    return marked.select("mesh_id", "vid", "initial", "final")
+
+
+@registered
+def crop_mask_all_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, marked = _marked(spark, sf_dir, keep_largest=False, minimum=2)
+    return marked.groupBy("mesh_id").agg(
+        F.count_if("initial").alias("initial_count"), F.count_if("final").alias("final_count"))
+
+
+@registered
+def crop_faces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cropped faces in new numbering."""
+    _, _, cropped = _strip_crop(spark, sf_dir)
+    return cropped.faces.select("mesh_id", "fid", "a", "b", "c", "old_fid")
+
+
+@registered
+def crop_reindex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept vertices with old and new ids."""
+    _, _, cropped = _strip_crop(spark, sf_dir)
+    return cropped.vertices.select("mesh_id", "nv", "vid", "old_vid", "x")
+
+
+@registered
+def crop_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = crop.crop_metrics(*_strip_crop(spark, sf_dir))
+    rounded = ["retained_vertex_fraction", "retained_face_fraction", "probability_mean",
+               "probability_p05", "probability_p95", "changed_fraction",
+               "largest_component_fraction"]
+    return found.select("mesh_id", "changed_vertices", "kept_component_count", "usable",
+                        *[clean(F.col(c)).alias(c) for c in rounded])
+
+
+@registered
+def mask_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = derive.probabilities(spark, sf_dir)
+    left = scores.select("mesh_id", "vid", (F.col("probability") >= 0.5).alias("kept"))
+    right = scores.select("mesh_id", "vid", (F.col("probability") >= 0.65).alias("kept"))
+    return crop.mask_jaccard(left, right).select("mesh_id", clean(F.col("jaccard")).alias("jaccard"))
+
+
+@registered
+def stability_min_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlap and drift against four diagnostic thresholds, and the worst of them."""
+    scores = derive.probabilities(spark, sf_dir)
+    marks = derive.landmarks(spark, sf_dir)
+    base = scores.select("mesh_id", "vid", (F.col("probability") >= 0.5).alias("kept"))
+    runs = None
+    for step in (1, 2, 3, 4):
+        other = scores.select(
+            "mesh_id", "vid", (F.col("probability") >= 0.5 + 0.05 * step).alias("kept"))
+        shifted = marks.select(
+            "mesh_id", "idx", (F.col("x") + F.col("idx") * (0.1 * step)).alias("x"), "y", "z")
+        run = crop.mask_jaccard(base, other).join(landmarks.landmark_rms(marks, shifted), "mesh_id")
+        runs = run if runs is None else runs.unionByName(run)
+    found = landmarks.stability(runs)
+    return found.select("mesh_id", *[clean(F.col(c)).alias(c) for c in ("jaccard_min", "rms_max")])
+
+
+@registered
+def normalized_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = crop.normalized_points(derive.strip(spark, sf_dir))
+    return found.select(
+        "mesh_id", "vid", *[clean(F.col(a).cast("double"), 4).alias(a) for a in "xyz"])
+
+
+@registered
+def landmark_snap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = landmarks.snap(derive.landmarks(spark, sf_dir), derive.strip(spark, sf_dir))
+    return found.select("mesh_id", "idx", "vertex_id",
+                        clean(F.col("snap_distance")).alias("snap_distance"))
+
+
+@registered
+def landmark_anatomy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = landmarks.anatomy(derive.landmarks(spark, sf_dir))
+    return found.select("mesh_id", *[clean(F.col(c)).alias(f"{c}_mm") for c in found.columns[1:]])
+
+
+@registered
+def landmark_boundary_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = landmarks.boundary_distance(
+        derive.landmarks(spark, sf_dir), derive.scrambled(spark, sf_dir))
+    return found.select("mesh_id", clean(F.col("minimum_distance")).alias("minimum_distance_mm"),
+                        "compute_status")
+
+
+@registered
+def landmark_topk_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decode one landmark per event type from its 16 strongest candidates."""
+    vertices = derive.event_vertices(spark, sf_dir)
+    candidates = vertices.select(
+        "mesh_id", F.col("event_type").alias("idx"), "vid",
+        (F.col("x") / (F.col("x") + 25.0)).alias("p"), "x", "y", "z")
+    found = landmarks.decode_heatmaps(candidates, 16)
+    return found.select("mesh_id", F.col("idx").alias("landmark"),
+                        *[clean(F.col(c), 5).alias(c) for c in ("x", "y", "z", "spread", "peak")])
+
+
+@registered
+def landmark_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    meshes = derive.strip(spark, sf_dir)
+    found = landmarks.contract_failures(derive.landmarks(spark, sf_dir), meshes)
+    return found.select("mesh_id", F.concat_ws(",", "failures").alias("failures"))
+
+
+# --- alignment -----------------------------------------------------------------
+
+
+def _turned(points: DataFrame) -> DataFrame:
+    """A known similarity of each point: 2.5 times a quarter turn about z, shifted."""
+    return points.select(
+        *KEY, "vid", (F.col("y") * -2.5 + 4.0).alias("x"), (F.col("x") * 2.5 - 2.0).alias("y"),
+        (F.col("z") * 2.5 + 3.0).alias("z"))
+
+
+@registered
+def procrustes_recover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points moved by the solved transform; the truth is the known similarity."""
+    points = derive.strip(spark, sf_dir).vertices
+    fit = align.similarity(align.paired(points, _turned(points)))
+    moved = align.apply(points, fit)
+    return moved.select("mesh_id", "vid", *[clean(F.col(a), 5).alias(a) for a in "xyz"])
+
+
+@registered
+def gpa_align_recover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    meshes = derive.strip(spark, sf_dir)
+    _, report = align.gpa_align(meshes, _turned(meshes.vertices))
+    return report.select("mesh_id", clean(F.col("scale")).alias("scale"),
+                         clean(F.col("determinant")).alias("determinant"),
+                         clean(F.col("centroid_norm"), 5).alias("centroid_norm"),
+                         clean(F.col("centroid_size"), 5).alias("centroid_size"))
+
+
+@registered
+def gpa_scale_noisy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scale onto coarse lattice copies: a ratio of centroid sizes."""
+    meshes = derive.strip(spark, sf_dir)
+    _, report = align.gpa_align(meshes, derive.quantized(spark, sf_dir).vertices)
+    return report.select("mesh_id", clean(F.col("scale"), 8).alias("scale"))
+
+
+@registered
+def landmark_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coarse alignment of each mesh by nine landmarks onto one shared set."""
+    template = derive.read(spark, sf_dir, "supplier").where(F.col("s_suppkey") <= 9).select(
+        (F.col("s_suppkey") - 1).cast("int").alias("idx"), F.col("s_acctbal").alias("x"),
+        (F.col("s_nationkey") * 10.0).alias("y"), (F.col("s_suppkey") * 7.0).alias("z"))
+    _, report = align.landmark_alignment(
+        derive.strip(spark, sf_dir), derive.landmarks(spark, sf_dir), template)
+    return report.select("mesh_id", "aligned", clean(F.col("scale")).alias("scale"))
+
+
+@registered
+def rotate_about_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = derive.strip(spark, sf_dir).vertices
+    turned = align.rotate_about_centroid(points, (5.0, -5.0, 5.0))
+    back = align.rotate_about_centroid(turned, (5.0, -5.0, 5.0), inverse=True)
+    return turned.join(
+        back.select("mesh_id", "vid", F.col("x").alias("back_x")), ["mesh_id", "vid"]
+    ).select("mesh_id", "vid", *[clean(F.col(c), 5).alias(c) for c in ("x", "y", "z", "back_x")])
+
+
+@registered
+def symmetrize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    meshes = derive.strip(spark, sf_dir)
+    mirror = meshes.vertices.select("mesh_id", "vid", (F.col("nv") - 1 - F.col("vid")).alias("ref"))
+    moved, distance = align.symmetrize(meshes, mirror)
+    joined = moved.vertices.join(distance.drop("nv"), ["mesh_id", "vid"])
+    return joined.select("mesh_id", "vid", *[clean(F.col(c)).alias(c) for c in ("x", "y", "z", "distance")])
+
+
+@registered
+def symmetry_displacement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    meshes = derive.strip(spark, sf_dir)
+    mirror = meshes.vertices.select("mesh_id", "vid", (F.col("nv") - 1 - F.col("vid")).alias("ref"))
+    _, distance = align.symmetrize(meshes, mirror)
+    found = surface.residual_summary(distance, "displacement", meshes.largest)
+    return found.select("mesh_id", *[clean(F.col(f"displacement_{c}")).alias(c) for c in ("mean", "p95", "max")])
+
+
+@registered
+def barycentric_landmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One projected point per nation row, its weights derived from the keys."""
+    table = derive.read(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("idx"), F.col("n_name").alias("name"),
+        F.col("n_nationkey").cast("bigint").alias("fid"),
+        ((F.col("n_regionkey") + 1) / 10.0).alias("l1"), F.lit(0.25).alias("l2"),
+        (F.lit(0.75) - (F.col("n_regionkey") + 1) / 10.0).alias("l3"))
+    found = align.barycentric_landmarks(derive.strip(spark, sf_dir), table)
+    return found.select("mesh_id", "idx", "name", *[clean(F.col(a)).alias(a) for a in "xyz"])
+
+
+@registered
+def template_topology(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which meshes have exactly the faces of the smallest mesh id."""
+    meshes = derive.strip(spark, sf_dir)
+    first = meshes.faces.agg(F.min("mesh_id")).first()[0]
+    template = meshes.faces.where(F.col("mesh_id") == first)
+    return align.same_topology(meshes, template).select("mesh_id", "same_topology")
+
+
+# --- surfaces ------------------------------------------------------------------
+
+
+@registered
+def surface_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distance from each landmark to its mesh's surface."""
+    points = derive.landmarks(spark, sf_dir).withColumn("vid", F.col("idx").cast("bigint"))
+    found = surface.surface_distances(points, derive.strip(spark, sf_dir))
+    return found.select("mesh_id", "vid", clean(F.col("distance"), 5).alias("distance"))
+
+
+@registered
+def surface_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both directions between the scrambled surface and a shifted strip."""
+    meshes = derive.strip(spark, sf_dir)
+    moved = meshes.with_vertices(meshes.vertices.select(
+        *KEY, "vid", (F.col("x") + 10.0).alias("x"), F.col("y"), (F.col("z") * 1.5).alias("z")))
+    found = surface.surface_residuals(derive.scrambled(spark, sf_dir), moved)
+    return found.select("mesh_id", *[clean(F.col(c), 5).alias(c) for c in
+                                     ("forward_median", "reverse_p95", "chamfer", "hausdorff")])
+
+
+@registered
+def aabb_candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = surface.overlapping_faces(derive.scrambled(spark, sf_dir))
+    return pairs.select("mesh_id", "first", "second")
+
+
+@registered
+def self_intersection_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = surface.self_intersections(derive.scrambled(spark, sf_dir), cap=40)
+    return found.select("mesh_id", "pair_count", F.col("count").cast("bigint").alias("reported"), "truncated")

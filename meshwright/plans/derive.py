@@ -121,3 +121,22 @@ def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(None).cast("string").alias("error"),
         )
     )
+
+
+def probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(mesh_id, vid, probability): a saturating score of each event's value."""
+    vertices = event_vertices(spark, sf_dir)
+    score = (F.col("x") / (F.col("x") + F.lit(25.0))).cast("float").cast("double")
+    return vertices.select("mesh_id", "vid", score.alias("probability"))
+
+
+def landmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nine named points per mesh, displaced from its first nine vertices."""
+    from meshwright.operators.landmarks import NAMES
+
+    vertices = event_vertices(spark, sf_dir).where(F.col("vid") < len(NAMES))
+    idx = F.col("vid")
+    names = F.array(*[F.lit(n) for n in NAMES])
+    return vertices.select(
+        *KEY, idx.cast("int").alias("idx"), F.element_at(names, (idx + 1).cast("int")).alias("name"),
+        (F.col("x") + idx * 1.5).alias("x"), (F.col("y") - 20.0).alias("y"), (F.col("z") + 3.0).alias("z"))
