@@ -587,7 +587,7 @@ SQL["gpa_scale_noisy"] = query(
 select p.mesh_id, {r('q.size / p.size', 8)} as scale from size_p p join size_q q on q.mesh_id = p.mesh_id""")
 SQL["landmark_alignment"] = query(
     MESHES, LANDMARKS,
-    "t as (select s_acctbal as x, s_nationkey * 10.0 as y, s_suppkey * 7.0 as z from supplier where s_suppkey <= 9)",
+    "t as (select s_acctbal as x, s_nationkey * 10.0 as y, s_suppkey * 7.0 as z from supplier where s_suppkey < 9)",
     "tc as (select avg(x) as cx, avg(y) as cy, avg(z) as cz from t)",
     "ts as (select sqrt(sum((x-cx)*(x-cx) + (y-cy)*(y-cy) + (z-cz)*(z-cz))) as size from t, tc)",
     "mc as (select mesh_id, avg(x) as cx, avg(y) as cy, avg(z) as cz from marks group by mesh_id)",
@@ -694,3 +694,160 @@ pairs as (
     and l.a not in (h.a, h.b, h.c) and l.b not in (h.a, h.b, h.c) and l.c not in (h.a, h.b, h.c))
 """
 SQL["aabb_candidate_pairs"] = query(MESHES, BOXES, body="select mesh_id, first, second from pairs")
+
+# --- registration --------------------------------------------------------------
+
+MOVING = """
+moving as (select mesh_id, vid, x * 1.02 + z * 0.05 + 1.0 as x, y * 0.99 + 2.0 as y, z * 1.01 - x * 0.05 as z from fx_vertices)
+"""
+FEATURES = ", ".join([
+    areas_of("fx_faces", "moving", "areas_m"), normals_of("areas_m", "moving", "normals_m"),
+    areas_of("fx_faces", "fx_vertices", "areas_t"), normals_of("areas_t", "fx_vertices", "normals_t"),
+    *[f"{f} as (select v.mesh_id, v.vid, v.x, v.y, v.z, n.nx, n.ny, n.nz from {v} v join {n} n on n.mesh_id = v.mesh_id and n.vid = v.vid)"
+      for f, v, n in (("feat_m", "moving", "normals_m"), ("feat_t", "fx_vertices", "normals_t"))],
+])
+
+
+def affinity(source: str, target: str, name: str, k: int = 3) -> str:
+    d2 = " + ".join(f"(s.{n}-t.{n})*(s.{n}-t.{n})" for n in ("x", "y", "z", "nx", "ny", "nz"))
+    return f"""
+{name} as (
+  select mesh_id, i, j, greatest(facing / greatest(d2, 1e-6), 1e-4) as w from (
+    select *, row_number() over (partition by mesh_id, i order by d2, j) as rn from (
+      select s.mesh_id, s.vid as i, t.vid as j, {d2} as d2,
+        (s.nx*t.nx + s.ny*t.ny + s.nz*t.nz) / 2.0 + 0.5 as facing
+      from {source} s join {target} t on t.mesh_id = s.mesh_id)) where rn <= {k})
+"""
+
+
+SQL["mesh_flags"] = query(
+    MESHES, edges_of("fx_faces_s"), areas_of("fx_faces_s", "fx_vertices"),
+    """z as (select a.*, (double_area*0.5 - avg(double_area*0.5) over (partition by mesh_id))
+         / nullif(stddev_pop(double_area*0.5) over (partition by mesh_id), 0) as z from areas a)""",
+    """off as (select mesh_id, lo as vid from edges where k = 1 union select mesh_id, hi from edges where k = 1
+       union select mesh_id, a from z where abs(z) > 1.5 union select mesh_id, b from z where abs(z) > 1.5
+       union select mesh_id, c from z where abs(z) > 1.5)""",
+    body="""
+select v.mesh_id, sum(case when o.vid is null then cast(1.0 as double) else cast(0.0 as double) end) as flagged
+from fx_vertices v left join off o on o.mesh_id = v.mesh_id and o.vid = v.vid group by v.mesh_id""")
+SQL["knn_affinity"] = query(
+    MESHES, MOVING, FEATURES, affinity("feat_m", "feat_t", "push"),
+    body=f"select mesh_id, i, j, {r('w', 5)} as w from push")
+SQL["knn_smoothing_weights"] = query(
+    MESHES,
+    """near as (select *, row_number() over (partition by mesh_id, i order by d2, j) as rn from (
+       select p.mesh_id, p.vid as i, q.vid as j, (p.x-q.x)*(p.x-q.x) + (p.y-q.y)*(p.y-q.y) + (p.z-q.z)*(p.z-q.z) as d2
+       from fx_vertices p join fx_vertices q on q.mesh_id = p.mesh_id))""",
+    """mixed as (select mesh_id, i, j, exp(d2 * (-0.5 / (40.0 * 40.0))) * (case when j % 5 = 0 then 0.0 else 1.0 end) * (1.0 - 1e-5) + 1e-5 as w
+       from near where rn <= 8)""",
+    body=f"select mesh_id, i, j, {r('w / sum(w) over (partition by mesh_id, i)')} as w from mixed")
+CORRESPONDENCES = ", ".join([
+    affinity("feat_m", "feat_t", "push"), affinity("feat_t", "feat_m", "pull"),
+    """pull_flag as (select p.mesh_id, p.i as j, (case when p.i % 7 = 0 then 0.0 else 1.0 end)
+        * (case when sum(p.w * (case when p.j % 7 = 0 then 0.0 else 1.0 end)) / sum(p.w) > 0.6 then 1.0 else 0.0 end) as flag
+      from pull p group by p.mesh_id, p.i)""",
+    """both_ways as (select mesh_id, i, j, sum(w) as w from (
+        select mesh_id, i, j, w from push union all select mesh_id, j as i, i as j, w from pull) group by mesh_id, i, j)""",
+    "matched as (select b.mesh_id, b.i as vid, " + ", ".join(
+        f"sum(w * t.{n}) / sum(w) as c{n}" for n in ("x", "y", "z", "nx", "ny", "nz")) + """,
+        (case when b.i % 7 = 0 then cast(0.0 as double) else cast(1.0 as double) end)
+        * (case when sum(w * (case when b.j % 7 = 0 then 0.0 else 1.0 end)) / sum(w) > 0.6
+            and sum(w * f.flag) / sum(w) > 0.6 then cast(1.0 as double) else cast(0.0 as double) end) as flag
+      from both_ways b join feat_t t on t.mesh_id = b.mesh_id and t.vid = b.j
+      join pull_flag f on f.mesh_id = b.mesh_id and f.j = b.j group by b.mesh_id, b.i)""",
+])
+SQL["correspondence_flags"] = query(
+    MESHES, MOVING, FEATURES, CORRESPONDENCES,
+    body=f"select mesh_id, vid, {r('cx', 4)} as cx, {r('cy', 4)} as cy, {r('cz', 4)} as cz, flag from matched")
+
+
+def inlier_passes(kappa: float) -> list[str]:
+    """Ten CTEs, each re-weighting the one before through a per-mesh window."""
+    steps = []
+    for n in range(10):
+        sigma = ("least(greatest(sqrt(sum(w * d2) over (partition by mesh_id) / "
+                 "nullif(sum(w) over (partition by mesh_id), 0)), 0.1), 10.0)")
+        steps.append(f"s{n} as (select mesh_id, vid, d2, facing, w, {sigma} as sigma from w{n})")
+        steps.append(
+            f"w{n + 1} as (select mesh_id, vid, d2, facing, coalesce(w * exp(-0.5 * d2 / (sigma * sigma)) / "
+            f"(exp(-0.5 * d2 / (sigma * sigma)) + exp(-0.5 * {kappa} * {kappa})), 0) as w from s{n})")
+    return steps
+
+
+SQL["inlier_weights"] = query(
+    MESHES,
+    """w0 as (select mesh_id, vid, cast((vid % 5) * (vid % 5) + (vid % 3) * (vid % 3) as double) as d2, 0.5 as facing,
+       case when vid % 7 = 0 then cast(0.0 as double) else cast(1.0 as double) end as w from fx_vertices)""",
+    *inlier_passes(3.0), body=f"select mesh_id, vid, {r('w * facing')} as weight from w10")
+
+# Triangles that meet: six segment tests, or a plane test when both lie in one plane.
+_VERTEX = {n: [f"{n}{a}" for a in "xyz"] for n in ("q1", "q2", "q3", "s1", "s2", "s3")}
+
+
+def _cross(u: list[str], v: list[str]) -> list[str]:
+    return [f"(({u[1]})*({v[2]}) - ({u[2]})*({v[1]}))", f"(({u[2]})*({v[0]}) - ({u[0]})*({v[2]}))",
+            f"(({u[0]})*({v[1]}) - ({u[1]})*({v[0]}))"]
+
+
+def _dot(u: list[str], v: list[str]) -> str:
+    return "(" + " + ".join(f"({a})*({b})" for a, b in zip(u, v)) + ")"
+
+
+def _minus(u: list[str], v: list[str]) -> list[str]:
+    return [f"({a} - {b})" for a, b in zip(u, v)]
+
+
+def _named(values: list[str], name: str) -> str:
+    return ", ".join(f"{v} as {name}{a}" for v, a in zip(values, "xyz"))
+
+
+def _cols(name: str) -> list[str]:
+    return [f"{name}{a}" for a in "xyz"]
+
+
+_CORNERS = ", ".join(
+    f"{v}.{a} as {side}{i}{a}" for side, box in (("q", "l"), ("s", "h")) for i, v in
+    ((1, f"{box}1"), (2, f"{box}2"), (3, f"{box}3")) for a in "xyz")
+_JOINS = " ".join(
+    f"join fx_vertices {box}{i} on {box}{i}.mesh_id = p.mesh_id and {box}{i}.vid = {box}.{c}"
+    for box in ("l", "h") for i, c in ((1, "a"), (2, "b"), (3, "c")))
+_OFF = ", ".join(
+    [f"{_dot(_minus(_cols(f's{i}'), _cols('q1')), _cols('qn'))} as oq{i}" for i in (1, 2, 3)]
+    + [f"{_dot(_minus(_cols(f'q{i}'), _cols('s1')), _cols('sn'))} as os{i}" for i in (1, 2, 3)])
+
+
+def _all(names: list[str], test: str) -> str:
+    return "(" + " and ".join(test.format(n) for n in names) + ")"
+
+
+_OQ, _OS = ["oq1", "oq2", "oq3"], ["os1", "os2", "os3"]
+_FLAT = f"({_all(_OQ, 'abs({}) <= 1e-10')} and {_all(_OS, 'abs({}) <= 1e-10')})"
+_APART = "(" + " or ".join(_all(n, t) for n in (_OQ, _OS) for t in ("{} > 1e-10", "{} < -1e-10")) + ")"
+_SEGMENTS = " union all ".join(
+    "select mesh_id, first, second, " + ", ".join([
+        _named(_cols(f"{own}{i}"), "p"), _named(_minus(_cols(f"{own}{j}"), _cols(f"{own}{i}")), "d"),
+        _named(_minus(_cols(f"{other}2"), _cols(f"{other}1")), "e"),
+        _named(_minus(_cols(f"{other}3"), _cols(f"{other}1")), "g"),
+        _named(_minus(_cols(f"{own}{i}"), _cols(f"{other}1")), "o")])
+    + f" from planes where not {_FLAT} and not {_APART}"
+    for own, other in (("q", "s"), ("s", "q")) for i, j in ((1, 2), (2, 3), (3, 1)))
+SQL["self_intersection_count"] = query(
+    MESHES, BOXES,
+    f"tri as (select p.mesh_id, p.first, p.second, {_CORNERS} from pairs p "
+    "join boxes l on l.mesh_id = p.mesh_id and l.fid = p.first "
+    f"join boxes h on h.mesh_id = p.mesh_id and h.fid = p.second {_JOINS})",
+    "facing as (select *, " + ", ".join(
+        _named(_cross(_minus(_cols(f"{s}2"), _cols(f"{s}1")), _minus(_cols(f"{s}3"), _cols(f"{s}1"))), f"{s}n")
+        for s in "qs") + " from tri)",
+    f"planes as (select *, {_OFF} from facing where sqrt({_dot(_cols('qn'), _cols('qn'))}) > 1e-10 "
+    f"and sqrt({_dot(_cols('sn'), _cols('sn'))}) > 1e-10)",
+    f"segs as ({_SEGMENTS})",
+    f"hs as (select *, {_named(_cross(_cols('d'), _cols('g')), 'h')}, {_named(_cross(_cols('o'), _cols('e')), 'r')} from segs)",
+    f"solved as (select mesh_id, first, second, {_dot(_cols('o'), _cols('h'))} as u, {_dot(_cols('d'), _cols('r'))} as v, "
+    f"{_dot(_cols('g'), _cols('r'))} as t, {_dot(_cols('e'), _cols('h'))} as det from hs)",
+    """hit as (select distinct mesh_id, first, second from solved where abs(det) > 1e-10 and u/det >= -1e-10 and u/det <= 1+1e-10
+       and v/det >= -1e-10 and u/det + v/det <= 1+1e-10 and t/det >= -1e-10 and t/det <= 1+1e-10)""",
+    "n as (select mesh_id, count(*) as n from hit group by mesh_id)",
+    body="""
+select x.mesh_id, cast(coalesce(n.n, 0) as bigint) as pair_count, cast(least(coalesce(n.n, 0), 40) as bigint) as reported,
+  coalesce(n.n, 0) >= 40 as truncated from fx_n x left join n on n.mesh_id = x.mesh_id""")

@@ -475,8 +475,8 @@ def gpa_scale_noisy(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def landmark_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coarse alignment of each mesh by nine landmarks onto one shared set."""
-    template = derive.read(spark, sf_dir, "supplier").where(F.col("s_suppkey") <= 9).select(
-        (F.col("s_suppkey") - 1).cast("int").alias("idx"), F.col("s_acctbal").alias("x"),
+    template = derive.read(spark, sf_dir, "supplier").where(F.col("s_suppkey") < 9).select(
+        F.col("s_suppkey").cast("int").alias("idx"), F.col("s_acctbal").alias("x"),
         (F.col("s_nationkey") * 10.0).alias("y"), (F.col("s_suppkey") * 7.0).alias("z"))
     _, report = align.landmark_alignment(
         derive.strip(spark, sf_dir), derive.landmarks(spark, sf_dir), template)
@@ -564,3 +564,98 @@ def aabb_candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def self_intersection_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = surface.self_intersections(derive.scrambled(spark, sf_dir), cap=40)
     return found.select("mesh_id", "pair_count", F.col("count").cast("bigint").alias("reported"), "truncated")
+
+
+# --- registration --------------------------------------------------------------
+
+from meshwright.operators import register as registration  # noqa: E402
+
+
+def _moving(spark: SparkSession, sf_dir: str):
+    """Each strip mesh, slightly scaled, turned and shifted, next to itself."""
+    meshes = derive.strip(spark, sf_dir)
+    start = meshes.with_vertices(meshes.vertices.select(
+        *KEY, "vid", (F.col("x") * 1.02 + F.col("z") * 0.05 + 1.0).alias("x"),
+        (F.col("y") * 0.99 + 2.0).alias("y"), (F.col("z") * 1.01 - F.col("x") * 0.05).alias("z")))
+    return start, meshes
+
+
+@registered
+def mesh_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flags = registration.mesh_flags(derive.scrambled(spark, sf_dir), True, True, 1.5)
+    return flags.groupBy("mesh_id").agg(F.sum("flag").alias("flagged"))
+
+
+@registered
+def knn_affinity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights to the three nearest target vertices by position and normal."""
+    start, meshes = _moving(spark, sf_dir)
+    found = registration.affinity(
+        cut(registration.features(start), "features"), cut(registration.features(meshes), "features"), 3)
+    return found.select("mesh_id", "i", "j", clean(F.col("w"), 5).alias("w"))
+
+
+@registered
+def knn_smoothing_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    meshes = derive.strip(spark, sf_dir)
+    flags = meshes.vertices.select(
+        "mesh_id", "vid", F.when(F.col("vid") % 5 == 0, 0.0).otherwise(1.0).alias("flag"))
+    found = registration.smoothing_weights(meshes.vertices, flags, 8, 40.0)
+    return found.select("mesh_id", "i", "j", clean(F.col("w")).alias("w"))
+
+
+def _matched(spark: SparkSession, sf_dir: str):
+    start, meshes = _moving(spark, sf_dir)
+    moving = cut(registration.features(start), "features")
+    target = cut(registration.features(meshes), "features")
+    flags = meshes.vertices.select(
+        *KEY, "vid", F.when(F.col("vid") % 7 == 0, 0.0).otherwise(1.0).alias("flag"))
+    found = registration.correspondences(moving, target, flags, flags, 3, 0.6)
+    return moving, cut(found, "matched")
+
+
+@registered
+def correspondence_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Symmetric correspondences of every floating vertex and their flags."""
+    _, found = _matched(spark, sf_dir)
+    return found.select("mesh_id", "vid", *[clean(F.col(f"c{a}"), 4).alias(f"c{a}") for a in "xyz"], "flag")
+
+
+@registered
+def inlier_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten re-weighting passes between the strip and a displaced copy."""
+    meshes = derive.strip(spark, sf_dir)
+    points = meshes.vertices
+    zeros = [F.lit(0.0).alias(n) for n in ("nx", "ny", "nz")]
+    floating = points.select(*KEY, "vid", "x", "y", "z", *zeros)
+    matched = points.select(
+        "mesh_id", "vid", (F.col("x") + F.col("vid") % 5).alias("cx"),
+        (F.col("y") + F.col("vid") % 3).alias("cy"), F.col("z").alias("cz"),
+        *[F.lit(0.0).alias(n) for n in ("cnx", "cny", "cnz")],
+        F.when(F.col("vid") % 7 == 0, 0.0).otherwise(1.0).alias("flag"))
+    found = registration.inlier_weights(floating, matched, 3.0)
+    return found.select("mesh_id", "vid", clean(F.col("weight")).alias("weight"))
+
+
+@registered
+def register_rigid_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rigid iteration: match, weigh, and solve the weighted similarity."""
+    moving, found = _matched(spark, sf_dir)
+    weights = cut(registration.inlier_weights(moving, found, 3.0), "weights")
+    moved, _ = registration.rigid_step(moving, found, weights)
+    after = registration.residuals(moved, found, weights)
+    return after.select("mesh_id", clean(F.col("residual_mean"), 4).alias("residual_mean"),
+                        clean(F.col("inlier_weight_mean"), 4).alias("inlier_weight_mean"))
+
+
+@registered
+def register_nonrigid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A short registration of every displaced strip onto its original."""
+    start, meshes = _moving(spark, sf_dir)
+    options = registration.RegistrationOptions(
+        rigid_iterations=0, nonrigid_iterations=0, transform_num_viscous_iterations_start=1,
+        transform_num_elastic_iterations_start=1, transform_num_neighbours=6, transform_sigma=40.0,
+        flag_floating_boundary=False, flag_target_boundary=False, outlier_diffusion_iterations=1)
+    done = registration.register(start, meshes, options)
+    return done.trajectory.select(
+        "mesh_id", "phase", "iteration", clean(F.col("residual_mean"), 4).alias("residual_mean"))

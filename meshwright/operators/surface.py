@@ -17,7 +17,7 @@ from meshwright.session import cut
 EPSILON = 1.0e-10
 PAIR_CAP = 1000
 # The first search radius is the mean face width times two to this power.
-FIRST_STEP = -3
+FIRST_STEP = 0
 
 
 def point_triangle_distance(p: Vec, a: Vec, b: Vec, c: Vec) -> Column:
@@ -68,7 +68,7 @@ def surface_distances(points: DataFrame, surface: MeshSet, label: str = "surface
     """(mesh_id, vid, distance) from each point to its mesh's surface.
 
     A face lives in the grid level its size calls for, in at most eight cells.
-    A point looks into every level in use, within a search radius that doubles
+    A point looks into every level in use, within a search radius that widens
     until its best distance lies inside it. Only the running minimum is kept.
     """
     boxes = cut(triangle_boxes(surface), f"{label}-boxes")
@@ -122,7 +122,7 @@ def surface_distances(points: DataFrame, surface: MeshSet, label: str = "surface
         pending = answered.where(~settled).drop("distance")
         if pending.isEmpty():
             break
-        step += 1
+        step += 2
     found = done[0]
     for part in done[1:]:
         found = found.unionByName(part)
