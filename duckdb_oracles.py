@@ -590,8 +590,8 @@ SQL["landmark_alignment"] = query(
     "t as (select s_acctbal as x, s_nationkey * 10.0 as y, s_suppkey * 7.0 as z from supplier where s_suppkey < 9)",
     "tc as (select avg(x) as cx, avg(y) as cy, avg(z) as cz from t)",
     "ts as (select sqrt(sum((x-cx)*(x-cx) + (y-cy)*(y-cy) + (z-cz)*(z-cz))) as size from t, tc)",
-    "mc as (select mesh_id, avg(x) as cx, avg(y) as cy, avg(z) as cz from marks group by mesh_id)",
-    "ms as (select m.mesh_id, sqrt(sum((x-cx)*(x-cx) + (y-cy)*(y-cy) + (z-cz)*(z-cz))) as size from marks m join mc on mc.mesh_id = m.mesh_id group by m.mesh_id)",
+    "mc as (select *, avg(x) over w as cx, avg(y) over w as cy, avg(z) over w as cz from marks window w as (partition by mesh_id))",
+    "ms as (select mesh_id, sqrt(sum((x-cx)*(x-cx) + (y-cy)*(y-cy) + (z-cz)*(z-cz))) as size from mc group by mesh_id)",
     body=f"select mesh_id, true as aligned, {r('ts.size / ms.size')} as scale from ms, ts")
 _A = "0.08726646259971647"
 SQL["rotate_about_centroid"] = query(
