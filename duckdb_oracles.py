@@ -851,3 +851,70 @@ SQL["self_intersection_count"] = query(
     body="""
 select x.mesh_id, cast(coalesce(n.n, 0) as bigint) as pair_count, cast(least(coalesce(n.n, 0), 40) as bigint) as reported,
   coalesce(n.n, 0) >= 40 as truncated from fx_n x left join n on n.mesh_id = x.mesh_id""")
+
+# --- identity, runs, text scans and files --------------------------------------
+
+# Little-endian: weigh the hex digits of byte b by 256^b.
+def _seed(stage: str) -> str:
+    digest = f"sha256(sha256(text) || ':{stage}:42')"
+    def digit(at: int) -> str:
+        return f"cast(strpos('0123456789abcdef', substr({digest}, {at}, 1)) - 1 as hugeint)"
+    total = " + ".join(
+        f"(({digit(2 * b + 1)} * 16 + {digit(2 * b + 2)}) * cast({256 ** b} as hugeint))" for b in range(8))
+    return f"cast({total} as varchar)"
+
+
+SQL["stage_seeds"] = f"select doc_id, {_seed('crop')} as seed_crop, {_seed('landmark')} as seed_landmark from documents"
+_STEM = "array_to_string(list_slice(string_split(url, '/'), 1, 4), '/')"
+SQL["output_keys"] = f"""
+with a as (select page_id, url, regexp_replace(regexp_replace(regexp_replace({_STEM},
+    '[<>:"/\\\\|?*\\x00-\\x1f]+', '_', 'g'), '_+', '_', 'g'), '^[ ._]+|[ ._]+$', '', 'g') as stem from pages),
+b as (select page_id, url, case when stem = '' then 'sample' else stem end as stem from a),
+c as (select *, count(*) over (partition by lower(stem)) as n,
+  sha1(unhex('5c32e6659f415f9f8424aa33ad97f171') || encode(url || '|' || sha256(url))) as h from b)
+select page_id, case when n = 1 then stem else stem || '__' || substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' ||
+  substr(h, 14, 3) || '-' || translate(substr(h, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab') || substr(h, 18, 3) || '-' ||
+  substr(h, 21, 12) end as output_key from c"""
+SQL["duplicate_geometry_groups"] = """
+select doc_id, cast(count(*) over (partition by text) as bigint) as group_size from documents"""
+SQL["resume_pending"] = """
+with rec as (
+  select cast(l_orderkey as varchar) as output_key, l_linestatus = 'O' as complete, l_returnflag = 'R' as failed,
+    l_quantity > 2.0 as same, row_number() over (partition by l_orderkey order by l_shipdate desc, l_suppkey desc) as rn
+  from lineitem where l_linenumber = 2)
+select case when r.output_key is null then 'pending' when not same then 'mismatch' when not complete then 'retry'
+    when failed then 'retry' else 'skip' end as action, cast(count(*) as bigint) as n
+from orders o left join rec r on r.output_key = cast(o.o_orderkey as varchar) and r.rn = 1 group by 1"""
+
+
+def privacy(table: str, key: str, text: str) -> str:
+    """First match per rule; look-around is spelled out for this engine."""
+    email = f"regexp_extract({text}, '(?i)\\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\\.[A-Z]{{2,}}\\b')"
+    cred = (f"regexp_extract({text}, '(?i)\\b(?:api[_-]?key|access[_-]?token|password|passwd|secret)"
+            "\\s*[:=]\\s*[\"'']?([^\\s\"'']+)')")
+    phone = f"regexp_extract({text}, '(^|[^0-9A-Fa-f])(1[3-9][0-9]{{9}})([^0-9A-Fa-f]|$)', 2)"
+    home = (f"list_filter(regexp_extract_all({text}, '/home/[^/\\s]+'), "
+            "lambda x: not regexp_matches(x, '^/home/(user|path)(\\b|$)'))[1]")
+    drive = (f"list_filter(regexp_extract_all({text}, '(?i)\\b[A-Z]:\\\\[^\\s`\"'']+'), "
+             "lambda x: not regexp_matches(x, '(?i)^[A-Z]:\\\\(path\\\\to|Program)(\\\\|\\b)'))[1]")
+    rules = {"email_address": email, "credential_value": cred, "phone_number": phone,
+             "unix_home_path": home, "windows_absolute_path": drive}
+    return " union all ".join(
+        f"select {key}, '{rule}' as rule, substr({expr}, 1, 160) as detail from {table} where coalesce({expr}, '') <> ''"
+        for rule, expr in rules.items())
+
+
+SQL["privacy_scan_documents"] = privacy("documents", "doc_id", "text")
+SQL["privacy_scan_pages"] = privacy("pages", "page_id", "html")
+SQL["path_scan_pages"] = """
+with p as (select lower(url) as u from pages),
+f as (
+  select 'prohibited_path' as rule, list_sort(list_intersect(string_split(u, '/'), ['a', 'p', 'docs', 'build', 'dist']))[1] as detail from p
+  union all
+  select 'prohibited_data_file', case when regexp_extract(u, '\\.[^./]+$') in ('.html', '.pdf') then regexp_extract(u, '\\.[^./]+$') end from p)
+select rule, detail, cast(count(*) as bigint) as n from f where detail is not null group by rule, detail"""
+SQL["obj_roundtrip"] = query(
+    MESHES, body=f"""
+select n.mesh_id, n.nv as vertices, cast(greatest(n.nv - 2, 0) as bigint) as faces,
+  {r('(select sum(v.vid * v.x) from fx_vertices v where v.mesh_id = n.mesh_id)', 4)} as checksum
+from fx_n n""")

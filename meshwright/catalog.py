@@ -659,3 +659,106 @@ def register_nonrigid(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = registration.register(start, meshes, options)
     return done.trajectory.select(
         "mesh_id", "phase", "iteration", clean(F.col("residual_mean"), 4).alias("residual_mean"))
+
+
+# --- identity, runs, text scans and files --------------------------------------
+
+from meshwright.functions import identity  # noqa: E402
+from meshwright.operators import audit, runs  # noqa: E402
+from meshwright.sources import obj  # noqa: E402
+
+
+@registered
+def stage_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four stage seeds for every document's text hash."""
+    documents = derive.read(spark, sf_dir, "documents")
+    digest = F.sha2("text", 256)
+    return documents.select(
+        "doc_id", *[identity.stage_seed(digest, s, 42).cast("string").alias(f"seed_{s}")
+                    for s in ("crop", "landmark")])
+
+
+@registered
+def output_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys from page addresses; the host part collides across pages."""
+    pages = derive.read(spark, sf_dir, "pages").select(
+        "page_id", "url", F.substring_index("url", "/", 4).alias("stem"),
+        F.col("url").alias("relative_path"), F.sha2("url", 256).alias("geometry_sha256"))
+    return identity.assign_output_keys(pages).select("page_id", "output_key")
+
+
+@registered
+def geometry_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    meshes = derive.strip(spark, sf_dir)
+    return identity.geometry_hashes(meshes.vertices, meshes.faces)
+
+
+@registered
+def duplicate_geometry_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many documents share each document's exact text."""
+    documents = derive.read(spark, sf_dir, "documents").select(
+        "doc_id", F.sha2("text", 256).alias("geometry_sha256"))
+    return runs.duplicate_sizes(documents, "geometry_sha256").select("doc_id", "group_size")
+
+
+@registered
+def resume_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders against recorded line items: what a resumed run would do."""
+    orders = derive.read(spark, sf_dir, "orders")
+    inputs = orders.select(F.col("o_orderkey").cast("string").alias("output_key"))
+    recorded = derive.read(spark, sf_dir, "lineitem").where(F.col("l_linenumber") == 2).select(
+        F.col("l_orderkey").cast("string").alias("output_key"),
+        F.when(F.col("l_linestatus") == "O", "complete").otherwise("staged").alias("commit_state"),
+        F.when(F.col("l_returnflag") == "R", "failed").otherwise("passed").alias("status"),
+        (F.col("l_quantity") > 2.0).alias("same_fingerprints"), "l_shipdate", "l_suppkey")
+    latest = runs.current_attempts(recorded.withColumnsRenamed(
+        {"l_shipdate": "committed_at", "l_suppkey": "attempt_id"}))
+    actions = runs.classify(inputs, latest, retry_failed=True)
+    return actions.groupBy("action").agg(F.count(F.lit(1)).alias("n"))
+
+
+@registered
+def privacy_scan_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.findings(derive.read(spark, sf_dir, "documents"), "doc_id")
+
+
+@registered
+def privacy_scan_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.findings(derive.read(spark, sf_dir, "pages"), "page_id", "html")
+
+
+@registered
+def path_scan_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = derive.read(spark, sf_dir, "pages").select(F.col("url"))
+    found = audit.path_findings(pages, "url", ["a", "p", "docs", "build", "dist"], [".html", ".pdf"])
+    return found.groupBy("rule", "detail").agg(F.count(F.lit(1)).alias("n"))
+
+
+@registered
+def obj_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every strip mesh as OBJ text, read the files back."""
+    from meshwright.session import scratch_root
+    import uuid
+
+    meshes = derive.strip(spark, sf_dir)
+    folder = f"{scratch_root(spark)}/meshwright/obj-{uuid.uuid4().hex}"
+    lines = obj.obj_lines(meshes).repartitionByRange("mesh_id", "section", "pos").sortWithinPartitions(
+        "mesh_id", "section", "pos")
+    lines.select("mesh_id", "text").write.partitionBy("mesh_id").text(folder)
+    text = spark.read.text(folder).select(
+        F.col("mesh_id").cast("bigint").alias("path"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("id"), "value")
+    # A mesh that spans part files continues in the next file name.
+    order = text.select("path", "file", "start").distinct()
+    from pyspark.sql import Window
+
+    numbered = order.withColumn("block", F.row_number().over(
+        Window.partitionBy("path").orderBy("file", "start")).cast("bigint"))
+    parsed = obj.parse_lines(text.join(numbered, ["path", "file", "start"]).select(
+        "path", "block", "id", "value"))
+    found = parsed.groupBy(F.col("path").alias("mesh_id")).agg(
+        F.count_if(F.col("directive") == "v").alias("vertices"),
+        F.count_if(F.col("directive") == "f").alias("faces"),
+        F.sum(F.when(F.col("directive") == "v", F.col("seen") * F.col("parts")[1].try_cast("double"))).alias("checksum"))
+    return found.select("mesh_id", "vertices", "faces", clean(F.col("checksum"), 4).alias("checksum"))
