@@ -98,7 +98,7 @@ def mesh_extent_density(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mesh_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     meshes = derive.scrambled(spark, sf_dir)
     labels = topology.components(
-        meshes.vertices, topology.edge_list(meshes.faces), meshes.largest
+        meshes.vertices, topology.edge_list(meshes.faces), meshes.largest, 3 * meshes.face_total
     )
     return topology.component_sizes(labels).select("mesh_id", "label", "size")
 
@@ -107,7 +107,7 @@ def mesh_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mesh_largest_component(spark: SparkSession, sf_dir: str) -> DataFrame:
     meshes = derive.scrambled(spark, sf_dir)
     labels = topology.components(
-        meshes.vertices, topology.edge_list(meshes.faces), meshes.largest
+        meshes.vertices, topology.edge_list(meshes.faces), meshes.largest, 3 * meshes.face_total
     )
     return topology.largest_component(labels).select("mesh_id", "label", "size")
 

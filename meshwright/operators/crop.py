@@ -86,7 +86,8 @@ def masks(
     edges = edge_list(meshes.faces)
     for end in ("lo", "hi"):
         edges = edges.join(inside.withColumnRenamed("vid", end), ["mesh_id", end], "left_semi")
-    labels = components(marked.where("initial").select(*KEY, "vid"), edges, meshes.largest)
+    labels = components(
+        marked.where("initial").select(*KEY, "vid"), edges, meshes.largest, 3 * meshes.face_total)
     labels = cut(labels, "mask-labels")
     least = max(1, int(min_component))
     if keep_largest:

@@ -122,7 +122,7 @@ def component_vertex_counts(meshes: MeshSet) -> DataFrame:
     bound limits. Its run-length form holds the same list and folds map-side.
     """
     labels = topology.components(
-        meshes.vertices, topology.edge_list(meshes.faces), meshes.largest
+        meshes.vertices, topology.edge_list(meshes.faces), meshes.largest, 3 * meshes.face_total
     )
     sizes = topology.component_sizes(labels)
     return sizes.groupBy("mesh_id", "size").agg(F.count(F.lit(1)).alias("components"))

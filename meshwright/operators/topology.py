@@ -200,34 +200,50 @@ def extents(meshes: MeshSet) -> DataFrame:
     )
 
 
-def _label_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Smallest vertex id reachable from each vertex through a bounded edge chunk."""
-    nodes, ends = np.unique(pdf[["lo", "hi"]].to_numpy(), return_inverse=True)
-    ends = ends.reshape(-1, 2)
-    label = np.arange(len(nodes))
+def _label_pieces(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Smallest vertex id each vertex reaches inside its piece of edges.
+
+    One call holds many small pieces: nodes are numbered by (piece, vertex), and
+    labels shrink by neighbour minimum and pointer jumping until stable.
+    """
+    piece = pdf.groupby(["mesh_id", "_chunk", "_part"], sort=False).ngroup().to_numpy()
+    ends = pdf[["lo", "hi"]].to_numpy()
+    keys = np.stack([np.repeat(piece, 2), ends.reshape(-1)])
+    order = np.lexsort((keys[1], keys[0]))
+    keys = keys[:, order]
+    fresh = np.append(True, np.any(keys[:, 1:] != keys[:, :-1], axis=0))
+    number = np.empty(len(order), dtype=np.int64)
+    number[order] = np.cumsum(fresh) - 1
+    pair = number.reshape(-1, 2)
+    label = np.arange(int(fresh.sum()))
     while True:
-        low = np.minimum(label[ends[:, 0]], label[ends[:, 1]])
+        low = np.minimum(label[pair[:, 0]], label[pair[:, 1]])
         step = label.copy()
-        np.minimum.at(step, ends[:, 0], low)
-        np.minimum.at(step, ends[:, 1], low)
+        np.minimum.at(step, pair[:, 0], low)
+        np.minimum.at(step, pair[:, 1], low)
         step = step[step]
         if np.array_equal(step, label):
             break
         label = step
-    return pd.DataFrame(
-        {"mesh_id": pdf["mesh_id"].iloc[0], "vid": nodes, "label": nodes[label]}
-    )
+    vertex = keys[1][fresh]
+    mesh = np.repeat(pdf["mesh_id"].to_numpy(), 2)[order][fresh]
+    return pd.DataFrame({"mesh_id": mesh, "vid": vertex, "label": vertex[label]})
 
 
 def components(
-    vertices: DataFrame, edges: DataFrame, largest: int, chunk: int = COMPONENT_CHUNK
+    vertices: DataFrame,
+    edges: DataFrame,
+    largest: int,
+    edge_bound: int,
+    chunk: int = COMPONENT_CHUNK,
 ) -> DataFrame:
     """Label every vertex with the smallest vertex id of its component.
 
-    Edges are contracted in bounded chunks first. If every mesh fits one chunk
-    the labels are final. Otherwise the contracted edges, far fewer than the
-    originals, go through alternating min-neighbour rounds until nothing
-    changes; no step gathers a vertex's neighbours in one place.
+    Edges are contracted in bounded pieces first, many small meshes to a task:
+    ``edge_bound``, at least the number of edges, sets how many tasks. If every
+    mesh is one piece the labels are final. Otherwise the contracted edges, far
+    fewer than the originals, go through alternating min-neighbour rounds until
+    nothing changes; no step gathers a vertex's neighbours in one place.
     """
     side = max(1, chunk // 4)
     pieces = edges.where(F.col("lo") != F.col("hi")).select(
@@ -242,8 +258,11 @@ def components(
         pieces = pieces.join(counts, ["mesh_id", "_chunk"]).withColumn(
             "_part", F.pmod(F.xxhash64("hi"), parts).cast("int")
         )
+    cores = vertices.sparkSession.sparkContext.defaultParallelism
+    bins = max(cores, edge_bound // chunk + 1)
+    binned = pieces.withColumn("_bin", F.pmod(F.xxhash64("mesh_id", "_chunk", "_part"), F.lit(bins)))
     schema = vertices.select("mesh_id", "vid", F.col("vid").alias("label")).schema
-    stars = pieces.groupBy("mesh_id", "_chunk", "_part").applyInPandas(_label_chunk, schema)
+    stars = binned.groupBy("_bin").applyInPandas(_label_pieces, schema)
     if largest > side:
         stars = _merge_stars(stars)
     return vertices.select(*KEY, "vid").join(stars, ["mesh_id", "vid"], "left").select(
@@ -285,7 +304,7 @@ def component_sizes(labels: DataFrame) -> DataFrame:
 
 
 def component_summary(meshes: MeshSet) -> DataFrame:
-    labels = components(meshes.vertices, edge_list(meshes.faces), meshes.largest)
+    labels = components(meshes.vertices, edge_list(meshes.faces), meshes.largest, 3 * meshes.face_total)
     return component_sizes(labels).groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("component_count"), F.max("size").alias("largest_size")
     )

@@ -23,11 +23,21 @@ class MeshSet:
     @property
     def largest(self) -> int:
         """Most vertices or faces any one mesh has; counted once."""
+        self._measure()
+        return self._bound["rows"]
+
+    @property
+    def face_total(self) -> int:
+        """Faces of all meshes together; counted once."""
+        self._measure()
+        return self._bound["faces"]
+
+    def _measure(self) -> None:
         if "rows" not in self._bound:
             vertices = self.vertices.agg(F.max("nv")).first()[0] or 0
-            faces = self.faces.groupBy("mesh_id").count().agg(F.max("count")).first()[0] or 0
-            self._bound["rows"] = int(max(vertices, faces))
-        return self._bound["rows"]
+            faces = self.faces.groupBy("mesh_id").count().agg(F.max("count"), F.sum("count")).first()
+            self._bound["rows"] = int(max(vertices, faces[0] or 0))
+            self._bound["faces"] = int(faces[1] or 0)
 
     @classmethod
     def of(cls, vertices: DataFrame, faces: DataFrame) -> "MeshSet":
