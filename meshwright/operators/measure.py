@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from meshwright.operators import topology
 from meshwright.plans.meshset import KEY, MeshSet
+from meshwright.session import cut
 
 COMPUTED = "computed"
 NOT_APPLICABLE = "not_applicable"
@@ -49,26 +50,29 @@ def long_form(per_sample: DataFrame, key: str, structs: list[Column]) -> DataFra
 def per_mesh_statistics(meshes: MeshSet) -> DataFrame:
     """Everything the input measurements need, one row per mesh.
 
-    Each part is an aggregate of the same two tables; the parts meet on the
-    mesh key, which is the partitioning every one of them already ends in.
+    Edge lengths and face normals cost the joins, and several measurements read
+    them, so both are written once. The parts meet on the mesh key, which is the
+    partitioning every one of them already ends in.
     """
-    normals = topology.vertex_normals(meshes)
+    lengths = cut(topology.edge_lengths(meshes), "edge-lengths")
+    faces = cut(topology.face_normals(meshes), "face-normals")
+    normals = topology.vertex_normals(meshes, face_level=faces)
     length = F.sqrt(F.col("nx") ** 2 + F.col("ny") ** 2 + F.col("nz") ** 2)
     zero_normals = normals.groupBy(*KEY).agg(
         F.avg((length == 0.0).cast("double")).alias("zero_normal_fraction")
     )
-    mad = topology.edge_mad(meshes).select(*KEY, "mad")
+    edges = cut(topology.edge_statistics(meshes, lengths), "edge-statistics")
+    mad = topology.edge_mad(meshes, lengths, edges.select(*KEY, "median")).select(*KEY, "mad")
     parts = [
-        topology.edge_statistics(meshes),
         mad,
-        topology.face_statistics(meshes),
+        topology.face_statistics(meshes, faces),
         topology.duplicate_counts(meshes),
-        topology.component_summary(meshes),
+        topology.component_summary(meshes, lengths),
         topology.extents(meshes),
         zero_normals,
     ]
-    joined = parts[0]
-    for part in parts[1:]:
+    joined = edges
+    for part in parts:
         joined = joined.join(part, KEY)
     return joined
 

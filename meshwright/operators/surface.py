@@ -11,8 +11,8 @@ from meshwright.plans import grid
 from meshwright.plans.grid import AXES
 from meshwright.plans.meshset import KEY, MeshSet
 from meshwright.plans.ranking import exact_quantiles
-from meshwright.plans.skew import attach
-from meshwright.session import cut
+from meshwright.plans.skew import attach, probe_join
+from meshwright.session import cut, spread
 
 EPSILON = 1.0e-10
 PAIR_CAP = 1000
@@ -72,6 +72,8 @@ def surface_distances(points: DataFrame, surface: MeshSet, label: str = "surface
     until its best distance lies inside it. Only the running minimum is kept.
     """
     boxes = cut(triangle_boxes(surface), f"{label}-boxes")
+    # A face is stored in up to eight cells.
+    stored_rows = 8 * boxes.count()
     sized = size_levels(boxes)
     # A mesh uses a few dozen levels at most: one per doubling of face size.
     tops = sized.groupBy("mesh_id").agg(
@@ -96,7 +98,7 @@ def surface_distances(points: DataFrame, surface: MeshSet, label: str = "surface
         ).select("mesh_id", "_at", "_cell", "pa", "pb", "pc",
                  *[f"{end}_{a}" for end in ("lo", "hi") for a in AXES])
         levels = F.array_distinct(F.transform("_levels", lambda n: F.greatest(n, floor_level)))
-        probes = pending.withColumn("_at", F.explode(levels)).withColumn(
+        probes = spread(pending).withColumn("_at", F.explode(levels)).withColumn(
             "_size", grid.level_size(F.col("_unit"), F.col("_at").cast("double"))
         )
         probes = probes.withColumn(
@@ -109,7 +111,7 @@ def surface_distances(points: DataFrame, surface: MeshSet, label: str = "surface
             F.pow(F.greatest(F.col(f"lo_{a}") - F.col(a), F.col(a) - F.col(f"hi_{a}"), F.lit(0.0)), F.lit(2.0))
             for a in AXES
         )
-        met = probes.join(stored, ["mesh_id", "_at", "_cell"]).where(
+        met = probe_join(probes, stored, ["mesh_id", "_at", "_cell"], stored_rows).where(
             gap2 <= F.col("_radius") * F.col("_radius")
         )
         distance = point_triangle_distance(
@@ -177,7 +179,7 @@ def overlapping_faces(meshes: MeshSet) -> DataFrame:
         *KEY, "_unit", F.col("_level").alias("_at"), "_cell",
         *[F.col(c).alias(f"s_{c}") for c in columns],
     )
-    probes = attach(sized, tops, KEY, spread="fid").withColumn(
+    probes = attach(size_levels(spread(boxes)), tops, KEY, spread="fid").withColumn(
         "_at", F.explode(F.filter("_levels", lambda n: n >= F.col("_level")))
     ).withColumn("_cell", placed("_at")).select(
         "mesh_id", "_at", "_cell", F.col("_level").alias("_own"),
@@ -195,7 +197,7 @@ def overlapping_faces(meshes: MeshSet) -> DataFrame:
             apart = apart & (F.col(f"s_{left}") != F.col(f"q_{right}"))
     here = F.col("_cell") == grid.cell_of(start, size)
     return (
-        probes.join(stored, ["mesh_id", "_at", "_cell"])
+        probe_join(probes, stored, ["mesh_id", "_at", "_cell"], 8 * boxes.count())
         .where(one_order & apart & overlap & here)
         .select(
             *KEY,

@@ -48,9 +48,12 @@ def edge_lengths(meshes: MeshSet) -> DataFrame:
     return joined.select(*KEY, "lo", "hi", "k", length.alias("length"))
 
 
-def edge_statistics(meshes: MeshSet) -> DataFrame:
-    """Edge counts and the exact length distribution of each mesh."""
-    lengths = edge_lengths(meshes)
+def edge_statistics(meshes: MeshSet, lengths: DataFrame | None = None) -> DataFrame:
+    """Edge counts and the exact length distribution of each mesh.
+
+    ``lengths`` reuses edge lengths that are already written out.
+    """
+    lengths = edge_lengths(meshes) if lengths is None else lengths
     bound = 3 * meshes.largest
     counted = lengths.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("edge_count"),
@@ -64,11 +67,14 @@ def edge_statistics(meshes: MeshSet) -> DataFrame:
     return counted.join(spread, KEY)
 
 
-def edge_mad(meshes: MeshSet) -> DataFrame:
+def edge_mad(
+    meshes: MeshSet, lengths: DataFrame | None = None, median: DataFrame | None = None
+) -> DataFrame:
     """Median absolute deviation of edge length: a second pass around the median."""
-    lengths = edge_lengths(meshes)
+    lengths = edge_lengths(meshes) if lengths is None else lengths
     bound = 3 * meshes.largest
-    median = exact_quantiles(lengths, KEY, "length", {"median": 0.5}, largest=bound)
+    if median is None:
+        median = exact_quantiles(lengths, KEY, "length", {"median": 0.5}, largest=bound)
     deviation = attach(lengths, median, KEY, spread="lo").select(
         *KEY, F.abs(F.col("length") - F.col("median")).alias("deviation")
     )
@@ -103,16 +109,23 @@ def face_cross() -> Vec:
     return Vec.of("pb").minus(origin).cross(Vec.of("pc").minus(origin))
 
 
+def face_normals(meshes: MeshSet) -> DataFrame:
+    """Corners, unnormalized normal n and doubled area of every face."""
+    crossed = with_corners(meshes).select(
+        *KEY, "fid", "a", "b", "c", face_cross().struct().alias("n"))
+    return crossed.withColumn("double_area", Vec.of("n").norm())
+
+
 def face_areas(meshes: MeshSet) -> DataFrame:
     """Doubled area of every face."""
-    return with_corners(meshes).select(
-        *KEY, "fid", "a", "b", "c", face_cross().norm().alias("double_area")
-    )
+    return face_normals(meshes).drop("n")
 
 
-def face_statistics(meshes: MeshSet) -> DataFrame:
+def face_statistics(meshes: MeshSet, normals: DataFrame | None = None) -> DataFrame:
+    """Face count, degenerate faces and surface area of each mesh."""
     flat = F.col("double_area") <= DEGENERATE_DOUBLE_AREA
-    return face_areas(meshes).groupBy(*KEY).agg(
+    areas = face_normals(meshes) if normals is None else normals
+    return areas.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("face_count"),
         F.count_if(flat).alias("degenerate_face_count"),
         F.avg(flat.cast("double")).alias("zero_face_normal_fraction"),
@@ -135,19 +148,21 @@ def badly_sized_vertices(meshes: MeshSet, zscore: float) -> DataFrame:
     )
 
 
-def vertex_normals(meshes: MeshSet, reference: DataFrame | None = None) -> DataFrame:
+def vertex_normals(
+    meshes: MeshSet, reference: DataFrame | None = None, face_level: DataFrame | None = None
+) -> DataFrame:
     """Unit mean of the unit normals of the faces around each vertex.
 
     Faces weigh the same whatever their area. Vertices without faces get zero.
     With ``reference`` normals a mesh whose normals oppose them is flipped.
     """
-    crossed = with_corners(meshes).select(*KEY, "a", "b", "c", face_cross().struct().alias("n"))
+    crossed = face_normals(meshes) if face_level is None else face_level
     normal = Vec.of("n")
     summed = (
         crossed.select(
             "mesh_id",
             F.explode(F.array("a", "b", "c")).alias("vid"),
-            unit(normal, normal.norm()).struct().alias("u"),
+            unit(normal, F.col("double_area")).struct().alias("u"),
         )
         .groupBy("mesh_id", "vid")
         .agg(*[F.sum(f"u.{axis}").alias(f"s{axis}") for axis in "xyz"])
@@ -303,8 +318,10 @@ def component_sizes(labels: DataFrame) -> DataFrame:
     return labels.groupBy(*KEY, "label").agg(F.count(F.lit(1)).alias("size"))
 
 
-def component_summary(meshes: MeshSet) -> DataFrame:
-    labels = components(meshes.vertices, edge_list(meshes.faces), meshes.largest, 3 * meshes.face_total)
+def component_summary(meshes: MeshSet, edges: DataFrame | None = None) -> DataFrame:
+    """Number of components and the size of the largest."""
+    edges = edge_list(meshes.faces) if edges is None else edges
+    labels = components(meshes.vertices, edges, meshes.largest, 3 * meshes.face_total)
     return component_sizes(labels).groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("component_count"), F.max("size").alias("largest_size")
     )

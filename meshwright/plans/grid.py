@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meshwright.plans.skew import attach
-from meshwright.session import cut
+from meshwright.plans.skew import attach, probe_join
+from meshwright.session import cut, spread
 
 AXES = ("x", "y", "z")
 
@@ -79,6 +79,7 @@ def nearest(
         attach(held.select(*wanted), stats.select("mesh_id", "nv", "_r0"), ["mesh_id", "nv"]),
         f"{label}-targets",
     )
+    held_rows = held.count()
     pending = attach(queries.select(*wanted), asked, ["mesh_id", "nv"]).withColumn(
         "_found", F.lit(None).cast("array<struct<d2:double,neighbour:bigint>>")
     )
@@ -90,7 +91,7 @@ def nearest(
         q = {a: F.col(a) for a in AXES}
         low = {a: q[a] - radius for a in AXES}
         high = {a: q[a] + radius for a in AXES}
-        probes = pending.drop("_found").withColumn(
+        probes = spread(pending.drop("_found")).withColumn(
             "_cell", F.explode(cells_touched(low, high, radius * 2.0))
         )
         stored = held.select(
@@ -100,7 +101,7 @@ def nearest(
         )
         d2 = sum((F.col(f) - F.col(f"t_{f}")) * (F.col(f) - F.col(f"t_{f}")) for f in features)
         reach = d2 <= radius * radius
-        pairs = probes.join(stored, ["mesh_id", "_cell"]).where(reach).select(
+        pairs = probe_join(probes, stored, ["mesh_id", "_cell"], held_rows).where(reach).select(
             "mesh_id", "vid", "neighbour", d2.alias("d2")
         )
         best = Window.partitionBy("mesh_id", "vid").orderBy("d2", "neighbour")

@@ -46,3 +46,18 @@ def attach_small(
     counted = small.limit(row_limit + 1).count()
     side = F.broadcast(small) if counted <= row_limit else small
     return rows.join(side, keys, how)
+
+
+def probe_join(
+    probes: DataFrame, stored: DataFrame, keys: list[str], stored_rows: int,
+    row_limit: int = 500_000,
+) -> DataFrame:
+    """Join multiplied probes to a stored side whose row count is known.
+
+    The planner cannot see how far an explode multiplies rows and would rather
+    broadcast the probes. A small stored side is broadcast instead; a large one
+    is sort-merged, where AQE splits hot cells.
+    """
+    if stored_rows <= row_limit:
+        return probes.join(F.broadcast(stored), keys)
+    return probes.hint("merge").join(stored, keys)
