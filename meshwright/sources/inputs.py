@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +25,16 @@ def _blank_to_null(column: Column) -> Column:
     return F.nullif(F.trim(column), F.lit(""))
 
 
+def empty_files(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """Zero-byte OBJ files, which Spark's file sources leave out of a listing."""
+    found = []
+    for folder in folders:
+        entries = os.scandir(folder) if os.path.isdir(folder) else []
+        found += [(e.path,) for e in entries
+                  if e.name.lower().endswith(".obj") and e.is_file() and e.stat().st_size == 0]
+    return spark.createDataFrame(found, "path string")
+
+
 def listed_path(spark: SparkSession, path: str) -> DataFrame:
     """path, relative_path and empty metadata of the files under a folder."""
     source = Path(path).resolve()
@@ -33,7 +45,8 @@ def listed_path(spark: SparkSession, path: str) -> DataFrame:
     # Only the listing is used: content is not read for a select of path.
     files = spark.read.format("binaryFile").option("pathGlobFilter", GLOB).load(str(source))
     name = F.element_at(F.split("path", "/"), -1)
-    return files.select(local_path(F.col("path")).alias("path")).select(
+    every = files.select(local_path(F.col("path")).alias("path"))
+    return every.union(empty_files(spark, [str(source)])).select(
         "path", name.alias("relative_path"),
         *[F.lit(None).cast("string").alias(c) for c in MANIFEST_COLUMNS[1:]],
         F.expr("cast(map() as map<string,string>)").alias("user_metadata"))
@@ -105,7 +118,10 @@ def discover(
     wanted = listed.select("path")
     content = spark.read.format("binaryFile").option("pathGlobFilter", GLOB).load(sources).select(
         local_path(F.col("path")).alias("path"), F.sha2("content", 256).alias("source_file_sha256"),
-        F.col("length").alias("source_bytes")).join(wanted, "path", "left_semi")
+        F.col("length").alias("source_bytes"))
+    nothing = hashlib.sha256(b"").hexdigest()
+    content = content.union(empty_files(spark, sources).select(
+        "path", F.lit(nothing), F.lit(0).cast("bigint"))).join(wanted, "path", "left_semi")
     parsed = read_obj(spark, sources)
     keep = wanted.withColumnRenamed("path", "mesh_id")
     parsed = ObjFiles(
