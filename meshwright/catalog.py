@@ -737,11 +737,10 @@ def path_scan_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def obj_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every strip mesh as OBJ text, read the files back."""
-    from meshwright.session import scratch_root
-    import uuid
+    from meshwright.session import scratch_path
 
     meshes = derive.strip(spark, sf_dir)
-    folder = f"{scratch_root(spark)}/meshwright/obj-{uuid.uuid4().hex}"
+    folder = scratch_path(spark, "obj")
     lines = obj.obj_lines(meshes).repartitionByRange("mesh_id", "section", "pos").sortWithinPartitions(
         "mesh_id", "section", "pos")
     lines.select("mesh_id", "text").write.partitionBy("mesh_id").text(folder)

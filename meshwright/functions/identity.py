@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meshwright.plans.skew import attach_count
+
 # The namespace of collision keys, the hash's domain tag and the
 # characters that may not appear in a key.
 KEY_NAMESPACE = "5c32e6659f415f9f8424aa33ad97f171"
@@ -64,17 +66,16 @@ def uuid5(namespace_hex: str, name: Column) -> Column:
 def assign_output_keys(records: DataFrame) -> DataFrame:
     """Add ``output_key`` from stem, relative_path and geometry_sha256.
 
-    Stems that collide without regard to case get a suffix. The collision test
-    is a count per folded stem, folded map-side, so a name that a third of all
-    files share does not gather them.
+    Stems that collide without regard to case get a suffix. A name that a third
+    of all files share is counted without gathering its files.
     """
     named = records.withColumn("_stem", sanitize_stem(F.col("stem"))).withColumn(
         "_fold", casefold(F.col("_stem")))
-    shared = named.groupBy("_fold").agg(F.count(F.lit(1)).alias("_same")).where("_same > 1")
+    counted = attach_count(named, "_fold", "_same")
     identity = F.concat(nfc(F.col("relative_path")), F.lit("|"), F.col("geometry_sha256"))
     suffixed = F.concat(F.col("_stem"), F.lit("__"), uuid5(KEY_NAMESPACE, identity))
-    return named.join(shared, "_fold", "left").withColumn(
-        "output_key", F.when(F.col("_same").isNull(), F.col("_stem")).otherwise(suffixed)
+    return counted.withColumn(
+        "output_key", F.when(F.col("_same") == 1, F.col("_stem")).otherwise(suffixed)
     ).drop("_stem", "_fold", "_same")
 
 

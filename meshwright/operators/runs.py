@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meshwright.plans.skew import attach_count
+
 FINGERPRINTS = ("input_set", "scientific", "execution")
 
 
@@ -59,7 +61,5 @@ def summary_rows(records: DataFrame) -> DataFrame:
 
 
 def duplicate_sizes(records: DataFrame, column: str) -> DataFrame:
-    """Rows of each value's group, folded before the join."""
-    sizes = records.groupBy(column).agg(F.count(F.lit(1)).alias("group_size"))
-    return records.join(sizes, column)
-
+    """Rows of each value's group; one value may own a third of all rows."""
+    return attach_count(records, column, "group_size")

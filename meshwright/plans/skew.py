@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meshwright.session import cut
+
 ROWS_PER_SALT = 1 << 20
 
 
@@ -35,6 +37,26 @@ def attach(
                      [*keys, "_salt"], how).drop("_salt")
 
 
+def attach_count(rows: DataFrame, key: str, name: str, hot_rows: int = ROWS_PER_SALT) -> DataFrame:
+    """Add to every row how many rows share its key.
+
+    Counting folds map-side. Keys above ``hot_rows`` are few, at most the row
+    count divided by it, so they are broadcast; their rows then carry a spread
+    key through the join that serves all other keys.
+    """
+    sizes = cut(rows.groupBy(key).agg(F.count(F.lit(1)).alias(name)), "key-sizes")
+    total = sizes.agg(F.sum(name)).first()[0] or 0
+    limit = max(hot_rows, total // 100_000)
+    hot = F.broadcast(sizes.where(F.col(name) > limit).withColumnRenamed(name, "_hot"))
+    cold = sizes.where(F.col(name) <= limit).withColumnRenamed(key, "_key")
+    marked = rows.join(hot, key, "left").withColumn(
+        "_key",
+        F.when(F.col("_hot").isNull(), F.col(key)).otherwise(
+            F.concat(F.lit("\u0000"), F.monotonically_increasing_id().cast("string"))))
+    return marked.join(cold, "_key", "left").withColumn(
+        name, F.coalesce("_hot", name)).drop("_hot", "_key")
+
+
 def attach_small(
     rows: DataFrame,
     small: DataFrame,

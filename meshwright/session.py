@@ -65,6 +65,20 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in this application's part of the shared folder."""
+    application = spark.sparkContext.applicationId
+    return f"{scratch_root(spark)}/meshwright/{application}/{label}-{uuid.uuid4().hex}"
+
+
+def discard_scratch(spark: SparkSession) -> None:
+    """Delete the tables this application cut, once its results are written."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(
+        f"{scratch_root(spark)}/meshwright/{context.applicationId}")
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` to the shared folder and continue from the written table.
 
@@ -72,7 +86,7 @@ def cut(df: DataFrame, label: str = "step") -> DataFrame:
     recomputation, and later steps read only the columns they need.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/meshwright/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from meshwright.functions.identity import assign_output_keys, casefold, geometry_hashes, nfc
 from meshwright.sources.obj import GLOB, ObjFiles, local_path, read_obj
+from meshwright.plans.skew import attach_count
 from meshwright.session import cut
 
 MANIFEST_COLUMNS = ("input_obj", "sample_id", "subject_group", "batch_id")
@@ -152,8 +153,6 @@ def discover(
         .withColumn("sample_id", F.coalesce(_blank_to_null(F.col("sample_id")), F.col("stem")))
         .withColumn("relative_path", nfc(F.col("relative_path"))))
     samples = cut(samples, "samples")
-    copies = samples.groupBy("geometry_sha256").agg(
-        F.count(F.lit(1)).alias("duplicate_geometry_group_size"))
-    # A third of all files may share one geometry: AQE splits that join key.
-    keyed = assign_output_keys(samples.join(copies, "geometry_sha256"))
+    counted = attach_count(samples, "geometry_sha256", "duplicate_geometry_group_size")
+    keyed = assign_output_keys(counted)
     return cut(keyed.drop("error", "stem"), "records"), parsed
