@@ -918,3 +918,36 @@ SQL["obj_roundtrip"] = query(
 select n.mesh_id, n.nv as vertices, cast(greatest(n.nv - 2, 0) as bigint) as faces,
   {r('(select sum(v.vid * v.x) from fx_vertices v where v.mesh_id = n.mesh_id)', 4)} as checksum
 from fx_n n""")
+
+# --- model batches and ordering ------------------------------------------------
+
+
+def seeded(label: str, name: str) -> str:
+    digest = f"sha256(mesh_id || ':{label}:' || vid)"
+    return f"cast(row_number() over (partition by mesh_id order by {digest}, vid) - 1 as bigint) as {name}"
+
+
+SQL["vote_batches"] = query(
+    MESHES,
+    "pts as (select v.mesh_id, v.vid, n.nv from fx_vertices v join fx_n n on n.mesh_id = v.mesh_id)",
+    f"ranked as (select *, {seeded('cover', 'cover')}, {seeded('pad', 'fill')}, {seeded('pass0', 'p0')}, {seeded('pass1', 'p1')} from pts)",
+    """places as (
+      select mesh_id, cover as place, vid from ranked
+      union all
+      select mesh_id, nv + fill as place, vid from ranked where fill < (20 - nv % 20) % 20)""",
+    body="""
+select mesh_id, place // 20 as batch, place % 20 as slot, vid from places
+union all select mesh_id, cast(-1 as bigint), p0, vid from ranked where p0 < 20
+union all select mesh_id, cast(-2 as bigint), p1, vid from ranked where p1 < 20""")
+SQL["crop_model_votes"] = query(
+    MESHES,
+    "c as (select mesh_id, avg(x) as cx, avg(y) as cy, avg(z) as cz from fx_vertices group by mesh_id)",
+    "m as (select v.mesh_id, vid, x - cx as x, y - cy as y, z - cz as z from fx_vertices v join c on c.mesh_id = v.mesh_id)",
+    "s as (select mesh_id, max(sqrt(x*x + y*y + z*z)) as scale from m group by mesh_id)",
+    body=f"""
+select m.mesh_id, vid, {r('cast(cast(0.5 as float) + cast(0.5 as float) * cast(z / scale as float) as double)', 4)} as probability from m join s on s.mesh_id = m.mesh_id""")
+SQL["landmark_reorder"] = query(
+    MESHES, LANDMARKS, body=f"select mesh_id, cast(8 - idx as integer) as idx, {r('x')} as x from marks")
+SQL["input_order"] = """
+with k as (select page_id, string_split(url, '/')[-1] as name, sha256(html) as h from pages)
+select page_id, cast(row_number() over (order by lower(name), name, h, page_id) - 1 as bigint) as position from k"""

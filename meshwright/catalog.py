@@ -761,3 +761,50 @@ def obj_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(F.col("directive") == "f").alias("faces"),
         F.sum(F.when(F.col("directive") == "v", F.col("seen") * F.col("parts")[1].try_cast("double"))).alias("checksum"))
     return found.select("mesh_id", "vertices", "faces", clean(F.col("checksum"), 4).alias("checksum"))
+
+
+# --- model batches and ordering ------------------------------------------------
+
+from meshwright.operators import models  # noqa: E402
+from meshwright.plans.ranking import global_position  # noqa: E402
+from meshwright.sources import inputs  # noqa: E402
+
+
+@registered
+def vote_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of 20 vertices that cover each mesh, and two extra votes."""
+    points = derive.event_vertices(spark, sf_dir).select(*KEY, F.col("mesh_id").alias("seed"), "vid")
+    return models.vote_batches(points, 20, 2)
+
+
+@registered
+def crop_model_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean vote of a stand-in point model, a plain function of height."""
+    meshes = derive.strip(spark, sf_dir)
+    seeds = meshes.meshes().select("mesh_id", F.col("mesh_id").alias("seed"))
+    found = models.crop_scores(meshes, seeds, lambda points: 0.5 + 0.5 * points[:, 2], 32, 1)
+    return found.select("mesh_id", "vid", clean(F.col("probability"), 4).alias("probability"))
+
+
+@registered
+def landmark_reorder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landmarks of a model that lists them backwards."""
+    marks = derive.landmarks(spark, sf_dir)
+    found = models.canonical_order(marks, tuple(reversed(landmarks.NAMES)))
+    return found.select("mesh_id", "idx", clean(F.col("x")).alias("x"))
+
+
+@registered
+def input_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages in input order: folded name, name, content."""
+    pages = derive.read(spark, sf_dir, "pages").select(
+        "page_id", F.col("url").alias("path"), F.sha2("html", 256).alias("geometry_sha256"))
+    keyed = pages.select("page_id", *[c.alias(f"k{n}") for n, c in enumerate(inputs.sort_key())])
+    return global_position(keyed, ["k0", "k1", "k2", "page_id"], "position").select("page_id", "position")
+
+
+@registered
+def calibration_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A seeded sample of 300 documents."""
+    documents = derive.read(spark, sf_dir, "documents").select("doc_id")
+    return qc_tools.seeded_sample(documents, ["doc_id"], 300, 20260730)

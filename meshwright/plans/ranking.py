@@ -6,7 +6,7 @@ rank inside bounded pieces of a group and add each piece's offset.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meshwright.session import cut
@@ -23,14 +23,19 @@ def dense_index(
     index: str,
     size: str | None = None,
     block_rows: int = BLOCK_ROWS,
+    block: Column | None = None,
 ) -> DataFrame:
-    """Zero-based position of each row in its group by a unique integer order.
+    """Zero-based position of each row in its group by a unique order.
 
     The order values are cut into blocks of at most ``block_rows`` rows. Only
     the block counts pass through a per-group window; rows are numbered inside
     their block. ``size`` optionally names a column for the group's row count.
+    ``block`` replaces the integer blocks for other orders; it must not decrease
+    along the order.
     """
-    blocked = rows.withColumn("_block", F.expr(f"{order} div {int(block_rows)}"))
+    if block is None:
+        block = F.expr(f"{order} div {int(block_rows)}")
+    blocked = rows.withColumn("_block", block)
     counts = blocked.groupBy(*group, "_block").agg(F.count(F.lit(1)).alias("_rows"))
     in_group = Window.partitionBy(*group)
     before = in_group.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)

@@ -312,3 +312,39 @@ def test_template_copies_are_size_checked(spark, pair):
     assert copies.vertices.groupBy("mesh_id").count().count() == 2 and copies.vertices.count() == 50
     with pytest.raises(ValueError, match="too large"):
         register.expand_template(start, goal, row_limit=10)
+
+
+def test_batches_cover_small_and_large_meshes(spark):
+    from meshwright.operators import models
+
+    rows = [(m, n, 7, v) for m, n in ((1, 3), (2, 8), (3, 19)) for v in range(n)]
+    points = spark.createDataFrame(rows, "mesh_id bigint, nv bigint, seed bigint, vid bigint")
+    plan = [tuple(r) for r in models.vote_batches(points, 8, 1).select("mesh_id", "batch", "slot", "vid").collect()]
+    for mesh, size, batches in ((1, 3, 1), (2, 8, 1), (3, 19, 3)):
+        mine = [r for r in plan if r[0] == mesh]
+        slots = {(b, s) for _, b, s, _ in mine}
+        assert len(mine) == len(slots) == 8 * (batches + 1)
+        assert {v for _, b, _, v in mine if b >= 0} == set(range(size))
+    with pytest.raises(ValueError):
+        models.vote_batches(points, 0, 1)
+
+
+def test_model_adapters_decode_points(spark, cloud):
+    from meshwright.operators import models
+
+    meshes = mesh_set(spark, {1: (cloud, [(0, 1, 2)])})
+    seeds = spark.createDataFrame([(1, 5)], "mesh_id bigint, seed bigint")
+    centre = cloud.mean(0)
+    radius = np.linalg.norm(cloud - centre, axis=1).max()
+
+    def heat(points):
+        scores = np.tile(np.linspace(0.1, 0.9, 9), (len(points), 1)).astype(np.float32)
+        return scores, -points[:, None, :] + np.arange(9)[None, :, None] * 0.1
+
+    found = models.landmark_adapter(heat)(meshes, seeds, {"input.sampling.num_points": 30, "inference.top_k": 4})
+    got = points_of(found, key="idx")
+    assert np.allclose(got, centre + np.arange(9)[:, None] * 0.1 * radius, atol=1e-5)
+    votes = models.crop_adapter(lambda p: np.abs(p[:, 0]))(
+        meshes, seeds, {"input.sampling.num_points": 16, "inference.extra_passes": 1})
+    want = np.abs((cloud - centre)[:, 0] / radius)
+    assert np.allclose(points_of(votes, ("probability",))[:, 0], want, atol=1e-6)
