@@ -134,15 +134,15 @@ def crop(meshes: MeshSet, keep: DataFrame) -> MeshSet:
 def crop_metrics(meshes: MeshSet, marked: DataFrame, cropped: MeshSet) -> DataFrame:
     """Retention, probability, post-processing and component metrics per mesh."""
     changed = F.col("initial") != F.col("final")
-    base = marked.groupBy(*KEY).agg(
+    plain = [
         F.avg("probability").alias("probability_mean"),
         F.count_if(changed).alias("changed_vertices"),
         F.avg(changed.cast("double")).alias("changed_fraction"),
         F.count_if("final").alias("kept"),
-    )
-    spread = exact_quantiles(
+    ]
+    base = exact_quantiles(
         marked, KEY, "probability", {"probability_p05": 0.05, "probability_p95": 0.95},
-        largest=meshes.largest,
+        largest=meshes.largest, also=plain,
     )
     parts = marked.where("final").groupBy(*KEY, "label").agg(F.count(F.lit(1)).alias("size"))
     parts = parts.groupBy(*KEY).agg(
@@ -154,7 +154,7 @@ def crop_metrics(meshes: MeshSet, marked: DataFrame, cropped: MeshSet) -> DataFr
         "vertices_kept": cropped.vertices.groupBy("mesh_id").agg(
             F.count(F.lit(1)).alias("vertices_kept")),
     }
-    joined = base.join(spread, KEY).join(parts, KEY, "left")
+    joined = base.join(parts, KEY, "left")
     for table in counts.values():
         joined = joined.join(table, "mesh_id", "left")
     zero = F.lit(0)

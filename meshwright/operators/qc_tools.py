@@ -47,15 +47,14 @@ def metric_distributions(measurements: DataFrame, largest: int | None = None) ->
     numbers = numeric_measurements(measurements).select(
         "metric", F.coalesce("unit", F.lit("")).alias("unit"), "value_double"
     )
-    edges = numbers.groupBy("metric", "unit").agg(
+    ends = [
         F.count(F.lit(1)).alias("n"),
         F.min("value_double").alias("min"),
         F.max("value_double").alias("max"),
+    ]
+    return exact_quantiles(
+        numbers, ["metric", "unit"], "value_double", DISTRIBUTION, largest=largest, also=ends
     )
-    spread = exact_quantiles(
-        numbers, ["metric", "unit"], "value_double", DISTRIBUTION, largest=largest
-    )
-    return edges.join(spread, ["metric", "unit"])
 
 
 def confusion(predictions: DataFrame) -> DataFrame:

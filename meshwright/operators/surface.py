@@ -133,14 +133,11 @@ def surface_distances(points: DataFrame, surface: MeshSet, label: str = "surface
 
 def residual_summary(distances: DataFrame, prefix: str, largest: int | None) -> DataFrame:
     """Mean, median, p95 and max of a distance column per mesh."""
-    plain = distances.groupBy("mesh_id").agg(
-        F.avg("distance").alias(f"{prefix}_mean"), F.max("distance").alias(f"{prefix}_max")
+    plain = [F.avg("distance").alias(f"{prefix}_mean"), F.max("distance").alias(f"{prefix}_max")]
+    return exact_quantiles(
+        distances, ["mesh_id"], "distance", {f"{prefix}_median": 0.5, f"{prefix}_p95": 0.95},
+        largest=largest, also=plain,
     )
-    spread = exact_quantiles(
-        distances, ["mesh_id"], "distance",
-        {f"{prefix}_median": 0.5, f"{prefix}_p95": 0.95}, largest=largest,
-    )
-    return plain.join(spread, "mesh_id")
 
 
 def surface_residuals(source: MeshSet, target: MeshSet) -> DataFrame:

@@ -54,17 +54,16 @@ def edge_statistics(meshes: MeshSet, lengths: DataFrame | None = None) -> DataFr
     ``lengths`` reuses edge lengths that are already written out.
     """
     lengths = edge_lengths(meshes) if lengths is None else lengths
-    bound = 3 * meshes.largest
-    counted = lengths.groupBy(*KEY).agg(
+    counts = [
         F.count(F.lit(1)).alias("edge_count"),
         F.count_if(F.col("k") == 1).alias("boundary_edge_count"),
         F.count_if(F.col("k") > 2).alias("nonmanifold_edge_count"),
         F.avg("length").alias("mean"),
+    ]
+    return exact_quantiles(
+        lengths, KEY, "length", {"p05": 0.05, "median": 0.5, "p95": 0.95},
+        largest=3 * meshes.largest, also=counts,
     )
-    spread = exact_quantiles(
-        lengths, KEY, "length", {"p05": 0.05, "median": 0.5, "p95": 0.95}, largest=bound
-    )
-    return counted.join(spread, KEY)
 
 
 def edge_mad(

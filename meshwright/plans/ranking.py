@@ -79,23 +79,36 @@ def exact_quantiles(
     probabilities: dict[str, float],
     largest: int | None = None,
     group_limit: int = QUANTILE_GROUP_LIMIT,
+    also: list[Column] | None = None,
 ) -> DataFrame:
     """Linear-interpolation quantiles per group, exact at any group size.
 
-    ``probabilities`` maps output column to probability. ``largest`` is a known
-    bound on the rows of one group; without it the bound is counted. Groups
-    within ``group_limit`` use the built-in exact aggregate. Beyond it, repeated
-    values are folded into counts and only the value ranges that hold a wanted
-    rank are sorted.
+    ``probabilities`` maps output column to probability; ``also`` are further
+    aggregates to report per group. ``largest`` is a known bound on the rows of
+    one group; without it the bound is counted. Groups within ``group_limit``
+    use the built-in exact aggregate, in the same pass as ``also``. Beyond it,
+    repeated values are folded into counts and only the value ranges that hold a
+    wanted rank are sorted.
     """
-    named = list(probabilities.items())
+    named, also = list(probabilities.items()), also or []
     if largest is None:
         largest = rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     if largest <= group_limit:
         picks = F.percentile(value, F.array(*[F.lit(float(p)) for _, p in named]))
-        return rows.groupBy(*keys).agg(picks.alias("_q")).select(
-            *keys, *[F.col("_q")[i].alias(name) for i, (name, _) in enumerate(named)]
+        found = rows.groupBy(*keys).agg(*also, picks.alias("_q"))
+        return found.select(
+            *[c for c in found.columns if c != "_q"],
+            *[F.col("_q")[i].alias(name) for i, (name, _) in enumerate(named)],
         )
+    rows = cut(rows, "quantile-rows")
+    spread = _split_quantiles(rows, keys, value, named, group_limit)
+    return rows.groupBy(*keys).agg(*also).join(spread, keys) if also else spread
+
+
+def _split_quantiles(
+    rows: DataFrame, keys: list[str], value: str, named: list[tuple[str, float]], group_limit: int
+) -> DataFrame:
+    """Quantiles of groups too large for one aggregation buffer."""
     folded = cut(
         rows.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))

@@ -102,7 +102,9 @@ def test_quantiles_of_hot_groups_equal_the_aggregate(spark, sf_dir):
     hot = rows.unionAll(spark.range(300).select(F.lit("view").alias("event_type"), F.lit(7.0).alias("value")))
     wanted = {"p01": 0.01, "median": 0.5, "p95": 0.95, "top": 1.0}
     plain = ranking.exact_quantiles(hot, ["event_type"], "value", wanted)
-    split = ranking.exact_quantiles(hot, ["event_type"], "value", wanted, group_limit=5)
+    split = ranking.exact_quantiles(
+        hot, ["event_type"], "value", wanted, group_limit=5, also=[F.count(F.lit(1)).alias("n")])
+    assert split.agg(F.sum("n")).first()[0] == hot.count()
     want = {r["event_type"]: r for r in plain.collect()}
     for row in split.collect():
         for name in wanted:
