@@ -175,8 +175,8 @@ def inlier_weights(
     """(mesh_id, nv, vid, weight) after ten multiplicative re-weightings.
 
     Distances do not change between passes, so a vertex's weight is a product
-    over the sigmas so far. Each pass is one aggregate per mesh that extends the
-    mesh's list of sigmas; vertices are never gathered.
+    over the sigmas so far. Each pass is one aggregate per mesh that adds one
+    sigma to the mesh's row; vertices are never gathered.
     """
     names = FEATURES
     joined = floating.join(matched, ["mesh_id", "vid"])
@@ -187,28 +187,28 @@ def inlier_weights(
                       F.greatest(F.lit(0.0), F.least(F.lit(1.0), facing)).alias("facing")),
         "inlier-base",
     )
-    root = math.sqrt(2.0 * math.pi)
     damp = math.exp(-0.5 * float(kappa) * float(kappa))
-
-    def current(sigmas) -> F.Column:
-        def step(weight, sigma):
-            peak = F.lit(1.0) / (F.lit(root) * sigma)
-            density = peak * F.exp(F.col("d2") * -0.5 / (sigma * sigma))
-            return weight * density / (density + peak * F.lit(damp))
-
-        return F.aggregate(sigmas, F.col("flag").cast("double"), step)
-
-    passes = base.groupBy(*KEY).agg(F.array().cast("array<double>").alias("_s"))
-    for _ in range(INLIER_PASSES):
-        weight = current(F.col("_s"))
+    sigmas: list[str] = []
+
+    def current() -> F.Column:
+        """The weight after the passes so far: one bell-shaped share per sigma."""
+        weight = F.col("flag").cast("double")
+        for name in sigmas:
+            bell = F.exp(F.col("d2") * -0.5 / (F.col(name) * F.col(name)))
+            weight = weight * (bell / (bell + F.lit(damp)))
+        return weight
+
+    passes = base.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_rows")).select(*KEY)
+    for number in range(INLIER_PASSES):
         rows = attach(base.select(*KEY, "vid", "flag", "d2"), passes, KEY).select(
-            *KEY, "_s", weight.alias("_w"), "d2")
+            *KEY, *sigmas, current().alias("_w"), "d2")
         total = F.sum("_w")
         sigma = F.sqrt(F.try_divide(F.sum(F.col("_w") * F.col("d2")), F.when(total > 0.0, total)))
         bounded = F.when(sigma.isNotNull(), F.greatest(F.lit(SIGMA_RANGE[0]), F.least(F.lit(SIGMA_RANGE[1]), sigma)))
-        passes = rows.groupBy(*KEY).agg(F.first("_s").alias("_s"), bounded.alias("_next")).select(
-            *KEY, F.array_append("_s", F.col("_next")).alias("_s"))
-    final = F.coalesce(current(F.col("_s")), F.lit(0.0))
+        passes = rows.groupBy(*KEY).agg(
+            *[F.first(name).alias(name) for name in sigmas], bounded.alias(f"_s{number}"))
+        sigmas.append(f"_s{number}")
+    final = F.coalesce(current(), F.lit(0.0))
     if use_orientation:
         final = final * F.col("facing")
     return attach(base, passes, KEY).select(*KEY, "vid", final.alias("weight"))

@@ -98,7 +98,7 @@ def surface_distances(points: DataFrame, surface: MeshSet, label: str = "surface
         ).select("mesh_id", "_at", "_cell", "pa", "pb", "pc",
                  *[f"{end}_{a}" for end in ("lo", "hi") for a in AXES])
         levels = F.array_distinct(F.transform("_levels", lambda n: F.greatest(n, floor_level)))
-        probes = spread(pending).withColumn("_at", F.explode(levels)).withColumn(
+        probes = spread(pending, pending.count()).withColumn("_at", F.explode(levels)).withColumn(
             "_size", grid.level_size(F.col("_unit"), F.col("_at").cast("double"))
         )
         probes = probes.withColumn(
@@ -162,6 +162,7 @@ def overlapping_faces(meshes: MeshSet) -> DataFrame:
     the low corner of the boxes' overlap, so no later distinct is needed.
     """
     boxes = cut(triangle_boxes(meshes), "boxes")
+    face_rows = boxes.count()
     sized = size_levels(boxes)
     tops = sized.groupBy(*KEY).agg(F.collect_set("_level").alias("_levels"))
     corner = {end: {a: F.col(f"{end}_{a}") for a in AXES} for end in ("lo", "hi")}
@@ -176,7 +177,7 @@ def overlapping_faces(meshes: MeshSet) -> DataFrame:
         *KEY, "_unit", F.col("_level").alias("_at"), "_cell",
         *[F.col(c).alias(f"s_{c}") for c in columns],
     )
-    probes = attach(size_levels(spread(boxes)), tops, KEY, spread="fid").withColumn(
+    probes = attach(size_levels(spread(boxes, face_rows)), tops, KEY, spread="fid").withColumn(
         "_at", F.explode(F.filter("_levels", lambda n: n >= F.col("_level")))
     ).withColumn("_cell", placed("_at")).select(
         "mesh_id", "_at", "_cell", F.col("_level").alias("_own"),
@@ -194,7 +195,7 @@ def overlapping_faces(meshes: MeshSet) -> DataFrame:
             apart = apart & (F.col(f"s_{left}") != F.col(f"q_{right}"))
     here = F.col("_cell") == grid.cell_of(start, size)
     return (
-        probe_join(probes, stored, ["mesh_id", "_at", "_cell"], 8 * boxes.count())
+        probe_join(probes, stored, ["mesh_id", "_at", "_cell"], 8 * face_rows)
         .where(one_order & apart & overlap & here)
         .select(
             *KEY,

@@ -80,10 +80,9 @@ def nearest(
         f"{label}-targets",
     )
     held_rows = held.count()
-    pending = attach(queries.select(*wanted), asked, ["mesh_id", "nv"]).withColumn(
-        "_found", F.lit(None).cast("array<struct<d2:double,neighbour:bigint>>")
-    )
-    pending = cut(pending, f"{label}-queries")
+    sized = attach(queries.select(*wanted), asked, ["mesh_id", "nv"])
+    # The whole table first, then only what is left of it.
+    pending, rows = sized, queries.count()
     done: list[DataFrame] = []
     scale = 1.0
     while True:
@@ -91,7 +90,7 @@ def nearest(
         q = {a: F.col(a) for a in AXES}
         low = {a: q[a] - radius for a in AXES}
         high = {a: q[a] + radius for a in AXES}
-        probes = spread(pending.drop("_found")).withColumn(
+        probes = spread(pending, rows).withColumn(
             "_cell", F.explode(cells_touched(low, high, radius * 2.0))
         )
         stored = held.select(
@@ -110,12 +109,17 @@ def nearest(
             .groupBy("mesh_id", "vid")
             .agg(F.array_sort(F.collect_list(F.struct("d2", "neighbour"))).alias("_found"))
         )
-        answered = cut(pending.drop("_found").join(top, ["mesh_id", "vid"], "left"), f"{label}-round")
+        answered = cut(
+            pending.select("mesh_id", "vid", "_n").join(top, ["mesh_id", "vid"], "left"),
+            f"{label}-round",
+        )
         enough = F.coalesce(F.size("_found"), F.lit(0)) >= F.least(F.lit(k), F.col("_n"))
         done.append(answered.where(enough).select("mesh_id", "vid", "_found"))
-        pending = answered.where(~enough)
-        if pending.isEmpty():
+        left = answered.where(~enough).select("mesh_id", "vid")
+        rows = left.count()
+        if rows == 0:
             break
+        pending = cut(sized.join(left, ["mesh_id", "vid"], "left_semi"), f"{label}-left")
         scale *= 2.0
     found = done[0]
     for part in done[1:]:

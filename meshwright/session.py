@@ -91,14 +91,13 @@ def cut(df: DataFrame, label: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(written: DataFrame, rows_per_task: int = 50_000) -> DataFrame:
-    """Deal a written table's rows evenly before a step that multiplies them.
+def spread(frame: DataFrame, rows: int, rows_per_task: int = 50_000) -> DataFrame:
+    """Deal rows evenly before a step that multiplies them.
 
     Spatial probes turn one row into many candidate tests, so bytes alone are a
-    poor measure of a task's work. The count comes from the file footers.
+    poor measure of a task's work.
     """
-    rows = written.count()
     if rows < 1_000:
-        return written
-    cores = written.sparkSession.sparkContext.defaultParallelism
-    return written.repartition(max(min(cores, rows // 1_000), rows // rows_per_task + 1))
+        return frame
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(max(min(cores, rows // 1_000), rows // rows_per_task + 1))
