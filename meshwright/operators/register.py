@@ -20,7 +20,7 @@ from meshwright.operators import align, topology
 from meshwright.operators.align import LEAST_SQUARES
 from meshwright.plans.grid import nearest
 from meshwright.plans.meshset import KEY, MeshSet
-from meshwright.plans.skew import attach
+from meshwright.plans.skew import attach, attach_small
 from meshwright.session import cut
 
 # Fixed values of the registration model.
@@ -352,16 +352,21 @@ def expand_template(template: MeshSet, targets: MeshSet, row_limit: int = 200_00
     """One copy of the template per target mesh.
 
     The copies are the starting points of the registration, so their number is
-    its output size; the single template is broadcast after its size is checked.
+    its output size. Each mesh gets the template's row numbers, and the template
+    is joined to them, broadcast after its size is checked.
     """
     if template.largest > row_limit:
         raise ValueError(f"a template of {template.largest} rows is too large to copy per mesh")
-    ids = targets.meshes().select("mesh_id")
-    points = template.vertices.drop("mesh_id").select("nv", "vid", *POSITION)
-    faces = template.faces.drop("mesh_id").select("nv", "fid", "a", "b", "c")
+    points = cut(template.vertices.select("nv", "vid", *POSITION), "template-points")
+    faces = cut(template.faces.select("nv", "fid", "a", "b", "c"), "template-faces")
+
+    def copies(count: int, name: str) -> DataFrame:
+        numbers = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(count - 1).cast("bigint")))
+        return targets.meshes().select("mesh_id", numbers.alias(name))
+
     return MeshSet(
-        ids.join(F.broadcast(points)).select(*KEY, "vid", *POSITION),
-        ids.join(F.broadcast(faces)).select(*KEY, "fid", "a", "b", "c"),
+        attach_small(copies(points.count(), "vid"), points, ["vid"]).select(*KEY, "vid", *POSITION),
+        attach_small(copies(faces.count(), "fid"), faces, ["fid"]).select(*KEY, "fid", "a", "b", "c"),
     )
 
 

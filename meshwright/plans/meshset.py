@@ -7,6 +7,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meshwright.plans.skew import attach_sized
+from meshwright.session import cut
+
 # Every mesh-level table carries the mesh's vertex count next to its id. The
 # count is a function of the id, and it sizes the salting of large meshes.
 KEY = ["mesh_id", "nv"]
@@ -42,10 +45,10 @@ class MeshSet:
     @classmethod
     def of(cls, vertices: DataFrame, faces: DataFrame) -> "MeshSet":
         """Build from tables without ``nv`` by counting each mesh's vertices."""
-        sizes = vertices.groupBy("mesh_id").agg(F.count(F.lit(1)).alias("nv"))
+        sizes = cut(vertices.groupBy("mesh_id").agg(F.count(F.lit(1)).alias("nv")), "mesh-sizes")
         return cls(
-            vertices.join(sizes, "mesh_id").select(*KEY, "vid", "x", "y", "z"),
-            faces.join(sizes, "mesh_id").select(*KEY, "fid", "a", "b", "c"),
+            attach_sized(vertices, sizes, "mesh_id", "nv").select(*KEY, "vid", "x", "y", "z"),
+            attach_sized(faces, sizes, "mesh_id", "nv").select(*KEY, "fid", "a", "b", "c"),
         )
 
     def with_vertices(self, vertices: DataFrame) -> "MeshSet":

@@ -61,6 +61,7 @@ class Outcome:
     failures: DataFrame
     final: MeshSet
     trajectory: DataFrame
+    stages: dict[str, DataFrame]
 
 
 def without(meshes: MeshSet, failures: DataFrame) -> MeshSet:
@@ -147,7 +148,11 @@ def process(
     for part in rows[1:]:
         measured = measured.unionByName(part.select(*MEASUREMENT_COLUMNS))
     final = without(normal, every_failure)
-    return Outcome(cut(measured, "measurements"), every_failure, final, done.trajectory)
+    kept = {
+        "input": meshes.vertices, "cropped": cropped.vertices, "aligned": aligned.vertices,
+        "rigid": done.rigid_end, "registered": done.meshes.vertices, "landmarks": points,
+        "correspondences": done.correspondences, "weights": done.weights, "mask": marked}
+    return Outcome(cut(measured, "measurements"), every_failure, final, done.trajectory, kept)
 
 
 def _load_template(spark: SparkSession, config: RunConfig) -> MeshSet:
@@ -424,7 +429,8 @@ def _process_todo(
             spots = align.barycentric_landmarks(outcome.final, table)
             runmeta.write_landmark_csv(spots, str(layout.root / "landmarks" / f"attempt={attempt}"))
         if mode == "full":
-            meshes.vertices.write.parquet(str(layout.root / "diagnostics" / f"attempt={attempt}"))
+            for name, rows in outcome.stages.items():
+                rows.write.parquet(str(layout.root / "diagnostics" / name / f"attempt={attempt}"))
         measured = outcome.measurements
         failed = outcome.failures.groupBy(F.col("mesh_id").alias("output_key")).agg(
             F.first("stage").alias("stage"), F.first("reason").alias("reason"),

@@ -37,24 +37,33 @@ def attach(
                      [*keys, "_salt"], how).drop("_salt")
 
 
-def attach_count(rows: DataFrame, key: str, name: str, hot_rows: int = ROWS_PER_SALT) -> DataFrame:
-    """Add to every row how many rows share its key.
+def attach_sized(
+    rows: DataFrame, sizes: DataFrame, key: str, size: str, hot_rows: int = ROWS_PER_SALT
+) -> DataFrame:
+    """Join each key's row count onto its rows; keys without one drop out.
 
-    Counting folds map-side. Keys above ``hot_rows`` are few, at most the row
-    count divided by it, so they are broadcast; their rows then carry a spread
-    key through the join that serves all other keys.
+    ``sizes`` is a written table of (key, size). Keys above ``hot_rows`` are few,
+    at most the total divided by it, so they are broadcast; their rows then carry
+    a spread key through the join that serves all other keys.
     """
-    sizes = cut(rows.groupBy(key).agg(F.count(F.lit(1)).alias(name)), "key-sizes")
-    total = sizes.agg(F.sum(name)).first()[0] or 0
+    total = sizes.agg(F.sum(size)).first()[0] or 0
     limit = max(hot_rows, total // 100_000)
-    hot = F.broadcast(sizes.where(F.col(name) > limit).withColumnRenamed(name, "_hot"))
-    cold = sizes.where(F.col(name) <= limit).withColumnRenamed(key, "_key")
+    hot = F.broadcast(sizes.where(F.col(size) > limit).select(key, F.col(size).alias("_hot")))
+    cold = sizes.where(F.col(size) <= limit).select(F.col(key).alias("_key"), size)
+    text = F.col(key).cast("string")
+    cold = cold.withColumn("_key", F.col("_key").cast("string"))
     marked = rows.join(hot, key, "left").withColumn(
         "_key",
-        F.when(F.col("_hot").isNull(), F.col(key)).otherwise(
+        F.when(F.col("_hot").isNull(), text).otherwise(
             F.concat(F.lit("\u0000"), F.monotonically_increasing_id().cast("string"))))
     return marked.join(cold, "_key", "left").withColumn(
-        name, F.coalesce("_hot", name)).drop("_hot", "_key")
+        size, F.coalesce("_hot", size)).drop("_hot", "_key").where(F.col(size).isNotNull())
+
+
+def attach_count(rows: DataFrame, key: str, name: str, hot_rows: int = ROWS_PER_SALT) -> DataFrame:
+    """Add to every row how many rows share its key; counting folds map-side."""
+    sizes = cut(rows.groupBy(key).agg(F.count(F.lit(1)).alias(name)), "key-sizes")
+    return attach_sized(rows, sizes, key, name, hot_rows)
 
 
 def attach_small(

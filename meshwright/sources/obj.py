@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meshwright.plans.meshset import MeshSet
+from meshwright.plans.skew import attach_sized
 from meshwright.session import cut
 
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
@@ -148,8 +149,8 @@ def read_obj(spark: SparkSession, paths: list[str] | str) -> ObjFiles:
         F.col("path").alias("mesh_id"), "directive").agg(F.count(F.lit(1)).alias("n"))
     return ObjFiles(
         MeshSet(
-            vertices.join(sound, "mesh_id").select("mesh_id", "nv", "vid", "x", "y", "z"),
-            faces.join(sound, "mesh_id").select("mesh_id", "nv", "fid", "a", "b", "c")),
+            attach_sized(vertices, sound, "mesh_id", "nv").select("mesh_id", "nv", "vid", "x", "y", "z"),
+            attach_sized(faces, sound, "mesh_id", "nv").select("mesh_id", "nv", "fid", "a", "b", "c")),
         files, unknown)
 
 

@@ -64,7 +64,7 @@ def stages():
 
 def test_run_resume_and_quality(spark, folder, config, stages):
     out = str(folder / "run")
-    summary = pipeline.run(spark, out, config, stages, input_path=str(folder / "in"))
+    summary = pipeline.run(spark, out, config, stages, input_path=str(folder / "in"), mode="full")
     assert summary["sample_count"] == 3
     assert summary["counts"] == {"passed": 2, "warning": 0, "failed": 1}
     records, measured = pipeline.run_measurements(spark, out)
@@ -82,7 +82,9 @@ def test_run_resume_and_quality(spark, folder, config, stages):
     assert sum(r[0].startswith("v ") for r in written) == 25
     assert all(re.fullmatch(r"v( -?\d+\.\d{10}){3}|f( \d+){3}", r[0]) for r in written)
 
-    again = pipeline.run(spark, out, config, stages, input_path=str(folder / "in"), resume=True)
+    assert spark.read.parquet(str(folder / "run" / "diagnostics" / "aligned")).groupBy("mesh_id").count().count() == 2
+
+    again = pipeline.run(spark, out, config, stages, input_path=str(folder / "in"), resume=True, mode="full")
     assert again["counts"] == summary["counts"]
     events = [json.loads(line)["event"] for line in (folder / "run" / "events.jsonl").read_text().splitlines()]
     assert events == ["run_start", "sample_complete", "run_complete", "run_resume", "run_complete"]
@@ -100,3 +102,16 @@ def test_layout_archives_on_overwrite(tmp_path):
     assert len(list(tmp_path.glob("r.superseded.*"))) == 1
     with pytest.raises(RunError, match="exclude"):
         pipeline.RunLayout.prepare(str(tmp_path / "r"), prints, resume=True, overwrite=True)
+
+
+def test_stability_of_models_that_ignore_pose(spark, stages):
+    from shapes import mesh_set
+
+    meshes = mesh_set(spark, {"one": bumpy_sheet(5)})
+    hashes = meshes.meshes().select("mesh_id", F.lit("abc").alias("geometry_sha256"))
+    seeds = hashes.withColumn("seed", F.lit(1))
+    cropped, marked, _ = pipeline._crop(meshes, seeds, stages)
+    points, _ = pipeline._landmarks(cropped, hashes, stages)
+    rows = pipeline._stability_rows(meshes, cropped, marked, points, hashes, stages).collect()
+    assert {r["metric"]: round(r["value_double"], 9) for r in rows} == {
+        "crop.stability.jaccard_min": 1.0, "landmark.stability.rms_max_mm": 0.0}
