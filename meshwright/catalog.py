@@ -7,9 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meshwright.functions import identity
 from meshwright.functions.vectors import clean
-from meshwright.operators import topology
+from meshwright.operators import (
+    align,
+    audit,
+    crop,
+    landmarks,
+    measure,
+    models,
+    qc_rules,
+    qc_tools,
+    register as registration,
+    runs,
+    surface,
+    topology,
+)
+from meshwright.operators.qc_rules import Rule, RuleSet
 from meshwright.plans import derive
+from meshwright.plans.meshset import KEY
+from meshwright.plans.ranking import global_position
+from meshwright.session import cut
+from meshwright.sources import inputs
+from meshwright.sources import obj
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -114,9 +134,6 @@ def mesh_largest_component(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- measurements and quality rules -------------------------------------------
 
-from meshwright.operators import measure, qc_rules, qc_tools  # noqa: E402
-from meshwright.operators.qc_rules import Rule, RuleSet  # noqa: E402
-
 EXPECTED_EDGE_MM = 1.2
 
 # Rules over the measurements that derive.measurements builds from the events.
@@ -291,10 +308,6 @@ def blinded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- crop and landmarks --------------------------------------------------------
 
-from meshwright.operators import align, crop, landmarks, surface  # noqa: E402
-from meshwright.plans.meshset import KEY  # noqa: E402
-from meshwright.session import cut  # noqa: E402
-
 THRESHOLD = 0.5
 
 
@@ -568,8 +581,6 @@ def self_intersection_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- registration --------------------------------------------------------------
 
-from meshwright.operators import register as registration  # noqa: E402
-
 
 def _moving(spark: SparkSession, sf_dir: str):
     """Each strip mesh, slightly scaled, turned and shifted, next to itself."""
@@ -663,10 +674,6 @@ def register_nonrigid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- identity, runs, text scans and files --------------------------------------
 
-from meshwright.functions import identity  # noqa: E402
-from meshwright.operators import audit, runs  # noqa: E402
-from meshwright.sources import obj  # noqa: E402
-
 
 @registered
 def stage_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -765,10 +772,6 @@ def obj_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- model batches and ordering ------------------------------------------------
 
-from meshwright.operators import models  # noqa: E402
-from meshwright.plans.ranking import global_position  # noqa: E402
-from meshwright.sources import inputs  # noqa: E402
-
 
 @registered
 def vote_batches(spark: SparkSession, sf_dir: str) -> DataFrame:

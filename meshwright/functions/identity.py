@@ -14,11 +14,13 @@ from pyspark.sql import types as T
 
 from meshwright.plans.skew import attach_count
 
-# The namespace of collision keys, the hash's domain tag and the
-# characters that may not appear in a key.
+# The namespace of collision keys and the characters that may not
+# appear in a key.
 KEY_NAMESPACE = "5c32e6659f415f9f8424aa33ad97f171"
-GEOMETRY_TAG = b"face-preprocess-geometry-v1\0"
 UNSAFE = r'[<>:"/\\|?*\x00-\x1f]+'
+# First bytes of every geometry digest. Pass another tag to reproduce digests
+# that were recorded under it.
+GEOMETRY_TAG = b"meshwright-geometry-v1\0"
 
 
 @F.pandas_udf(T.StringType())
@@ -86,7 +88,7 @@ def stage_seed(geometry_hash: Column, stage: str, base_seed: int) -> Column:
     return F.conv(F.concat(*pairs), 16, 10).cast("decimal(20,0)")
 
 
-def _hash_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _hash_rows(batches: Iterator[pd.DataFrame], tag: bytes) -> Iterator[pd.DataFrame]:
     """Stream rows sorted by mesh, kind and position through one digest per mesh."""
     current, digest, kind = None, None, None
     finished: list[tuple] = []
@@ -95,7 +97,7 @@ def _hash_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if mesh != current:
                 if digest is not None:
                     finished.append((current, digest.hexdigest()))
-                current, digest, kind = mesh, hashlib.sha256(GEOMETRY_TAG), None
+                current, digest, kind = mesh, hashlib.sha256(tag), None
             if part != kind:
                 digest.update(struct.pack("<QQ", int(rows["size"].iloc[0]), 3))
                 kind = part
@@ -111,7 +113,9 @@ def _hash_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([(current, digest.hexdigest())], columns=["mesh_id", "geometry_sha256"])
 
 
-def geometry_hashes(vertices: DataFrame, faces: DataFrame) -> DataFrame:
+def geometry_hashes(
+    vertices: DataFrame, faces: DataFrame, tag: bytes = GEOMETRY_TAG
+) -> DataFrame:
     """(mesh_id, geometry_sha256) over the ordered vertices and faces.
 
     The digest of one mesh is sequential by definition, so its rows meet in one
@@ -131,4 +135,4 @@ def geometry_hashes(vertices: DataFrame, faces: DataFrame) -> DataFrame:
     schema = T.StructType([
         T.StructField("mesh_id", vertices.schema["mesh_id"].dataType),
         T.StructField("geometry_sha256", T.StringType())])
-    return ordered.mapInPandas(_hash_rows, schema)
+    return ordered.mapInPandas(lambda batches: _hash_rows(batches, tag), schema)
