@@ -632,7 +632,11 @@ select mesh_id, nv = (select nv from fx_n order by mesh_id limit 1) as same_topo
 
 
 def point_triangle(points: str, vertices: str, faces: str, name: str) -> str:
-    """Closest distance from each point to any face, by Voronoi region of the face."""
+    """Closest distance from each point to any face, by Voronoi region of the face.
+
+    A side without length has no region of its own: dividing by it would lose
+    the face to a NaN.
+    """
     def dot(a: str, b: str) -> str:
         return "(" + " + ".join(f"{a}{i}*{b}{i}" for i in "xyz") + ")"
 
@@ -656,9 +660,9 @@ def point_triangle(points: str, vertices: str, faces: str, name: str) -> str:
 {name}_3 as (select mesh_id, vid, case
   when d1 <= 0 and d2 <= 0 then {length([f'ap{i}' for i in 'xyz'])}
   when d3 >= 0 and d4 <= d3 then {length([f'bp{i}' for i in 'xyz'])}
-  when vc <= 0 and d1 >= 0 and d3 <= 0 then {length([f'ap{i} - d1 / (d1 - d3) * ab{i}' for i in 'xyz'])}
+  when vc <= 0 and d1 >= 0 and d3 <= 0 and d1 > d3 then {length([f'ap{i} - d1 / (d1 - d3) * ab{i}' for i in 'xyz'])}
   when d6 >= 0 and d5 <= d6 then {length([f'cp{i}' for i in 'xyz'])}
-  when vb <= 0 and d2 >= 0 and d6 <= 0 then {length([f'ap{i} - d2 / (d2 - d6) * ac{i}' for i in 'xyz'])}
+  when vb <= 0 and d2 >= 0 and d6 <= 0 and d2 > d6 then {length([f'ap{i} - d2 / (d2 - d6) * ac{i}' for i in 'xyz'])}
   when va <= 0 and d4 - d3 >= 0 and d5 - d6 >= 0
     then {length([f'bp{i} - (d4 - d3) / ((d4 - d3) + (d5 - d6)) * (ac{i} - ab{i})' for i in 'xyz'])}
   else {length([f'ap{i} - ab{i} * (vb / (va + vb + vc)) - ac{i} * (vc / (va + vb + vc))' for i in 'xyz'])} end as d
