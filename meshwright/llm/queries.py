@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meshwright.llm import url_filters
+from meshwright.llm import quality_rules, url_filters
 from meshwright.llm.common import table
+from meshwright.session import cut
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +16,17 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics are measured once, written, and serve both learning and judging."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    measured = cut(quality_rules.text_statistics(docs, keep=["doc_id"]), "statistics")
+    rules = quality_rules.learn_rules(measured.join(labels.select("doc_id", "quality"), "doc_id"))
+    return quality_rules.apply_rules(measured, rules).select("doc_id", *quality_rules.BASE_COLUMNS, "base_failed", "kept", "rule")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filters": op4_url_filters,
+    "op5_quality_rules": op5_quality_rules,
 }
 
 # What DuckDB can express.
