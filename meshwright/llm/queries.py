@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from meshwright.llm import quality_rules, url_filters
+from meshwright.llm import decontaminate, quality_rules, url_filters
 from meshwright.llm.common import table
 from meshwright.session import cut
 
@@ -24,9 +25,17 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(measured, rules).select("doc_id", *quality_rules.BASE_COLUMNS, "base_failed", "kept", "rule")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return judged.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
+                         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filters": op4_url_filters,
     "op5_quality_rules": op5_quality_rules,
+    "op8_decontamination": op8_decontamination,
 }
 
 # What DuckDB can express.
