@@ -4,14 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshwright.llm import decontaminate, quality_rules, url_filters
+from meshwright.llm import byte_pairs, decontaminate, quality_rules, url_filters
 from meshwright.llm.common import table
 from meshwright.session import cut
 
 
+BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op2_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = byte_pairs.encode(docs, BYTE_RANKS, public_tokenizers.PATTERN).drop("text")
+    return byte_pairs.decode(encoded, BYTE_RANKS).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"))\
         .select("page_id", "host", "path", "rule", "verdict")
@@ -33,6 +45,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_byte_pairs": op2_byte_pairs,
     "op4_url_filters": op4_url_filters,
     "op5_quality_rules": op5_quality_rules,
     "op8_decontamination": op8_decontamination,
