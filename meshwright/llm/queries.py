@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshwright.llm import byte_pairs, decontaminate, quality_rules, url_filters
+from meshwright.llm import byte_pairs, decontaminate, line_chunks, quality_rules, token_counts, url_filters
 from meshwright.llm.common import table
 from meshwright.session import cut
 
@@ -16,6 +16,11 @@ from meshwright.session import cut
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, BYTE_RANKS).drop("text")
+
+
 def op2_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = byte_pairs.encode(docs, BYTE_RANKS, public_tokenizers.PATTERN).drop("text")
@@ -44,11 +49,19 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_chunks.drop_repeated_chunks(docs).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op2_byte_pairs": op2_byte_pairs,
     "op4_url_filters": op4_url_filters,
     "op5_quality_rules": op5_quality_rules,
     "op8_decontamination": op8_decontamination,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 # What DuckDB can express.
