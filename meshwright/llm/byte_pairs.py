@@ -31,8 +31,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from meshwright.llm.common import small_batches
+
 CACHE_ENTRIES, CACHE_BYTES = 400_000, 48
-ROWS_PER_BATCH = 500
 
 
 class Merger:
@@ -163,13 +164,11 @@ def encode(frame: DataFrame, vocabulary: str, pattern: str, text: str = "text",
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(data.value, pattern)
-        for whole in batches:
-            for start in range(0, whole.num_rows, ROWS_PER_BATCH):
-                batch = whole.slice(start, ROWS_PER_BATCH)
-                found = [coder.encode(x) if x else [] for x in batch.column(text).to_pylist()]
-                values = pa.array(np.fromiter(chain.from_iterable(found), np.int32), pa.int32())
-                column = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), values)
-                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], column], names=[*kept, ids])
+        for batch in small_batches(batches, text):
+            found = [coder.encode(x) if x else [] for x in batch.column(text).to_pylist()]
+            values = pa.array(np.fromiter(chain.from_iterable(found), np.int32), pa.int32())
+            column = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), values)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], column], names=[*kept, ids])
 
     return frame.mapInArrow(work, schema)
 
@@ -182,13 +181,11 @@ def decode(frame: DataFrame, vocabulary: str, ids: str = "ids", decoded: str = "
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = {rank: token for token, rank in read_ranks(data.value).items()}
-        for whole in batches:
-            for start in range(0, whole.num_rows, ROWS_PER_BATCH):
-                batch = whole.slice(start, ROWS_PER_BATCH)
-                try:
-                    found = [b"".join(map(pieces.__getitem__, x or ())) for x in batch.column(ids).to_pylist()]
-                except KeyError as missing:
-                    raise ValueError(f"id {missing} is not in the vocabulary") from None
-                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(found, pa.binary())], names=[*kept, decoded])
+        for batch in small_batches(batches, ids):
+            try:
+                found = [b"".join(map(pieces.__getitem__, x or ())) for x in batch.column(ids).to_pylist()]
+            except KeyError as missing:
+                raise ValueError(f"id {missing} is not in the vocabulary") from None
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(found, pa.binary())], names=[*kept, decoded])
 
     return frame.mapInArrow(work, schema)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,3 +47,17 @@ def sized(frame: DataFrame, rows: int, label: str) -> DataFrame:
     """``frame`` as a written table, marked for broadcast only if it has at most ``rows`` rows."""
     written = cut(frame, label)
     return F.broadcast(written) if written.count() <= rows else written
+
+
+def small_batches(batches: Iterator[pa.RecordBatch], column: str, rows: int = 500, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows`` rows and ``size`` bytes (or list elements), or of one row."""
+    for whole in batches:
+        values = whole.column(column)
+        length = pc.list_value_length if pa.types.is_list(values.type) else pc.binary_length
+        ends = np.cumsum(pc.fill_null(length(values), 0).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < whole.num_rows:
+            done = ends[start - 1] if start else 0
+            stop = max(start + 1, min(start + rows, int(np.searchsorted(ends, done + size, "right"))))
+            yield whole.slice(start, stop - start)
+            start = stop

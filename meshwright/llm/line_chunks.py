@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meshwright.llm.common import small_batches
 from meshwright.session import cut
 
-ROWS_PER_BATCH = 500
 ODD = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 LineHash = Callable[[bytes], int]
@@ -62,12 +62,6 @@ def compared(lines: list[str], start: int, end: int) -> bool:
     return sum(1 for line in lines[start:end] if line.strip(" \t\n\v\f\r")) > 1
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for start in range(0, whole.num_rows, ROWS_PER_BATCH):
-            yield whole.slice(start, ROWS_PER_BATCH)
-
-
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Rows equal in id and text are one document: the id and a hash of the text name it."""
     return docs.select(F.col(key).alias("__id"), F.xxhash64(text).alias("__version"), F.col(text).alias("__text"))
@@ -87,7 +81,7 @@ def repeated_chunks(docs: DataFrame, key: str, text: str, hash_of: LineHash = li
     id_type = keyed.schema["__id"].dataType.simpleString()
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
+        for batch in small_batches(batches, "__text"):
             rows, places, found = [], [], []
             for k, body in enumerate(batch.column("__text").to_pylist()):
                 lines = (body or "").split("\n")
@@ -102,7 +96,7 @@ def repeated_chunks(docs: DataFrame, key: str, text: str, hash_of: LineHash = li
                 names=[*PLACE, "hash"])
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
+        for batch in small_batches(batches, "__text"):
             rows, places, found = [], [], []
             for k, (body, wanted) in enumerate(zip(batch.column("__text").to_pylist(), batch.column("__chunks").to_pylist(), strict=True)):
                 lines = body.split("\n")
@@ -142,7 +136,7 @@ def drop_repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text
     names = [f.name for f in kept]
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
+        for batch in small_batches(batches, text):
             bodies, counts, gone = [], [], []
             for body, wanted in zip(batch.column(text).to_pylist(), batch.column("__chunks").to_pylist(), strict=True):
                 lines = body.split("\n") if body else []

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshwright.llm import byte_pairs, decontaminate, line_chunks, quality_rules, token_counts, url_filters
+from meshwright.llm import byte_pairs, decontaminate, line_chunks, quality_rules, subword_classifier, token_counts, url_filters
 from meshwright.llm.common import table
 from meshwright.session import cut
 
@@ -29,6 +29,15 @@ def op2_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = lambda key: F.crc32(F.col(key).cast("string").cast("binary")) % 5
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = subword_classifier.fit(docs, table(spark, sf_dir, "labels"), fold("__key") != 0)
+    return subword_classifier.score(docs, model).select(
+        "doc_id", F.coalesce(fold("doc_id") == 0, F.lit(False)).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"))\
         .select("page_id", "host", "path", "rule", "verdict")
@@ -58,6 +67,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_byte_pairs": op2_byte_pairs,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_url_filters": op4_url_filters,
     "op5_quality_rules": op5_quality_rules,
     "op8_decontamination": op8_decontamination,

@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from meshwright.llm.byte_pairs import read_ranks
+from meshwright.llm.common import small_batches
 
 KEPT_ENTRIES, KEPT_CHARS = 500_000, 48
-ROWS_PER_BATCH = 500
 WORDS = r"[^\x20\x09-\x0D]+"
 NOWHERE = -1
 
@@ -129,12 +129,10 @@ def count_tokens(frame: DataFrame, vocabulary: str, text: str = "text", words: s
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, cut = _counts(data.value), regex.compile(WORDS).findall
-        for whole in batches:
-            for start in range(0, whole.num_rows, ROWS_PER_BATCH):
-                batch = whole.slice(start, ROWS_PER_BATCH)
-                found = [cut(x or "") for x in batch.column(text).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(c) for c in kept], pa.array(map(len, found), pa.int64()),
-                     pa.array([sum(map(counts.__getitem__, x)) for x in found], pa.int64())], names=[*kept, words, tokens])
+        for batch in small_batches(batches, text):
+            found = [cut(x or "") for x in batch.column(text).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in kept], pa.array(map(len, found), pa.int64()),
+                 pa.array([sum(map(counts.__getitem__, x)) for x in found], pa.int64())], names=[*kept, words, tokens])
 
     return frame.mapInArrow(work, schema)
