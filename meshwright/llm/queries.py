@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshwright.llm import byte_pairs, decontaminate, line_chunks, quality_rules, subword_classifier, token_counts, url_filters
+from meshwright.llm import byte_pairs, decontaminate, line_chunks, near_duplicates, quality_rules, subword_classifier, token_counts, url_filters
 from meshwright.llm.common import table
 from meshwright.session import cut
 
@@ -51,6 +51,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(measured, rules).select("doc_id", *quality_rules.BASE_COLUMNS, "base_failed", "kept", "rule")
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates.near_duplicate_classes(docs).select("doc_id", "class_id", "n_links")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_classifier": op3_quality_classifier,
     "op4_url_filters": op4_url_filters,
     "op5_quality_rules": op5_quality_rules,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_decontamination": op8_decontamination,
     "op10_line_dedup": op10_line_dedup,
 }
