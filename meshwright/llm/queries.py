@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshwright.llm import byte_pairs, decontaminate, line_chunks, near_duplicates, quality_rules, subword_classifier, token_counts, url_filters
+from meshwright.llm import byte_pairs, decontaminate, line_chunks, near_duplicates, quality_rules, subword_classifier, substrings, token_counts, url_filters
 from meshwright.llm.common import table
 from meshwright.session import cut
 
@@ -63,6 +63,11 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.drop_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_chunks.drop_repeated_chunks(docs).select(
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_decontamination": op8_decontamination,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
 
