@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshwright.llm import byte_pairs, decontaminate, line_chunks, near_duplicates, quality_rules, subword_classifier, substrings, token_counts, url_filters
+from meshwright.llm import byte_pairs, decontaminate, language_model, line_chunks, near_duplicates, quality_rules, subword_classifier, substrings, token_counts, url_filters
 from meshwright.llm.common import table
 from meshwright.session import cut
 
@@ -51,6 +51,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(measured, rules).select("doc_id", *quality_rules.BASE_COLUMNS, "base_failed", "kept", "rule")
 
 
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model, counts = language_model.fit(language_model.learning_rows(docs, ~held_out))
+    return language_model.score(docs, model, counts).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates.near_duplicate_classes(docs).select("doc_id", "class_id", "n_links")
@@ -80,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_classifier": op3_quality_classifier,
     "op4_url_filters": op4_url_filters,
     "op5_quality_rules": op5_quality_rules,
+    "op6_language_model": op6_language_model,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_decontamination": op8_decontamination,
     "op9_substring_dedup": op9_substring_dedup,
