@@ -153,6 +153,7 @@ def layers(model: Model, features: np.ndarray, kind: np.ndarray, leaf: np.ndarra
     """Of a batch: (rows, told, chances) of the class layer, and the same with ``which`` tokens of the leaf layer."""
     rows = rows_1(features)
     margins = model.first[rows[0]] + model.first[rows[1]] + model.first[rows[2]] + model.first[0]
+    margins[:, ~model.used.any(1)] = -1e30  # a class without words
     told, chances = softmax(margins, kind)
     which = np.flatnonzero(kind < CLUSTERS)
     rows2 = rows_2(features[:, which], kind[which])

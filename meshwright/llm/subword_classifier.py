@@ -96,9 +96,12 @@ def features(text: str, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
     return buckets, counts[buckets]
 
 
-def train(texts: list[str], labels: list[int], shape: Shape, dimensions: int = 16, epochs: int = 8, rate: float = 0.5,
+def train(texts: list[str], labels: list[int], shape: Shape, dimensions: int = 16, epochs: int = 8, least_steps: int = 8000, rate: float = 0.5,
           seed: int = 7) -> np.ndarray:
-    """Each bucket's share of the margin of class 1 over class 0."""
+    """Each bucket's share of the margin of class 1 over class 0.
+
+    Few rows are passed more often, so that there are ``least_steps`` steps.
+    """
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / dimensions, 1 / dimensions, (shape.buckets, dimensions)).astype(np.float32)
     output = np.zeros((2, dimensions), np.float32)
@@ -108,6 +111,7 @@ def train(texts: list[str], labels: list[int], shape: Shape, dimensions: int = 1
     for text in texts:
         buckets, counts = features(text, shape)
         rows.append((buckets.astype(np.int32), (counts / counts.sum()).astype(np.float32)))
+    epochs = max(epochs, -(-least_steps // len(rows)))
     steps, step = epochs * len(rows), 0
     for _ in range(epochs):
         for k in rng.permutation(len(rows)):
