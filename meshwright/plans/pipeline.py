@@ -11,7 +11,6 @@ import json
 import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
-from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +27,7 @@ from meshwright.plans.skew import attach
 from meshwright.session import cut
 from meshwright.sources import assets, inputs, obj, runmeta
 from meshwright.sources.config import RunConfig
+from meshwright.sources.store import Store
 
 RUN_SCHEMA = "meshwright-run-v1"
 # Rotations (degrees about x, y, z) and seed stages of the four
@@ -326,55 +326,62 @@ def fingerprints(records: DataFrame, config: RunConfig, stages: Stages, level: s
         "execution": digest([meshwright.__version__, mode])}
 
 
-class RunLayout:
-    """A run's folder: control files by the driver, tables by Spark."""
-
-    def __init__(self, root: Path, run_id: str, prints: dict[str, str]):
-        self.root, self.run_id, self.prints = root, run_id, prints
+@dataclass(frozen=True)
+class Run:
+    """A run in its store: one identity, the fingerprints it began with, tables that only grow."""
 
-    @classmethod
-    def prepare(cls, output: str, prints: dict[str, str], resume: bool = False, overwrite: bool = False) -> "RunLayout":
-        if resume and overwrite:
-            raise RunError("resume and overwrite exclude each other")
-        root = Path(output).resolve()
-        if root.exists() and any(root.iterdir()):
-            if not (resume or overwrite):
-                raise RunError("a non-empty output folder needs resume or overwrite")
-            manifest = cls.read_manifest(root)
-            if resume:
-                if manifest.get("fingerprints") != prints:
-                    raise RunError("resume fingerprint mismatch for output folder")
-                return cls(root, str(manifest["run_id"]), prints)
-            stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
-            root.rename(root.with_name(f"{root.name}.superseded.{stamp}"))
-        root.mkdir(parents=True, exist_ok=True)
-        layout = cls(root, str(uuid.uuid4()), prints)
-        runmeta.write_json(root / "run_manifest.json", {
-            "schema": RUN_SCHEMA, "tool": "meshwright", "run_id": layout.run_id,
-            "created_at": datetime.now(timezone.utc).isoformat(), "fingerprints": prints})
-        return layout
-
-    @staticmethod
-    def read_manifest(root: Path) -> dict[str, Any]:
-        try:
-            payload = json.loads((root / "run_manifest.json").read_text(encoding="utf-8"))
-        except (OSError, json.JSONDecodeError) as error:
-            raise RunError(f"not a run folder: {root}") from error
-        if payload.get("schema") != RUN_SCHEMA or payload.get("tool") != "meshwright":
-            raise RunError(f"not a run folder: {root}")
-        return payload
+    store: Store
+    run_id: str
+    prints: dict[str, str]
 
     def event(self, kind: str, **details: Any) -> None:
-        with (self.root / "events.jsonl").open("a", encoding="utf-8") as log:
-            log.write(json.dumps({"event": kind, "at": datetime.now(timezone.utc).isoformat(),
-                                  "run_id": self.run_id, **details}, sort_keys=True) + "\n")
+        """One small file per event, named so that the names sort by time."""
+        now = datetime.now(timezone.utc)
+        self.store.put_json(f"events/{now:%Y%m%dT%H%M%S%f}-{kind}.json", {"event": kind, "at": now.isoformat(), "run_id": self.run_id, **details})
 
     def attempts(self, spark: SparkSession) -> DataFrame | None:
-        """All committed attempts: a table that only ever grows."""
-        folder = self.root / "attempts"
-        if not folder.is_dir() or not any(folder.iterdir()):
-            return None
-        return spark.read.parquet(str(folder))
+        """All committed attempts."""
+        return spark.read.parquet(self.store.at("attempts")) if self.store.names("attempts") else None
+
+
+def recorded_run(store: Store) -> Run:
+    """The run that a store holds."""
+    text = store.read("run_manifest.json")
+    try:
+        stated = json.loads(text) if text else {}
+    except json.JSONDecodeError:
+        stated = {}
+    if (stated.get("schema"), stated.get("tool")) != (RUN_SCHEMA, "meshwright"):
+        raise RunError(f"not a run folder: {store.uri}")
+    return Run(store, str(stated["run_id"]), stated["fingerprints"])
+
+
+def _new_run(store: Store, prints: dict[str, str]) -> Run:
+    made = Run(store, str(uuid.uuid4()), prints)
+    store.put_json("run_manifest.json", {
+        "schema": RUN_SCHEMA, "tool": "meshwright", "run_id": made.run_id, "fingerprints": prints,
+        "created_at": datetime.now(timezone.utc).isoformat()})
+    return made
+
+
+def begin(spark: SparkSession, output: str, prints: dict[str, str], resume: bool = False, overwrite: bool = False) -> Run:
+    """The run to write to: a new one, the recorded one, or a new one beside the recorded one's renamed store."""
+    store = Store(spark, output)
+    match (resume, overwrite, bool(store.names())):
+        case (True, True, _):
+            raise RunError("resume and overwrite exclude each other")
+        case (False, False, True):
+            raise RunError("a non-empty output folder needs resume or overwrite")
+        case (True, False, True):
+            found = recorded_run(store)
+            differing = sorted(k for k in {*prints, *found.prints} if prints.get(k) != found.prints.get(k))
+            if differing:
+                raise RunError(f"resume fingerprint mismatch: {', '.join(differing)}")
+            return found
+        case (False, True, True):
+            recorded_run(store)  # only a run may be set aside
+            store.set_aside(f"superseded.{datetime.now(timezone.utc):%Y%m%dT%H%M%S%fZ}")
+    return _new_run(store, prints)
 
 
 def run(
@@ -389,22 +396,22 @@ def run(
     """
     records, parsed = inputs.discover(spark, input_path, input_manifest)
     prints = fingerprints(records, config, stages, level, mode)
-    layout = RunLayout.prepare(output, prints, resume, overwrite)
-    layout.event("run_resume" if resume else "run_start")
+    here = begin(spark, output, prints, resume, overwrite)
+    here.event("run_resume" if resume else "run_start")
     todo = records
-    committed = layout.attempts(spark)
+    committed = here.attempts(spark)
     if committed is not None:
         latest = runs.current_attempts(committed).withColumn(
             "same_fingerprints", F.col("fingerprint") == json.dumps(prints, sort_keys=True))
         todo = runs.pending(records, latest, retry_failed)
     todo = cut(todo, "todo")
     if not todo.isEmpty():
-        _process_todo(spark, layout, todo, parsed, config, stages, level, mode)
-    return rebuild_summary(spark, str(layout.root))
+        _process_todo(spark, here, todo, parsed, config, stages, level, mode)
+    return rebuild_summary(spark, here.store.uri)
 
 
 def _process_todo(
-    spark: SparkSession, layout: RunLayout, todo: DataFrame, parsed: obj.ObjFiles, config: RunConfig,
+    spark: SparkSession, here: Run, todo: DataFrame, parsed: obj.ObjFiles, config: RunConfig,
     stages: Stages, level: str, mode: str
 ) -> None:
     attempt = str(uuid.uuid4())
@@ -421,16 +428,16 @@ def _process_todo(
     else:
         hashes = sound.select(F.col("output_key").alias("mesh_id"), "geometry_sha256")
         outcome = process(spark, meshes, hashes, config, stages, level)
-        obj.write_obj(outcome.final, str(layout.root / "meshes" / f"attempt={attempt}"))
-        outcome.trajectory.write.parquet(str(layout.root / "trajectory" / f"attempt={attempt}"))
+        obj.write_obj(outcome.final, here.store.at("meshes", f"attempt={attempt}"))
+        outcome.trajectory.write.parquet(here.store.at("trajectory", f"attempt={attempt}"))
         if config.phenotype is not None:
             table = assets.projection_table(spark, config.phenotype["lamda_csv"], config.phenotype["names_pp"])
             align.check_barycentric_table(table, config.expected_faces)
             spots = align.barycentric_landmarks(outcome.final, table)
-            runmeta.write_landmark_csv(spots, str(layout.root / "landmarks" / f"attempt={attempt}"))
+            runmeta.write_landmark_csv(spots, here.store.at("landmarks", f"attempt={attempt}"))
         if mode == "full":
             for name, rows in outcome.stages.items():
-                rows.write.parquet(str(layout.root / "diagnostics" / name / f"attempt={attempt}"))
+                rows.write.parquet(here.store.at("diagnostics", name, f"attempt={attempt}"))
         measured = outcome.measurements
         failed = outcome.failures.groupBy(F.col("mesh_id").alias("output_key")).agg(
             F.first("stage").alias("stage"), F.first("reason").alias("reason"),
@@ -454,7 +461,7 @@ def _process_todo(
     bodies = runmeta.measurement_bodies(measured)
     done = known.drop("hard_failures").join(verdicts, "output_key").join(bodies, "output_key", "left")
     state = F.create_map(*[x for c in HARD_CONTRACTS for x in (
-        F.lit(c), F.when(F.array_contains("hard_failures", c), "failed").when(F.col("failed"), "not_evaluated").otherwise("passed"))])
+        F.lit(c), F.when(F.array_contains("hard_failures", c), "failed").otherwise("passed"))])
     final = F.when(~F.col("failed"), F.concat(F.lit(f"meshes/attempt={attempt}/mesh_id="), F.col("output_key")))
     done.select(
         *[c for c in base.columns if c != "input_error"],
@@ -463,30 +470,28 @@ def _process_todo(
         "triggered_rules", "hard_failures", state.alias("hard_contracts"), final.alias("final_obj"),
         F.coalesce("measurements", F.lit("{}")).alias("measurements"),
         F.lit("complete").alias("commit_state"), F.lit(now).alias("committed_at"),
-        F.lit(attempt).alias("attempt_id"), F.lit(layout.run_id).alias("run_id"),
-        F.lit(json.dumps(layout.prints, sort_keys=True)).alias("fingerprint"),
-    ).write.mode("append").parquet(str(layout.root / "attempts"))
-    layout.event("sample_complete", attempt_id=attempt, samples=todo.count())
+        F.lit(attempt).alias("attempt_id"), F.lit(here.run_id).alias("run_id"),
+        F.lit(json.dumps(here.prints, sort_keys=True)).alias("fingerprint"),
+    ).write.mode("append").parquet(here.store.at("attempts"))
+    here.event("sample_complete", attempt_id=attempt, samples=todo.count())
 
 
 def rebuild_summary(spark: SparkSession, run_dir: str) -> dict[str, Any]:
     """Recount a run from its attempts and rewrite its sample list."""
-    root = Path(run_dir).resolve()
-    manifest = RunLayout.read_manifest(root)
-    layout = RunLayout(root, str(manifest["run_id"]), manifest["fingerprints"])
-    attempts = layout.attempts(spark)
+    here = recorded_run(Store(spark, run_dir))
+    attempts = here.attempts(spark)
     if attempts is None:
-        raise RunError(f"run has no committed samples: {root}")
+        raise RunError(f"run has no committed samples: {here.store.uri}")
     current = cut(runs.current_attempts(attempts), "current")
     stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
     runs.summary_rows(current).orderBy("output_key").write.csv(
-        str(root / "samples_csv" / stamp), header=True, lineSep="\n")
-    write_records(current, str(root / "metadata" / stamp))
+        here.store.at("samples_csv", stamp), header=True, lineSep="\n")
+    write_records(current, here.store.at("metadata", stamp))
     counts = qc_counts(current)
     summary = {"schema": "meshwright-summary-v1", "records": f"metadata/{stamp}", **counts,
                "generated_at": datetime.now(timezone.utc).isoformat()}
-    runmeta.write_json(root / "summary.json", summary)
-    layout.event("run_complete", **counts)
+    here.store.put_json("summary.json", summary)
+    here.event("run_complete", **counts)
     return summary
 
 
@@ -504,13 +509,11 @@ def write_records(current: DataFrame, folder: str) -> None:
 
 def run_measurements(spark: SparkSession, run_dir: str) -> tuple[DataFrame, DataFrame]:
     """(records, long-form measurements) of a run made by this engine."""
-    root = Path(run_dir).resolve()
-    manifest = RunLayout.read_manifest(root)
-    layout = RunLayout(root, str(manifest["run_id"]), manifest["fingerprints"])
-    attempts = layout.attempts(spark)
+    here = recorded_run(Store(spark, run_dir))
+    attempts = here.attempts(spark)
     if attempts is None:
-        raise RunError(f"run has no committed samples: {root}")
-    current = runs.current_attempts(attempts).withColumn("run_dir", F.lit(str(root)))
+        raise RunError(f"run has no committed samples: {here.store.uri}")
+    current = runs.current_attempts(attempts).withColumn("run_dir", F.lit(here.store.uri))
     bodies = current.withColumn("measurements", F.from_json(
         "measurements", "map<string,string>", {"allowNonNumericNumbers": "true"}))
     return current, runmeta.record_measurements(bodies)

@@ -1,5 +1,6 @@
 import json
 import re
+from unittest.mock import ANY
 
 import pytest
 from pyspark.sql import functions as F
@@ -86,7 +87,7 @@ def test_run_resume_and_quality(spark, folder, config, stages):
 
     again = pipeline.run(spark, out, config, stages, input_path=str(folder / "in"), resume=True, mode="full")
     assert again["counts"] == summary["counts"]
-    events = [json.loads(line)["event"] for line in (folder / "run" / "events.jsonl").read_text().splitlines()]
+    events = [json.loads(f.read_text())["event"] for f in sorted((folder / "run" / "events").glob("*.json"))]
     assert events == ["run_start", "sample_complete", "run_complete", "run_resume", "run_complete"]
     with pytest.raises(RunError, match="needs resume"):
         pipeline.run(spark, out, config, stages, input_path=str(folder / "in"))
@@ -94,14 +95,21 @@ def test_run_resume_and_quality(spark, folder, config, stages):
         pipeline.run(spark, out, config, stages, level="enhanced", input_path=str(folder / "in"), resume=True)
 
 
-def test_layout_archives_on_overwrite(tmp_path):
+def test_overwrite_sets_the_old_run_aside(spark, tmp_path):
     prints = {"input_set": "a", "scientific": "b", "execution": "c"}
-    first = pipeline.RunLayout.prepare(str(tmp_path / "r"), prints)
-    second = pipeline.RunLayout.prepare(str(tmp_path / "r"), prints, overwrite=True)
+    first = pipeline.begin(spark, str(tmp_path / "r"), prints)
+    second = pipeline.begin(spark, str(tmp_path / "r"), prints, overwrite=True)
     assert first.run_id != second.run_id
     assert len(list(tmp_path.glob("r.superseded.*"))) == 1
+    assert pipeline.begin(spark, str(tmp_path / "r"), prints, resume=True) == pipeline.Run(ANY, second.run_id, prints)
     with pytest.raises(RunError, match="exclude"):
-        pipeline.RunLayout.prepare(str(tmp_path / "r"), prints, resume=True, overwrite=True)
+        pipeline.begin(spark, str(tmp_path / "r"), prints, resume=True, overwrite=True)
+    with pytest.raises(RunError, match="scientific"):
+        pipeline.begin(spark, str(tmp_path / "r"), prints | {"scientific": "x"}, resume=True)
+    (tmp_path / "other").mkdir()
+    (tmp_path / "other" / "file").write_text("x")
+    with pytest.raises(RunError, match="not a run folder"):
+        pipeline.begin(spark, str(tmp_path / "other"), prints, overwrite=True)
 
 
 def test_stability_of_models_that_ignore_pose(spark, stages):
