@@ -587,7 +587,7 @@ SQL["gpa_scale_noisy"] = query(
 select p.mesh_id, {r('q.size / p.size', 8)} as scale from size_p p join size_q q on q.mesh_id = p.mesh_id""")
 SQL["landmark_alignment"] = query(
     MESHES, LANDMARKS,
-    "t as (select s_acctbal as x, s_nationkey * 10.0 as y, s_suppkey * 7.0 as z from supplier where s_suppkey < 9)",
+    "t as (select avg(s_acctbal) as x, avg(s_nationkey * 10.0) as y, (s_suppkey % 9) * 7.0 as z from supplier group by s_suppkey % 9)",
     "tc as (select avg(x) as cx, avg(y) as cy, avg(z) as cz from t)",
     "ts as (select sqrt(sum((x-cx)*(x-cx) + (y-cy)*(y-cy) + (z-cz)*(z-cz))) as size from t, tc)",
     "mc as (select *, avg(x) over w as cx, avg(y) over w as cy, avg(z) over w as cz from marks window w as (partition by mesh_id))",
@@ -672,7 +672,7 @@ def point_triangle(points: str, vertices: str, faces: str, name: str) -> str:
 
 
 SQL["surface_distance"] = query(
-    MESHES, LANDMARKS, "points as (select mesh_id, cast(idx as bigint) as vid, x, y, z from marks)",
+    MESHES, "points as (select mesh_id, vid, x + 7.0 as x, y, z * 1.5 as z from fx_vertices)",
     point_triangle("points", "fx_vertices", "fx_faces", "near"),
     body=f"select mesh_id, vid, {r('distance', 5)} as distance from near")
 SQL["surface_residuals"] = query(
@@ -853,8 +853,7 @@ SQL["self_intersection_count"] = query(
        and v/det >= -1e-10 and u/det + v/det <= 1+1e-10 and t/det >= -1e-10 and t/det <= 1+1e-10)""",
     "n as (select mesh_id, count(*) as n from hit group by mesh_id)",
     body="""
-select x.mesh_id, cast(coalesce(n.n, 0) as bigint) as pair_count, cast(least(coalesce(n.n, 0), 40) as bigint) as reported,
-  coalesce(n.n, 0) >= 40 as truncated from fx_n x left join n on n.mesh_id = x.mesh_id""")
+select x.mesh_id, cast(coalesce(n.n, 0) as bigint) as pair_count from fx_n x left join n on n.mesh_id = x.mesh_id""")
 
 # --- identity, runs, text scans and files --------------------------------------
 
@@ -868,7 +867,7 @@ def _seed(stage: str) -> str:
     return f"cast({total} as varchar)"
 
 
-SQL["stage_seeds"] = f"select doc_id, {_seed('crop')} as seed_crop, {_seed('landmark')} as seed_landmark from documents"
+SQL["stage_seeds"] = f"select doc_id, {_seed('crop')} as seed_crop, {_seed('landmark')} as seed_landmark, {_seed('crop:S1')} as seed_crop_s1, {_seed('landmark:S1')} as seed_landmark_s1 from documents"
 _STEM = "array_to_string(list_slice(string_split(url, '/'), 1, 4), '/')"
 SQL["output_keys"] = f"""
 with a as (select page_id, url, regexp_replace(regexp_replace(regexp_replace({_STEM},
@@ -884,36 +883,43 @@ select doc_id, cast(count(*) over (partition by text) as bigint) as group_size f
 SQL["resume_pending"] = """
 with rec as (
   select cast(l_orderkey as varchar) as output_key, l_linestatus = 'O' as complete, l_returnflag = 'R' as failed,
-    l_quantity > 2.0 as same, row_number() over (partition by l_orderkey order by l_shipdate desc, l_suppkey desc) as rn
-  from lineitem where l_linenumber = 2)
+    l_quantity > 2.0 as same, row_number() over (partition by l_orderkey order by l_shipdate desc, l_linenumber desc) as rn
+  from lineitem)
 select case when r.output_key is null then 'pending' when not same then 'mismatch' when not complete then 'retry'
     when failed then 'retry' else 'skip' end as action, cast(count(*) as bigint) as n
 from orders o left join rec r on r.output_key = cast(o.o_orderkey as varchar) and r.rn = 1 group by 1"""
 
 
 def privacy(table: str, key: str, text: str) -> str:
-    """First match per rule; look-around is spelled out for this engine."""
-    email = f"regexp_extract({text}, '(?i)\\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\\.[A-Z]{{2,}}\\b')"
-    cred = (f"regexp_extract({text}, '(?i)\\b(?:api[_-]?key|access[_-]?token|password|passwd|secret)"
+    """Every match per rule; look-around is spelled out for this engine.
+
+    A phone number needs a separator on both sides, so separators are doubled
+    for neighbours to have their own.
+    """
+    email = f"regexp_extract_all({text}, '(?i)\\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\\.[A-Z]{{2,}}\\b')"
+    cred = (f"regexp_extract_all({text}, '(?i)\\b(?:api[_-]?key|access[_-]?token|password|passwd|secret)"
             "\\s*[:=]\\s*[\"'']?([^\\s\"'']+)')")
-    phone = f"regexp_extract({text}, '(^|[^0-9A-Fa-f])(1[3-9][0-9]{{9}})([^0-9A-Fa-f]|$)', 2)"
+    doubled = f"regexp_replace({text}, '([^0-9A-Fa-f])', '\\1\\1', 'g')"
+    phone = f"regexp_extract_all({doubled}, '(^|[^0-9A-Fa-f])(1[3-9][0-9]{{9}})([^0-9A-Fa-f]|$)', 2)"
     home = (f"list_filter(regexp_extract_all({text}, '/home/[^/\\s]+'), "
-            "lambda x: not regexp_matches(x, '^/home/(user|path)(\\b|$)'))[1]")
+            "lambda x: not regexp_matches(x, '^/home/(user|path)(\\b|$)'))")
     drive = (f"list_filter(regexp_extract_all({text}, '(?i)\\b[A-Z]:\\\\[^\\s`\"'']+'), "
-             "lambda x: not regexp_matches(x, '(?i)^[A-Z]:\\\\(path\\\\to|Program)(\\\\|\\b)'))[1]")
+             "lambda x: not regexp_matches(x, '(?i)^[A-Z]:\\\\(path\\\\to|Program)(\\\\|\\b)'))")
     rules = {"email_address": email, "credential_value": cred, "phone_number": phone,
              "unix_home_path": home, "windows_absolute_path": drive}
     return " union all ".join(
-        f"select {key}, '{rule}' as rule, substr({expr}, 1, 160) as detail from {table} where coalesce({expr}, '') <> ''"
+        f"select {key}, '{rule}' as rule, unnest({expr}) as detail from {table}"
         for rule, expr in rules.items())
 
 
+SQL["calibration_sample"] = """
+select doc_id from documents order by sha256('20260730:|' || doc_id), doc_id limit 300"""
 SQL["privacy_scan_documents"] = privacy("documents", "doc_id", "text")
 SQL["privacy_scan_pages"] = privacy("pages", "page_id", "html")
 SQL["path_scan_pages"] = """
 with p as (select lower(url) as u from pages),
 f as (
-  select 'prohibited_path' as rule, list_sort(list_intersect(string_split(u, '/'), ['a', 'p', 'docs', 'build', 'dist']))[1] as detail from p
+  select 'prohibited_path' as rule, unnest(list_intersect(string_split(u, '/'), ['a', 'p', 'docs', 'build', 'dist'])) as detail from p
   union all
   select 'prohibited_data_file', case when regexp_extract(u, '\\.[^./]+$') in ('.html', '.pdf') then regexp_extract(u, '\\.[^./]+$') end from p)
 select rule, detail, cast(count(*) as bigint) as n from f where detail is not null group by rule, detail"""

@@ -488,9 +488,9 @@ def gpa_scale_noisy(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def landmark_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coarse alignment of each mesh by nine landmarks onto one shared set."""
-    template = derive.read(spark, sf_dir, "supplier").where(F.col("s_suppkey") < 9).select(
-        F.col("s_suppkey").cast("int").alias("idx"), F.col("s_acctbal").alias("x"),
-        (F.col("s_nationkey") * 10.0).alias("y"), (F.col("s_suppkey") * 7.0).alias("z"))
+    # All suppliers, folded to nine points.
+    template = derive.read(spark, sf_dir, "supplier").groupBy((F.col("s_suppkey") % 9).cast("int").alias("idx")).agg(
+        F.avg("s_acctbal").alias("x"), F.avg(F.col("s_nationkey") * 10.0).alias("y")).withColumn("z", F.col("idx") * 7.0)
     _, report = align.landmark_alignment(
         derive.strip(spark, sf_dir), derive.landmarks(spark, sf_dir), template)
     return report.select("mesh_id", "aligned", clean(F.col("scale")).alias("scale"))
@@ -550,9 +550,10 @@ def template_topology(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def surface_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distance from each landmark to its mesh's surface."""
-    points = derive.landmarks(spark, sf_dir).withColumn("vid", F.col("idx").cast("bigint"))
-    found = surface.surface_distances(points, derive.strip(spark, sf_dir))
+    """Distance from every moved vertex to its mesh's surface."""
+    meshes = derive.strip(spark, sf_dir)
+    points = meshes.vertices.select(*KEY, "vid", (F.col("x") + 7.0).alias("x"), "y", (F.col("z") * 1.5).alias("z"))
+    found = surface.surface_distances(points, meshes)
     return found.select("mesh_id", "vid", clean(F.col("distance"), 5).alias("distance"))
 
 
@@ -575,8 +576,7 @@ def aabb_candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def self_intersection_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = surface.self_intersections(derive.scrambled(spark, sf_dir), cap=40)
-    return found.select("mesh_id", "pair_count", F.col("count").cast("bigint").alias("reported"), "truncated")
+    return surface.self_intersections(derive.scrambled(spark, sf_dir)).select("mesh_id", "pair_count")
 
 
 # --- registration --------------------------------------------------------------
@@ -681,8 +681,8 @@ def stage_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = derive.read(spark, sf_dir, "documents")
     digest = F.sha2("text", 256)
     return documents.select(
-        "doc_id", *[identity.stage_seed(digest, s, 42).cast("string").alias(f"seed_{s}")
-                    for s in ("crop", "landmark")])
+        "doc_id", *[identity.stage_seed(digest, s, 42).cast("string").alias(f"seed_{s.replace(':', '_').lower()}")
+                    for s in ("crop", "landmark", "crop:S1", "landmark:S1")])
 
 
 @registered
@@ -713,13 +713,13 @@ def resume_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders against recorded line items: what a resumed run would do."""
     orders = derive.read(spark, sf_dir, "orders")
     inputs = orders.select(F.col("o_orderkey").cast("string").alias("output_key"))
-    recorded = derive.read(spark, sf_dir, "lineitem").where(F.col("l_linenumber") == 2).select(
+    recorded = derive.read(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("output_key"),
         F.when(F.col("l_linestatus") == "O", "complete").otherwise("staged").alias("commit_state"),
         F.when(F.col("l_returnflag") == "R", "failed").otherwise("passed").alias("status"),
-        (F.col("l_quantity") > 2.0).alias("same_fingerprints"), "l_shipdate", "l_suppkey")
+        (F.col("l_quantity") > 2.0).alias("same_fingerprints"), "l_shipdate", "l_linenumber")
     latest = runs.current_attempts(recorded.withColumnsRenamed(
-        {"l_shipdate": "committed_at", "l_suppkey": "attempt_id"}))
+        {"l_shipdate": "committed_at", "l_linenumber": "attempt_id"}))
     actions = runs.classify(inputs, latest, retry_failed=True)
     return actions.groupBy("action").agg(F.count(F.lit(1)).alias("n"))
 

@@ -99,6 +99,18 @@ def paired(source: DataFrame, target: DataFrame, on: str = "vid") -> DataFrame:
     )
 
 
+def _spans_a_plane(side: str) -> Column:
+    """Aggregate: whether points are neither one place nor on one line, at any scale.
+
+    The second elementary symmetric function of the covariance's eigenvalues
+    vanishes against the square of their sum if only one of them is left.
+    """
+    x, y, z = (F.col(f"{side}{a}") for a in "xyz")
+    spread = F.var_pop(x) + F.var_pop(y) + F.var_pop(z)
+    minors = sum(F.var_pop(u) * F.var_pop(v) - F.covar_pop(u, v) * F.covar_pop(u, v) for u, v in ((x, y), (x, z), (y, z)))
+    return (spread > 0.0) & (minors > 1.0e-14 * spread * spread)
+
+
 def landmark_alignment(meshes: MeshSet, landmarks: DataFrame, template: DataFrame) -> tuple[MeshSet, DataFrame]:
     """Move whole meshes by the fit of their nine landmarks onto the template's.
 
@@ -116,9 +128,8 @@ def landmark_alignment(meshes: MeshSet, landmarks: DataFrame, template: DataFram
             value = F.col(f"{side}{a}")
             finite = finite & ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
     usable = pairs.groupBy(*KEY).agg(
-        ((F.count(F.lit(1)) == LANDMARK_COUNT) & F.bool_and(finite)).alias("usable"))
+        ((F.count(F.lit(1)) == LANDMARK_COUNT) & F.bool_and(finite) & _spans_a_plane("p") & _spans_a_plane("q")).alias("usable"))
     fit = similarity(pairs.join(usable.where("usable"), KEY).drop("usable"))
-    fit = fit.where(F.col("second") > 1.0e-12)
     moved = pairs.join(fit.select(*KEY, "rotation", "scale", "tx", "ty", "tz"), KEY)
     placed = moved.select(*KEY, "qx", "qy", "qz", *transformed(("px", "py", "pz")))
     gap2 = sum((F.col(a) - F.col(f"q{a}")) * (F.col(a) - F.col(f"q{a}")) for a in "xyz")

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The patterns a release must not contain, and how much of a
-# match a finding reports.
+# The patterns a release must not contain.
 PATTERNS = {
     "windows_absolute_path":
         r"(?i)\b[A-Z]:\\(?!path\\to(?:\\|\b)|Program Files(?:\\|\b))[^\s`\"']+",
@@ -16,26 +15,28 @@ PATTERNS = {
     "credential_value":
         r"(?i)\b(?:api[_-]?key|access[_-]?token|password|passwd|secret)\s*[:=]\s*[\"']?([^\s\"']+)",
 }
-DETAIL_WIDTH = 160
+# A match needs one of these, so most texts skip the backtracking patterns.
+LITERALS = {"windows_absolute_path": ":\\", "unix_home_path": "/home/", "email_address": "@"}
 
 
 def findings(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """(key, rule, detail): the first match of each pattern in each whole text."""
+    """(key, rule, detail): every match of each pattern in each whole text."""
+    def matches(rule: str, pattern: str) -> Column:
+        found = F.regexp_extract_all(text, F.lit(f"({pattern})"), 1)
+        return F.when(F.contains(F.col(text), F.lit(LITERALS[rule])), found) if rule in LITERALS else found
+
     checks = F.array(*[
-        F.struct(F.lit(rule).alias("rule"),
-                 F.regexp_substr(text, F.lit(pattern)).alias("match"))
-        for rule, pattern in PATTERNS.items()
-    ])
-    return texts.select(key, F.explode(checks).alias("f")).where(F.col("f.match").isNotNull()).select(
-        key, F.col("f.rule").alias("rule"), F.substring("f.match", 1, DETAIL_WIDTH).alias("detail"))
+        F.struct(F.lit(rule).alias("rule"), matches(rule, pattern).alias("matches")) for rule, pattern in PATTERNS.items()])
+    each = texts.select(key, F.explode(checks).alias("f")).select(key, F.col("f.rule").alias("rule"), F.explode("f.matches").alias("detail"))
+    return each
 
 
 def path_findings(paths: DataFrame, key: str, segments: list[str], suffixes: list[str]) -> DataFrame:
-    """(key, rule, detail): paths with a forbidden folder name or file suffix."""
+    """(key, rule, detail): each forbidden folder name and file suffix of each path."""
     parts = F.split(F.lower(key), "/")
     hit = F.array_sort(F.array_intersect(parts, F.array(*[F.lit(s) for s in segments])))
-    folder: Column = F.when(F.size(hit) > 0, F.struct(F.lit("prohibited_path").alias("rule"), hit[0].alias("detail")))
+    folders: Column = F.transform(hit, lambda h: F.struct(F.lit("prohibited_path").alias("rule"), h.alias("detail")))
     suffix_text = F.regexp_extract(F.lower(key), r"\.[^./]+$", 0)
     suffix = F.when(suffix_text.isin(*suffixes),
                     F.struct(F.lit("prohibited_data_file").alias("rule"), suffix_text.alias("detail")))
-    return paths.select(key, F.explode(F.array_compact(F.array(folder, suffix))).alias("f")).select(key, "f.*")
+    return paths.select(key, F.explode(F.concat(folders, F.array_compact(F.array(suffix)))).alias("f")).select(key, "f.*")

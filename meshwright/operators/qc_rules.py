@@ -126,9 +126,21 @@ def _rule_literal(position: int, rule: Rule, mode: str) -> Column:
     )
 
 
+_DIGITS = r"\d+(_\d+)*"
+NUMBER = rf"(?i)^[+-]?(({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})(e[+-]?{_DIGITS})?|inf|infinity|nan)$"
+
+
+def sample_keys(rows: DataFrame) -> list[str]:
+    """What names a sample: its output key, within its run where several runs are read."""
+    return [c for c in ("run_dir", "output_key") if c in rows.columns]
+
+
 def _coerced(m: Column) -> Column:
     """A measurement's value as a number: numbers, booleans and numeric text."""
-    numeric_text = F.trim(m["value_string"]).try_cast("double")
+    # Digits may be grouped by single underscores; suffixes and hexadecimal are not numbers.
+    text = F.trim(m["value_string"])
+    plain = F.when(text.rlike(NUMBER), F.regexp_replace(text, "_", ""))
+    numeric_text = plain.try_cast("double")
     return F.when(m["value_kind"].isin("double", "long", "bool"), m["value_double"]).when(
         m["value_kind"] == "string", numeric_text
     )
@@ -184,16 +196,17 @@ def per_sample(
     ruled = F.collect_list(F.when(F.col("metric").isin(wanted), entry)) if wanted else (
         F.collect_list(F.when(F.lit(False), entry)))
     broken = F.col("compute_status").isin(*GLOBAL_ERROR_STATUSES)
-    grouped = measurements.groupBy("output_key").agg(
+    keys = sample_keys(measurements)
+    grouped = measurements.groupBy(*keys).agg(
         F.map_from_entries(ruled).alias("ruled"),
         F.coalesce(F.bool_or(broken), F.lit(False)).alias("any_error"),
     )
     if samples is None:
         return grouped.withColumn("hard_failures", F.array().cast("array<string>"))
     kept = samples.select(
-        "output_key", F.coalesce("hard_failures", F.array().cast("array<string>")).alias("hard_failures")
+        *keys, F.coalesce("hard_failures", F.array().cast("array<string>")).alias("hard_failures")
     )
-    joined = kept.join(grouped, "output_key", "left")
+    joined = kept.join(grouped, keys, "left")
     return joined.withColumn("any_error", F.coalesce("any_error", F.lit(False)))
 
 
@@ -236,7 +249,7 @@ def rule_results(
         "trigger condition not matched"
     )
     return judged.select(
-        "output_key",
+        *sample_keys(judged),
         rule["rule_ord"].alias("rule_ord"),
         rule["rule_id"].alias("rule_id"),
         rule["metric"].alias("metric"),
@@ -257,14 +270,14 @@ def sample_status(
     """Verdict per sample: failed > warning > passed, with the rules that fired."""
     if not active_rules(ruleset, level):
         rows = per_sample(measurements, [], samples).select(
-            "output_key", F.col("any_error").alias("qc_incomplete"), "hard_failures",
+            *sample_keys(measurements), F.col("any_error").alias("qc_incomplete"), "hard_failures",
             F.array().cast("array<string>").alias("triggered_rules"),
             F.lit(False).alias("warned"),
         )
     else:
         results = rule_results(measurements, ruleset, level, samples)
         fired = F.collect_list(F.when(F.col("triggered"), F.struct("rule_ord", "rule_id")))
-        rows = results.groupBy("output_key").agg(
+        rows = results.groupBy(*sample_keys(results)).agg(
             (F.bool_or("any_error") | F.bool_or(~F.col("evaluated"))).alias("qc_incomplete"),
             F.first("hard_failures").alias("hard_failures"),
             F.transform(F.array_sort(fired), lambda e: e["rule_id"]).alias("triggered_rules"),
@@ -275,5 +288,5 @@ def sample_status(
         .when(F.col("qc_incomplete") | F.col("warned"), "warning")
         .otherwise("passed")
     )
-    return rows.select("output_key", status.alias("status"), "qc_incomplete",
+    return rows.select(*sample_keys(rows), status.alias("status"), "qc_incomplete",
                        "triggered_rules", "hard_failures")

@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import random
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meshwright.operators.qc_rules import RuleSet, sample_status
-from meshwright.plans.ranking import exact_quantiles, global_position
-from meshwright.plans.skew import attach_small
+from meshwright.plans.ranking import exact_quantiles
 
 DISTRIBUTION = {"p01": 0.01, "p05": 0.05, "median": 0.5, "p95": 0.95, "p99": 0.99}
-SHUFFLE_LIMIT = 1 << 24
 
 
 def scalar_measurements(measurements: DataFrame) -> DataFrame:
@@ -85,8 +81,10 @@ def labeled_predictions(
     """Verdict at the enhanced level next to each reviewed sample's label."""
     known = labels.where(F.col("label").isin("acceptable", "unacceptable"))
     verdicts = sample_status(measurements, ruleset, "enhanced", samples)
-    return verdicts.join(known, "output_key").select(
-        "output_key", "label", F.col("status").alias("qc_status"),
+    keys = [c for c in ("run_dir", "output_key") if c in verdicts.columns]
+    shared = [c for c in keys if c in known.columns]
+    return verdicts.join(known.select(*shared, "label"), shared).select(
+        *keys, "label", F.col("status").alias("qc_status"),
         F.col("status").isin("warning", "failed").alias("predicted_abnormal"),
     )
 
@@ -108,22 +106,12 @@ def clean_labels(rows: DataFrame) -> tuple[str, DataFrame]:
 
 
 def seeded_sample(records: DataFrame, order: list[str], target: int, seed: int) -> DataFrame:
-    """The first ``target`` records of a seeded shuffle of their sorted order.
+    """The first ``target`` records in the order of a seeded hash of their key columns ``order``.
 
-    Only the record count reaches the driver: the shuffle permutes positions,
-    and the chosen positions, at most ``target``, are joined back.
+    A distributed top-k: no task sees more than its own records and ``target`` others.
     """
-    total = records.count()
-    if total <= target:
-        return records
-    if total > SHUFFLE_LIMIT:
-        raise ValueError(f"a seeded shuffle of {total} records needs more than the driver holds")
-    positions = list(range(total))
-    random.Random(int(seed)).shuffle(positions)
-    spark = records.sparkSession
-    chosen = spark.createDataFrame([(p,) for p in positions[:target]], "position bigint")
-    placed = global_position(records, order, "position")
-    return attach_small(placed, chosen, ["position"], "left_semi").drop("position")
+    digest = F.sha2(F.concat_ws("|", F.lit(f"{int(seed)}:"), *[F.col(c).cast("string") for c in order]), 256)
+    return records.orderBy(digest, *order).limit(max(0, int(target)))
 
 
 def blinded_order(samples: DataFrame, seed: int, limit: int) -> DataFrame:

@@ -348,15 +348,14 @@ class Registered:
     trajectory: DataFrame
 
 
-def expand_template(template: MeshSet, targets: MeshSet, row_limit: int = 200_000) -> MeshSet:
+def expand_template(template: MeshSet, targets: MeshSet) -> MeshSet:
     """One copy of the template per target mesh.
 
     The copies are the starting points of the registration, so their number is
     its output size. Each mesh gets the template's row numbers, and the template
-    is joined to them, broadcast after its size is checked.
+    is joined to them: broadcast where its checked size allows, else by a shuffle
+    on the row number.
     """
-    if template.largest > row_limit:
-        raise ValueError(f"a template of {template.largest} rows is too large to copy per mesh")
     points = cut(template.vertices.select("nv", "vid", *POSITION), "template-points")
     faces = cut(template.faces.select("nv", "fid", "a", "b", "c"), "template-faces")
 

@@ -15,7 +15,6 @@ from meshwright.plans.skew import attach, probe_join
 from meshwright.session import cut, spread
 
 EPSILON = 1.0e-10
-PAIR_CAP = 1000
 # The first search radius is the mean face width times two to this power.
 FIRST_STEP = 0
 
@@ -70,8 +69,13 @@ def surface_distances(points: DataFrame, surface: MeshSet, label: str = "surface
     A face lives in the grid level its size calls for, in at most eight cells.
     A point looks into every level in use, within a search radius that widens
     until its best distance lies inside it. Only the running minimum is kept.
+    Points with a coordinate that is not finite get no row, nor do points whose
+    mesh has no finite face.
     """
-    boxes = cut(triangle_boxes(surface), f"{label}-boxes")
+    # A search for a point that is not finite, or among such faces, would never end.
+    points = points.where(grid.finite(*AXES))
+    boxes = triangle_boxes(surface)
+    boxes = cut(boxes.where(grid.finite(*[f"{end}_{a}" for end in ("lo", "hi") for a in AXES])), f"{label}-boxes")
     # A face is stored in up to eight cells.
     stored_rows = 8 * boxes.count()
     sized = size_levels(boxes)
@@ -317,17 +321,11 @@ def intersecting_faces(pairs: DataFrame) -> DataFrame:
     return solid.unionByName(level.select(*kept))
 
 
-def self_intersections(meshes: MeshSet, cap: int = PAIR_CAP) -> DataFrame:
-    """Intersecting non-adjacent face pairs per mesh.
-
-    ``pair_count`` is the true number; ``count`` is the reported one, which stops
-    at ``cap`` as the measurement defines.
-    """
+def self_intersections(meshes: MeshSet) -> DataFrame:
+    """The number of intersecting non-adjacent face pairs per mesh."""
     pairs = intersecting_faces(cut(overlapping_faces(meshes), "face-pairs"))
     counted = pairs.groupBy(*KEY).agg(F.count(F.lit(1)).alias("pair_count"))
     return meshes.meshes().join(counted, KEY, "left").select(
         *KEY,
         F.coalesce("pair_count", F.lit(0)).alias("pair_count"),
-        F.least(F.coalesce("pair_count", F.lit(0)), F.lit(cap)).alias("count"),
-        (F.coalesce("pair_count", F.lit(0)) >= cap).alias("truncated"),
     )

@@ -45,6 +45,14 @@ def cell_of(point: dict[str, Column], size: Column) -> Column:
     )
 
 
+def finite(*columns: str) -> Column:
+    """Whether all the columns are numbers other than NaN and infinity."""
+    held = F.lit(True)
+    for name in columns:
+        held = held & F.coalesce(F.abs(name) < F.lit(float("inf")), F.lit(False))
+    return held
+
+
 def start_radius(points: DataFrame, keys: list[str], k: int) -> DataFrame:
     """Per group: point count, a first search radius and the widest extent.
 
@@ -62,12 +70,14 @@ def nearest(
     """The k nearest targets of each query within its mesh.
 
     ``queries`` and ``targets`` are (mesh_id, nv, vid, x, y, z, …features), each
-    with its own table's row count per mesh as nv. Coordinates are finite.
+    with its own table's row count per mesh as nv. Rows with a feature that is not
+    finite have no neighbours and are none.
     ``features`` name the columns of the distance and start with x, y, z. The
     result is (mesh_id, vid, rank, neighbour, d2); ties go to the lower id.
     Distance over more features than position is never smaller than positional
     distance, so the positional cells still hold every candidate.
     """
+    queries, targets = queries.where(finite(*features)), targets.where(finite(*features))
     stats = start_radius(targets, ["mesh_id", "nv"], k)
     asked = queries.groupBy("mesh_id", "nv").agg(F.count(F.lit(1)).alias("_asked"))
     asked = asked.join(stats.drop("nv"), "mesh_id").drop("_asked")
@@ -121,6 +131,8 @@ def nearest(
             break
         pending = cut(sized.join(left, ["mesh_id", "vid"], "left_semi"), f"{label}-left")
         scale *= 2.0
+        if scale > 2.0**1100:
+            raise ValueError(f"{rows} searches have no answer at any radius")
     found = done[0]
     for part in done[1:]:
         found = found.unionByName(part)

@@ -137,7 +137,7 @@ def process(
     failures.append(cut(_final_contract(normal, config), "failures"))
     hits = surface.self_intersections(normal)
     rows.append(long_form(hits, "mesh_id", [
-        scalar("final.geometry.self_intersection_count", F.col("count"), "count", "long"),
+        scalar("final.geometry.self_intersection_count", F.col("pair_count"), "count", "long"),
         scalar("final.geometry.vertex_count", F.col("nv"), "count", "long")]))
     if level == "enhanced":
         rows.append(_stability_rows(meshes, cropped, marked, points, hashes, stages))

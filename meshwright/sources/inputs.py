@@ -15,7 +15,6 @@ from meshwright.plans.skew import attach_count
 from meshwright.session import cut
 
 MANIFEST_COLUMNS = ("input_obj", "sample_id", "subject_group", "batch_id")
-FOLDER_LIMIT = 10_000
 
 
 class InputError(ValueError):
@@ -107,10 +106,8 @@ def discover(
     else:
         listed = listed_manifest(spark, input_manifest)
         folders = listed.select(F.regexp_replace("path", "/[^/]*$", "").alias("f")).distinct()
-        rows = folders.limit(FOLDER_LIMIT + 1).collect()
-        if len(rows) > FOLDER_LIMIT:
-            raise InputError(f"a manifest may span {FOLDER_LIMIT} folders at most")
-        sources = [r[0] for r in rows if Path(r[0]).is_dir()]
+        # Spark lists the files it reads on the driver, so their folders fit there as well.
+        sources = [r[0] for r in folders.toLocalIterator() if Path(r[0]).is_dir()]
     listed = cut(listed, "listed")
     if listed.isEmpty():
         raise InputError("no OBJ files found")

@@ -67,6 +67,16 @@ def test_landmark_alignment_needs_nine_spread_points(spark, cloud):
     assert np.allclose(points_of(moved.vertices.where("mesh_id = 1")), cloud * 2 + 1)
 
 
+@pytest.mark.parametrize("size", [1e-7, 1.0, 1e3])
+def test_landmarks_on_a_line_are_not_aligned_at_any_size(spark, cloud, size):
+    meshes = mesh_set(spark, {m: (cloud * size, [(0, 1, 2)]) for m in (1, 2)})
+    marks = spark.createDataFrame([(m, n, *map(float, (cloud[n] if m == 1 else np.array([0.1, 0.7, 0.3]) * n) * size)) for m in (1, 2) for n in range(9)],
+                                  "mesh_id bigint, idx int, x double, y double, z double")
+    template = spark.createDataFrame([(n, *map(float, cloud[n])) for n in range(9)], "idx int, x double, y double, z double")
+    _, report = align.landmark_alignment(meshes, marks, template)
+    assert {r["mesh_id"]: r["aligned"] for r in report.collect()} == {1: True, 2: False}
+
+
 def test_symmetrize_triple(spark):
     meshes = mesh_set(spark, {1: ([(-1, 0, 0), (2, 0, 0), (0.5, 1, 0)], [(0, 1, 2)])})
     mirror = spark.createDataFrame([(0, 1), (1, 0), (2, 2)], "vid bigint, ref bigint")
@@ -165,11 +175,24 @@ APART = ([(0, 0, 0), (2, 0, 0), (0, 2, 0), (1.9, 1.9, 0), (3, 1.9, 0), (1.9, 3,
 
 def test_self_intersections(spark):
     meshes = mesh_set(spark, {1: CROSSING, 2: ADJACENT, 3: COPLANAR, 4: APART, 5: TETRAHEDRON})
-    got = {r["mesh_id"]: r["count"] for r in surface.self_intersections(meshes).collect()}
+    got = {r["mesh_id"]: r["pair_count"] for r in surface.self_intersections(meshes).collect()}
     assert got == {1: 1, 2: 0, 3: 1, 4: 0, 5: 0}
     flat = ([(0, 0, 0), (4, 0, 0), (0, 4, 0)] * 3, [(0, 1, 2), (3, 4, 5), (6, 7, 8)])
-    row = surface.self_intersections(mesh_set(spark, {1: flat}), cap=2).first()
-    assert (row["pair_count"], row["count"], row["truncated"]) == (3, 2, True)
+    assert surface.self_intersections(mesh_set(spark, {1: flat})).first()["pair_count"] == 3
+
+
+def test_searches_end_with_values_that_are_not_finite(spark, cloud):
+    nan = float("nan")
+    odd = [*map(tuple, cloud[:-1]), (nan, 0.0, 0.0)]
+    meshes = mesh_set(spark, {1: (cloud, [(0, 1, 2), (3, 4, 5)]), 2: (odd, [(0, 1, 2), (3, 4, len(odd) - 1)])})
+    marks = spark.createDataFrame([(m, len(cloud), n, nan if (m, n) == (1, 0) else float(cloud[n][0]), float(cloud[n][1]), float(cloud[n][2]))
+                                   for m in (1, 2) for n in range(9)], "mesh_id bigint, nv bigint, idx int, x double, y double, z double")
+    snapped = {(r["mesh_id"], r["idx"]): r["vertex_id"] for r in landmarks.snap(marks, meshes).collect()}
+    assert snapped == {(m, n): n for m in (1, 2) for n in range(9) if (m, n) != (1, 0)}
+    failures = {r["mesh_id"]: r["failures"] for r in landmarks.contract_failures(marks, meshes).collect()}
+    assert failures == {1: ["contract.landmarks_finite"], 2: []}
+    found = surface.surface_distances(meshes.vertices, meshes).groupBy("mesh_id").count().collect()
+    assert {r["mesh_id"]: r["count"] for r in found} == {1: len(cloud), 2: len(cloud) - 1}
 
 
 def test_box_pairs_match_brute_force_across_sizes(spark, cloud):

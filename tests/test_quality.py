@@ -1,5 +1,5 @@
+import hashlib
 import json
-import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,16 +98,34 @@ def test_confusion_without_cases_is_null(spark):
     assert row["unacceptable_detection_rate"] is None and row["acceptable_warning_rate"] == 0.5
 
 
-def test_seeded_sample_follows_the_shuffle(spark):
+def test_seeded_sample_follows_the_hash_order(spark):
     keys = [f"k{n:03d}" for n in range(50)]
     records = spark.createDataFrame([(k,) for k in keys], "output_key string")
-    order = list(keys)
-    random.Random(9).shuffle(order)
+    order = sorted(keys, key=lambda k: hashlib.sha256(f"9:|{k}".encode()).hexdigest())
     got = {r[0] for r in qc_tools.seeded_sample(records, ["output_key"], 12, 9).collect()}
     assert got == set(order[:12])
     assert qc_tools.seeded_sample(records, ["output_key"], 99, 9).count() == 50
 
 
+def test_two_runs_of_the_same_inputs_stay_apart(spark):
+    rules = qc_rules.RuleSet("p", "1", {"gpa.transform": "warning"}, (qc_rules.Rule("big", "gpa.transform.scale", "gt", 1.0, "mm"),))
+    rows = [(run, key, "gpa.transform.scale", "double", value, None, None, "mm", "computed", None)
+            for run, key, value in (("r1", "k", 0.5), ("r2", "k", 2.0), ("r1", "m", 0.5))]
+    measured = spark.createDataFrame(rows, "run_dir string, output_key string, metric string, value_kind string, value_double double, "
+                                     "value_string string, value_array array<double>, unit string, compute_status string, error string")
+    got = {(r["run_dir"], r["output_key"]): r["status"] for r in qc_rules.sample_status(measured, rules, "standard").collect()}
+    assert got == {("r1", "k"): "passed", ("r2", "k"): "warning", ("r1", "m"): "passed"}
+    labels = spark.createDataFrame([("k", "unacceptable")], "output_key string, label string")
+    assert qc_tools.labeled_predictions(measured, labels, rules).count() == 2
+
+
+@pytest.mark.parametrize("text, number", [("1_000", 1000.0), (" -2.5e3 ", -2500.0), ("1d", None), ("0x1p3", None), ("1__0", None), ("inf", float("inf")), ("", None)])
+def test_numeric_text(spark, text, number):
+    row = spark.createDataFrame([("string", None, text)], "value_kind string, value_double double, value_string string")
+    m = F.struct("value_kind", "value_double", "value_string")
+    assert row.select(qc_rules._coerced(m)).first()[0] == number
+
+
 def test_blinded_order_limits(spark):
     records = spark.createDataFrame([("a",), ("b",), ("c",)], "output_key string")
     assert qc_tools.blinded_order(records, 1, -5).count() == 0
