@@ -1,5 +1,14 @@
+"""The command line as a program; the tables it cut go when it ends."""
+
 import sys
 
+from pyspark.sql import SparkSession
+
 from meshwright.cli import main
+from meshwright.session import discard_scratch
 
-sys.exit(main())
+if __name__ == "__main__":
+    code = main()
+    if (session := SparkSession.getActiveSession()) is not None:
+        discard_scratch(session)
+    sys.exit(code)

@@ -104,7 +104,7 @@ def mesh_duplicate_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def mesh_extent_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     meshes = derive.strip(spark, sf_dir)
-    joined = topology.extents(meshes).join(topology.face_statistics(meshes), ["mesh_id", "nv"])
+    joined = topology.extents(meshes).join(topology.face_statistics(meshes), ["mesh_id", "nv"], "left")
     volume = F.col("extent_x") * F.col("extent_y") * F.col("extent_z")
     return joined.select(
         "mesh_id",

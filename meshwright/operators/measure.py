@@ -71,10 +71,12 @@ def per_mesh_statistics(meshes: MeshSet) -> DataFrame:
         topology.extents(meshes),
         zero_normals,
     ]
-    joined = edges
-    for part in parts:
-        joined = joined.join(part, KEY)
-    return joined
+    # A mesh without faces has no edges either; it keeps its row, with counts of zero.
+    joined = meshes.meshes()
+    for part in [edges, *parts]:
+        joined = joined.join(part, KEY, "left")
+    none = ("edge_count", "boundary_edge_count", "nonmanifold_edge_count", "face_count", "degenerate_face_count", "duplicate_faces", "surface_area")
+    return joined.withColumns({c: F.coalesce(c, F.lit(0).cast(joined.schema[c].dataType)) for c in none})
 
 
 def input_measurements(meshes: MeshSet, expected_edge_mm: float) -> DataFrame:
@@ -83,15 +85,16 @@ def input_measurements(meshes: MeshSet, expected_edge_mm: float) -> DataFrame:
     expected = F.lit(float(expected_edge_mm))
     volume = c("extent_x") * c("extent_y") * c("extent_z")
     has_volume, has_area = volume > 0.0, c("surface_area") > 0.0
+    has_edges, has_faces = c("edge_count") > 0, c("face_count") > 0
     edges = "input.edge_length."
     structs = [
         scalar(f"{edges}expected_mm", expected, "mm"),
-        scalar(f"{edges}mean_mm", c("mean"), "mm"),
-        scalar(f"{edges}median_mm", c("median"), "mm"),
-        scalar(f"{edges}p05_mm", c("p05"), "mm"),
-        scalar(f"{edges}p95_mm", c("p95"), "mm"),
-        scalar(f"{edges}mad_mm", c("mad"), "mm"),
-        scalar(f"{edges}median_to_expected_ratio", c("median") / expected, "ratio"),
+        scalar(f"{edges}mean_mm", c("mean"), "mm", applicable=has_edges),
+        scalar(f"{edges}median_mm", c("median"), "mm", applicable=has_edges),
+        scalar(f"{edges}p05_mm", c("p05"), "mm", applicable=has_edges),
+        scalar(f"{edges}p95_mm", c("p95"), "mm", applicable=has_edges),
+        scalar(f"{edges}mad_mm", c("mad"), "mm", applicable=has_edges),
+        scalar(f"{edges}median_to_expected_ratio", c("median") / expected, "ratio", applicable=has_edges),
         scalar("input.degenerate_faces.count", c("degenerate_face_count"), "count", "long"),
         scalar("input.duplicate_geometry.vertex_count", c("duplicate_vertices"), "count", "long"),
         scalar("input.duplicate_geometry.face_count", c("duplicate_faces"), "count", "long"),
@@ -100,7 +103,7 @@ def input_measurements(meshes: MeshSet, expected_edge_mm: float) -> DataFrame:
                c("largest_size") / c("nv"), "ratio"),
         scalar("input.topology.boundary_edge_count", c("boundary_edge_count"), "count", "long"),
         scalar("input.topology.boundary_edge_fraction",
-               c("boundary_edge_count") / c("edge_count"), "ratio"),
+               F.try_divide(c("boundary_edge_count"), c("edge_count")), "ratio", applicable=has_edges),
         scalar("input.topology.nonmanifold_edge_count", c("nonmanifold_edge_count"),
                "count", "long"),
         scalar("input.extent_density.extent_x_mm", c("extent_x"), "mm"),
@@ -114,7 +117,7 @@ def input_measurements(meshes: MeshSet, expected_edge_mm: float) -> DataFrame:
         scalar("input.normal_consistency.zero_normal_fraction",
                c("zero_normal_fraction"), "ratio"),
         scalar("input.normal_consistency.zero_face_normal_fraction",
-               c("zero_face_normal_fraction"), "ratio"),
+               c("zero_face_normal_fraction"), "ratio", applicable=has_faces),
     ]
     return long_form(per_mesh_statistics(meshes), "mesh_id", structs)
 

@@ -17,6 +17,11 @@ from meshwright.session import configure, cut
 _written: dict[tuple[str, str], DataFrame] = {}
 
 
+def forget() -> None:
+    """Derive anew on the next use; called when the scratch tables are deleted."""
+    _written.clear()
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -131,7 +131,7 @@ def nearest(
             break
         pending = cut(sized.join(left, ["mesh_id", "vid"], "left_semi"), f"{label}-left")
         scale *= 2.0
-        if scale > 2.0**1100:
+        if scale > 1e300:
             raise ValueError(f"{rows} searches have no answer at any radius")
     found = done[0]
     for part in done[1:]:

@@ -134,7 +134,7 @@ def process(
         align.check_involution(mirror)
         normal, _ = align.symmetrize(normal, mirror)
     normal = _written(normal, "final")
-    failures.append(cut(_final_contract(normal, config), "failures"))
+    failures.append(cut(_final_contract(normal, aligned.meshes(), config), "failures"))
     hits = surface.self_intersections(normal)
     rows.append(long_form(hits, "mesh_id", [
         scalar("final.geometry.self_intersection_count", F.col("pair_count"), "count", "long"),
@@ -252,15 +252,17 @@ def _registration_rows(done: register.Registered, aligned: MeshSet) -> DataFrame
         scalar("registration.deformation.p95_mm", F.col("deformation_p95"), "mm")])
 
 
-def _final_contract(final: MeshSet, config: RunConfig) -> DataFrame:
-    """Meshes whose final geometry has the wrong size or a value that is not finite."""
+def _final_contract(final: MeshSet, expected: DataFrame, config: RunConfig) -> DataFrame:
+    """Meshes whose final geometry is missing, has the wrong size or a value that is not finite."""
     finite = F.lit(True)
     for a in "xyz":
         finite = finite & F.coalesce(F.abs(a) < F.lit(float("inf")), F.lit(False))
     points = final.vertices.groupBy("mesh_id").agg(F.count(F.lit(1)).alias("v"), F.bool_and(finite).alias("finite"))
     sides = final.faces.groupBy("mesh_id").agg(F.count(F.lit(1)).alias("f"))
-    wrong = points.join(sides, "mesh_id", "left").where(
-        (F.col("v") != config.expected_vertices) | (F.coalesce("f", F.lit(0)) != config.expected_faces) | ~F.col("finite"))
+    found = expected.select("mesh_id").distinct().join(points, "mesh_id", "left").join(sides, "mesh_id", "left")
+    wrong = found.where(
+        (F.coalesce("v", F.lit(0)) != config.expected_vertices) | (F.coalesce("f", F.lit(0)) != config.expected_faces)
+        | ~F.coalesce("finite", F.lit(False)))
     return _failure_rows(wrong, "final", "final geometry is incomplete", F.array(F.lit("contract.final_geometry")))
 
 

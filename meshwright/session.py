@@ -22,9 +22,15 @@ RUNTIME_SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings and ship package helpers with each task."""
+    """Apply the runtime settings once and ship package helpers with each task.
+
+    A setting that the caller changes afterwards stays as it is.
+    """
+    if spark.conf.get("spark.meshwright.configured", None):
+        return spark
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    spark.conf.set("spark.meshwright.configured", "true")
     # Executors need no installed copy of the package: helper functions travel
     # inside the serialized task.
     cloudpickle.register_pickle_by_value(meshwright)
