@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meshwright.operators.qc_rules import RuleSet, sample_status
-from meshwright.plans.ranking import exact_quantiles
+from meshwright.plans.ranking import exact_quantiles, global_position
 
 DISTRIBUTION = {"p01": 0.01, "p05": 0.05, "median": 0.5, "p95": 0.95, "p99": 0.99}
 
@@ -114,13 +114,16 @@ def seeded_sample(records: DataFrame, order: list[str], target: int, seed: int)
     return records.orderBy(digest, *order).limit(max(0, int(target)))
 
 
-def blinded_order(samples: DataFrame, seed: int, limit: int) -> DataFrame:
+def blinded_order(samples: DataFrame, seed: int, limit: int | None = None) -> DataFrame:
     """Samples in a seeded hash order with blind ids B00001, B00002, …
 
-    ``orderBy().limit`` is a distributed top-k, so only the listed samples are
-    ever numbered.
+    With a limit, ``orderBy().limit`` is a distributed top-k and only the listed
+    samples are numbered; without one, a range-partitioned sort numbers all.
     """
     digest = F.sha2(F.concat(F.lit(f"{int(seed)}:"), F.col("output_key")), 256)
+    if limit is None:
+        placed = global_position(samples.select("output_key", digest.alias("digest")), ["digest", "output_key"], "position")
+        return placed.select(F.format_string("B%05d", F.col("position") + 1).alias("blind_id"), "output_key")
     top = (
         samples.select("output_key", digest.alias("digest"))
         .orderBy("digest", "output_key").limit(max(0, int(limit)))
