@@ -123,7 +123,8 @@ def repeated_chunks(docs: DataFrame, key: str, text: str, hash_of: LineHash = li
 
 
 def _with_list(keyed: DataFrame, lists: DataFrame, how: str) -> DataFrame:
-    other = lists.select(F.col("__id").alias("__i"), F.col("__version").alias("__v"), "__chunks")
+    # The lists grow with the texts: one plan at every size, without a broadcast while they happen to be small.
+    other = lists.select(F.col("__id").alias("__i"), F.col("__version").alias("__v"), "__chunks").hint("merge")
     same = keyed["__id"].eqNullSafe(other["__i"]) & (keyed["__version"] == other["__v"])
     return keyed.join(other, same, how).drop("__i", "__v")
 
