@@ -201,7 +201,8 @@ def verdict(rules: list[Rule]) -> Column:
 
 def label_statistics(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality") -> DataFrame:
     """Statistics of the labelled texts only; ``docs`` are whole rows."""
-    chosen = labels.select(F.col(key).alias("__key"), F.col(label).alias("__label")).where("__key is not null")
+    # Labels grow with the texts: one plan at every size, without a broadcast while they happen to be few.
+    chosen = labels.select(F.col(key).alias("__key"), F.col(label).alias("__label")).where("__key is not null").hint("merge")
     joined = docs.select(key, "text").join(chosen, F.col(key) == F.col("__key"))
     return text_statistics(joined, keep=["__label"]).withColumnRenamed("__label", label)
 
