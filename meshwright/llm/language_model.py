@@ -27,6 +27,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -81,9 +82,6 @@ class Vocabulary(dict):
         super().__init__(zip(words, range(len(words)), strict=True))
         self.rare = len(words)
 
-    def __missing__(self, word: bytes) -> int:
-        return self.rare
-
 
 @dataclass
 class Model:
@@ -104,13 +102,15 @@ class Model:
         return np.concatenate([self.first.ravel(), self.second.ravel()]).reshape(-1, BLOCK * CLASSES)
 
 
+def numbers(vocabulary: Vocabulary, split: list[list[bytes]], size: int) -> np.ndarray:
+    return np.fromiter(map(vocabulary.get, chain.from_iterable(split), repeat(vocabulary.rare)), np.int64, size)
+
+
 def read_ids(model: Model, texts: list[str | None]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
     """Tokens, their numbers on end, and where each text starts."""
     split = [tokens_of(t) for t in texts]
     sizes = np.fromiter(map(len, split), np.int64, len(split))
-    number = model.vocabulary.__getitem__
-    ids = np.fromiter((k for words in split for k in map(number, words)), np.int64, int(sizes.sum()))
-    return split, ids, np.cumsum(sizes) - sizes
+    return split, numbers(model.vocabulary, split, int(sizes.sum())), np.cumsum(sizes) - sizes
 
 
 def context(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -152,13 +152,19 @@ def softmax(margins: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def layers(model: Model, features: np.ndarray, kind: np.ndarray, leaf: np.ndarray):
     """Of a batch: (rows, told, chances) of the class layer, and the same with ``which`` tokens of the leaf layer."""
     rows = rows_1(features)
-    margins = model.first[rows[0]] + model.first[rows[1]] + model.first[rows[2]] + model.first[0]
+    margins = model.first.take(rows[0], 0)  # take copies rows much faster than indexing
+    margins += model.first.take(rows[1], 0)
+    margins += model.first.take(rows[2], 0)
+    margins += model.first[0]
     margins[:, ~model.used.any(1)] = -1e30  # a class without words
     told, chances = softmax(margins, kind)
     which = np.flatnonzero(kind < CLUSTERS)
     rows2 = rows_2(features[:, which], kind[which])
-    margins = model.second[rows2[0]] + model.second[rows2[1]] + model.second[rows2[2]] + model.second[kind[which]]
-    margins[~model.used[kind[which]]] = -1e30
+    margins = model.second.take(rows2[0], 0)
+    margins += model.second.take(rows2[1], 0)
+    margins += model.second.take(rows2[2], 0)
+    # Bias, and no chance for leaves without words.
+    margins += np.where(model.used, model.second[:CLASSES], np.float32(-1e30)).take(kind[which], 0)
     told2, chances2 = softmax(margins, leaf[which])
     return (rows, told, chances), (rows2, told2, chances2, which)
 
@@ -169,7 +175,7 @@ def step(weights: np.ndarray, seen: np.ndarray, rows: np.ndarray, slope: np.ndar
         order = np.argsort(feature.astype(np.uint16), kind="stable")
         sorted_rows = feature[order]
         starts = np.flatnonzero(np.concatenate([[True], sorted_rows[1:] != sorted_rows[:-1]]))
-        moved = np.add.reduceat(slope[order], starts, axis=0)
+        moved = np.add.reduceat(slope.take(order, 0), starts, axis=0)
         at = sorted_rows[starts]
         seen[at] += (moved * moved).sum(1)
         weights[at] -= (rate / np.sqrt(seen[at] + 1e-6))[:, None] * moved
@@ -183,7 +189,8 @@ def learn(model: Model, texts: list[str | None], seen_1: np.ndarray, seen_2: np.
         part = slice(a, a + BATCH_TOKENS)
         (rows, _, chances), (rows2, _, chances2, which) = layers(model, features[:, part], kind[part], leaf[part])
         chances[np.arange(len(chances)), kind[part]] -= 1
-        step(model.first, seen_1, np.concatenate([rows, np.zeros((1, rows.shape[1]), np.int64)]), chances, rate)
+        step(model.first, seen_1, rows, chances, rate)
+        step(model.first, seen_1, np.zeros((1, 1), np.int64), chances.sum(0, keepdims=True), rate)
         if len(which):
             chances2[np.arange(len(which)), leaf[part][which]] -= 1
             step(model.second, seen_2, np.concatenate([rows2, kind[part][which][None, :]]), chances2, rate)
@@ -201,7 +208,7 @@ def company(texts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
         total = np.zeros(size, np.int64)
         for batch in small_batches(batches, "text"):
             split = [tokens_of(t) for t in batch.column("text").to_pylist()]
-            ids = np.fromiter((k for s in split for k in map(words.__getitem__, s)), np.int64)
+            ids = numbers(words, split, sum(map(len, split)))
             left = (np.concatenate([[words.rare], ids[:-1]]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(60)).astype(np.int64)
             known = ids < words.rare
             total += np.bincount(ids[known] * COMPANY + left[known], minlength=size)
@@ -342,8 +349,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, key: str = "doc_id",
                 told[a + which] += second / math.log(10)
             rare = ids == own.vocabulary.rare
             known = np.add.reduceat((~rare).astype(np.int64), starts) if len(starts) else starts
-            rest = [Counter(w for w, r in zip(words, rare[a:a + len(words)].tolist(), strict=True) if r) if rare[a:a + len(words)].any() else {}
-                    for words, a in zip(split, starts.tolist(), strict=True)]
+            rest = [Counter(map(words.__getitem__, np.flatnonzero(rare[a:a + len(words)]).tolist())) for words, a in zip(split, starts.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([xxhash.xxh64_intdigest(t or "") - (1 << 63) for t in texts], pa.int64()),
                  pa.array(list(map(len, split)), pa.int64()), pa.array(known, pa.int64()),
