@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from meshwright.llm.common import small_batches
 
-CACHE_ENTRIES, CACHE_BYTES = 400_000, 48
+CACHE_ENTRIES, CACHE_BYTES = 500_000, 48
 
 
 class Merger:
@@ -65,19 +65,17 @@ class Merger:
         after, before = list(range(1, size + 1)), list(range(-1, last))
         buckets: dict[int, list[int]] = {}
         top = 0
-        pushed = [(rank, place) for place, rank in enumerate(pair) if rank is not None]
-        pair.append(None)
-        while True:
-            for rank, place in pushed:
+        for place, rank in enumerate(pair):
+            if rank is not None:
                 if rank in buckets:
-                    heappush(buckets[rank], place)
+                    buckets[rank].append(place)  # ascending places are a heap already
                 else:
                     buckets[rank] = [place]
                     word = rank >> 8
                     words[word] |= bits[rank & 255]
                     top |= bits[word]
-            if not top:
-                break
+        pair.append(None)
+        while top:
             # Find-first-set: the lowest word in use, then its lowest rank.
             word = (top & -top).bit_length() - 1
             marks = words[word]
@@ -92,22 +90,35 @@ class Merger:
                 words[word] = marks = marks ^ first
                 if not marks:
                     top ^= bits[word]
-            pushed = []
             if pair[place] != rank:
                 continue  # stale: this pair has changed since it was queued
             gone = after[place]
             end = after[place] = after[gone]
-            pair[gone] = pair[place] = None
+            pair[gone] = None
             if end < size:
                 before[end] = place
-                found = pair[place] = get(piece[place:after[end]])
-                if found is not None:
-                    pushed.append((found, place))
-            left = before[place]
-            if left >= 0:
-                found = pair[left] = get(piece[left:end])
-                if found is not None:
-                    pushed.append((found, left))
+                rank = pair[place] = get(piece[place:after[end]])
+                if rank is not None:
+                    if rank in buckets:
+                        heappush(buckets[rank], place)
+                    else:
+                        buckets[rank] = [place]
+                        word = rank >> 8
+                        words[word] |= bits[rank & 255]
+                        top |= bits[word]
+            else:
+                pair[place] = None
+            place = before[place]
+            if place >= 0:
+                rank = pair[place] = get(piece[place:end])
+                if rank is not None:
+                    if rank in buckets:
+                        heappush(buckets[rank], place)
+                    else:
+                        buckets[rank] = [place]
+                        word = rank >> 8
+                        words[word] |= bits[rank & 255]
+                        top |= bits[word]
         ids, place = [], 0
         while place < size:
             end = after[place]
@@ -130,7 +141,7 @@ class Encoder(dict):
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         super().__init__()
-        self.merge, self.cut = Merger(ranks).merge, regex.compile(pattern).findall
+        self.ranks, self.merge, self.cut = ranks, Merger(ranks).merge, regex.compile(pattern).findall
         self.old: dict[str, list[int]] = {}
 
     def __missing__(self, piece: str) -> list[int]:
@@ -156,19 +167,35 @@ def encoder(data: bytes, pattern: str) -> Encoder:
     return Encoder(read_ranks(data), pattern)
 
 
-def encode(frame: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``frame`` with the token ids of each whole text, without special tokens."""
+def joined(ids: list[int], pieces: dict[int, bytes]) -> bytes:
+    """The bytes that ids stand for."""
+    try:
+        return b"".join(map(pieces.__getitem__, ids))
+    except KeyError as missing:
+        raise ValueError(f"id {missing} is not in the vocabulary") from None
+
+
+def encode(frame: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``frame`` with the token ids of each whole text, without special tokens.
+
+    ``decoded`` names a column for the bytes that these ids decode to; that
+    saves the way of the ids through a second Python worker.
+    """
     data = frame.sparkSession.sparkContext.broadcast(Path(vocabulary).read_bytes())
-    kept = [f.name for f in frame.schema if f.name.lower() != ids.lower()]
-    schema = T.StructType([*[f for f in frame.schema if f.name in kept], T.StructField(ids, T.ArrayType(T.IntegerType()))])
+    made = [ids, *([decoded] if decoded else [])]
+    kept = [f.name for f in frame.schema if f.name.lower() not in {m.lower() for m in made}]
+    schema = T.StructType([*[f for f in frame.schema if f.name in kept], T.StructField(ids, T.ArrayType(T.IntegerType())),
+                           *([T.StructField(decoded, T.BinaryType())] if decoded else [])])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(data.value, pattern)
+        pieces = {rank: token for token, rank in coder.ranks.items()} if decoded else {}
         for batch in small_batches(batches, text):
             found = [coder.encode(x) if x else [] for x in batch.column(text).to_pylist()]
             values = pa.array(np.fromiter(chain.from_iterable(found), np.int32), pa.int32())
             column = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), values)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], column], names=[*kept, ids])
+            back = [pa.array([joined(x, pieces) for x in found], pa.binary())] if decoded else []
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], column, *back], names=[*kept, *made])
 
     return frame.mapInArrow(work, schema)
 
@@ -182,10 +209,7 @@ def decode(frame: DataFrame, vocabulary: str, ids: str = "ids", decoded: str = "
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = {rank: token for token, rank in read_ranks(data.value).items()}
         for batch in small_batches(batches, ids):
-            try:
-                found = [b"".join(map(pieces.__getitem__, x or ())) for x in batch.column(ids).to_pylist()]
-            except KeyError as missing:
-                raise ValueError(f"id {missing} is not in the vocabulary") from None
+            found = [joined(x or [], pieces) for x in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(found, pa.binary())], names=[*kept, decoded])
 
     return frame.mapInArrow(work, schema)

@@ -23,8 +23,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = byte_pairs.encode(docs, BYTE_RANKS, public_tokenizers.PATTERN).drop("text")
-    return byte_pairs.decode(encoded, BYTE_RANKS).select(
+    return byte_pairs.encode(docs, BYTE_RANKS, public_tokenizers.PATTERN, decoded="decoded").select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
