@@ -27,10 +27,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,13 +40,12 @@ from meshwright.llm.common import small_batches
 from meshwright.plans.ranking import global_position
 from meshwright.session import cut
 
-WORDS = regex.compile(r"[^\x20\x09-\x0D]+")
 KEPT_WORDS = 500_000
 STEP, OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 class WordHashes(dict):
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh64_intdigest(word)
         if len(self) >= KEPT_WORDS:
             self.clear()
@@ -61,28 +60,47 @@ def word_hashes() -> WordHashes:
     return WordHashes()
 
 
+def longer(one: np.ndarray, two: np.ndarray, first: int, second: int) -> np.ndarray:
+    """Hashes of runs of ``first + second`` words from those of ``first`` and of ``second`` words."""
+    count = max(len(two) - first, 0)
+    return one[:count] * np.uint64(pow(int(STEP), second, 1 << 64)) + two[first:first + count]
+
+
 def runs_of(hashes: np.ndarray, width: int) -> np.ndarray:
-    """Hash of each run of ``width`` words."""
-    count = max(len(hashes) - width + 1, 0)
-    rolled = np.full(count, width, np.uint64)
-    for k in range(width):
-        rolled = rolled * STEP + hashes[k:k + count]
+    """Hash of each run of ``width`` words, by doubling."""
+    powers, size = {1: hashes}, 1
+    while size * 2 <= width:
+        powers[size * 2] = longer(powers[size], powers[size], size, size)
+        size *= 2
+    rolled, done = powers[size], size
+    for step in sorted((s for s in powers if s < size), reverse=True):
+        if width - done >= step:
+            rolled, done = longer(rolled, powers[step], done, step), done + step
     return (rolled ^ (rolled >> np.uint64(31))) * OTHER
 
 
 class Windows:
     """A text's words, the hash of each window and its anchor."""
 
-    def __init__(self, text: str | None, window: int, gram: int) -> None:
-        self.words = WORDS.findall(text or "")
-        hashes = np.fromiter(map(word_hashes().__getitem__, self.words), np.uint64, len(self.words))
-        self.hashes = runs_of(hashes, window)
-        smallest, span = runs_of(hashes, gram), 1
-        while span < window - gram + 1 and len(self.hashes):  # the least of ever longer spans
-            step = min(span, window - gram + 1 - span)
-            smallest = np.minimum(smallest[:len(smallest) - step], smallest[step:])
-            span += step
-        self.anchors = smallest[:len(self.hashes)]
+    def __init__(self, words: list[bytes], hashes: np.ndarray, anchors: np.ndarray) -> None:
+        self.words, self.hashes, self.anchors = words, hashes, anchors
+
+
+def windows_of(texts: list[str | None], window: int, gram: int) -> list[Windows]:
+    """The windows of each text, hashed over all texts of a batch at once."""
+    split = [(t or "").encode().split() for t in texts]  # bytes.split parts at ASCII spaces only
+    hashes = np.fromiter(map(word_hashes().__getitem__, chain.from_iterable(split)), np.uint64, sum(map(len, split)))
+    whole, smallest, span = runs_of(hashes, window), runs_of(hashes, gram), 1
+    while span < window - gram + 1 and len(whole):  # the least of ever longer spans
+        step = min(span, window - gram + 1 - span)
+        smallest = np.minimum(smallest[:len(smallest) - step], smallest[step:])
+        span += step
+    found, start = [], 0
+    for words in split:
+        count = max(len(words) - window + 1, 0)
+        found.append(Windows(words, whole[start:start + count], smallest[start:start + count]))
+        start += len(words)
+    return found
 
 
 def spans_of(chosen: np.ndarray) -> list[tuple[int, int]]:
@@ -121,7 +139,7 @@ def cross_repeats(texts: DataFrame, window: int, gram: int) -> DataFrame:
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "__text"):
-            found = [np.unique(Windows(x, window, gram).anchors) for x in batch.column("__text").to_pylist()]
+            found = [np.unique(own.anchors) for own in windows_of(batch.column("__text").to_pylist(), window, gram)]
             take = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("__ord").take(take), pa.array(_signed(np.concatenate(found)), pa.int64())], names=["__ord", "anchor"])
@@ -132,22 +150,22 @@ def cross_repeats(texts: DataFrame, window: int, gram: int) -> DataFrame:
             parts = []
             for first, text, shared in zip(*(batch.column(c).to_pylist() for c in ("first", "__text", "shared")), strict=True):
                 if last[0] != first:
-                    own = Windows(text, window, gram)
+                    own = windows_of([text], window, gram)[0]
                     once = np.zeros(len(own.hashes), bool)
                     once[np.unique(own.hashes, return_index=True)[1]] = True
                     last = (first, own, once)
                 _, own, once = last
                 wanted = once & np.isin(own.anchors, np.array(shared, np.int64).view(np.uint64))
-                parts.append([" ".join(own.words[a:b + window - 1]) for a, b in spans_of(wanted)])
+                parts.append([b" ".join(own.words[a:b + window - 1]).decode() for a, b in spans_of(wanted)])
             yield pa.RecordBatch.from_arrays([batch.column("__ord"), pa.array(parts, pa.list_(pa.string()))], names=["__ord", "parts"])
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "__text"):
             spans, left = [], []
-            for text, parts, shared in zip(*(batch.column(c).to_pylist() for c in ("__text", "parts", "shared")), strict=True):
-                own = Windows(text, window, gram)
-                sent = [Windows(p, window, gram).hashes for part in parts for p in part]
-                known = np.isin(own.hashes, np.concatenate(sent)) if sent else np.zeros(len(own.hashes), bool)
+            columns = [batch.column(c).to_pylist() for c in ("__text", "parts", "shared")]
+            for text, parts, shared in zip(*columns, strict=True):
+                own, *sent = windows_of([text, *(p for part in parts for p in part)], window, gram)
+                known = np.isin(own.hashes, np.concatenate([s.hashes for s in sent])) if sent else np.zeros(len(own.hashes), bool)
                 spans.append(np.array([x for s in spans_of(known) for x in s], np.int64))
                 open_ = ~known & np.isin(own.anchors, np.array([a for part in shared for a in part], np.int64).view(np.uint64))
                 left.append(_signed(np.unique(own.hashes[open_])))
@@ -180,8 +198,13 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, text):
             bodies, counts, gone = [], [], []
-            for body, spans, repeats in zip(*(batch.column(c).to_pylist() for c in (text, "spans", "repeats")), strict=True):
-                own = Windows(body, window, gram)
+            texts_, spans_, repeats_ = (batch.column(c).to_pylist() for c in (text, "spans", "repeats"))
+            for own, spans, repeats in zip(windows_of(texts_, window, gram), spans_, repeats_, strict=True):
+                counts.append(len(own.words))
+                if not spans and not repeats and len(set(own.hashes.tolist())) == len(own.hashes):
+                    bodies.append(b" ".join(own.words).decode())
+                    gone.append(0)
+                    continue
                 again = np.ones(len(own.hashes), bool)
                 again[np.unique(own.hashes, return_index=True)[1]] = False
                 if repeats:
@@ -193,8 +216,7 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
                     removed[a] += 1
                     removed[b + window - 1] -= 1
                 covered = np.cumsum(removed[:-1]) > 0
-                bodies.append(" ".join(w for w, c in zip(own.words, covered.tolist(), strict=True) if not c))
-                counts.append(len(own.words))
+                bodies.append(b" ".join(compress(own.words, (~covered).tolist())).decode())
                 gone.append(int(covered.sum()))
             yield pa.RecordBatch.from_arrays(
                 [*[pa.array(bodies, pa.string()) if c == text else batch.column(c) for c in names], pa.array(counts, pa.int64()), pa.array(gone, pa.int64())],
