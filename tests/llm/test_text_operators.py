@@ -12,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import models
 
 from meshwright.llm import (
@@ -27,6 +28,7 @@ from meshwright.llm import (
     token_counts,
     url_filters,
 )
+from meshwright.session import cut
 
 WORDS = r"[^\x20\x09-\x0D]+"
 SCHEMA = "doc_id bigint, text string, n_words string, score int, __x double"
@@ -271,6 +273,24 @@ def test_near_duplicate_classes_equal_all_pairs(spark, corpus):
     assert {r["doc_id"] for r in near_duplicates.keep_one(frame).collect()} == {k for k, _ in corpus if find(k) == k}
 
 
+def test_large_buckets_test_every_pair_of_different_classes(spark):
+    """A hot bucket: one large class, and pairs of near copies that share nothing but the band."""
+    rng = random.Random(8)
+    names = [f"w{k}" for k in range(5000)]
+    bases = [prose(rng, 60, names) for _ in range(9)]
+    texts = [f"{bases[0]} tail{k}" for k in range(40)] + [f"{b} end{k}" for b in bases[1:] for k in range(2)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string").withColumn("content", F.unhex(F.md5("text")))
+    weights = spark.sparkContext.broadcast(near_duplicates.Weights({}))
+    sizes = [float(near_duplicates.shingles(t, 5)[1].sum()) for t in texts]
+    weight = spark.createDataFrame(list(enumerate(sizes)), "id bigint, weight double")
+    buckets = cut(frame.join(weight, "id").select(F.lit(1).cast("bigint").alias("band"), "content", "id", "weight"))
+    links, roots = near_duplicates._link(spark, buckets, frame.select("content", "text"), weights, 5, 0.8, 8)
+    classes = {}
+    for r in roots.join(frame, F.col("node") == F.col("content")).collect():
+        classes.setdefault(bytes(r["root"]), set()).add(r["id"])
+    assert sorted(map(sorted, classes.values())) == [list(range(40)), *[[40 + 2 * k, 41 + 2 * k] for k in range(8)]]
+
+
 def test_sampling_collides_like_weighted_jaccard():
     rng = np.random.default_rng(2)
     draw = near_duplicates.Sampler(4096)
