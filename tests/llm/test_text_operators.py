@@ -291,6 +291,27 @@ def test_large_buckets_test_every_pair_of_different_classes(spark):
     assert sorted(map(sorted, classes.values())) == [list(range(40)), *[[40 + 2 * k, 41 + 2 * k] for k in range(8)]]
 
 
+def test_nominations_of_few_long_texts_stay_a_table(spark, monkeypatch):
+    """Two texts a block nominate all their shingles; only those above the floor may reach the driver."""
+    shared = " ".join(f"s{k}" for k in range(30))
+    rows = [(k, f"{shared} " + " ".join(f"u{k}x{j}" for j in range(300))) for k in range(16)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    sizes, collect = [], type(frame).collect
+
+    def counted(self):
+        got = collect(self)
+        sizes.append(len(got))
+        return got
+
+    monkeypatch.setattr(near_duplicates, "NOMINATED", 1000, raising=False)
+    monkeypatch.setattr(type(frame), "collect", counted)
+    frequent = near_duplicates.frequent_shingles(frame, 5, 0.25)
+    assert set(frequent) == set(near_duplicates.shingles(shared, 5)[0].tolist())
+    assert max(sizes) <= 1000
+    monkeypatch.setattr(near_duplicates, "NOMINATED", 1_000_000)
+    assert near_duplicates.frequent_shingles(frame, 5, 0.25) == frequent
+
+
 def test_sampling_collides_like_weighted_jaccard():
     rng = np.random.default_rng(2)
     draw = near_duplicates.Sampler(4096)
