@@ -193,6 +193,8 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
     names = [f.name for f in kept]
     rows = _order(docs.select(*[f"`{c}`" for c in names]), key, text)
     texts = rows.select("__ord", F.col(text).alias("__text")).where("__ord is not null")
+    if not texts.groupBy("__ord").count().where("count > 1").isEmpty():
+        texts = cut(texts.dropDuplicates(["__ord"]), "texts")  # rows equal in id and text are one document
     found = cut(cross_repeats(texts, window, gram), "repeats").withColumnRenamed("__ord", "__o")
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

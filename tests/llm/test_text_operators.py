@@ -398,6 +398,14 @@ def test_substrings_of_odd_rows(spark, odd, none):
     assert sorted(r["n_removed"] for r in substrings.drop_repeats(shared).collect()) == [0, 40, 40]
 
 
+def test_repeated_rows_that_copy_an_earlier_document_stay_as_many(spark):
+    long = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, long), *[(2, f"{long} more")] * 3, *[(3, long)] * 2]
+    frame = spark.createDataFrame(rows, "doc_id int, text string")
+    got = sorted((r["doc_id"], r["n_removed"], r["text"]) for r in substrings.drop_repeats(frame).collect())
+    assert got == [(1, 0, long), *[(2, 40, "more")] * 3, *[(3, 40, "")] * 2]
+
+
 # Line dedup
 
 def plain_lines(rows, hash_of=line_chunks.line_hash):
