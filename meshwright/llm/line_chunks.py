@@ -1,18 +1,26 @@
-"""Line dedup: repeated runs of lines, found as content-defined chunks.
+"""Line dedup: repeated runs of lines.
 
-Each text is cut into chunks of lines. A hash over the last ``span`` line hashes
-rolls along; where it hits one of ``spacing`` residues a chunk ends. Boundaries
-depend on the nearby lines only, so text that is inserted before a passage does
-not shift the chunks inside it. Chunks of two lines with words or more
-are compared across all documents: all but the first (smallest document id,
-then smallest place) are removed. Hashes only nominate; equal chunks are grouped
-by their bytes.
+``drop_repeated_runs`` is exact. A line with words, the next one with words and
+what stands between them are a pair; a pair that also starts earlier (in a
+document of smaller id, or earlier in the same text) is a repeat, and all its
+lines are removed. A run of two worded lines or more that occurs earlier is a
+chain of such pairs, so every such run goes whole, whatever stands beside it.
 
-Cases: null and empty texts have no chunk and stay as they are; one-line texts
+``drop_repeated_chunks`` needs fewer keys and finds less. Each text is cut into
+chunks of lines. A hash over the last ``span`` line hashes rolls along; where it
+hits one of ``spacing`` residues a chunk ends. Boundaries depend on the nearby
+lines only, so text that is inserted before a passage does not shift the chunks
+inside it. Chunks of two lines with words or more are compared across all
+documents: all but the first (smallest document id, then smallest place) are
+removed. A run that no chunk lies wholly inside stays.
+
+In both, hashes only nominate; equal pieces are grouped by their bytes.
+
+Cases: null and empty texts have no piece and stay as they are; one-line texts
 never change; documents without an id come last in the order, and those that
 share an id are ordered by their text, so that of repeated rows one stays;
-a text whose chunks all go becomes empty; other columns pass through, and input
-columns named like an output are replaced.
+a text whose worded lines (or chunks) all go becomes empty; other columns pass through, and
+input columns named like an output are replaced.
 """
 
 from __future__ import annotations
@@ -21,6 +29,7 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +39,9 @@ from meshwright.session import cut
 
 ODD = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
+SPACES = " \t\n\v\f\r"
 LineHash = Callable[[bytes], int]
+Pieces = Callable[[list[str]], list[tuple[int, int]]]
 
 
 def line_hash(line: bytes) -> int:
@@ -59,7 +70,18 @@ def chunk_lines(lines: list[str], hash_of: LineHash = line_hash, span: int = 2,
 
 def compared(lines: list[str], start: int, end: int) -> bool:
     """Whether a chunk takes part: at least two of its lines have a word."""
-    return sum(1 for line in lines[start:end] if line.strip(" \t\n\v\f\r")) > 1
+    return sum(1 for line in lines[start:end] if line.strip(SPACES)) > 1
+
+
+def compared_chunks(hash_of: LineHash = line_hash) -> Pieces:
+    """The chunks of a text that take part."""
+    return lambda lines: [c for c in chunk_lines(lines, hash_of) if compared(lines, *c)] if len(lines) > 1 else []
+
+
+def line_pairs(lines: list[str]) -> list[tuple[int, int]]:
+    """Each worded line with the next one, as (first line, line after the last)."""
+    worded = [k for k, line in enumerate(lines) if line.strip(SPACES)]
+    return [(a, b + 1) for a, b in zip(worded, worded[1:], strict=False)]
 
 
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -74,9 +96,8 @@ def _order() -> F.Column:
     return F.struct(F.col("__id").isNull().alias("late"), *PLACE)
 
 
-def repeated_chunks(docs: DataFrame, key: str, text: str, hash_of: LineHash = line_hash,
-                    chunk_hash_of: Callable[[bytes], bytes] = chunk_hash) -> DataFrame:
-    """Places of all chunks whose bytes occur earlier: __id, __version and the list __chunks."""
+def repeated_pieces(docs: DataFrame, key: str, text: str, pieces: Pieces, piece_hash: Callable[[bytes], bytes]) -> DataFrame:
+    """Places of all pieces whose bytes occur earlier: __id, __version and the list __chunks."""
     keyed = _keyed(docs, key, text)
     id_type = keyed.schema["__id"].dataType.simpleString()
 
@@ -85,11 +106,10 @@ def repeated_chunks(docs: DataFrame, key: str, text: str, hash_of: LineHash = li
             rows, places, found = [], [], []
             for k, body in enumerate(batch.column("__text").to_pylist()):
                 lines = (body or "").split("\n")
-                for place, (a, b) in enumerate(chunk_lines(lines, hash_of) if len(lines) > 1 else ()):
-                    if compared(lines, a, b):
-                        rows.append(k)
-                        places.append(place)
-                        found.append(chunk_hash_of("\n".join(lines[a:b]).encode()))
+                for place, (a, b) in enumerate(pieces(lines)):
+                    rows.append(k)
+                    places.append(place)
+                    found.append(piece_hash("\n".join(lines[a:b]).encode()))
             take = pa.array(rows, pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("__id").take(take), batch.column("__version").take(take), pa.array(places, pa.int32()), pa.array(found, pa.binary())],
@@ -100,7 +120,7 @@ def repeated_chunks(docs: DataFrame, key: str, text: str, hash_of: LineHash = li
             rows, places, found = [], [], []
             for k, (body, wanted) in enumerate(zip(batch.column("__text").to_pylist(), batch.column("__chunks").to_pylist(), strict=True)):
                 lines = body.split("\n")
-                chunks = chunk_lines(lines, hash_of)
+                chunks = pieces(lines)
                 for place in wanted:
                     a, b = chunks[place]
                     rows.append(k)
@@ -129,10 +149,21 @@ def _with_list(keyed: DataFrame, lists: DataFrame, how: str) -> DataFrame:
     return keyed.join(other, same, how).drop("__i", "__v")
 
 
+def drop_repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text",
+                       pair_hash: Callable[[bytes], bytes] = xxhash.xxh64_digest) -> DataFrame:
+    """``docs`` without all runs of two worded lines or more that start earlier, with n_lines and n_removed of each row."""
+    return _drop(docs, key, text, line_pairs, pair_hash, empty=True)
+
+
 def drop_repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", hash_of: LineHash = line_hash,
                          chunk_hash_of: Callable[[bytes], bytes] = chunk_hash) -> DataFrame:
     """``docs`` with the text that is left, and n_lines and n_removed of each row."""
-    repeated = cut(repeated_chunks(docs, key, text, hash_of, chunk_hash_of), "repeated")
+    return _drop(docs, key, text, compared_chunks(hash_of), chunk_hash_of)
+
+
+def _drop(docs: DataFrame, key: str, text: str, pieces: Pieces, piece_hash: Callable[[bytes], bytes], empty: bool = False) -> DataFrame:
+    """Without the repeated pieces; if ``empty``, blank lines go too where no worded line is left."""
+    repeated = cut(repeated_pieces(docs, key, text, pieces, piece_hash), "repeated")
     kept = [f for f in docs.schema if f.name.lower() not in ("n_lines", "n_removed", "__id", "__version", "__chunks")]
     names = [f.name for f in kept]
 
@@ -141,8 +172,10 @@ def drop_repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text
             bodies, counts, gone = [], [], []
             for body, wanted in zip(batch.column(text).to_pylist(), batch.column("__chunks").to_pylist(), strict=True):
                 lines = body.split("\n") if body else []
-                chunks = chunk_lines(lines, hash_of) if wanted else []
+                chunks = pieces(lines) if wanted else []
                 drop = {k for place in wanted or () for k in range(*chunks[place])}
+                if empty and drop and not any(line.strip(SPACES) for k, line in enumerate(lines) if k not in drop):
+                    drop = set(range(len(lines)))
                 bodies.append(body if not drop else "\n".join(x for k, x in enumerate(lines) if k not in drop))
                 counts.append(len(lines))
                 gone.append(len(drop))

@@ -77,7 +77,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_chunks.drop_repeated_chunks(docs).select(
+    return line_chunks.drop_repeated_runs(docs).select(
         "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 

@@ -451,3 +451,46 @@ def test_line_chunks_of_odd_rows(odd, none):
     assert len({r["n_removed"] for r in got if r["doc_id"] == 6}) == 1
     assert sum(r["n_removed"] for r in got if r["doc_id"] == 9) > sum(r["n_removed"] for r in got if r["doc_id"] == 8)
     assert line_chunks.drop_repeated_chunks(none).collect() == []
+
+
+def plain_runs(rows):
+    """Grows every run of lines that also starts earlier to its full length; one of two worded lines or more goes."""
+    earlier, found = [], {}
+    for key, text in sorted(rows, key=lambda r: r[0]):
+        lines = (text or "").split("\n")
+        earlier.append(lines)
+        gone = set()
+        for a in range(len(lines)):
+            for other in earlier:
+                for b in range(a if other is lines else len(other)):
+                    n = 0
+                    while a + n < len(lines) and b + n < len(other) and lines[a + n] == other[b + n]:
+                        n += 1
+                    worded = [k for k in range(a, a + n) if lines[k].strip()]
+                    if len(worded) > 1:
+                        gone.update(range(worded[0], worded[-1] + 1))
+        if gone and not any(x.strip() for k, x in enumerate(lines) if k not in gone):
+            gone = set(range(len(lines)))
+        found[key] = (len(gone), "\n".join(x for k, x in enumerate(lines) if k not in gone) if text is not None else None)
+    return found
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_line_runs_equal_brute_force(spark, weak):
+    """The query's operator finds short runs too, whatever their neighbours are."""
+    rng = random.Random(7)
+    lines = [prose(rng, 4, [f"w{k}" for k in range(50)]) for _ in range(40)] + ["", " "]
+    rows = [(k, "\n".join([f"only {k}", *(rng.choice(lines) for _ in range(k % 9)), f"end {k}"])) for k in range(60)]
+    rows += [(60 + k, "\n".join([f"before {k}", *lines[10:10 + 2 + k % 3], f"after {k}"])) for k in range(12)]
+    rows += [(80, None), (81, ""), (82, "a\na\na"), (83, "\n".join(lines[10:14]) + "\n\n")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    options = {"pair_hash": lambda pair: b"same"} if weak else {}
+    got = {r["doc_id"]: (r["n_removed"], r["text"]) for r in line_chunks.drop_repeated_runs(frame, **options).collect()}
+    assert got == plain_runs(rows)
+
+
+def test_line_query_removes_runs_of_two_lines(spark, tmp_path):
+    rows = [(k, f"before {k}\none two\nthree four\nafter {k}") for k in range(20)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["n_removed"] for r in queries.op10_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {k: 2 if k else 0 for k in range(20)}
