@@ -34,9 +34,14 @@ def exact_words(text: Column) -> Column:
     return F.array_remove(F.split(F.translate(text, UPPER, LOWER), SEPARATORS), "")
 
 
+def folded(text: Column) -> Column:
+    """``lower`` with one small sigma: which one ``lower`` makes depends on the neighbours, across separators too."""
+    return F.replace(F.lower(text), F.lit("ς"), F.lit("σ"))
+
+
 def folded_words(text: Column) -> Column:
     """The same words in the same places, folded further by ``lower``, which is much faster."""
-    return F.array_remove(F.split(F.lower(text), SEPARATORS), "")
+    return F.array_remove(F.split(folded(text), SEPARATORS), "")
 
 
 def item_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text", window: int = 13) -> DataFrame:
@@ -50,11 +55,11 @@ def item_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text"
 
 def indexed_windows(docs: DataFrame, windows: DataFrame, text: str = "text", broadcast_rows: int = 1_000_000) -> DataFrame:
     """Each window under its rarest word (ties: the earlier place), with that word's place."""
-    folded = windows.select("words", "items", F.transform("words", lambda w: F.lower(w)).alias("folded"))
-    vocabulary = sized(folded.select(F.explode("folded").alias("word")).distinct(), broadcast_rows, "vocabulary")
+    lowered = windows.select("words", "items", F.transform("words", folded).alias("folded"))
+    vocabulary = sized(lowered.select(F.explode("folded").alias("word")).distinct(), broadcast_rows, "vocabulary")
     seen = (docs.select(F.explode(folded_words(whole_text(text))).alias("word")).join(vocabulary, "word")
             .groupBy("word").agg(F.count("*").alias("n")))
-    placed = folded.select("words", "items", F.posexplode("folded").alias("place", "word")).join(seen, "word", "left")
+    placed = lowered.select("words", "items", F.posexplode("folded").alias("place", "word")).join(seen, "word", "left")
     # Windows holding a word that no document has cannot occur and fall away here.
     return placed.groupBy("words").agg(
         F.first("items").alias("items"), F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "place", "word")).alias("rarest")

@@ -364,6 +364,14 @@ def test_decontamination_equals_brute_force(spark, odd, none):
     assert decontaminate.decontaminate(none, spark.createDataFrame(items, "item_id string, text string")).collect() == []
 
 
+def test_decontamination_finds_capital_sigma_beside_separators(spark):
+    common = " ".join(f"w{k}" for k in range(12))
+    docs = spark.createDataFrame([(1, f"{common} ΟΔΟΣ.gr"), (2, f"{common} Α.Σ.Β"), (3, common)], "doc_id int, text string")
+    items = spark.createDataFrame([("a", f"{common} ΟΔΟΣ"), ("b", f"{common[3:]} Α Σ")], "item_id string, text string")
+    got = {r["doc_id"]: r["item_ids"] for r in decontaminate.decontaminate(docs, items).collect()}
+    assert got[1] == ["a"] and got[2] == ["b"] and not got[3]
+
+
 # Substring dedup
 
 def plain_substrings(rows):
