@@ -47,7 +47,7 @@ def walsh_hadamard(vectors: np.ndarray) -> np.ndarray:
     out = vectors.copy()
     step = 1
     while step < SIZE:
-        pairs = out.reshape(len(out), -1, 2, step)
+        pairs = out.reshape(len(out), SIZE // (2 * step), 2, step)
         out = np.stack([pairs[:, :, 0] + pairs[:, :, 1], pairs[:, :, 0] - pairs[:, :, 1]], axis=2).reshape(len(out), SIZE)
         step *= 2
     return out[:, sequency_order()]
@@ -62,6 +62,8 @@ def sequency_order() -> np.ndarray:
 
 def search(vectors: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """(nearest centroid, squared distance, pairs finished) for integer rows of one kind of number."""
+    if not len(vectors):
+        return np.zeros(0, np.int64), vectors[:, 0], 0
     moved, marks = walsh_hadamard(vectors), walsh_hadamard(centroids)
     n, k = len(moved), len(marks)
     row, mark = np.repeat(np.arange(n), k), np.tile(np.arange(k), n)
@@ -87,15 +89,13 @@ def search(vectors: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.n
             bound[owners] = np.minimum(bound[owners], full)
         stay = (sums <= bound[row]).astype(bool)
         row, mark, sums = row[stay], mark[stay], sums[stay]
-    starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if n else np.zeros(0, np.int64)
+    starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
     first = _lowest(sums, starts, len(row))
     return mark[first], sums[first] // SIZE, len(row)
 
 
 def _lowest(values: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
     """Index of the first smallest value of every run."""
-    if not len(starts):
-        return starts
     least = np.minimum.reduceat(values, starts)
     runs = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, size]))
     hits = np.flatnonzero((values == least[runs]).astype(bool))
