@@ -883,7 +883,8 @@ select doc_id, cast(count(*) over (partition by text) as bigint) as group_size f
 SQL["resume_pending"] = """
 with rec as (
   select cast(l_orderkey as varchar) as output_key, l_linestatus = 'O' as complete, l_returnflag = 'R' as failed,
-    l_quantity > 2.0 as same, row_number() over (partition by l_orderkey order by l_shipdate desc, l_linenumber desc) as rn
+    l_quantity > 2.0 as same, row_number() over (partition by l_orderkey order by l_shipdate desc, l_linenumber desc,
+      l_linestatus = 'O', l_returnflag = 'R', l_quantity > 2.0 desc) as rn
   from lineitem)
 select case when r.output_key is null then 'pending' when not same then 'mismatch' when not complete then 'retry'
     when failed then 'retry' else 'skip' end as action, cast(count(*) as bigint) as n

@@ -17,14 +17,16 @@ class ResumeError(ValueError):
 def current_attempts(attempts: DataFrame) -> DataFrame:
     """The latest committed attempt per sample.
 
-    Attempts are never rewritten. A grouped maximum picks the current one
-    map-side, so a sample with very many attempts is not gathered.
+    Attempts are never rewritten. A grouped maximum carries the current one
+    map-side, so a sample with very many attempts is not gathered and there is
+    one row per sample even where time and attempt are tied: then the other
+    columns decide, in their order.
     """
-    newest = F.max(F.struct("committed_at", "attempt_id"))
-    latest = attempts.groupBy("output_key").agg(newest.alias("_n")).select(
-        "output_key", F.col("_n.committed_at").alias("committed_at"),
-        F.col("_n.attempt_id").alias("attempt_id"))
-    return attempts.join(latest, ["output_key", "committed_at", "attempt_id"], "left_semi")
+    first = ["committed_at", "attempt_id"]
+    rest = [c for c in attempts.columns if c not in ("output_key", *first)]
+    newest = F.max(F.struct(*first, *[F.col(f"`{c}`") for c in rest])).alias("_n")
+    latest = attempts.groupBy("output_key").agg(newest)
+    return latest.select(*[c if c == "output_key" else F.col(f"_n.`{c}`").alias(c) for c in attempts.columns])
 
 
 def classify(inputs: DataFrame, recorded: DataFrame, retry_failed: bool = False) -> DataFrame:

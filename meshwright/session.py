@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -31,12 +33,29 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     spark.conf.set("spark.meshwright.configured", "true")
-    # Executors need no installed copy of the package: helper functions travel
-    # inside the serialized task.
-    cloudpickle.register_pickle_by_value(meshwright)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, which need no installed copy.
+
+    Helper functions travel inside the serialized task. Objects of the package's
+    classes, such as broadcast models, are loaded by name: for them Spark's file
+    server hands out an archive of the package.
+    """
+    if spark.conf.get("spark.meshwright.shipped", None):
+        return
+    spark.conf.set("spark.meshwright.shipped", "true")
+    cloudpickle.register_pickle_by_value(meshwright)
+    folder = Path(meshwright.__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="meshwright-")) / "meshwright.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for source in sorted(folder.rglob("*.py")):
+            packed.write(source, source.relative_to(folder.parent))
+    spark.sparkContext.addPyFile(str(archive))
+
+
 def local_session(cores: str = "*", app: str = "meshwright") -> SparkSession:
     """A single-machine session for tests, benchmarks and the command line."""
     spark = (

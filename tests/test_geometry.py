@@ -329,12 +329,16 @@ def test_registration_converges_and_keeps_topology(spark, pair):
     assert done.rigid_scale.first()["rigid_scale"] == pytest.approx(1 / 1.05, rel=0.02)
 
 
-def test_template_copies_are_size_checked(spark, pair):
-    start, goal, _, _ = pair
-    copies = register.expand_template(start, mesh_set(spark, {m: TETRAHEDRON for m in (4, 5)}))
-    assert copies.vertices.groupBy("mesh_id").count().count() == 2 and copies.vertices.count() == 50
-    with pytest.raises(ValueError, match="too large"):
-        register.expand_template(start, goal, row_limit=10)
+def test_template_copies_are_the_same_with_and_without_broadcast(spark, pair, monkeypatch):
+    start, _, _, _ = pair
+    targets = mesh_set(spark, {m: TETRAHEDRON for m in (4, 5)})
+    broadcast = register.expand_template(start, targets)
+    rows = lambda m: (sorted(map(tuple, m.vertices.collect())), sorted(map(tuple, m.faces.collect())))
+    want = rows(broadcast)
+    assert len(want[0]) == 50 and {r[0] for r in want[0]} == {4, 5}
+    shuffled = lambda rows, small, keys: rows.hint("merge").join(small, keys)
+    monkeypatch.setattr(register, "attach_small", lambda *a: shuffled(*a))
+    assert rows(register.expand_template(start, targets)) == want
 
 
 def test_batches_cover_small_and_large_meshes(spark):

@@ -203,11 +203,19 @@ def test_text_audit(spark):
         (1, "mail a.b@example.com or c@d.org"), (2, "call 13812345678 now"), (3, "a13812345678b"),
         (4, "/home/user/x and /home/alice/x"), (5, "password: hunter2"), (6, r"D:\data\x and C:\path\to\x"),
         (7, "nothing")], "doc_id int, text string")
-    got = {(r["doc_id"], r["rule"]): r["detail"] for r in audit.findings(rows, "doc_id").collect()}
-    assert got == {
-        (1, "email_address"): "a.b@example.com", (2, "phone_number"): "13812345678",
-        (4, "unix_home_path"): "/home/alice", (5, "credential_value"): "password: hunter2",
-        (6, "windows_absolute_path"): r"D:\data\x"}
+    got = sorted((r["doc_id"], r["rule"], r["detail"]) for r in audit.findings(rows, "doc_id").collect())
+    assert got == [
+        (1, "email_address", "a.b@example.com"), (1, "email_address", "c@d.org"), (2, "phone_number", "13812345678"),
+        (4, "unix_home_path", "/home/alice"), (5, "credential_value", "password: hunter2"),
+        (6, "windows_absolute_path", r"D:\data\x")]
+
+
+def test_tied_attempts_leave_one_row_per_sample(spark):
+    rows = [("a", 1, 1, "staged", None), ("a", 2, 1, "complete", 1), ("a", 2, 1, "staged", 2), ("a", 2, 1, "staged", 2), ("b", 1, 3, "complete", None)]
+    frame = spark.createDataFrame(rows, "output_key string, committed_at int, attempt_id int, commit_state string, `odd name` int")
+    got = runs.current_attempts(frame)
+    assert got.columns == frame.columns
+    assert sorted(map(tuple, got.collect())) == [("a", 2, 1, "staged", 2), ("b", 1, 3, "complete", None)]
 
 
 def test_resume_actions(spark):
