@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from meshwright.functions.vectors import Vec
 from meshwright.operators.topology import with_corners
-from meshwright.plans import grid
+from meshwright.plans import bounded, grid
 from meshwright.plans.grid import AXES
 from meshwright.plans.meshset import KEY, MeshSet
 from meshwright.plans.ranking import exact_quantiles
@@ -66,14 +70,63 @@ def size_levels(boxes: DataFrame) -> DataFrame:
 def surface_distances(points: DataFrame, surface: MeshSet, label: str = "surface") -> DataFrame:
     """(mesh_id, vid, distance) from each point to its mesh's surface.
 
-    A face lives in the grid level its size calls for, in at most eight cells.
-    A point looks into every level in use, within a search radius that widens
-    until its best distance lies inside it. Only the running minimum is kept.
+    A mesh of bounded size is searched in one task by branch and bound over boxes
+    of faces. In a larger mesh a face lives in the grid level its size calls for,
+    in at most eight cells, and a point looks into every level in use, within a
+    search radius that widens until its best distance lies inside it.
     Points with a coordinate that is not finite get no row, nor do points whose
     mesh has no finite face.
     """
     # A search for a point that is not finite, or among such faces, would never end.
     points = points.where(grid.finite(*AXES))
+    if surface.largest <= bounded.ROWS:
+        large = bounded.oversized([points])
+        over = None
+    else:
+        large = bounded.oversized([points, surface.vertices])
+        over = bounded.oversized([surface.faces], counted=True)
+    if over is not None:
+        large = over if large is None else large.union(over).distinct()
+    found = _distances_in_blocks(
+        bounded.without(points, large),
+        MeshSet(bounded.without(surface.vertices, large), bounded.without(surface.faces, large)))
+    if large is None:
+        return found
+    rest = MeshSet(bounded.only(surface.vertices, large), bounded.only(surface.faces, large))
+    return found.unionByName(_distances_by_grid(bounded.only(points, large), rest, label))
+
+
+def _distances_in_blocks(points: DataFrame, surface: MeshSet) -> DataFrame:
+    """``surface_distances`` in meshes of bounded size.
+
+    Points and vertices travel together, so a face finds its corners in the task
+    that searches it: one exchange of points, one of faces.
+    """
+    schema = points.select("mesh_id", "vid", F.lit(0.0).alias("distance")).schema
+    empty = to_arrow_schema(schema).empty_table()
+    kind = schema["vid"].dataType
+    spots = points.select("mesh_id", F.lit(True).alias("asked"), "vid", *AXES).unionByName(
+        surface.vertices.select("mesh_id", F.lit(False).alias("asked"), F.col("vid").cast(kind).alias("vid"), *AXES))
+
+    def search(spots: pa.Table, faces: pa.Table) -> pa.Table:
+        asked = spots.filter(spots.column("asked"))
+        held = spots.filter(pc.invert(spots.column("asked"))).sort_by("vid")
+        if not asked.num_rows or not held.num_rows or not faces.num_rows:
+            return empty
+        ids, places = held.column("vid").to_numpy(), bounded.floats(held, list(AXES))
+        found = [bounded.gather(ids, faces.column(c).to_numpy()) for c in "abc"]
+        corners = np.stack([places[at] for at, _ in found], 1)
+        whole = found[0][1] & found[1][1] & found[2][1] & np.isfinite(corners).all((1, 2))
+        if not whole.any():
+            return empty
+        distance = bounded.surface_rows(bounded.floats(asked, list(AXES)), corners[whole])
+        return pa.table([asked.column("mesh_id"), asked.column("vid"), pa.array(distance)], names=empty.column_names)
+
+    return bounded.per_mesh(spots, surface.faces.select("mesh_id", "a", "b", "c"), search, schema)
+
+
+def _distances_by_grid(points: DataFrame, surface: MeshSet, label: str) -> DataFrame:
+    """``surface_distances`` in rounds over a grid, for meshes of any size."""
     boxes = triangle_boxes(surface)
     boxes = cut(boxes.where(grid.finite(*[f"{end}_{a}" for end in ("lo", "hi") for a in AXES])), f"{label}-boxes")
     # A face is stored in up to eight cells.

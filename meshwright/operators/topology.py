@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from meshwright.functions.vectors import Vec, unit
+from meshwright.plans import bounded
 from meshwright.plans.meshset import KEY, MeshSet
 from meshwright.plans.ranking import exact_quantiles
 from meshwright.plans.skew import attach
@@ -92,7 +95,46 @@ def boundary_vertices(meshes: MeshSet) -> DataFrame:
 
 
 def with_corners(meshes: MeshSet) -> DataFrame:
-    """Faces with the points of their corners as pa, pb, pc."""
+    """Faces with the points of their corners as pa, pb, pc.
+
+    In meshes of bounded size a task holds all vertices of a mesh and looks the
+    corners up: one exchange of faces and one of vertices. A larger mesh is
+    joined corner by corner.
+    """
+    if meshes.largest <= bounded.ROWS:
+        return _corners_in_task(meshes)
+    large = bounded.oversized([meshes.vertices])
+    many = bounded.oversized([meshes.faces], counted=True)
+    if many is not None:
+        large = many if large is None else large.union(many).distinct()
+    small = MeshSet(bounded.without(meshes.vertices, large), bounded.without(meshes.faces, large))
+    rest = MeshSet(bounded.only(meshes.vertices, large), bounded.only(meshes.faces, large))
+    return _corners_in_task(small).unionByName(_corners_by_join(rest))
+
+
+def _corners_in_task(meshes: MeshSet) -> DataFrame:
+    faces = meshes.faces.select(*KEY, "fid", "a", "b", "c")
+    point = F.struct(*[F.lit(0.0).alias(a) for a in "xyz"])
+    schema = faces.select("*", *[point.alias(f"p{c}") for c in "abc"]).schema
+    empty = to_arrow_schema(schema).empty_table()
+
+    def look_up(faces: pa.Table, vertices: pa.Table) -> pa.Table:
+        if not faces.num_rows or not vertices.num_rows:
+            return empty
+        vertices = vertices.sort_by("vid")
+        ids = vertices.column("vid").to_numpy()
+        found = [bounded.gather(ids, faces.column(c).to_numpy()) for c in "abc"]
+        whole = np.flatnonzero(found[0][1] & found[1][1] & found[2][1])
+        faces = faces.take(pa.array(whole))
+        sides = [vertices.column(a).combine_chunks() for a in "xyz"]
+        fields = list(empty.schema.field("pa").type)
+        corners = [pa.StructArray.from_arrays([s.take(pa.array(at[whole])) for s in sides], fields=fields) for at, _ in found]
+        return pa.table([*[faces.column(c) for c in empty.column_names[:6]], *corners], schema=empty.schema)
+
+    return bounded.per_mesh(faces, meshes.vertices.select("mesh_id", "vid", "x", "y", "z"), look_up, schema)
+
+
+def _corners_by_join(meshes: MeshSet) -> DataFrame:
     joined = meshes.faces
     for corner in ("a", "b", "c"):
         side = meshes.vertices.select(

@@ -1,6 +1,7 @@
-"""Exact spatial joins on multi-level grids.
+"""Exact spatial joins: block search inside bounded meshes, multi-level grids beyond.
 
-Neighbour search proceeds in rounds with a doubling radius. In a round, a point
+A mesh of bounded size is searched in one task by branch and bound over boxes
+of its points. In a larger mesh neighbour search proceeds in rounds with a doubling radius. In a round, a point
 meets only the candidates in the cells its search box touches, at most two per
 axis, and is done once its answer lies within the radius. What is left goes to
 the next round, so the answer is exact and pairs stay local.
@@ -8,9 +9,13 @@ the next round, so the answer is exact and pairs stay local.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
+from meshwright.plans import bounded
 from meshwright.plans.skew import attach, probe_join
 from meshwright.session import cut, spread
 
@@ -77,7 +82,39 @@ def nearest(
     Distance over more features than position is never smaller than positional
     distance, so the positional cells still hold every candidate.
     """
-    queries, targets = queries.where(finite(*features)), targets.where(finite(*features))
+    wanted = ["mesh_id", "nv", "vid", *features]
+    queries, targets = (t.where(finite(*features)).select(*wanted) for t in (queries, targets))
+    large = bounded.oversized([queries, targets])
+    found = _nearest_in_blocks(bounded.without(queries, large), bounded.without(targets, large), k, features)
+    if large is None:
+        return found
+    return found.unionByName(_nearest_by_grid(bounded.only(queries, large), bounded.only(targets, large), k, features, label))
+
+
+def _nearest_in_blocks(queries: DataFrame, targets: DataFrame, k: int, features: list[str]) -> DataFrame:
+    """``nearest`` in meshes of bounded size: one exchange of each table."""
+    schema = StructType([
+        queries.schema["mesh_id"], queries.schema["vid"], StructField("rank", IntegerType()),
+        StructField("neighbour", targets.schema["vid"].dataType), StructField("d2", DoubleType())])
+    empty = to_arrow_schema(schema).empty_table()
+
+    def search(asking: pa.Table, held: pa.Table) -> pa.Table:
+        if not asking.num_rows or not held.num_rows:
+            return empty
+        row, rank, name, d2 = bounded.nearest_rows(
+            bounded.floats(asking, features), bounded.floats(held, features),
+            held.column("vid").cast(pa.int64()).to_numpy(), k)
+        take = pa.array(row)
+        return pa.table([asking.column("mesh_id").take(take), asking.column("vid").take(take), pa.array(rank, pa.int32()),
+                         pa.array(name).cast(empty.schema.field("neighbour").type), pa.array(d2)], names=empty.column_names)
+
+    return bounded.per_mesh(queries.drop("nv"), targets.drop("nv"), search, schema)
+
+
+def _nearest_by_grid(
+    queries: DataFrame, targets: DataFrame, k: int, features: list[str], label: str
+) -> DataFrame:
+    """``nearest`` in rounds over a grid, for meshes of any size."""
     stats = start_radius(targets, ["mesh_id", "nv"], k)
     asked = queries.groupBy("mesh_id", "nv").agg(F.count(F.lit(1)).alias("_asked"))
     asked = asked.join(stats.drop("nv"), "mesh_id").drop("_asked")
