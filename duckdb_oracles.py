@@ -745,6 +745,47 @@ SQL["knn_smoothing_weights"] = query(
     """mixed as (select mesh_id, i, j, exp(d2 * (-0.5 / (40.0 * 40.0))) * (case when j % 5 = 0 then 0.0 else 1.0 end) * (1.0 - 1e-5) + 1e-5 as w
        from near where rn <= 8)""",
     body=f"select mesh_id, i, j, {r('w / sum(w) over (partition by mesh_id, i)')} as w from mixed")
+# Passes over fixed neighbour weights, one after the other.
+NEIGHBOURS = """
+near as (select *, row_number() over (partition by mesh_id, i order by d2, j) as rn from (
+   select p.mesh_id, p.vid as i, q.vid as j, (p.x-q.x)*(p.x-q.x) + (p.y-q.y)*(p.y-q.y) + (p.z-q.z)*(p.z-q.z) as d2
+   from fx_vertices p join fx_vertices q on q.mesh_id = p.mesh_id)),
+mixed as (select mesh_id, i, j, exp(d2 * (-0.5 / (40.0 * 40.0))) * (case when j % 5 = 0 then 0.0 else 1.0 end) * (1.0 - 1e-5) + 1e-5 as w
+   from near where rn <= 8),
+base as materialized (select mesh_id, i, j, w / sum(w) over (partition by mesh_id, i) as w from mixed),
+sharp as (select mesh_id, i, j, w * ((j % 10 + 1) / 10.0) * (1.0 - 1e-5) + 1e-5 as w from base),
+smoother as materialized (select mesh_id, i, j, w / sum(w) over (partition by mesh_id, i) as w from sharp)"""
+FIELD = "select mesh_id, vid, x / 10.0 as dx, y / 100.0 as dy, z as dz from fx_vertices"
+
+
+def field_passes(first: str, smooth: int, diffuse: int) -> list[str]:
+    """CTEs p0, p1, …: the field ``first`` after each pass."""
+    steps = [f"p0 as ({first})"]
+    mean = "select s.mesh_id, s.i as vid, " + ", ".join(f"sum(s.w * f.{d}) as {d}" for d in ("dx", "dy", "dz"))
+    for n in range(smooth + diffuse):
+        met = f"{mean} from {'smoother' if n < smooth else 'base'} s join p{n} f on f.mesh_id = s.mesh_id and f.vid = s.j group by s.mesh_id, s.i"
+        if n < smooth:
+            steps.append(f"p{n + 1} as materialized ({met})")
+            continue
+        own = "((f.vid % 10 + 1) / 10.0)"
+        mixed = ", ".join(f"case when {own} <= 0.8 then f.{d} * {own} + m.{d} * (1.0 - {own}) else f.{d} end as {d}" for d in ("dx", "dy", "dz"))
+        steps.append(f"p{n + 1} as materialized (select f.mesh_id, f.vid, {mixed} from p{n} f join ({met}) m on m.mesh_id = f.mesh_id and m.vid = f.vid)")
+    return steps
+
+
+_MOVED = ", ".join(f"{r(d)} as {d}" for d in ("dx", "dy", "dz"))
+SQL["smooth_field_passes"] = query(MESHES, NEIGHBOURS, *field_passes(FIELD, 5, 0), body=f"select mesh_id, vid, {_MOVED} from p5")
+SQL["diffuse_outliers_passes"] = query(MESHES, NEIGHBOURS, *field_passes(FIELD, 0, 4), body=f"select mesh_id, vid, {_MOVED} from p4")
+SQL["viscoelastic_step"] = query(
+    MESHES, NEIGHBOURS, *field_passes(
+        """select mesh_id, vid, (vid % 5) * ((vid % 10 + 1) / 10.0) as dx, (vid % 3 * 10) * ((vid % 10 + 1) / 10.0) as dy,
+           -(vid % 7) * ((vid % 10 + 1) / 10.0) as dz from fx_vertices""", 5, 2),
+    body="select v.mesh_id, v.vid, " + ", ".join(f"{r(f'v.{a} + p.d{a}')} as {a}" for a in "xyz")
+    + " from fx_vertices v join p7 p on p.mesh_id = v.mesh_id and p.vid = v.vid")
+SQL["register_rigid_step"] = query(
+    MESHES, FEATURES.replace("moving", "fx_vertices"),
+    body="select mesh_id, vid, " + ", ".join(f"{r(e, 5)} as {n}" for n, e in (
+        ("x", "y * -1.5 + 4.0"), ("y", "x * 1.5 - 2.0"), ("z", "z * 1.5 + 3.0"), ("nx", "-ny"), ("ny", "nx"), ("nz", "nz"))) + " from feat_t")
 CORRESPONDENCES = ", ".join([
     affinity("feat_m", "feat_t", "push"), affinity("feat_t", "feat_m", "pull"),
     """pull_flag as (select p.mesh_id, p.i as j, (case when p.i % 7 = 0 then 0.0 else 1.0 end)

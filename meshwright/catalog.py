@@ -648,8 +648,63 @@ def inlier_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("mesh_id", "vid", clean(F.col("weight")).alias("weight"))
 
 
+def _field(spark: SparkSession, sf_dir: str):
+    """Smoothing weights of the strips, a displacement of every vertex and its inlier weight."""
+    meshes = derive.strip(spark, sf_dir)
+    flags = meshes.vertices.select(
+        "mesh_id", "vid", F.when(F.col("vid") % 5 == 0, 0.0).otherwise(1.0).alias("flag"))
+    base = registration.smoothing_weights(meshes.vertices, flags, 8, 40.0)
+    field = meshes.vertices.select(
+        "mesh_id", "vid", (F.col("x") / 10.0).alias("dx"), (F.col("y") / 100.0).alias("dy"), F.col("z").alias("dz"))
+    inliers = meshes.vertices.select("mesh_id", "vid", ((F.col("vid") % 10 + 1) / 10.0).alias("weight"))
+    return field, base, inliers
+
+
+@registered
+def smooth_field_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five averagings of a displacement over eight neighbours."""
+    found = registration.smooth_field(*_field(spark, sf_dir), 5)
+    return found.select("mesh_id", "vid", *[clean(F.col(d)).alias(d) for d in registration.FIELD])
+
+
+@registered
+def diffuse_outliers_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four blendings of weak vertices with their neighbours."""
+    found = registration.diffuse_outliers(*_field(spark, sf_dir), 4)
+    return found.select("mesh_id", "vid", *[clean(F.col(d)).alias(d) for d in registration.FIELD])
+
+
+@registered
+def viscoelastic_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One deformation: three viscous, two elastic and two diffusion passes of the pull."""
+    meshes = derive.strip(spark, sf_dir)
+    _, _, weights = _field(spark, sf_dir)
+    flags = meshes.vertices.select(
+        "mesh_id", "vid", F.when(F.col("vid") % 5 == 0, 0.0).otherwise(1.0).alias("flag"))
+    matched = meshes.vertices.select(
+        "mesh_id", "vid", (F.col("x") + F.col("vid") % 5).alias("cx"),
+        (F.col("y") + F.col("vid") % 3 * 10).alias("cy"), (F.col("z") - F.col("vid") % 7).alias("cz"))
+    options = registration.RegistrationOptions(
+        transform_num_neighbours=8, transform_sigma=40.0, outlier_diffusion_iterations=2)
+    moved = registration.viscoelastic_step(
+        cut(registration.features(meshes), "features"), meshes.faces, matched, flags, weights, 3, 2, options)
+    return moved.select("mesh_id", "vid", *[clean(F.col(a)).alias(a) for a in "xyz"])
+
+
 @registered
 def register_rigid_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rigid iteration onto a copy that is turned by a quarter, enlarged and shifted."""
+    moving = cut(registration.features(derive.strip(spark, sf_dir)), "features")
+    matched = moving.select(
+        "mesh_id", "vid", (F.col("y") * -1.5 + 4.0).alias("cx"), (F.col("x") * 1.5 - 2.0).alias("cy"),
+        (F.col("z") * 1.5 + 3.0).alias("cz"))
+    weights = moving.select("mesh_id", "vid", ((F.col("vid") % 10 + 1) / 10.0).alias("weight"))
+    moved, _ = registration.rigid_step(moving, matched, weights)
+    return moved.select("mesh_id", "vid", *[clean(F.col(c), 5).alias(c) for c in registration.FEATURES])
+
+
+@registered
+def register_rigid_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One rigid iteration: match, weigh, and solve the weighted similarity."""
     moving, found = _matched(spark, sf_dir)
     weights = cut(registration.inlier_weights(moving, found, 3.0), "weights")
@@ -661,12 +716,12 @@ def register_rigid_step(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def register_nonrigid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A short registration of every displaced strip onto its original."""
-    start, meshes = _moving(spark, sf_dir)
+    """Two rigid and three non-rigid iterations of every displaced sheet onto its original, with all flags on."""
+    meshes = derive.sheet(spark, sf_dir)
+    start = meshes.with_vertices(_moving(spark, sf_dir)[0].vertices)
     options = registration.RegistrationOptions(
-        rigid_iterations=0, nonrigid_iterations=0, transform_num_viscous_iterations_start=1,
-        transform_num_elastic_iterations_start=1, transform_num_neighbours=6, transform_sigma=40.0,
-        flag_floating_boundary=False, flag_target_boundary=False, outlier_diffusion_iterations=1)
+        rigid_iterations=1, nonrigid_iterations=2, transform_num_viscous_iterations_start=20,
+        transform_num_elastic_iterations_start=20, transform_sigma=40.0)
     done = registration.register(start, meshes, options)
     return done.trajectory.select(
         "mesh_id", "phase", "iteration", clean(F.col("residual_mean"), 4).alias("residual_mean"))

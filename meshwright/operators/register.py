@@ -13,11 +13,15 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, fields
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from meshwright.operators import align, topology
 from meshwright.operators.align import LEAST_SQUARES
+from meshwright.plans import bounded
 from meshwright.plans.grid import nearest
 from meshwright.plans.meshset import KEY, MeshSet
 from meshwright.plans.skew import attach, attach_small
@@ -31,7 +35,11 @@ SIGMA_RANGE = (0.1, 10.0)
 INLIER_PASSES = 10
 OUTLIER_LEVEL = 0.8
 
+# Neighbour weights of a mesh whose passes run in one task: 96 MB of them.
+PASS_ROWS = 4_000_000
+
 POSITION = ["x", "y", "z"]
+FIELD = ("dx", "dy", "dz")
 NORMAL = ["nx", "ny", "nz"]
 FEATURES = POSITION + NORMAL
 
@@ -228,18 +236,107 @@ def _floored(weight):
     return weight * (1.0 - MIN_SMOOTHING_WEIGHT) + MIN_SMOOTHING_WEIGHT
 
 
+def smooth_field(
+    field: DataFrame, base_weights: DataFrame, inliers: DataFrame, passes: int
+) -> DataFrame:
+    """Repeatedly average a vector field over neighbours that are inliers."""
+    return relaxed(field, base_weights, inliers, [int(passes)], 0)
+
+
+def diffuse_outliers(
+    field: DataFrame, weights: DataFrame, inliers: DataFrame, passes: int
+) -> DataFrame:
+    """Blend weak vertices' displacement with their neighbours' mean."""
+    return relaxed(field, weights, inliers, [], int(passes))
+
+
+def relaxed(
+    field: DataFrame, base_weights: DataFrame, inliers: DataFrame, smooth: list[int], diffuse: int
+) -> DataFrame:
+    """A vector field (mesh_id, vid, dx, dy, dz) after rounds of smoothing, then of diffusion.
+
+    The field, the inlier weights and the neighbour weights of a mesh are brought
+    together once; all passes run there, without an exchange or a table in
+    between. Meshes with more than ``PASS_ROWS`` neighbour weights pass by pass
+    through shuffles instead.
+    """
+    if max([0, *smooth, diffuse]) <= 0:
+        return field
+    base_weights = cut(base_weights, "neighbours")
+    large = bounded.oversized([base_weights], PASS_ROWS, counted=True)
+    found = _relaxed_in_task(*[bounded.without(t, large) for t in (field, base_weights, inliers)], smooth, diffuse)
+    if large is None:
+        return found
+    field, base_weights, inliers = [bounded.only(t, large) for t in (field, base_weights, inliers)]
+    for passes in smooth:
+        field = _smoothed_by_joins(field, base_weights, inliers, passes)
+    return found.unionByName(_diffused_by_joins(field, base_weights, inliers, diffuse))
+
+
+def _relaxed_in_task(
+    field: DataFrame, base_weights: DataFrame, inliers: DataFrame, smooth: list[int], diffuse: int
+) -> DataFrame:
+    field = field.select("mesh_id", "vid", *FIELD)
+    nodes = field.join(inliers.select("mesh_id", "vid", "weight"), ["mesh_id", "vid"], "full").select(
+        *field.columns, F.col("dx").isNotNull().alias("moves"), "weight")
+    empty = to_arrow_schema(field.schema).empty_table()
+
+    def passes(nodes: pa.Table, links: pa.Table) -> pa.Table:
+        if not nodes.num_rows:
+            return empty
+        nodes = nodes.sort_by("vid")
+        ids = nodes.column("vid").to_numpy()
+        weight = bounded.floats(nodes, ["weight"])[:, 0]
+        weighed = ~nodes.column("weight").is_null().to_numpy()
+        moves, values = nodes.column("moves").to_numpy(), bounded.floats(nodes, list(FIELD))
+        if links.num_rows:
+            (i, i_known), (j, j_known) = (bounded.gather(ids, links.column(c).to_numpy()) for c in "ij")
+            base = links.column("w").to_numpy()
+            known = i_known & j_known
+            i, j, base = i[known], j[known], base[known]
+        else:
+            i, j, base = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        size = len(ids)
+
+        def averaged(w: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            there = moves[j]
+            i, j, w = i[there], j[there], w[there]
+            sums = [np.bincount(i, w * values[j, axis], size) for axis in range(3)]
+            return np.bincount(i, minlength=size) > 0, np.stack(sums, 1)
+
+        if any(n > 0 for n in smooth):
+            use = weighed[j]
+            si, sj = i[use], j[use]
+            w = base[use] * weight[sj] * (1.0 - MIN_SMOOTHING_WEIGHT) + MIN_SMOOTHING_WEIGHT
+            total = np.bincount(si, w, size)[si]
+            w = np.divide(w, total, out=np.zeros_like(w), where=total > 0.0)
+            for _ in range(sum(n for n in smooth if n > 0)):
+                moves, values = averaged(w, si, sj)
+        if diffuse > 0:
+            moves = moves & weighed
+            weak, own = (weight <= OUTLIER_LEVEL)[:, None], weight[:, None]
+            for _ in range(diffuse):
+                met, mean = averaged(base, i, j)
+                values = np.where(weak, values * own + mean * (1.0 - own), values)
+                moves = moves & met
+        left = nodes.filter(pa.array(moves))
+        return pa.table([left.column("mesh_id"), left.column("vid"), *[pa.array(values[moves, k]) for k in range(3)]],
+                        names=empty.column_names)
+
+    return bounded.per_mesh(nodes, base_weights.select("mesh_id", "i", "j", "w"), passes, field.schema)
+
+
 def _averaged(field: DataFrame, weights: DataFrame) -> DataFrame:
-    """One smoothing pass of a vector field (mesh_id, vid, dx, dy, dz)."""
-    partner = field.select("mesh_id", F.col("vid").alias("j"), "dx", "dy", "dz")
+    """One smoothing pass by a join."""
+    partner = field.select("mesh_id", F.col("vid").alias("j"), *FIELD)
     return weights.join(partner, ["mesh_id", "j"]).groupBy("mesh_id", "i").agg(
-        *[F.sum(F.col("w") * F.col(d)).alias(d) for d in ("dx", "dy", "dz")]
+        *[F.sum(F.col("w") * F.col(d)).alias(d) for d in FIELD]
     ).withColumnRenamed("i", "vid")
 
 
-def smooth_field(
+def _smoothed_by_joins(
     field: DataFrame, base_weights: DataFrame, inliers: DataFrame, passes: int
 ) -> DataFrame:
-    """Repeatedly average a vector field over neighbours that are inliers."""
     if passes <= 0:
         return field
     partner = inliers.select("mesh_id", F.col("vid").alias("j"), F.col("weight").alias("_in"))
@@ -253,24 +350,22 @@ def smooth_field(
     return field
 
 
-def diffuse_outliers(
+def _diffused_by_joins(
     field: DataFrame, weights: DataFrame, inliers: DataFrame, passes: int
 ) -> DataFrame:
-    """Blend weak vertices' displacement with their neighbours' mean."""
     if passes <= 0:
         return field
-    names = ("dx", "dy", "dz")
     current = field.join(inliers.select("mesh_id", "vid", "weight"), ["mesh_id", "vid"])
     for _ in range(int(passes)):
         current = cut(current, "diffused")
-        mean = _averaged(current.select("mesh_id", "vid", *names), weights).select(
-            "mesh_id", "vid", *[F.col(d).alias(f"m{d}") for d in names])
+        mean = _averaged(current.select("mesh_id", "vid", *FIELD), weights).select(
+            "mesh_id", "vid", *[F.col(d).alias(f"m{d}") for d in FIELD])
         weak = F.col("weight") <= OUTLIER_LEVEL
         blended = [
             F.when(weak, F.col(d) * F.col("weight") + F.col(f"m{d}") * (1.0 - F.col("weight")))
-            .otherwise(F.col(d)).alias(d) for d in names]
+            .otherwise(F.col(d)).alias(d) for d in FIELD]
         current = current.join(mean, ["mesh_id", "vid"]).select("mesh_id", "vid", *blended, "weight")
-    return current.select("mesh_id", "vid", *names)
+    return current.select("mesh_id", "vid", *FIELD)
 
 
 def annealed(start: int, end: int, iteration: int, total: int) -> int:
@@ -312,17 +407,13 @@ def viscoelastic_step(
     options: RegistrationOptions,
 ) -> DataFrame:
     """Smooth the pull towards the correspondences and move the templates by it."""
-    base = cut(
-        smoothing_weights(floating, flags, options.transform_num_neighbours, options.transform_sigma),
-        "smoothing")
+    base = smoothing_weights(floating, flags, options.transform_num_neighbours, options.transform_sigma)
     pull = floating.join(
         matched.select("mesh_id", "vid", *[f"c{a}" for a in POSITION]), ["mesh_id", "vid"]
     ).join(weights.select("mesh_id", "vid", "weight"), ["mesh_id", "vid"])
     force = pull.select("mesh_id", "vid", *[
         ((F.col(f"c{a}") - F.col(a)) * F.col("weight")).alias(f"d{a}") for a in POSITION])
-    field = smooth_field(force, base, weights, viscous)
-    field = smooth_field(field, base, weights, elastic)
-    field = diffuse_outliers(field, base, weights, options.outlier_diffusion_iterations)
+    field = relaxed(force, base, weights, [viscous, elastic], options.outlier_diffusion_iterations)
     moved = floating.join(field, ["mesh_id", "vid"]).select(
         *KEY, "vid", *[(F.col(a) + F.col(f"d{a}")).alias(a) for a in POSITION])
     moved = cut(moved, "moved")

@@ -62,6 +62,19 @@ def strip(spark: SparkSession, sf_dir: str) -> MeshSet:
     return MeshSet(_points(vertices), faces)
 
 
+def sheet(spark: SparkSession, sf_dir: str) -> MeshSet:
+    """Vertices in rows of eight with two triangles per square: a surface with an inside and a boundary."""
+    vertices = event_vertices(spark, sf_dir)
+    vid = F.col("vid")
+    corner = F.explode(F.array(F.lit(0), F.lit(1)))
+    squares = vertices.where((vid % 8 < 7) & (vid + 9 < F.col("nv"))).select(*KEY, "vid", corner.alias("half"))
+    upper = F.col("half") == 1
+    faces = squares.select(
+        *KEY, (vid * 2 + F.col("half")).alias("fid"), F.when(upper, vid + 1).otherwise(vid).alias("a"),
+        F.when(upper, vid + 9).otherwise(vid + 1).alias("b"), (vid + 8).alias("c"))
+    return MeshSet(_points(vertices), faces)
+
+
 def scrambled(spark: SparkSession, sf_dir: str) -> MeshSet:
     """Irregular faces: degenerate, duplicated, non-manifold, disconnected."""
     vertices = event_vertices(spark, sf_dir)
