@@ -183,18 +183,51 @@ def inlier_weights(
     """(mesh_id, nv, vid, weight) after ten multiplicative re-weightings.
 
     Distances do not change between passes, so a vertex's weight is a product
-    over the sigmas so far. Each pass is one aggregate per mesh that adds one
-    sigma to the mesh's row; vertices are never gathered.
+    over the sigmas so far. In meshes of bounded size all passes run where the
+    mesh is together; in larger ones each pass is one aggregate per mesh that
+    adds one sigma to the mesh's row, and vertices are never gathered.
     """
     names = FEATURES
     joined = floating.join(matched, ["mesh_id", "vid"])
     d2 = sum((F.col(f"c{n}") - F.col(n)) * (F.col(f"c{n}") - F.col(n)) for n in names)
     facing = sum(F.col(n) * F.col(f"c{n}") for n in NORMAL) / 2.0 + 0.5
-    base = cut(
-        joined.select(*KEY, "vid", "flag", d2.alias("d2"),
-                      F.greatest(F.lit(0.0), F.least(F.lit(1.0), facing)).alias("facing")),
-        "inlier-base",
-    )
+    base = joined.select(*KEY, "vid", "flag", d2.alias("d2"),
+                         F.greatest(F.lit(0.0), F.least(F.lit(1.0), facing)).alias("facing"))
+    large = bounded.oversized([floating])
+    found = _weights_in_task(bounded.without(base, large), kappa, use_orientation)
+    if large is None:
+        return found
+    return found.unionByName(_weights_by_sums(cut(bounded.only(base, large), "inlier-base"), kappa, use_orientation))
+
+
+def _weights_in_task(base: DataFrame, kappa: float, use_orientation: bool) -> DataFrame:
+    damp = math.exp(-0.5 * float(kappa) * float(kappa))
+    schema = base.select(*KEY, "vid", F.lit(0.0).alias("weight")).schema
+
+    def passes(rows: pa.Table) -> pa.Table:
+        flag, d2, facing = bounded.floats(rows, ["flag", "d2", "facing"]).T
+        known = ~(rows.column("flag").is_null().to_numpy() | rows.column("d2").is_null().to_numpy())
+        weight, gaps = flag[known], d2[known]
+        with np.errstate(all="ignore"):
+            for _ in range(INLIER_PASSES):
+                total = weight.sum()
+                if total <= 0.0:  # no vertex counts: no weights at all
+                    weight = np.zeros(len(weight))
+                    break
+                sigma = np.sqrt((weight * gaps).sum() / total)
+                sigma = SIGMA_RANGE[1] if np.isnan(sigma) else min(SIGMA_RANGE[1], max(SIGMA_RANGE[0], float(sigma)))
+                bell = np.exp(gaps * -0.5 / (sigma * sigma))
+                weight = weight * (bell / (bell + damp))
+        weight, own = np.zeros(len(flag)), weight
+        weight[known] = own
+        if use_orientation:
+            weight = weight * facing
+        return pa.table([*[rows.column(c) for c in (*KEY, "vid")], pa.array(weight)], names=[*KEY, "vid", "weight"])
+
+    return bounded.each_mesh(base, passes, schema)
+
+
+def _weights_by_sums(base: DataFrame, kappa: float, use_orientation: bool) -> DataFrame:
     damp = math.exp(-0.5 * float(kappa) * float(kappa))
     sigmas: list[str] = []
 
@@ -212,9 +245,9 @@ def inlier_weights(
             *KEY, *sigmas, current().alias("_w"), "d2")
         total = F.sum("_w")
         sigma = F.sqrt(F.try_divide(F.sum(F.col("_w") * F.col("d2")), F.when(total > 0.0, total)))
-        bounded = F.when(sigma.isNotNull(), F.greatest(F.lit(SIGMA_RANGE[0]), F.least(F.lit(SIGMA_RANGE[1]), sigma)))
+        bounded_sigma = F.when(sigma.isNotNull(), F.greatest(F.lit(SIGMA_RANGE[0]), F.least(F.lit(SIGMA_RANGE[1]), sigma)))
         passes = rows.groupBy(*KEY).agg(
-            *[F.first(name).alias(name) for name in sigmas], bounded.alias(f"_s{number}"))
+            *[F.first(name).alias(name) for name in sigmas], bounded_sigma.alias(f"_s{number}"))
         sigmas.append(f"_s{number}")
     final = F.coalesce(current(), F.lit(0.0))
     if use_orientation:

@@ -25,12 +25,13 @@ ROWS = 1 << 17
 LEAF = 128
 
 
-def oversized(tables: list[DataFrame], limit: int = ROWS, counted: bool = False) -> DataFrame | None:
-    """(mesh_id) of the meshes with more than ``limit`` rows in a table, None if there are none.
+def oversized(tables: list[DataFrame], limit: int | None = None, counted: bool = False) -> DataFrame | None:
+    """(mesh_id) of the meshes with more than ``limit`` (``ROWS``) rows in a table, None if there are none.
 
     Tables carry their rows per mesh as nv; with ``counted`` rows are counted.
     The list has at most a row for every ``limit`` rows of the tables.
     """
+    limit = ROWS if limit is None else limit
     found = None
     for table in tables:
         sizes = table.groupBy("mesh_id").agg(F.count(F.lit(1)).alias("nv")) if counted else table
@@ -60,6 +61,11 @@ def per_mesh(left: DataFrame, right: DataFrame, work: Callable[[pa.Table, pa.Tab
     return left.groupBy("mesh_id").cogroup(renamed.groupBy("_right_mesh_id")).applyInArrow(meet, schema)
 
 
+def each_mesh(rows: DataFrame, work: Callable[[pa.Table], pa.Table], schema) -> DataFrame:
+    """``work`` on the rows of every mesh: one exchange."""
+    return rows.groupBy("mesh_id").applyInArrow(work, schema)
+
+
 def floats(table: pa.Table, names: list[str]) -> np.ndarray:
     """Columns as a matrix of doubles; nulls are NaN."""
     return np.stack([table.column(n).cast(pa.float64()).to_numpy() for n in names], 1)
