@@ -3,7 +3,7 @@
 A phrase is a run of words inside a piece of a text, counted per language with
 overlaps. It is frequent if it occurs ``min_count`` times; then its parts are
 frequent too. The pass over the sample counts all its phrases and proposes those
-that reach a lowered count. The first full pass counts, exactly and over all
+that reach a lowered count: half of what the share lets expect, at least two. The first full pass counts, exactly and over all
 texts, every word and every longer phrase whose two parts (without the last and
 without the first word) were proposed: the proposals and their negative border.
 If a phrase with possible extensions turns out frequent that was not proposed,
@@ -43,7 +43,8 @@ from meshwright.session import cut
 
 STEP, OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 BREAK = b"\xff"  # a byte that no UTF-8 text holds
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 1_000_000
+SENT = 100_000  # phrases in one Arrow batch
 PIECE = 4 << 20
 LEAST_BITS, MOST_BITS = 20, 27  # the map of proposals has 2^27 bits (16 MB) at most
 CHUNK_BITS = 16
@@ -187,10 +188,11 @@ def count_phrases(texts: DataFrame, longest: int, proposed: BitMap | None = None
             for lang, parts in held.items():
                 words, body = list(numbers[lang]), np.concatenate(parts)
                 for length, phrases, counts in count_block(body, skips[lang], words, lang, longest, *maps.value):
-                    rows = len(phrases)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.repeat(pa.scalar(lang), rows), pa.repeat(pa.scalar(length, pa.int32()), rows), phrases, pa.array(counts, pa.int64())],
-                        names=["lang", "size", "phrase", "n"])
+                    for start in range(0, len(phrases), SENT):
+                        part = phrases[start:start + SENT]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.repeat(pa.scalar(lang), len(part)), pa.repeat(pa.scalar(length, pa.int32()), len(part)), part,
+                             pa.array(counts[start:start + SENT], pa.int64())], names=["lang", "size", "phrase", "n"])
                 # A text may go on after this block: its last words are context of the next one.
                 if body[-1]:
                     carried[lang] = [words[k] for k in body[len(body) - min(len(body), longest - 1):]]
@@ -281,7 +283,7 @@ def mine_phrases(docs: DataFrame, key: str = "doc_id", text: str = "text", lang:
     sample = texts.where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))).select("lang", "body")
     texts = texts.select("lang", "body")
     extensible = F.col("size") < longest
-    proposals = cut(count_phrases(sample, max(1, longest - 1)).where(F.col("n") >= max(1, int(min_count * share / 2))).select("lang", "phrase"), "proposals")
+    proposals = cut(count_phrases(sample, max(1, longest - 1)).where(F.col("n") >= max(2, int(min_count * share / 2))).select("lang", "phrase"), "proposals")
     proposed = bit_map(proposals, proposals.count())
     counted = cut(count_phrases(texts, longest, proposed), "counted")
     totals = counted.where("size = 1").groupBy("lang").agg(F.sum("n").alias("n"))

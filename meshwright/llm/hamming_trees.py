@@ -190,11 +190,14 @@ def _unsigned(column: pa.Array) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False).view(np.uint64)
 
 
-def components(points: DataFrame, radius: int = 4, shard_points: int = 8_192, sample_points: int = 65_536, fanout: int = 3) -> DataFrame:
+def components(points: DataFrame, radius: int = 4, shards: int = 64, shard_points: int = 1 << 20, visits: int = 1 << 19,
+               sample_points: int = 65_536, fanout: int = 3) -> DataFrame:
     """(fp, component) of the distinct 64-bit points in column ``fp``; a component is named by one of its points.
 
     The tree is grown on at most ``sample_points`` points in the order of a hash;
-    all points are stored and asked.
+    all points are stored and asked. It has about ``shards`` leaves, more where
+    these would hold over ``shard_points`` points. A task tests at most about
+    ``visits`` visits to a shard.
     """
     spark = points.sparkSession
     size = points.count()
@@ -203,7 +206,7 @@ def components(points: DataFrame, radius: int = 4, shard_points: int = 8_192, sa
     # A hash of the point keeps about the wanted number; sorting takes the rest away exactly.
     drawn = points.where(F.pmod(F.xxhash64("fp", F.lit(7)), F.lit(1 << 40)) < F.lit(int(share * (1 << 40))))
     sample = np.array([r[0] for r in drawn.orderBy(F.xxhash64("fp", F.lit(7)), "fp").limit(wanted).collect()], np.int64).view(np.uint64)
-    tree = Tree(sample, max(16, shard_points * wanted // max(size, 1)), fanout)
+    tree = Tree(sample, max(16, wanted // max(shards, size // shard_points)), fanout)
     known = spark.sparkContext.broadcast(tree)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,7 +263,7 @@ def components(points: DataFrame, radius: int = 4, shard_points: int = 8_192, sa
 
     asked = cut(stored.mapInArrow(ask, "shard int, fp bigint, local bigint"), "visits")
     # A shard that many points visit is asked in parts; each part meets all its points.
-    parts = {r["shard"]: 1 + r["n"] // (8 * shard_points) for r in asked.groupBy("shard").agg(F.count("*").alias("n")).collect()}
+    parts = {r["shard"]: 1 + r["n"] // visits for r in asked.groupBy("shard").agg(F.count("*").alias("n")).collect()}
     count = F.element_at(F.lit([parts.get(s, 1) for s in range(tree.size)]), F.col("shard") + 1)
     left = asked.withColumn("part", F.pmod(F.xxhash64("fp"), count))
     right = stored.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), count.cast("bigint") - 1)))

@@ -258,7 +258,7 @@ def test_components_over_many_shards_equal_all_pairs(spark, groups, size, flips,
     points = sorted(set(families(random.Random(size), groups, size, flips)))
     want = plain_components(points)
     frame = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in points], "fp bigint").repartition(3)
-    got = {r["fp"] % (1 << 64): r["component"] for r in hamming_trees.components(frame, shard_points=64, fanout=fanout).collect()}
+    got = {r["fp"] % (1 << 64): r["component"] for r in hamming_trees.components(frame, shards=24, visits=700, fanout=fanout).collect()}
     assert set(got) == set(points)
     groups_of = lambda labels: {frozenset(p for p, x in zip(points, labels, strict=True) if x == y) for y in set(labels)}
     assert groups_of([got[p] for p in points]) == groups_of(want)
