@@ -1003,3 +1003,8 @@ SQL["landmark_reorder"] = query(
 SQL["input_order"] = """
 with k as (select page_id, string_split(url, '/')[-1] as name, sha256(html) as h from pages)
 select page_id, cast(row_number() over (order by lower(name), name, h, page_id) - 1 as bigint) as position from k"""
+
+SQL["landmark_failures"] = query(
+    MESHES, "places as (select mesh_id, count(*) as n from (select distinct mesh_id, x, y, z from fx_vertices) group by mesh_id)",
+    body="""select mesh_id, cast(case when n % 7 = 0 then 0 else 9 end as bigint) as points,
+      case when n % 7 = 0 then 'ValueError: no face in ' || n || ' points' end as error from places""")

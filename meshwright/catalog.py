@@ -844,6 +844,24 @@ def crop_model_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("mesh_id", "vid", clean(F.col("probability"), 4).alias("probability"))
 
 
+@registered
+def landmark_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a landmark model leaves of the meshes: points, or the error it raised on that mesh alone."""
+    meshes = derive.strip(spark, sf_dir)
+    seeds = meshes.meshes().select("mesh_id", F.col("mesh_id").alias("seed"))
+
+    def model(points):
+        import numpy as np
+
+        distinct = len(np.unique(points, axis=0))
+        if distinct % 7 == 0:
+            raise ValueError(f"no face in {distinct} points")
+        return np.full((len(points), 9), 0.5), np.zeros((len(points), 9, 3))
+
+    found = models.landmark_points(meshes, seeds, model, 128, 4, isolate=True)
+    return found.groupBy("mesh_id").agg(F.count("idx").alias("points"), F.max("error").alias("error"))
+
+
 @registered
 def landmark_reorder(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landmarks of a model that lists them backwards."""

@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meshwright.operators.crop import normalized_points, vote_average
 from meshwright.operators.landmarks import NAMES, decode_heatmaps
@@ -78,36 +79,68 @@ def _with_seed(meshes: MeshSet, seeds: DataFrame) -> DataFrame:
     return attach(meshes.vertices.select(*KEY, "vid"), sized, KEY)
 
 
+def _failure(batch: pd.DataFrame, columns: list[str], error: Exception) -> pd.DataFrame:
+    """One row that names a batch's mesh and what its model call raised."""
+    row = {c: [None] for c in columns} | {"mesh_id": [batch["mesh_id"].iloc[0]], "error": [f"{type(error).__name__}: {error}"]}
+    return pd.DataFrame(row)
+
+
+def split_errors(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of meshes without an error, and (mesh_id, error) of the others.
+
+    Rows of a model that knows no errors have no such column.
+    """
+    if "error" not in rows.columns:
+        return rows, rows.select("mesh_id", F.lit("").alias("error")).where(F.lit(False))
+    errors = rows.where(F.col("error").isNotNull()).groupBy("mesh_id").agg(F.min("error").alias("error"))
+    return rows.drop("error").join(errors.select("mesh_id"), "mesh_id", "left_anti"), errors
+
+
 def crop_scores(
     meshes: MeshSet, seeds: DataFrame, score: Callable[[np.ndarray], np.ndarray], num_points: int,
-    extra_passes: int,
+    extra_passes: int, isolate: bool = False,
 ) -> DataFrame:
     """(mesh_id, vid, probability): the mean vote of a batch model.
 
     ``score`` maps the N x 3 normalized points of one batch to N probabilities.
+    With ``isolate`` there is a column error: a mesh for which the model raises
+    has one row without a vertex that says so, and the other meshes go on.
     """
     plan = vote_batches(_with_seed(meshes, seeds), num_points, extra_passes)
     located = plan.join(normalized_points(meshes).drop("nv"), ["mesh_id", "vid"])
 
     def run(batch: pd.DataFrame) -> pd.DataFrame:
         batch = batch.sort_values("slot")
-        values = score(batch[["x", "y", "z"]].to_numpy(dtype=np.float32))
-        return pd.DataFrame({"mesh_id": batch["mesh_id"], "vid": batch["vid"],
-                             "probability": np.asarray(values, dtype=float)})
-
-    schema = located.select("mesh_id", "vid", F.lit(0.0).alias("probability")).schema
+        try:
+            values = np.asarray(score(batch[["x", "y", "z"]].to_numpy(dtype=np.float32)), dtype=float)
+            return pd.DataFrame({"mesh_id": batch["mesh_id"], "vid": batch["vid"], "probability": values, "error": None})
+        except Exception as error:
+            if not isolate:
+                raise
+            return _failure(batch, ["vid", "probability"], error)
+
+    schema = T.StructType([
+        located.schema["mesh_id"], T.StructField("vid", located.schema["vid"].dataType),
+        T.StructField("probability", T.DoubleType()), T.StructField("error", T.StringType())])
     votes = located.groupBy("mesh_id", "batch").applyInPandas(run, schema)
-    return vote_average(votes).select("mesh_id", "vid", "probability")
+    if not isolate:
+        return vote_average(votes).select("mesh_id", "vid", "probability")
+    sound, errors = split_errors(cut(votes, "votes"))
+    failed = errors.select("mesh_id", F.lit(None).cast(located.schema["vid"].dataType).alias("vid"),
+                           F.lit(None).cast("double").alias("probability"), "error")
+    return vote_average(sound).select("mesh_id", "vid", "probability", F.lit(None).cast("string").alias("error")).unionByName(failed)
 
 
 def landmark_points(
     meshes: MeshSet, seeds: DataFrame, predict: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]],
-    num_points: int, top_k: int,
+    num_points: int, top_k: int, isolate: bool = False,
 ) -> DataFrame:
     """(mesh_id, idx, x, y, z, peak, spread) decoded from heat maps and offsets.
 
     ``predict`` maps N x 3 normalized points to N x 9 probabilities and
-    N x 9 x 3 offsets. One random batch per mesh is predicted.
+    N x 9 x 3 offsets. One random batch per mesh is predicted. With ``isolate``
+    there is a column error, and a mesh for which the model raises has one row
+    without a landmark that says so.
     """
     ranked = seeded_rank(_with_seed(meshes, seeds).withColumn("nv", F.col("nv").cast("bigint")), "sample", "rank")
     chosen = ranked.select("mesh_id", F.explode(_turns("rank", num_points)).alias("slot"), "vid")
@@ -116,25 +149,36 @@ def landmark_points(
     def run(batch: pd.DataFrame) -> pd.DataFrame:
         batch = batch.sort_values("slot")
         points = batch[["x", "y", "z"]].to_numpy(dtype=np.float32)
-        heat, offset = predict(points)
-        n, marks = heat.shape
-        spots = points[:, None, :] + offset
-        return pd.DataFrame({
-            "mesh_id": np.repeat(batch["mesh_id"].to_numpy(), marks), "idx": np.tile(np.arange(marks), n),
-            "vid": np.repeat(batch["slot"].to_numpy(), marks), "p": heat.reshape(-1).astype(float),
-            **{a: spots[:, :, i].reshape(-1).astype(float) for i, a in enumerate("xyz")}})
-
-    schema = located.select(
-        "mesh_id", F.lit(0).alias("idx"), F.col("slot").alias("vid"),
-        *[F.lit(0.0).alias(c) for c in ("p", "x", "y", "z")]).schema
-    decoded = decode_heatmaps(located.groupBy("mesh_id").applyInPandas(run, schema), top_k)
+        try:
+            heat, offset = predict(points)
+            n, marks = heat.shape
+            spots = points[:, None, :] + offset
+            return pd.DataFrame({
+                "mesh_id": np.repeat(batch["mesh_id"].to_numpy(), marks), "idx": np.tile(np.arange(marks), n),
+                "vid": np.repeat(batch["slot"].to_numpy(), marks), "p": heat.reshape(-1).astype(float),
+                **{a: spots[:, :, i].reshape(-1).astype(float) for i, a in enumerate("xyz")}, "error": None})
+        except Exception as error:
+            if not isolate:
+                raise
+            return _failure(batch, ["idx", "vid", "p", *"xyz"], error)
+
+    schema = T.StructType([
+        located.schema["mesh_id"], T.StructField("idx", T.IntegerType()), T.StructField("vid", T.LongType()),
+        *[T.StructField(c, T.DoubleType()) for c in ("p", "x", "y", "z")], T.StructField("error", T.StringType())])
+    votes = located.groupBy("mesh_id").applyInPandas(run, schema)
+    if isolate:
+        votes, errors = split_errors(cut(votes, "heat"))
+    decoded = decode_heatmaps(votes, top_k)
     centre = meshes.vertices.groupBy(*KEY).agg(*[F.avg(a).alias(f"c{a}") for a in "xyz"])
     gap2 = sum((F.col(a) - F.col(f"c{a}")) * (F.col(a) - F.col(f"c{a}")) for a in "xyz")
     reach = attach(meshes.vertices, centre, KEY).groupBy(*KEY).agg(
         F.sqrt(F.max(gap2)).alias("scale"), *[F.first(f"c{a}").alias(f"c{a}") for a in "xyz"])
-    return decoded.join(reach, "mesh_id").select(
+    found = decoded.join(reach, "mesh_id").select(
         "mesh_id", "idx", *[(F.col(a) * F.col("scale") + F.col(f"c{a}")).alias(a) for a in "xyz"],
         "peak", (F.col("spread") * F.col("scale")).alias("spread"))
+    if not isolate:
+        return found
+    return found.withColumn("error", F.lit(None).cast("string")).unionByName(errors, allowMissingColumns=True)
 
 
 def crop_adapter(score: Callable[[np.ndarray], np.ndarray]) -> Callable[..., DataFrame]:
@@ -142,7 +186,7 @@ def crop_adapter(score: Callable[[np.ndarray], np.ndarray]) -> Callable[..., Dat
     def predict(meshes: MeshSet, seeds: DataFrame, parameters: dict[str, Any]) -> DataFrame:
         return crop_scores(
             meshes, seeds, score, parameters.get("input.sampling.num_points", 32768),
-            parameters.get("inference.extra_passes", 2))
+            parameters.get("inference.extra_passes", 2), isolate=True)
 
     return predict
 
@@ -158,7 +202,7 @@ def landmark_adapter(
         order = tuple(parameters.get("output_mapping.native_order", native))
         found = landmark_points(
             meshes, seeds, model, parameters.get("input.sampling.num_points", 32768),
-            parameters.get("inference.top_k", 16))
+            parameters.get("inference.top_k", 16), isolate=True)
         return canonical_order(found, order)
 
     return predict

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
 import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -20,16 +21,21 @@ import meshwright
 from meshwright.adapters import Adapter
 from meshwright.functions.identity import stage_seed
 from meshwright.operators import align, crop, landmarks, measure, qc_rules, register, runs, surface
+from meshwright.operators.models import split_errors
 from meshwright.operators.measure import MEASUREMENT_COLUMNS, long_form, scalar
 from meshwright.operators.qc_rules import HARD_CONTRACTS
 from meshwright.plans.meshset import KEY, MeshSet
 from meshwright.plans.skew import attach
 from meshwright.session import cut
-from meshwright.sources import assets, inputs, obj, runmeta
+from meshwright.sources import assets, inputs, obj, provenance, runmeta
 from meshwright.sources.config import RunConfig
 from meshwright.sources.store import Store
 
 RUN_SCHEMA = "meshwright-run-v1"
+# The stages whose seconds are measured.
+STAGE_CLOCKS = ("crop", "landmark", "coarse_alignment", "registration", "gpa", "total")
+# What an attempt writes, each below its own name, before its marker in ``commits``.
+ATTEMPT_FOLDERS = ("attempts", "meshes", "trajectory", "landmarks")
 # Rotations (degrees about x, y, z) and seed stages of the four
 # diagnostic repetitions of the enhanced level.
 DIAGNOSTICS = (
@@ -53,6 +59,19 @@ class Stages:
     landmark_seed: int = 42
 
 
+class StageClock:
+    """Wall-clock seconds of each stage of a batch; every stage ends in written tables."""
+
+    def __init__(self) -> None:
+        self.began = self.last = time.perf_counter()
+        self.seconds: dict[str, float] = {}
+
+    def lap(self, stage: str) -> None:
+        now = time.perf_counter()
+        self.seconds[stage] = now - self.last
+        self.last = now
+
+
 @dataclass(frozen=True)
 class Outcome:
     """Results of the stage chain, keyed by output_key as mesh_id."""
@@ -62,6 +81,7 @@ class Outcome:
     final: MeshSet
     trajectory: DataFrame
     stages: dict[str, DataFrame]
+    clock: StageClock
 
 
 def without(meshes: MeshSet, failures: DataFrame) -> MeshSet:
@@ -94,15 +114,21 @@ def process(
         "mesh_id", "geometry_sha256", stage_seed(F.col("geometry_sha256"), "crop", stages.crop_seed).alias("seed"))
     failures: list[DataFrame] = []
 
-    cropped, marked, crop_rows = _crop(meshes, seeds, stages)
+    clock = StageClock()
+    cropped, marked, crop_rows, errors = _crop(meshes, seeds, stages)
     rows.append(crop_rows)
-    every = meshes.meshes().select("mesh_id")
+    failures.append(cut(_failure_rows(errors, "crop", F.col("error")), "failures"))
+    clock.lap("crop")
+    every = meshes.meshes().select("mesh_id").join(errors, "mesh_id", "left_anti")
     lost = every.join(cropped.vertices.groupBy("mesh_id").count().where("count >= 3").select("mesh_id"), "mesh_id", "left_anti")
     failures.append(cut(_failure_rows(lost, "crop", "crop produced an empty or faceless mesh"), "failures"))
     cropped = _written(without(cropped, failures[-1]), "cropped")
 
-    points, landmark_rows = _landmarks(cropped, hashes, stages)
+    points, landmark_rows, errors = _landmarks(cropped, hashes, stages)
     rows.append(landmark_rows)
+    failures.append(cut(_failure_rows(errors, "landmark", F.col("error")), "failures"))
+    cropped = without(cropped, failures[-1])
+    clock.lap("landmark")
     broken = landmarks.contract_failures(points, cropped).where(F.size("failures") > 0)
     failures.append(cut(_failure_rows(
         broken, "landmark", F.concat_ws(", ", "failures"), F.col("failures")), "failures"))
@@ -115,10 +141,12 @@ def process(
     failures.append(cut(_failure_rows(
         off, "coarse_alignment", "landmarks cannot be aligned", F.array(F.lit("contract.landmark_alignment"))), "failures"))
     aligned = _written(without(aligned, failures[-1]), "aligned")
+    clock.lap("coarse_alignment")
 
     start = _written(register.expand_template(template, aligned), "start")
     done = register.register(start, aligned, register.RegistrationOptions.of(config.registration))
     rows.append(_registration_rows(done, aligned))
+    clock.lap("registration")
 
     normal = done.meshes
     if config.template_points is not None:
@@ -134,6 +162,7 @@ def process(
         align.check_involution(mirror)
         normal, _ = align.symmetrize(normal, mirror)
     normal = _written(normal, "final")
+    clock.lap("gpa")
     failures.append(cut(_final_contract(normal, aligned.meshes(), config), "failures"))
     hits = surface.self_intersections(normal)
     rows.append(long_form(hits, "mesh_id", [
@@ -152,7 +181,7 @@ def process(
         "input": meshes.vertices, "cropped": cropped.vertices, "aligned": aligned.vertices,
         "rigid": done.rigid_end, "registered": done.meshes.vertices, "landmarks": points,
         "correspondences": done.correspondences, "weights": done.weights, "mask": marked}
-    return Outcome(cut(measured, "measurements"), every_failure, final, done.trajectory, kept)
+    return Outcome(cut(measured, "measurements"), every_failure, final, done.trajectory, kept, clock)
 
 
 def _load_template(spark: SparkSession, config: RunConfig) -> MeshSet:
@@ -167,9 +196,12 @@ def _load_template(spark: SparkSession, config: RunConfig) -> MeshSet:
     return template
 
 
-def _crop(meshes: MeshSet, seeds: DataFrame, stages: Stages) -> tuple[MeshSet, DataFrame, DataFrame]:
+def _crop(meshes: MeshSet, seeds: DataFrame, stages: Stages) -> tuple[MeshSet, DataFrame, DataFrame, DataFrame]:
+    """The crop, its mask, its measurements, and (mesh_id, error) of meshes whose model call failed."""
     given = stages.crop_parameters
-    scores = cut(stages.crop.predict(meshes, seeds, given), "scores")
+    scores, errors = split_errors(cut(stages.crop.predict(meshes, seeds, given), "scores"))
+    errors = cut(errors, "crop-errors")
+    meshes = without(meshes, errors)
     scores = crop.smooth(
         meshes, scores, given.get("postprocess.smooth_iterations", 0), given.get("postprocess.smooth_alpha", 0.5))
     marked = cut(crop.masks(
@@ -189,22 +221,25 @@ def _crop(meshes: MeshSet, seeds: DataFrame, stages: Stages) -> tuple[MeshSet, D
         scalar("crop.spatial_structure.kept_component_count", c("kept_component_count"), "count", "long"),
         scalar("crop.spatial_structure.largest_component_fraction", c("largest_component_fraction"), "ratio")])
     slim = MeshSet(cropped.vertices.select(*KEY, "vid", "x", "y", "z"), cropped.faces.select(*KEY, "fid", "a", "b", "c"))
-    return slim, marked, rows
+    return slim, marked, rows, errors
 
 
-def _predict_landmarks(meshes: MeshSet, hashes: DataFrame, stages: Stages, stage: str = "landmark") -> DataFrame:
+def _predict_landmarks(
+    meshes: MeshSet, hashes: DataFrame, stages: Stages, stage: str = "landmark"
+) -> tuple[DataFrame, DataFrame]:
+    """Predicted points, and (mesh_id, error) of meshes whose model call failed."""
     seeds = hashes.select(
         "mesh_id", "geometry_sha256", stage_seed(F.col("geometry_sha256"), stage, stages.landmark_seed).alias("seed"))
-    found = stages.landmark.predict(meshes, seeds, stages.landmark_parameters)
+    found, errors = split_errors(cut(stages.landmark.predict(meshes, seeds, stages.landmark_parameters), "points"))
     for optional in ("peak", "spread"):
         if optional not in found.columns:
             found = found.withColumn(optional, F.lit(None).cast("double"))
     sizes = meshes.meshes()
-    return cut(found.select("mesh_id", "idx", "x", "y", "z", "peak", "spread").join(sizes, "mesh_id"), "predicted")
+    return cut(found.select("mesh_id", "idx", "x", "y", "z", "peak", "spread").join(sizes, "mesh_id"), "predicted"), errors
 
 
-def _landmarks(meshes: MeshSet, hashes: DataFrame, stages: Stages) -> tuple[DataFrame, DataFrame]:
-    predicted = _predict_landmarks(meshes, hashes, stages)
+def _landmarks(meshes: MeshSet, hashes: DataFrame, stages: Stages) -> tuple[DataFrame, DataFrame, DataFrame]:
+    predicted, errors = _predict_landmarks(meshes, hashes, stages)
     snapped = landmarks.snap(predicted.select(*KEY, "idx", "x", "y", "z"), meshes)
     names = F.array(*[F.lit(n) for n in landmarks.NAMES])
     points = cut(
@@ -235,7 +270,7 @@ def _landmarks(meshes: MeshSet, hashes: DataFrame, stages: Stages) -> tuple[Data
         F.flatten(F.transform("p", lambda e: F.array(e["x"], e["y"], e["z"]))).alias("value_array"),
         F.lit("mm").alias("unit"), F.lit("computed").alias("compute_status"),
         F.lit(None).cast("string").alias("error"))
-    return points, rows.select(*MEASUREMENT_COLUMNS).unionByName(coordinates)
+    return points, rows.select(*MEASUREMENT_COLUMNS).unionByName(coordinates), errors
 
 
 def _registration_rows(done: register.Registered, aligned: MeshSet) -> DataFrame:
@@ -281,10 +316,10 @@ def _stability_rows(
         seeds = hashes.select(
             "mesh_id", "geometry_sha256",
             stage_seed(F.col("geometry_sha256"), f"crop:{stage}", stages.crop_seed).alias("seed"))
-        _, again, _ = _crop(turned, seeds, stages)
+        _, again, _, _ = _crop(turned, seeds, stages)
         overlap = crop.mask_jaccard(base, again.select("mesh_id", "vid", F.col("final").alias("kept")))
         face = cropped.with_vertices(cut(align.rotate_about_centroid(cropped.vertices, degrees), "turned"))
-        marks = _predict_landmarks(face, hashes, stages, f"landmark:{stage}")
+        marks, _ = _predict_landmarks(face, hashes, stages, f"landmark:{stage}")
         back = _turned_back(landmarks.snap(marks.select(*KEY, "idx", "x", "y", "z"), face), cropped, degrees)
         run = cut(overlap.join(landmarks.landmark_rms(points.select("mesh_id", "idx", "x", "y", "z"), back), "mesh_id"), "diagnostic")
         repeated = run if repeated is None else repeated.unionByName(run)
@@ -325,7 +360,7 @@ def fingerprints(records: DataFrame, config: RunConfig, stages: Stages, level: s
     return {
         "input_set": digest(folded),
         "scientific": digest([config.hashes, config.registration, config.symmetry_enabled, models, level]),
-        "execution": digest([meshwright.__version__, mode])}
+        "execution": digest([meshwright.__version__, provenance.source_digest(), mode])}
 
 
 @dataclass(frozen=True)
@@ -341,9 +376,25 @@ class Run:
         now = datetime.now(timezone.utc)
         self.store.put_json(f"events/{now:%Y%m%dT%H%M%S%f}-{kind}.json", {"event": kind, "at": now.isoformat(), "run_id": self.run_id, **details})
 
+    def committed(self) -> list[str]:
+        """Attempts whose marker was written: one per call of ``run``."""
+        return [n.removesuffix(".json") for n in self.store.names("commits") if n.endswith(".json")]
+
     def attempts(self, spark: SparkSession) -> DataFrame | None:
-        """All committed attempts."""
-        return spark.read.parquet(self.store.at("attempts")) if self.store.names("attempts") else None
+        """The rows of all committed attempts; what has no marker is not seen."""
+        marked = self.committed()
+        return spark.read.parquet(*[self.store.at("attempts", f"attempt={a}") for a in marked]) if marked else None
+
+    def discard_orphans(self) -> list[str]:
+        """Delete what attempts without a marker left; a run has one writer at a time."""
+        marked, found = set(self.committed()), []
+        for folder in [*ATTEMPT_FOLDERS, *[f"diagnostics/{n}" for n in self.store.names("diagnostics")]]:
+            for name in self.store.names(folder):
+                attempt = name.removeprefix("attempt=")
+                if name.startswith("attempt=") and attempt not in marked:
+                    self.store.remove(folder, name)
+                    found.append(f"{folder}/{name}")
+        return found
 
 
 def recorded_run(store: Store) -> Run:
@@ -393,13 +444,21 @@ def run(
 ) -> dict[str, Any]:
     """Process every pending input and return the run's summary.
 
-    Meshes are written before the records that name them, so a record always
-    has its artifacts. An attempt is one append to the attempts table.
+    An attempt writes meshes, then records, each into a folder of its own, and
+    at last one marker. Readers see marked attempts only, so a run that dies in
+    between leaves no half attempt; the next resume deletes what it left.
     """
     records, parsed = inputs.discover(spark, input_path, input_manifest)
     prints = fingerprints(records, config, stages, level, mode)
     here = begin(spark, output, prints, resume, overwrite)
     here.event("run_resume" if resume else "run_start")
+    orphans = here.discard_orphans()
+    if orphans:
+        here.event("orphans_discarded", folders=orphans)
+    provenance.record(spark, here.store, config, {
+        "crop": [stages.crop.name, stages.crop.version, stages.crop_parameters, stages.crop_seed],
+        "landmark": [stages.landmark.name, stages.landmark.version, stages.landmark_parameters, stages.landmark_seed],
+        "level": level, "mode": mode}, config.files)
     todo = records
     committed = here.attempts(spark)
     if committed is not None:
@@ -440,7 +499,7 @@ def _process_todo(
         if mode == "full":
             for name, rows in outcome.stages.items():
                 rows.write.parquet(here.store.at("diagnostics", name, f"attempt={attempt}"))
-        measured = outcome.measurements
+        measured = outcome.measurements.unionByName(cut(_telemetry(spark, here, sound, outcome, attempt), "telemetry"))
         failed = outcome.failures.groupBy(F.col("mesh_id").alias("output_key")).agg(
             F.first("stage").alias("stage"), F.first("reason").alias("reason"),
             F.array_distinct(F.flatten(F.collect_list("contracts"))).alias("contracts"))
@@ -474,10 +533,36 @@ def _process_todo(
         F.lit("complete").alias("commit_state"), F.lit(now).alias("committed_at"),
         F.lit(attempt).alias("attempt_id"), F.lit(here.run_id).alias("run_id"),
         F.lit(json.dumps(here.prints, sort_keys=True)).alias("fingerprint"),
-    ).write.mode("append").parquet(here.store.at("attempts"))
+    ).write.parquet(here.store.at("attempts", f"attempt={attempt}"))
+    here.store.put_json(f"commits/{attempt}.json", {"attempt_id": attempt, "run_id": here.run_id, "committed_at": now})
     here.event("sample_complete", attempt_id=attempt, samples=todo.count())
 
 
+def _telemetry(spark: SparkSession, here: Run, samples: DataFrame, outcome: Outcome, attempt: str) -> DataFrame:
+    """Ten measurements of how each sample was processed.
+
+    Samples go through a stage together, so a stage's seconds are those of the
+    batch and the same for all its samples. Memory and device belong to no
+    sample on a cluster.
+    """
+    final = here.store.at("meshes", f"attempt={attempt}")
+    written = samples.select("output_key").where(F.lit(False)).withColumn("final_bytes", F.lit(None).cast("bigint"))
+    if not outcome.final.vertices.isEmpty():
+        lines = spark.read.schema("value string, mesh_id string").text(final)
+        written = lines.groupBy(F.col("mesh_id").alias("output_key")).agg(F.sum(F.octet_length("value") + 1).alias("final_bytes"))
+    known = samples.select("output_key", "source_bytes").join(written, "output_key", "left")
+    seconds = outcome.clock.seconds | {"total": time.perf_counter() - outcome.clock.began}
+    never = F.lit(False)
+    rows = long_form(known, "output_key", [
+        *[scalar(f"telemetry.stage_seconds.{stage}", F.lit(seconds[stage]), "s") for stage in STAGE_CLOCKS],
+        scalar("telemetry.io.source_bytes", F.col("source_bytes"), "bytes", "long", F.col("source_bytes").isNotNull()),
+        scalar("telemetry.io.final_obj_bytes", F.col("final_bytes"), "bytes", "long", F.col("final_bytes").isNotNull()),
+        scalar("telemetry.peak_rss.mb", F.lit(0.0), "MB", applicable=never),
+        scalar("telemetry.device.kind", F.lit(0.0), "category", applicable=never)])
+    missing = F.col("compute_status") == "not_applicable"
+    return rows.withColumn("compute_status", F.when(missing, "not_available").otherwise(F.col("compute_status"))).select(*MEASUREMENT_COLUMNS)
+
+
 def rebuild_summary(spark: SparkSession, run_dir: str) -> dict[str, Any]:
     """Recount a run from its attempts and rewrite its sample list."""
     here = recorded_run(Store(spark, run_dir))

@@ -174,6 +174,7 @@ class RunConfig:
     landmark: dict[str, Any] = field(default_factory=dict)
     phenotype: dict[str, Path] | None = None
     hashes: dict[str, str] = field(default_factory=dict)
+    files: dict[str, Path] = field(default_factory=dict)
 
 
 GEOMETRY_FIELDS = {
@@ -228,4 +229,6 @@ def load_run(
         int(geometry["expected_template_faces"]), load_device(device), load_rules(rules, level),
         found["template_points"], found["refindex"], bool(processing["symmetry_enabled"]),
         dict(processing["meshmonk"] or {}), models["crop"], models["landmark"],
-        load_phenotype(source) if "phenotype_landmarks" in payload else None, digests)
+        load_phenotype(source) if "phenotype_landmarks" in payload else None, digests,
+        {"pipeline": source, "device": Path(device), "qc": Path(rules),
+         **{f"{stage}_profile": source.parent / payload["models"][f"{stage}_profile"] for stage in ("crop", "landmark")}})

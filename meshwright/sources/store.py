@@ -60,6 +60,10 @@ class Store:
     def put_json(self, name: str, payload: dict[str, Any]) -> None:
         self.put(name, json.dumps(payload, ensure_ascii=False, indent=2, sort_keys=True, default=str) + "\n")
 
+    def remove(self, *names: str) -> None:
+        """Delete a file or folder below this one."""
+        self._files.delete(self._path(*names), True)
+
     def set_aside(self, suffix: str) -> None:
         """Rename the folder; its name becomes free."""
         self._files.rename(self.root, self._jvm.org.apache.hadoop.fs.Path(f"{self.uri.rstrip('/')}.{suffix}"))

@@ -169,6 +169,24 @@ def test_manifest(spark, tmp_path):
         inputs.discover(spark, str(tmp_path / "empty"))
 
 
+def test_a_manifest_reads_only_the_files_it_names(spark, tmp_path):
+    write(tmp_path / "m", **{f"f{k}": GOOD for k in range(300)})
+    (tmp_path / "m" / "odd [1]{x}.obj").write_text(GOOD)
+    (tmp_path / "m" / "empty.obj").write_text("")
+    manifest = tmp_path / "list.csv"
+    manifest.write_text("input_obj\n" + "".join(f"m/f{k}.obj\n" for k in range(9)) + "m/odd [1]{x}.obj\nm/empty.obj\nm/gone.obj\n")
+    listed = inputs.listed_manifest(spark, str(manifest))
+    sources = inputs._named_sources(spark, listed)
+    assert len(sources) == 11
+    assert inputs._files(spark, sources).select("_metadata.file_name").distinct().count() == 10  # an empty file gives no row
+    records, parsed = inputs.discover(spark, input_manifest=str(manifest))
+    rows = {r["relative_path"]: r["input_error"] for r in records.collect()}
+    assert len(rows) == 12 and rows["m/odd [1]{x}.obj"] is None and "no vertex" in rows["m/empty.obj"] and "gone" in rows["m/gone.obj"]
+    assert parsed.meshes.meshes().count() == 10
+    folders = inputs._named_sources(spark, listed, most=5)
+    assert [f.rsplit("/", 1)[-1] for f in folders] == ["m"]
+
+
 def test_small_assets(spark, tmp_path):
     marks = tmp_path / "marks.csv"
     marks.write_text("name,x,y,z\n" + "".join(f"{n},1,2,{i}\n" for i, n in enumerate(NAMES)))
@@ -211,11 +229,13 @@ def test_text_audit(spark):
 
 
 def test_tied_attempts_leave_one_row_per_sample(spark):
-    rows = [("a", 1, 1, "staged", None), ("a", 2, 1, "complete", 1), ("a", 2, 1, "staged", 2), ("a", 2, 1, "staged", 2), ("b", 1, 3, "complete", None)]
-    frame = spark.createDataFrame(rows, "output_key string, committed_at int, attempt_id int, commit_state string, `odd name` int")
+    m = {"k": "v"}
+    rows = [("a", 1, 1, "staged", None, m), ("a", 2, 1, "complete", 1, m), ("a", 2, 1, "staged", 2, None), ("a", 2, 1, "staged", 2, m),
+            ("a", 2, 1, "staged", 2, m), ("b", 1, 3, "complete", None, m)]
+    frame = spark.createDataFrame(rows, "output_key string, committed_at int, attempt_id int, commit_state string, `odd name` int, m map<string,string>")
     got = runs.current_attempts(frame)
     assert got.columns == frame.columns
-    assert sorted(map(tuple, got.collect())) == [("a", 2, 1, "staged", 2), ("b", 1, 3, "complete", None)]
+    assert sorted(map(tuple, got.collect())) == [("a", 2, 1, "staged", 2, m), ("b", 1, 3, "complete", None, m)]
 
 
 def test_resume_actions(spark):
