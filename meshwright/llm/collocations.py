@@ -285,7 +285,8 @@ def mine_phrases(docs: DataFrame, key: str = "doc_id", text: str = "text", lang:
     extensible = F.col("size") < longest
     proposals = cut(count_phrases(sample, max(1, longest - 1)).where(F.col("n") >= max(2, int(min_count * share / 2))).select("lang", "phrase"), "proposals")
     proposed = bit_map(proposals, proposals.count())
-    counted = cut(count_phrases(texts, longest, proposed), "counted")
+    # Rare longer phrases end here; rare words still count as words of their language.
+    counted = cut(count_phrases(texts, longest, proposed).where((F.col("n") >= min_count) | (F.col("size") == 1)), "counted")
     totals = counted.where("size = 1").groupBy("lang").agg(F.sum("n").alias("n"))
     found = counted.where(F.col("n") >= min_count)
     parts = found.where(extensible)
