@@ -25,7 +25,8 @@ def current_attempts(attempts: DataFrame) -> DataFrame:
     first = ["committed_at", "attempt_id"]
     rest = [c for c in attempts.columns if c not in ("output_key", *first)]
     # Maps have no order of their own; their text has.
-    order = [F.to_json(F.struct(f"`{c}`")) if "map<" in attempts.schema[c].dataType.simpleString() else F.col(f"`{c}`") for c in rest]
+    text = lambda c: F.when(F.col(f"`{c}`").isNotNull(), F.to_json(F.struct(f"`{c}`")))
+    order = [text(c) if "map<" in attempts.schema[c].dataType.simpleString() else F.col(f"`{c}`") for c in rest]
     every = F.struct(*first, *[F.col(f"`{c}`") for c in rest])
     latest = attempts.groupBy("output_key").agg(F.max_by(every, F.struct(*first, *order)).alias("_n"))
     return latest.select(*[c if c == "output_key" else F.col(f"_n.`{c}`").alias(c) for c in attempts.columns])
