@@ -27,7 +27,7 @@ def test_stages_in_order_keep_what_they_should(spark, sf_dir):
 
 def test_registration():
     names = entry.queries()
-    assert "pipeline" in names and {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in names if x.startswith("op") and x[2].isdigit()}
+    assert "pipeline" in names and {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in names if x.startswith("op") and x[2].isdigit()}
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_dedup", "decontamination", "byte_pairs"]
 
 
