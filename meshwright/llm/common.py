@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshwright.session import cut, ship
+from meshwright.session import cut, scratch_path, ship
 
 SPACES = "[\\x20\\x09-\\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -50,6 +51,17 @@ def sized(frame: DataFrame, rows: int, label: str) -> DataFrame:
     return F.broadcast(written) if written.count() <= rows else written
 
 
+@contextmanager
+def passing(frame: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``frame`` as a written table that is deleted on leaving: what is read from it must be written before."""
+    spark = frame.sparkSession
+    path = scratch_path(spark, label)
+    frame.write.parquet(path)
+    yield spark.read.schema(frame.schema).parquet(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], column: str, rows: int = 500, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``rows`` rows and ``size`` bytes (or list elements), or of one row."""
     for whole in batches:
