@@ -1,25 +1,28 @@
-"""Line dedup: repeated runs of lines.
-
-``drop_repeated_runs`` is exact. A line with words, the next one with words and
-what stands between them are a pair; a pair that also starts earlier (in a
-document of smaller id, or earlier in the same text) is a repeat, and all its
-lines are removed. A run of two worded lines or more that occurs earlier is a
-chain of such pairs, so every such run goes whole, whatever stands beside it.
-
-``drop_repeated_chunks`` needs fewer keys and finds less. Each text is cut into
-chunks of lines. A hash over the last ``span`` line hashes rolls along; where it
-hits one of ``spacing`` residues a chunk ends. Boundaries depend on the nearby
-lines only, so text that is inserted before a passage does not shift the chunks
-inside it. Chunks of two lines with words or more are compared across all
-documents: all but the first (smallest document id, then smallest place) are
-removed. A run that no chunk lies wholly inside stays.
-
-In both, hashes only nominate; equal pieces are grouped by their bytes.
+"""Line dedup: content-defined chunks of lines.
+
+Lines with words count; what stands between them belongs to the chunk around it.
+A hash over the last ``span`` line hashes rolls along the worded lines. All but
+one of ``spacing`` residues make a line a boundary, as do the first and the last
+line and, in a stretch without any, every ``most``-th. Boundaries depend on the
+lines just before them only, so text that is inserted before a passage does not
+shift the chunks inside it. A chunk reaches from a boundary to the next, both
+included: neighbours share a line, and each has two worded lines or more. A
+chunk may match only up to a line between its boundaries, so its parts of two
+worded lines or more that hold one of the two boundaries take part as well:
+matches extend line by line, against all other places at once. Pieces are
+compared across all documents, and all but the first place (smallest document
+id, then smallest place) of equal ones are removed.
+
+Every run of worded lines that occurs earlier and holds a line that is a boundary
+in both places goes whole (stretches of ``most`` lines without any aside). ``drop_repeated_runs`` takes all pairs of neighbouring
+worded lines as pieces; it is the exact rule that the chunks are measured by.
+
+Hashes only nominate; equal pieces are grouped by their bytes.
 
 Cases: null and empty texts have no piece and stay as they are; one-line texts
 never change; documents without an id come last in the order, and those that
 share an id are ordered by their text, so that of repeated rows one stays;
-a text whose worded lines (or chunks) all go becomes empty; other columns pass through, and
+a text whose worded lines all go becomes empty; other columns pass through, and
 input columns named like an output are replaced.
 """
 
@@ -40,47 +43,49 @@ from meshwright.session import cut
 ODD = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 SPACES = " \t\n\v\f\r"
+PARTS = 64
 LineHash = Callable[[bytes], int]
 Pieces = Callable[[list[str]], list[tuple[int, int]]]
 
 
 def line_hash(line: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(line, digest_size=8).digest(), "little")
+    return xxhash.xxh64_intdigest(line)
 
 
 def chunk_hash(chunk: bytes) -> bytes:
     return hashlib.blake2b(chunk, digest_size=16).digest()
 
 
-def chunk_lines(lines: list[str], hash_of: LineHash = line_hash, span: int = 2, spacing: int = 4, most: int = 64) -> list[tuple[int, int]]:
-    """Chunks as (first line, line after the last)."""
-    chunks, start, recent = [], 0, []
-    for k, line in enumerate(lines, 1):
-        recent = [*recent[1 - span:], hash_of(line.encode())] if span > 1 else [hash_of(line.encode())]
-        rolled = 0
-        for h in recent:
-            rolled = (rolled * ODD + h) & MASK
-        if k - start >= 2 and ((rolled >> 40) % spacing == 0 or k - start >= most):
-            chunks.append((start, k))
-            start = k
-    if start < len(lines):
-        chunks.append((start, len(lines)))
-    return chunks
+def worded_lines(lines: list[str]) -> list[int]:
+    return [k for k, line in enumerate(lines) if line.strip(SPACES)]
 
 
-def compared(lines: list[str], start: int, end: int) -> bool:
-    """Whether a chunk takes part: at least two of its lines have a word."""
-    return sum(1 for line in lines[start:end] if line.strip(SPACES)) > 1
+def boundaries(lines: list[str], hash_of: LineHash = line_hash, span: int = 2, spacing: int = 8, most: int = 16) -> list[int]:
+    """Places of boundaries among ``lines``, which all have words."""
+    found, hashes = [], [hash_of(line.encode()) for line in lines]
+    for k in range(len(lines)):
+        rolled = 0
+        for h in hashes[max(0, k - span + 1):k + 1]:
+            rolled = (rolled * ODD + h) & MASK
+        if (rolled >> 40) % spacing or k in (0, len(lines) - 1) or k - found[-1] >= most:
+            found.append(k)
+    return found
 
 
-def compared_chunks(hash_of: LineHash = line_hash) -> Pieces:
-    """The chunks of a text that take part."""
-    return lambda lines: [c for c in chunk_lines(lines, hash_of) if compared(lines, *c)] if len(lines) > 1 else []
+def chunk_lines(lines: list[str], hash_of: LineHash = line_hash, **options) -> list[tuple[int, int]]:
+    """Chunks and their parts at a boundary, as (first line, line after the last), in the order of the text."""
+    worded = worded_lines(lines)
+    edges = boundaries([lines[k] for k in worded], hash_of, **options)
+    pieces = []
+    for a, b in zip(edges, edges[1:], strict=False):
+        between = range(a + 1, b)
+        pieces += [(a, b), *((a, k) for k in between), *((k, b) for k in between)]
+    return [(worded[a], worded[b] + 1) for a, b in sorted(pieces)]
 
 
 def line_pairs(lines: list[str]) -> list[tuple[int, int]]:
     """Each worded line with the next one, as (first line, line after the last)."""
-    worded = [k for k, line in enumerate(lines) if line.strip(SPACES)]
+    worded = worded_lines(lines)
     return [(a, b + 1) for a, b in zip(worded, worded[1:], strict=False)]
 
 
@@ -137,8 +142,11 @@ def repeated_pieces(docs: DataFrame, key: str, text: str, pieces: Pieces, piece_
     nominated = places.join(twice, "hash").groupBy("__id", "__version").agg(F.collect_set("__chunk").alias("__chunks"))
     # Now the bytes: only nominated chunks travel with their text.
     spoken = cut(_with_list(keyed, nominated, "inner").mapInArrow(texts, f"{head}, chunk string"), "chunk-text")
-    first = spoken.groupBy("chunk").agg(F.min(_order()).alias("first"))
-    later = spoken.join(first, "chunk").where(_order() != F.col("first"))
+    # A chunk may be everywhere: its places meet the first one in as many parts as they are dealt to.
+    dealt = spoken.withColumn("part", F.pmod(F.xxhash64(*PLACE), F.lit(PARTS)))
+    first = dealt.groupBy("chunk", "part").agg(F.min(_order()).alias("first")).groupBy("chunk").agg(
+        F.min("first").alias("first"), F.collect_set("part").alias("parts")).select("chunk", "first", F.explode("parts").alias("part"))
+    later = dealt.join(first, ["chunk", "part"]).where(_order() != F.col("first"))
     return later.groupBy("__id", "__version").agg(F.collect_set("__chunk").alias("__chunks"))
 
 
@@ -152,17 +160,17 @@ def _with_list(keyed: DataFrame, lists: DataFrame, how: str) -> DataFrame:
 def drop_repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text",
                        pair_hash: Callable[[bytes], bytes] = xxhash.xxh64_digest) -> DataFrame:
     """``docs`` without all runs of two worded lines or more that start earlier, with n_lines and n_removed of each row."""
-    return _drop(docs, key, text, line_pairs, pair_hash, empty=True)
+    return _drop(docs, key, text, line_pairs, pair_hash)
 
 
 def drop_repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", hash_of: LineHash = line_hash,
-                         chunk_hash_of: Callable[[bytes], bytes] = chunk_hash) -> DataFrame:
-    """``docs`` with the text that is left, and n_lines and n_removed of each row."""
-    return _drop(docs, key, text, compared_chunks(hash_of), chunk_hash_of)
+                         chunk_hash_of: Callable[[bytes], bytes] = chunk_hash, **options) -> DataFrame:
+    """``docs`` with the text that is left without repeated chunks, and n_lines and n_removed of each row."""
+    return _drop(docs, key, text, lambda lines: chunk_lines(lines, hash_of, **options), chunk_hash_of)
 
 
-def _drop(docs: DataFrame, key: str, text: str, pieces: Pieces, piece_hash: Callable[[bytes], bytes], empty: bool = False) -> DataFrame:
-    """Without the repeated pieces; if ``empty``, blank lines go too where no worded line is left."""
+def _drop(docs: DataFrame, key: str, text: str, pieces: Pieces, piece_hash: Callable[[bytes], bytes]) -> DataFrame:
+    """Without the repeated pieces; blank lines go too where no worded line is left."""
     repeated = cut(repeated_pieces(docs, key, text, pieces, piece_hash), "repeated")
     kept = [f for f in docs.schema if f.name.lower() not in ("n_lines", "n_removed", "__id", "__version", "__chunks")]
     names = [f.name for f in kept]
@@ -174,7 +182,7 @@ def _drop(docs: DataFrame, key: str, text: str, pieces: Pieces, piece_hash: Call
                 lines = body.split("\n") if body else []
                 chunks = pieces(lines) if wanted else []
                 drop = {k for place in wanted or () for k in range(*chunks[place])}
-                if empty and drop and not any(line.strip(SPACES) for k, line in enumerate(lines) if k not in drop):
+                if drop and drop.issuperset(worded_lines(lines)):
                     drop = set(range(len(lines)))
                 bodies.append(body if not drop else "\n".join(x for k, x in enumerate(lines) if k not in drop))
                 counts.append(len(lines))

@@ -416,19 +416,33 @@ def test_repeated_rows_that_copy_an_earlier_document_stay_as_many(spark):
 
 # Line dedup
 
+def plain_pieces(lines, hash_of, span=2, spacing=8, most=16):
+    """All runs of worded lines of which one end is a boundary and none inside."""
+    worded = [k for k, line in enumerate(lines) if line.strip()]
+    edge, last = set(), 0
+    for i in range(len(worded)):
+        rolled = 0
+        for k in worded[max(0, i - span + 1):i + 1]:
+            rolled = (rolled * line_chunks.ODD + hash_of(lines[k].encode())) % 2**64
+        if (rolled // 2**40) % spacing or i in (0, len(worded) - 1) or i - last >= most:
+            edge.add(i)
+            last = i
+    return [(worded[i], worded[j] + 1) for i in range(len(worded)) for j in range(i + 1, min(len(worded), i + most + 1))
+            if (i in edge or j in edge) and not edge & set(range(i + 1, j))]
+
+
 def plain_lines(rows, hash_of=line_chunks.line_hash):
     seen, found = set(), {}
     for key, text in sorted(rows, key=lambda r: r[0]):
-        lines, kept, gone = (text or "").split("\n"), [], 0
-        for a, b in line_chunks.chunk_lines(lines, hash_of) if len(lines) > 1 else [(0, 1)]:
+        lines, gone = (text or "").split("\n"), set()
+        for a, b in plain_pieces(lines, hash_of):
             chunk = "\n".join(lines[a:b])
-            if len(lines) > 1 and line_chunks.compared(lines, a, b):
-                if chunk in seen:
-                    gone += b - a
-                    continue
-                seen.add(chunk)
-            kept += lines[a:b]
-        found[key] = (gone, "\n".join(kept) if text is not None else None)
+            if chunk in seen:
+                gone.update(range(a, b))
+            seen.add(chunk)
+        if gone and not any(x.strip() for k, x in enumerate(lines) if k not in gone):
+            gone = set(range(len(lines)))
+        found[key] = (len(gone), "\n".join(x for k, x in enumerate(lines) if k not in gone) if text is not None else None)
     return found
 
 
@@ -461,6 +475,34 @@ def test_line_chunks_of_odd_rows(odd, none):
     assert line_chunks.drop_repeated_chunks(none).collect() == []
 
 
+def test_chunks_match_to_the_line_where_texts_part():
+    lines = [hashlib.md5(str(k).encode()).hexdigest() for k in range(300)]
+    found, wanted = 0, 0
+    for start in range(0, 290, 7):
+        for length in (2, 3, 5):
+            run = lines[start:start + length]
+            one, other = (["u1", "v1", "w1", *run, "x1", "y1"], ["u2", *run, "x2", "y2", "z2"])
+            pieces = {"\n".join(one[a:b]) for a, b in line_chunks.chunk_lines(one)}
+            same = [(a, b) for a, b in line_chunks.chunk_lines(other) if "\n".join(other[a:b]) in pieces]
+            covered = {k for a, b in same for k in range(a, b)}
+            assert covered <= set(range(1, 1 + length))
+            found += covered == set(range(1, 1 + length))
+            wanted += 1
+    assert found >= 0.95 * wanted
+
+
+def test_long_texts_without_boundaries_have_few_pieces():
+    pieces = line_chunks.chunk_lines(["same"] * 20_000, hash_of=lambda line: 0)
+    assert len(pieces) < 40_000 and max(b - a for a, b in pieces) <= 17
+
+
+def test_chunks_find_nearly_all_repeated_lines(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    runs, chunks = ({r["doc_id"]: r["n_removed"] for r in drop(docs).collect()} for drop in (line_chunks.drop_repeated_runs, line_chunks.drop_repeated_chunks))
+    assert all(n <= runs[key] for key, n in chunks.items())
+    assert sum(chunks.values()) >= 0.98 * sum(runs.values())
+
+
 def plain_runs(rows):
     """Grows every run of lines that also starts earlier to its full length; one of two worded lines or more goes."""
     earlier, found = [], {}
