@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -45,10 +45,22 @@ def total(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0).cast("bigint"), lambda a, x: a + x)
 
 
-def sized(frame: DataFrame, rows: int, label: str) -> DataFrame:
-    """``frame`` as a written table, marked for broadcast only if it has at most ``rows`` rows."""
+def sized(frame: DataFrame, rows: int, label: str, size: int = 256_000_000) -> DataFrame:
+    """``frame`` as a written table, marked for broadcast only if it has at most ``rows`` rows and ``size`` bytes as JSON."""
     written = cut(frame, label)
-    return F.broadcast(written) if written.count() <= rows else written
+    count, length = written.agg(F.count("*"), F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()
+    return F.broadcast(written) if count <= rows and (length or 0) <= size else written
+
+
+def set_aside(docs: DataFrame, outputs: Iterable[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` without columns named like ``outputs``, under names that no operator uses, and those names by column."""
+    inner = {c: f"__kept_{k}" for k, c in enumerate(docs.columns) if c.lower() not in outputs}
+    return docs.select(*[F.col(f"`{c}`").alias(a) for c, a in inner.items()]), inner
+
+
+def restored(inner: dict[str, str]) -> list[Column]:
+    """The columns that ``set_aside`` renamed, under their own names."""
+    return [F.col(a).alias(c) for c, a in inner.items()]
 
 
 @contextmanager

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meshwright.llm.common import LOWER, UPPER, let, sized, whole_text
+from meshwright.llm.common import LOWER, UPPER, let, restored, set_aside, sized, whole_text
 from meshwright.session import cut
 
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -67,12 +67,12 @@ def indexed_windows(docs: DataFrame, windows: DataFrame, text: str = "text", bro
 
 
 def find_windows(docs: DataFrame, index: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document key, the places where a window may occur."""
-    words = docs.select(F.col(key).alias("key"), folded_words(whole_text(text)).alias("w"))
-    places = words.select("key", F.size("w").alias("n"), F.posexplode("w").alias("at", "word"))
+    """Per document key and hash of the text (``version``), the places where a window may occur."""
+    words = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("version"), folded_words(whole_text(text)).alias("w"))
+    places = words.select("key", "version", F.size("w").alias("n"), F.posexplode("w").alias("at", "word"))
     found = places.join(index, "word").withColumn("start", F.col("at") - F.col("place"))
     found = found.where((F.col("start") >= 0) & (F.col("start") + F.col("length") <= F.col("n")))
-    return found.groupBy("key").agg(F.collect_list(F.struct("start", "length", "words", "items")).alias("places"))
+    return found.groupBy("key", "version").agg(F.collect_set(F.struct("start", "length", "words", "items")).alias("places"))
 
 
 def covered_words(hits: Column) -> Column:
@@ -88,20 +88,21 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     """``docs`` with n_words, n_hit, item_ids (sorted strings) and contaminated.
 
     A document is contaminated if at least one word in ``share`` is hit. The
-    index is broadcast only if it has at most ``broadcast_rows`` rows; beyond
-    that the join shuffles.
+    index is broadcast only if it has at most ``broadcast_rows`` rows and a
+    bounded number of bytes; beyond that the join shuffles.
     """
     windows = cut(item_windows(benchmark, text=text, window=window), "windows")
     index = sized(indexed_windows(docs, windows, text, broadcast_rows), broadcast_rows, "index")
     places = find_windows(docs, index, key, text)
-    kept = [c for c in docs.columns if c.lower() not in OUTPUTS]
-    joined = docs.join(places, docs[key].eqNullSafe(places["key"]), "left")
-    exact = F.when(F.col("places").isNotNull(), exact_words(whole_text(text)))
+    rows, inner = set_aside(docs, OUTPUTS)
+    body = whole_text(inner[text])
+    joined = rows.join(places, F.col(inner[key]).eqNullSafe(F.col("key")) & (F.xxhash64(inner[text]) == F.col("version")), "left")
+    exact = F.when(F.col("places").isNotNull(), exact_words(body))
     hits = let(exact, lambda w: F.filter("places", lambda p: F.slice(w, p["start"] + 1, p["length"]) == p["words"]))
-    measured = joined.select(*[docs[c] for c in kept], F.size(folded_words(whole_text(text))).cast("bigint").alias("n_words"), hits.alias("__hits"))
+    measured = joined.select(*inner.values(), F.size(folded_words(body)).cast("bigint").alias("n_words"), hits.alias("__hits"))
     spans = F.transform("__hits", lambda h: F.struct(h["start"].alias("start"), h["length"].alias("length")))
     items = F.array_sort(F.array_distinct(F.flatten(F.transform("__hits", lambda h: h["items"]))))
     judged = measured.select(
-        *[F.col(f"`{c}`") for c in kept], "n_words", F.coalesce(covered_words(spans), F.lit(0).cast("bigint")).alias("n_hit"),
+        *restored(inner), "n_words", F.coalesce(covered_words(spans), F.lit(0).cast("bigint")).alias("n_hit"),
         F.coalesce(items, F.array().cast("array<string>")).alias("item_ids"))
     return judged.withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words")))

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meshwright.llm.common import small_batches
+from meshwright.llm.common import restored, set_aside, small_batches
 from meshwright.session import cut
 
 ODD = 0x9E3779B97F4A7C15
@@ -172,8 +172,8 @@ def drop_repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text
 def _drop(docs: DataFrame, key: str, text: str, pieces: Pieces, piece_hash: Callable[[bytes], bytes]) -> DataFrame:
     """Without the repeated pieces; blank lines go too where no worded line is left."""
     repeated = cut(repeated_pieces(docs, key, text, pieces, piece_hash), "repeated")
-    kept = [f for f in docs.schema if f.name.lower() not in ("n_lines", "n_removed", "__id", "__version", "__chunks")]
-    names = [f.name for f in kept]
+    kept, inner = set_aside(docs, ("n_lines", "n_removed"))
+    names, key, text = list(inner.values()), inner[key], inner[text]
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, text):
@@ -191,6 +191,6 @@ def _drop(docs: DataFrame, key: str, text: str, pieces: Pieces, piece_hash: Call
                 [*[pa.array(bodies, pa.string()) if c == text else batch.column(c) for c in names], pa.array(counts, pa.int64()), pa.array(gone, pa.int64())],
                 names=[*names, "n_lines", "n_removed"])
 
-    rows = docs.select(*[f"`{c}`" for c in names], F.col(key).alias("__id"), F.xxhash64(text).alias("__version"))
-    schema = T.StructType([*kept, T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
-    return _with_list(rows, repeated, "left").drop("__id", "__version").mapInArrow(strip, schema)
+    rows = kept.select(*names, F.col(key).alias("__id"), F.xxhash64(text).alias("__version"))
+    schema = T.StructType([*kept.schema, T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
+    return _with_list(rows, repeated, "left").drop("__id", "__version").mapInArrow(strip, schema).select(*restored(inner), "n_lines", "n_removed")

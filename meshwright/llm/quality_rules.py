@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meshwright.llm.common import let, space_words, total, whole_text
+from meshwright.llm.common import let, restored, set_aside, space_words, total, whole_text
 from meshwright.session import cut
 
 WINDOW = 8
@@ -77,12 +77,13 @@ def repeated_words(words: Column, width: int = WINDOW) -> Column:
 def text_statistics(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns of ``docs`` with the counts above and the features (``f_…``)."""
     keep = docs.columns if keep is None else keep
-    names = {*BASE_COLUMNS, *MORE_COLUMNS, *(f"f_{f}" for f in FEATURES)}
-    keep = [c for c in keep if c.lower() not in names]
-    kept = [F.col(f"`{c}`") for c in keep]
-    body = whole_text(text)
+    rows, inner = set_aside(docs, ())
+    own = inner[text]
+    inner = {c: inner[c] for c in keep if c.lower() not in {*BASE_COLUMNS, *MORE_COLUMNS, *(f"f_{f}" for f in FEATURES)}}
+    kept = list(inner.values())
+    body = whole_text(own)
     count = lambda pattern: F.regexp_count(body, F.lit(pattern)).cast("bigint")
-    first = docs.select(
+    first = rows.select(
         *kept, space_words(body).alias("__words"), F.split(body, "\n").alias("__lines"),
         count(r"[#*$%&|<>]").alias("n_symbols"), count("[A-Z]").alias("n_upper"), count("!").alias("n_exclamations"),
         count(r"\|").alias("n_bars"))
@@ -94,7 +95,7 @@ def text_statistics(docs: DataFrame, text: str = "text", keep: list[str] | None
         let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("bigint")).alias("n_dup_lines"),
         repeated_words(words).alias("n_repeat_words"), F.size("__lines").cast("bigint").alias("n_lines"),
         F.size(F.array_distinct(words)).cast("bigint").alias("n_distinct_words"), "n_upper", "n_exclamations", "n_bars")
-    return counts.select("*", *[
+    return counts.select(*restored(inner), *[c for c in counts.columns if c not in kept], *[
         F.expr(f"coalesce(try_divide({a}, {b}), 0.0D)").alias(f"f_{name}")
         for name, rule in FEATURES.items() for a, _, b in [rule.partition(" / ") if " / " in rule else (rule, "", "1")]])
 
@@ -209,6 +210,6 @@ def label_statistics(docs: DataFrame, labels: DataFrame, key: str = "doc_id", la
 
 def apply_rules(statistics: DataFrame, rules: list[Rule]) -> DataFrame:
     """With base_failed, rule (number of the deciding rule, null if none) and kept."""
-    kept = [f"`{c}`" for c in statistics.columns if c not in ("base_failed", "rule", "kept")]
+    kept = [f"`{c}`" for c in statistics.columns if c.lower() not in ("base_failed", "rule", "kept")]
     judged = statistics.select(*kept, base_failed().alias("base_failed"), verdict(rules).alias("rule"))
     return judged.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meshwright.llm.common import small_batches
+from meshwright.llm.common import restored, set_aside, small_batches
 from meshwright.plans.ranking import global_position
 from meshwright.session import cut
 
@@ -189,9 +189,9 @@ def cross_repeats(texts: DataFrame, window: int, gram: int) -> DataFrame:
 
 def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 20, gram: int = 6) -> DataFrame:
     """``docs`` with the words that are left (joined by one space) as text, n_words and n_removed."""
-    kept = [f for f in docs.schema if f.name.lower() not in ("n_words", "n_removed")]
-    names = [f.name for f in kept]
-    rows = _order(docs.select(*[f"`{c}`" for c in names]), key, text)
+    kept, inner = set_aside(docs, ("n_words", "n_removed"))
+    names, key, text = list(inner.values()), inner[key], inner[text]
+    rows = _order(kept, key, text)
     texts = rows.select("__ord", F.col(text).alias("__text")).where("__ord is not null")
     if not texts.groupBy("__ord").count().where("count > 1").isEmpty():
         texts = cut(texts.dropDuplicates(["__ord"]), "texts")  # rows equal in id and text are one document
@@ -224,6 +224,6 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
                 [*[pa.array(bodies, pa.string()) if c == text else batch.column(c) for c in names], pa.array(counts, pa.int64()), pa.array(gone, pa.int64())],
                 names=[*names, "n_words", "n_removed"])
 
-    schema = T.StructType([*kept, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
+    schema = T.StructType([*kept.schema, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
     joined = rows.join(found, F.col("__ord") == F.col("__o"), "left")
-    return joined.select(*[f"`{c}`" for c in names], "spans", "repeats").mapInArrow(strip, schema)
+    return joined.select(*names, "spans", "repeats").mapInArrow(strip, schema).select(*restored(inner), "n_words", "n_removed")

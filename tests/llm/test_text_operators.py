@@ -372,6 +372,38 @@ def test_decontamination_finds_capital_sigma_beside_separators(spark):
     assert got[1] == ["a"] and got[2] == ["b"] and not got[3]
 
 
+def test_rows_without_ids_keep_their_own_places(spark):
+    """Places are gathered by id and text: the lists of a thousand rows without an id stay as short as each text."""
+    text = " ".join(f"w{k}" for k in range(20))
+    docs = spark.createDataFrame([(None, f"{text} own{k % 500}") for k in range(1000)] + [(7, text), (7, "other words")], "doc_id int, text string")
+    items = spark.createDataFrame([("a", text)], "item_id string, text string")
+    index = decontaminate.indexed_windows(docs, decontaminate.item_windows(items))
+    found = decontaminate.find_windows(docs, index).select(F.size("places").alias("n")).collect()
+    assert len(found) == 501 and {r["n"] for r in found} == {8}
+    got = [(r["doc_id"], r["n_hit"]) for r in decontaminate.decontaminate(docs, items).collect()]
+    assert Counter(got) == {(None, 20): 1000, (7, 20): 1, (7, 0): 1}
+
+
+CLASHING = ["places", "key", "version", "w", "at", "word", "spans", "repeats", "content", "class_key", "__words", "__lines", "__ord", "__o", "__k", "__v",
+            "__version", "__id", "__chunks", "__hits", "__text", "__kept_0", "hash", "root", "band"]
+
+
+@pytest.mark.parametrize("work", [
+    lambda d, items: decontaminate.decontaminate(d, items), lambda d, items: quality_rules.text_statistics(d),
+    lambda d, items: substrings.drop_repeats(d), lambda d, items: line_chunks.drop_repeated_chunks(d)],
+    ids=["decontaminate", "text_statistics", "drop_repeats", "drop_repeated_chunks"])
+def test_columns_named_like_inner_ones_pass(spark, work):
+    text = " ".join(f"w{k}" for k in range(30))
+    rows = spark.createDataFrame([(1, f"{text}\nmore"), (1, f"{text}\nmore too"), (2, f"{text}\nmore"), (None, None)], "doc_id int, text string")
+    wide = rows.select("*", *[F.lit(k).alias(c) for k, c in enumerate(CLASHING)])
+    items = spark.createDataFrame([("a", text)], "item_id string, text string")
+    plain, got = work(rows, items), work(wide, items)
+    assert got.columns[:2 + len(CLASHING)] == wide.columns
+    assert all(r[c] == k for r in got.collect() for k, c in enumerate(CLASHING))
+    same = lambda frame: sorted(map(str, frame.select(*plain.columns).collect()))
+    assert same(got) == same(plain)
+
+
 # Substring dedup
 
 def plain_substrings(rows):
