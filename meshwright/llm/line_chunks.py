@@ -28,7 +28,6 @@ input columns named like an output are replaced.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -53,7 +52,7 @@ def line_hash(line: bytes) -> int:
 
 
 def chunk_hash(chunk: bytes) -> bytes:
-    return hashlib.blake2b(chunk, digest_size=16).digest()
+    return xxhash.xxh64_digest(chunk)
 
 
 def worded_lines(lines: list[str]) -> list[int]:
@@ -138,7 +137,8 @@ def repeated_pieces(docs: DataFrame, key: str, text: str, pieces: Pieces, piece_
 
     head = f"__id {id_type}, __version bigint, __chunk int"
     places = cut(keyed.mapInArrow(hashes, f"{head}, hash binary"), "chunks")
-    twice = places.groupBy("hash").agg(F.min(_order()).alias("a"), F.max(_order()).alias("b")).where("a != b").select("hash")
+    place = F.xxhash64(*PLACE)  # repeated rows are one place
+    twice = places.groupBy("hash").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a != b").select("hash")
     nominated = places.join(twice, "hash").groupBy("__id", "__version").agg(F.collect_set("__chunk").alias("__chunks"))
     # Now the bytes: only nominated chunks travel with their text.
     spoken = cut(_with_list(keyed, nominated, "inner").mapInArrow(texts, f"{head}, chunk string"), "chunk-text")
