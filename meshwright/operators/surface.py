@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,6 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from meshwright.functions.vectors import Vec
 from meshwright.operators.topology import with_corners
 from meshwright.plans import bounded, grid
+from meshwright.plans.bounded import dot
 from meshwright.plans.grid import AXES
 from meshwright.plans.meshset import KEY, MeshSet
 from meshwright.plans.ranking import exact_quantiles
@@ -19,6 +22,7 @@ from meshwright.plans.skew import attach, probe_join
 from meshwright.session import cut, spread
 
 EPSILON = 1.0e-10
+TURNS = ((0, 1), (1, 2), (2, 0))
 # The first search radius is the mean face width times two to this power.
 FIRST_STEP = 0
 
@@ -263,115 +267,101 @@ def overlapping_faces(meshes: MeshSet) -> DataFrame:
     )
 
 
-def _piercing(rows: DataFrame) -> DataFrame:
-    """Keep rows whose segment p-q meets the triangle t0, t1, t2.
+def _piercing(p: np.ndarray, q: np.ndarray, t: list[np.ndarray]) -> np.ndarray:
+    """Whether the segments p-q meet the triangles t.
 
     A segment parallel to the plane (within epsilon) does not count.
     """
-    t0 = Vec.of("t0")
-    legs = rows.select(
-        "*", Vec.of("q").minus(Vec.of("p")).struct().alias("along"),
-        Vec.of("t1").minus(t0).struct().alias("side1"),
-        Vec.of("t2").minus(t0).struct().alias("side2"), Vec.of("p").minus(t0).struct().alias("s"))
-    along, side1, side2, s = (Vec.of(n) for n in ("along", "side1", "side2", "s"))
-    solved = legs.select(
-        "*", along.cross(side2).struct().alias("h"), s.cross(side1).struct().alias("r"))
-    h, r = Vec.of("h"), Vec.of("r")
-    solved = solved.withColumn("det", side1.dot(h)).where(F.abs("det") > EPSILON)
-    det = F.col("det")
-    placed = solved.select(
-        "*", (s.dot(h) / det).alias("u"), (along.dot(r) / det).alias("v"),
-        (side2.dot(r) / det).alias("t"))
-    u, v, t = F.col("u"), F.col("v"), F.col("t")
-    low, high = F.lit(-EPSILON), F.lit(1.0 + EPSILON)
-    return placed.where(
-        (u >= low) & (u <= high) & (v >= low) & (u + v <= high) & (t >= low) & (t <= high))
-
-
-def _turn(a: Column, b: Column, c: Column) -> Column:
-    return (b["u"] - a["u"]) * (c["v"] - a["v"]) - (b["v"] - a["v"]) * (c["u"] - a["u"])
-
-
-def _sides_cross(item: Column) -> Column:
-    """Whether two plane segments cross properly or touch within epsilon."""
-    a, b, c, d = (item[n] for n in "abcd")
+    along, side1, side2, s = q - p, t[1] - t[0], t[2] - t[0], p - t[0]
+    h, r = np.cross(along, side2), np.cross(s, side1)
+    det = dot(side1, h)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        u, v, at = dot(s, h) / det, dot(along, r) / det, dot(side2, r) / det
+    low, high = -EPSILON, 1.0 + EPSILON
+    return (np.abs(det) > EPSILON) & (u >= low) & (u <= high) & (v >= low) & (u + v <= high) & (at >= low) & (at <= high)
+
+
+def _turn(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    return (b[:, 0] - a[:, 0]) * (c[:, 1] - a[:, 1]) - (b[:, 1] - a[:, 1]) * (c[:, 0] - a[:, 0])
+
 
-    def opposite(one: Column, two: Column) -> Column:
+def _sides_cross(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Whether two plane segments cross properly or touch within epsilon."""
+    def opposite(one: np.ndarray, two: np.ndarray) -> np.ndarray:
         return ((one > EPSILON) & (two < -EPSILON)) | ((one < -EPSILON) & (two > EPSILON))
 
-    def touches(p: Column, start: Column, end: Column) -> Column:
-        inside = F.abs(_turn(start, end, p)) <= EPSILON
-        for axis in ("u", "v"):
-            inside = inside & (p[axis] >= F.least(start[axis], end[axis]) - EPSILON)
-            inside = inside & (p[axis] <= F.greatest(start[axis], end[axis]) + EPSILON)
-        return inside
+    def touches(p: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        boxed = (p >= np.minimum(start, end) - EPSILON) & (p <= np.maximum(start, end) + EPSILON)
+        return (np.abs(_turn(start, end, p)) <= EPSILON) & boxed.all(1)
 
     proper = opposite(_turn(a, b, c), _turn(a, b, d)) & opposite(_turn(c, d, a), _turn(c, d, b))
     return proper | touches(c, a, b) | touches(d, a, b) | touches(a, c, d) | touches(b, c, d)
 
 
+def _level_meet(q: list[np.ndarray], s: list[np.ndarray], normal: np.ndarray) -> np.ndarray:
+    """Whether triangles in one plane meet: without the axis the normal leans on most, first one on ties."""
+    lean = np.abs(normal)
+    drop_x = (lean[:, 0] >= lean[:, 1]) & (lean[:, 0] >= lean[:, 2])
+    drop_y = ~drop_x & (lean[:, 1] >= lean[:, 2])
+
+    def flat(p: np.ndarray) -> np.ndarray:
+        return np.stack([np.where(drop_x, p[:, 1], p[:, 0]), np.where(drop_x | drop_y, p[:, 2], p[:, 1])], 1)
+
+    q, s = [flat(p) for p in q], [flat(p) for p in s]
+    met = np.zeros(len(normal), bool)
+    for i, j in TURNS:
+        for m, n in TURNS:
+            met |= _sides_cross(q[i], q[j], s[m], s[n])
+
+    def holds(point: np.ndarray, around: list[np.ndarray]) -> np.ndarray:
+        turns = np.stack([_turn(around[i], around[j], point) for i, j in TURNS], 1)
+        return ~((turns > EPSILON).any(1) & (turns < -EPSILON).any(1))
+
+    return met | holds(q[0], s) | holds(s[0], q)
+
+
+def triangles_meet(q: list[np.ndarray], s: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Whether triangles (three arrays of corners each) meet, and whether they lie in one plane."""
+    qn, sn = np.cross(q[1] - q[0], q[2] - q[0]), np.cross(s[1] - s[0], s[2] - s[0])
+    off_q = np.stack([dot(corner - q[0], qn) for corner in s], 1)
+    off_s = np.stack([dot(corner - s[0], sn) for corner in q], 1)
+    sound = (np.sqrt(dot(qn, qn)) > EPSILON) & (np.sqrt(dot(sn, sn)) > EPSILON)
+    level = sound & (np.abs(off_q) <= EPSILON).all(1) & (np.abs(off_s) <= EPSILON).all(1)
+
+    def one_side(offsets: np.ndarray) -> np.ndarray:
+        return (offsets > EPSILON).all(1) | (offsets < -EPSILON).all(1)
+
+    met = np.zeros(len(qn), bool)
+    rows = np.flatnonzero(level)
+    met[rows] = _level_meet([c[rows] for c in q], [c[rows] for c in s], qn[rows])
+    rows = np.flatnonzero(sound & ~level & ~one_side(off_q) & ~one_side(off_s))
+    q, s = [c[rows] for c in q], [c[rows] for c in s]
+    for i, j in TURNS:
+        met[rows] |= _piercing(q[i], q[j], s) | _piercing(s[i], s[j], q)
+    return met, level
+
+
 def intersecting_faces(pairs: DataFrame) -> DataFrame:
     """The box-overlap pairs whose triangles meet."""
-    q, s = [Vec.of(f"q{n}") for n in "abc"], [Vec.of(f"s{n}") for n in "abc"]
-    qn = q[1].minus(q[0]).cross(q[2].minus(q[0]))
-    sn = s[1].minus(s[0]).cross(s[2].minus(s[0]))
-    planes = pairs.withColumn("qn", qn.struct()).withColumn("sn", sn.struct())
-    qn, sn = Vec.of("qn"), Vec.of("sn")
-    off_q = F.array(*[corner.minus(q[0]).dot(qn) for corner in s])
-    off_s = F.array(*[corner.minus(s[0]).dot(sn) for corner in q])
-    planes = planes.where((qn.norm() > EPSILON) & (sn.norm() > EPSILON)).select(
-        *pairs.columns, "qn", off_q.alias("oq"), off_s.alias("os"))
-
-    def one_side(offsets: str) -> Column:
-        return F.forall(offsets, lambda o: o > EPSILON) | F.forall(offsets, lambda o: o < -EPSILON)
-
-    flat = F.forall("oq", lambda o: F.abs(o) <= EPSILON) & F.forall("os", lambda o: F.abs(o) <= EPSILON)
-
-    def segments(own: str, other: str) -> list[Column]:
-        return [
-            F.struct(
-                F.col(f"{own}{i}").alias("p"), F.col(f"{own}{j}").alias("q"),
-                F.col(f"{other}a").alias("t0"), F.col(f"{other}b").alias("t1"),
-                F.col(f"{other}c").alias("t2"),
-            )
-            for i, j in (("a", "b"), ("b", "c"), ("c", "a"))
-        ]
-
-    # In one plane: drop the axis the normal leans on most, first one on ties.
-    lean = [F.abs(part) for part in Vec.of("qn")]
-    drop_x = (lean[0] >= lean[1]) & (lean[0] >= lean[2])
-    drop_y = ~drop_x & (lean[1] >= lean[2])
-
-    def flat_point(name: str) -> Column:
-        u = F.when(drop_x, F.col(f"{name}.y")).otherwise(F.col(f"{name}.x"))
-        v = F.when(drop_x | drop_y, F.col(f"{name}.z")).otherwise(F.col(f"{name}.y"))
-        return F.struct(u.alias("u"), v.alias("v"))
-
-    names = [f"{side}{n}" for side in "qs" for n in "abc"]
-    corners = ("a", "b", "c")
-    turns = (("a", "b"), ("b", "c"), ("c", "a"))
-    side_pairs = F.array(*[
-        F.struct(F.col(f"f_q{i}").alias("a"), F.col(f"f_q{j}").alias("b"),
-                 F.col(f"f_s{m}").alias("c"), F.col(f"f_s{n}").alias("d"))
-        for i, j in turns for m, n in turns
-    ])
-
-    def holds(point: str, side: str) -> Column:
-        around = F.array(*[
-            _turn(F.col(f"f_{side}{i}"), F.col(f"f_{side}{j}"), F.col(point)) for i, j in turns])
-        return ~(F.exists(around, lambda t: t > EPSILON) & F.exists(around, lambda t: t < -EPSILON))
-
     kept = [*KEY, "first", "second"]
-    level = planes.where(flat).select("*", *[flat_point(n).alias(f"f_{n}") for n in names])
-    level = level.where(
-        F.exists(side_pairs, _sides_cross)
-        | holds(f"f_q{corners[0]}", "s") | holds(f"f_s{corners[0]}", "q"))
-    crossing = planes.where(~flat & ~one_side("oq") & ~one_side("os")).select(
-        *kept, F.explode(F.array(*segments("q", "s"), *segments("s", "q"))).alias("_s")
-    ).select(*kept, "_s.*")
-    # A pair can be met by several of its six segments: fold to one row.
-    solid = _piercing(crossing).select(*kept).distinct()
-    return solid.unionByName(level.select(*kept))
+
+    def points(corner: pa.StructArray) -> np.ndarray:
+        return np.stack([part.to_numpy(zero_copy_only=False) for part in corner.flatten()], 1)
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            q, s = ([points(batch.column(f"{side}{n}")) for n in "abc"] for side in "qs")
+            with np.errstate(invalid="ignore", over="ignore"):
+                met, level = triangles_meet(q, s)
+            take = pa.array(np.flatnonzero(met))
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c).take(take) for c in kept], pa.array(level[met])], names=[*kept, "level"])
+
+    schema = pairs.select(*kept, F.lit(True).alias("level")).schema
+    corners = [F.col(f"{side}{n}") for side in "qs" for n in "abc"]
+    met = cut(pairs.select(*kept, *corners).mapInArrow(test, schema), "face-hits")
+    # Faces that share an id pierce as one pair.
+    return met.where(~F.col("level")).select(*kept).distinct().unionByName(met.where("level").select(*kept))
 
 
 def self_intersections(meshes: MeshSet) -> DataFrame:

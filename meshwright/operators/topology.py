@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -97,9 +98,9 @@ def boundary_vertices(meshes: MeshSet) -> DataFrame:
 def with_corners(meshes: MeshSet) -> DataFrame:
     """Faces with the points of their corners as pa, pb, pc.
 
-    In meshes of bounded size a task holds all vertices of a mesh and looks the
-    corners up: one exchange of faces and one of vertices. A larger mesh is
-    joined corner by corner.
+    In meshes of bounded size a task holds all vertices of a mesh, many small
+    meshes at a time, and looks the corners up: one exchange of faces and one of
+    vertices. A larger mesh is joined corner by corner.
     """
     if meshes.largest <= bounded.ROWS:
         return _corners_in_task(meshes)
@@ -121,17 +122,23 @@ def _corners_in_task(meshes: MeshSet) -> DataFrame:
     def look_up(faces: pa.Table, vertices: pa.Table) -> pa.Table:
         if not faces.num_rows or not vertices.num_rows:
             return empty
-        vertices = vertices.sort_by("vid")
-        ids = vertices.column("vid").to_numpy()
-        found = [bounded.gather(ids, faces.column(c).to_numpy()) for c in "abc"]
+        meshes = pa.chunked_array([*vertices.column("mesh_id").chunks, *faces.column("mesh_id").chunks])
+        mesh = meshes.dictionary_encode(null_encoding="encode").combine_chunks().indices.to_numpy().astype(np.int64)
+        ids = [vertices.column("vid").to_numpy(), *[pc.fill_null(faces.column(c), -1).to_numpy() for c in "abc"]]
+        known, rank = np.unique(np.concatenate(ids), return_inverse=True)
+        own, *rank = np.split(rank, np.cumsum([len(i) for i in ids[:-1]]))
+        own = mesh[:len(own)] * len(known) + own
+        order = np.argsort(own, kind="stable")
+        found = [bounded.gather(own[order], mesh[len(own):] * len(known) + r) for r in rank]
         whole = np.flatnonzero(found[0][1] & found[1][1] & found[2][1])
         faces = faces.take(pa.array(whole))
         sides = [vertices.column(a).combine_chunks() for a in "xyz"]
         fields = list(empty.schema.field("pa").type)
-        corners = [pa.StructArray.from_arrays([s.take(pa.array(at[whole])) for s in sides], fields=fields) for at, _ in found]
+        corners = [pa.StructArray.from_arrays([s.take(pa.array(order[at[whole]])) for s in sides], fields=fields) for at, _ in found]
         return pa.table([*[faces.column(c) for c in empty.column_names[:6]], *corners], schema=empty.schema)
 
-    return bounded.per_mesh(faces, meshes.vertices.select("mesh_id", "vid", "x", "y", "z"), look_up, schema)
+    bins = (meshes.face_total + meshes.vertex_total) // bounded.ROWS + 1
+    return bounded.per_bin(faces, meshes.vertices.select("mesh_id", "vid", "x", "y", "z"), bins, look_up, schema)
 
 
 def _corners_by_join(meshes: MeshSet) -> DataFrame:

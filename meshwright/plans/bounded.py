@@ -11,12 +11,14 @@ so both ways give the same numbers.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from meshwright.plans.skew import attach_small
 from meshwright.session import cut
@@ -50,20 +52,96 @@ def only(table: DataFrame, meshes: DataFrame) -> DataFrame:
 
 
 def per_mesh(left: DataFrame, right: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema) -> DataFrame:
-    """``work`` on the rows of both tables that share a mesh_id: one exchange of each."""
-    # Both sides may come from one table: new names keep their columns apart.
+    """``work`` on the rows of both tables that share a mesh_id: one exchange of both."""
+    own = [F.col(f"`{c}`") for c in left.columns]
+    other = [F.col(f"`{c}`") for c in right.columns]
+    kinds = [F.struct(*own).alias("_left"), F.struct(*other).alias("_right")]
+    none = [F.lit(None).cast(t.select(k).schema[0].dataType).alias(n) for t, k, n in zip((left, right), kinds, ("_left", "_right"))]
+    both = left.select("mesh_id", F.lit(False).alias("_second"), kinds[0], none[1]).unionByName(
+        right.select("mesh_id", F.lit(True).alias("_second"), none[0], kinds[1]))
+
+    def parts(rows: pa.Table) -> Callable[[int, int], pa.Table]:
+        mine, theirs = (pa.Table.from_arrays(
+            (column := rows.column(n).combine_chunks()).flatten(), names=[f.name for f in column.type]) for n in ("_left", "_right"))
+        seconds = np.append(0, np.cumsum(rows.column("_second").to_numpy()))
+
+        def one(start: int, end: int) -> pa.Table:
+            first = end - int(seconds[end] - seconds[start])
+            return work(mine.slice(start, first - start), theirs.slice(first, end - first))
+
+        return one
+
+    return _streamed(both, ["mesh_id"], ["_second"], parts, schema)
+
+
+def per_bin(left: DataFrame, right: DataFrame, bins: int, work: Callable[[pa.Table, pa.Table], pa.Table], schema) -> DataFrame:
+    """``work`` on the rows of both tables in bins of whole meshes, for work that takes many meshes at once."""
     names = {c: f"_right_{c}" for c in right.columns}
-    renamed = right.withColumnsRenamed(names)
 
     def meet(mine: pa.Table, other: pa.Table) -> pa.Table:
-        return work(mine, other.rename_columns([c.removeprefix("_right_") for c in other.column_names]))
+        other = other.drop_columns(["_right_bin"])
+        return work(mine.drop_columns(["_bin"]), other.rename_columns([c.removeprefix("_right_") for c in other.column_names]))
 
-    return left.groupBy("mesh_id").cogroup(renamed.groupBy("_right_mesh_id")).applyInArrow(meet, schema)
+    # Both sides may come from one table: new names keep their columns apart.
+    other = right.withColumnsRenamed(names).withColumn("_right_bin", F.pmod(F.xxhash64("_right_mesh_id"), F.lit(bins)))
+    own = left.withColumn("_bin", F.pmod(F.xxhash64("mesh_id"), F.lit(bins)))
+    return own.groupBy("_bin").cogroup(other.groupBy("_right_bin")).applyInArrow(meet, schema)
 
 
 def each_mesh(rows: DataFrame, work: Callable[[pa.Table], pa.Table], schema) -> DataFrame:
     """``work`` on the rows of every mesh: one exchange."""
-    return rows.groupBy("mesh_id").applyInArrow(work, schema)
+    return each_group(rows, ["mesh_id"], [], work, schema)
+
+
+def each_group(rows: DataFrame, keys: list[str], order: list[str], work: Callable[[pa.Table], pa.Table], schema) -> DataFrame:
+    """``work`` on the rows that share ``keys``, in the given order: one exchange."""
+    def parts(rows: pa.Table) -> Callable[[int, int], pa.Table]:
+        return lambda start, end: work(rows.slice(start, end - start))
+
+    return _streamed(rows, keys, order, parts, schema)
+
+
+def _streamed(rows: DataFrame, keys: list[str], order: list[str], parts: Callable, schema) -> DataFrame:
+    """Groups of sorted rows, worked on as they pass by.
+
+    A task reads many small groups in one stream of batches, so a group costs
+    what its work costs. It holds one batch and the group that a batch ends in.
+    """
+    target = to_arrow_schema(schema)
+
+    def done(held: list[pa.RecordBatch], last: bool) -> tuple[list[pa.RecordBatch], list[pa.RecordBatch]]:
+        """What the whole groups of the held batches give, and the rows of the group that may go on."""
+        table = pa.Table.from_batches(held).combine_chunks()
+        ends = np.unique(np.concatenate([pc.run_end_encode(table.column(k).combine_chunks()).run_ends.to_numpy() for k in keys]))
+        starts = np.append(0, ends[:-1])
+        rest = [] if last else table.slice(int(starts[-1])).to_batches()
+        whole = len(ends) if last else len(ends) - 1
+        if not whole:
+            return [], rest
+        one = parts(table.slice(0, int(ends[whole - 1])))
+        found = [f for s, e in zip(starts[:whole].tolist(), ends[:whole].tolist()) if (f := one(s, e)).num_rows]
+        if not found:
+            return [], rest
+        return pa.concat_tables([f.select(target.names).cast(target) for f in found]).combine_chunks().to_batches(), rest
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            goes_on = bool(held) and all(_same(held[0].column(k)[0], batch.column(k)[-1]) for k in keys)
+            held.append(batch)
+            if not goes_on:
+                found, held = done(held, False)
+                yield from found
+        if held:
+            yield from done(held, True)[0]
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(stream, schema)
+
+
+def _same(a: pa.Scalar, b: pa.Scalar) -> bool:
+    return a.as_py() == b.as_py()
 
 
 def floats(table: pa.Table, names: list[str]) -> np.ndarray:
@@ -131,7 +209,7 @@ def nearest_rows(queries: np.ndarray, targets: np.ndarray, ids: np.ndarray, k: i
     return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
 
 
-def _dot(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+def dot(u: np.ndarray, v: np.ndarray) -> np.ndarray:
     return u[..., 0] * v[..., 0] + u[..., 1] * v[..., 1] + u[..., 2] * v[..., 2]
 
 
@@ -142,18 +220,18 @@ def triangle_distances(points: np.ndarray, a: np.ndarray, b: np.ndarray, c: np.n
 
     def side(origin: np.ndarray, end: np.ndarray) -> np.ndarray:
         along, offset = end - origin, p - origin
-        length2 = _dot(along, along)
+        length2 = dot(along, along)
         with np.errstate(divide="ignore", invalid="ignore"):
-            t = np.where(length2 > 0.0, _dot(offset, along) / length2, 0.0)
+            t = np.where(length2 > 0.0, dot(offset, along) / length2, 0.0)
         gap = offset - along * np.clip(t, 0.0, 1.0)[..., None]
-        return _dot(gap, gap)
+        return dot(gap, gap)
 
     ab, ac, ap = b - a, c - a, p - a
     normal = np.cross(ab, ac)
-    area2 = _dot(normal, normal)
-    v, w = _dot(np.cross(ap, ac), normal), _dot(np.cross(ab, ap), normal)
+    area2 = dot(normal, normal)
+    v, w = dot(np.cross(ap, ac), normal), dot(np.cross(ab, ap), normal)
     within = (area2 > 0.0) & (v >= 0.0) & (w >= 0.0) & (v + w <= area2)
-    height = _dot(ap, normal)
+    height = dot(ap, normal)
     sides = np.minimum(np.minimum(side(a, b), side(b, c)), side(c, a))
     with np.errstate(divide="ignore", invalid="ignore"):
         return np.where(within, np.minimum(height * height / area2, sides), sides)

@@ -35,11 +35,18 @@ class MeshSet:
         self._measure()
         return self._bound["faces"]
 
+    @property
+    def vertex_total(self) -> int:
+        """Vertices of all meshes together; counted once."""
+        self._measure()
+        return self._bound["vertices"]
+
     def _measure(self) -> None:
         if "rows" not in self._bound:
-            vertices = self.vertices.agg(F.max("nv")).first()[0] or 0
+            largest, count = self.vertices.agg(F.max("nv"), F.count(F.lit(1))).first()
             faces = self.faces.groupBy("mesh_id").count().agg(F.max("count"), F.sum("count")).first()
-            self._bound["rows"] = int(max(vertices, faces[0] or 0))
+            self._bound["rows"] = int(max(largest or 0, faces[0] or 0))
+            self._bound["vertices"] = int(count)
             self._bound["faces"] = int(faces[1] or 0)
 
     @classmethod
