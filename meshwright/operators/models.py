@@ -11,13 +11,14 @@ from collections.abc import Callable
 from typing import Any
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meshwright.operators.crop import normalized_points, vote_average
 from meshwright.operators.landmarks import NAMES, decode_heatmaps
+from meshwright.plans import bounded
 from meshwright.plans.meshset import KEY, MeshSet
 from meshwright.plans.ranking import BLOCK_ROWS, dense_index
 from meshwright.plans.skew import attach
@@ -79,10 +80,10 @@ def _with_seed(meshes: MeshSet, seeds: DataFrame) -> DataFrame:
     return attach(meshes.vertices.select(*KEY, "vid"), sized, KEY)
 
 
-def _failure(batch: pd.DataFrame, columns: list[str], error: Exception) -> pd.DataFrame:
+def _failure(batch: pa.Table, columns: list[str], error: Exception) -> pa.Table:
     """One row that names a batch's mesh and what its model call raised."""
-    row = {c: [None] for c in columns} | {"mesh_id": [batch["mesh_id"].iloc[0]], "error": [f"{type(error).__name__}: {error}"]}
-    return pd.DataFrame(row)
+    known = {"mesh_id": batch.column("mesh_id").slice(0, 1), "error": pa.array([f"{type(error).__name__}: {error}"])}
+    return pa.table([known.get(c, pa.nulls(1)) for c in columns], names=columns)
 
 
 def split_errors(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -109,20 +110,23 @@ def crop_scores(
     plan = vote_batches(_with_seed(meshes, seeds), num_points, extra_passes)
     located = plan.join(normalized_points(meshes).drop("nv"), ["mesh_id", "vid"])
 
-    def run(batch: pd.DataFrame) -> pd.DataFrame:
-        batch = batch.sort_values("slot")
+    def run(batch: pa.Table) -> pa.Table:
         try:
-            values = np.asarray(score(batch[["x", "y", "z"]].to_numpy(dtype=np.float32)), dtype=float)
-            return pd.DataFrame({"mesh_id": batch["mesh_id"], "vid": batch["vid"], "probability": values, "error": None})
+            values = np.asarray(score(bounded.floats(batch, list("xyz")).astype(np.float32)), dtype=float)
+            if values.shape != (batch.num_rows,):
+                raise ValueError(f"{values.shape} probabilities for {batch.num_rows} points")
+            return pa.table([batch.column("mesh_id"), batch.column("vid"), pa.array(values, from_pandas=True),
+                             pa.nulls(len(values), pa.string())], names=names)
         except Exception as error:
             if not isolate:
                 raise
-            return _failure(batch, ["vid", "probability"], error)
+            return _failure(batch, names, error)
 
+    names = ["mesh_id", "vid", "probability", "error"]
     schema = T.StructType([
         located.schema["mesh_id"], T.StructField("vid", located.schema["vid"].dataType),
         T.StructField("probability", T.DoubleType()), T.StructField("error", T.StringType())])
-    votes = located.groupBy("mesh_id", "batch").applyInPandas(run, schema)
+    votes = bounded.each_group(located, ["mesh_id", "batch"], ["slot"], run, schema)
     if not isolate:
         return vote_average(votes).select("mesh_id", "vid", "probability")
     sound, errors = split_errors(cut(votes, "votes"))
@@ -146,26 +150,28 @@ def landmark_points(
     chosen = ranked.select("mesh_id", F.explode(_turns("rank", num_points)).alias("slot"), "vid")
     located = chosen.join(normalized_points(meshes).drop("nv"), ["mesh_id", "vid"])
 
-    def run(batch: pd.DataFrame) -> pd.DataFrame:
-        batch = batch.sort_values("slot")
-        points = batch[["x", "y", "z"]].to_numpy(dtype=np.float32)
+    def run(batch: pa.Table) -> pa.Table:
+        points = bounded.floats(batch, list("xyz")).astype(np.float32)
         try:
             heat, offset = predict(points)
             n, marks = heat.shape
-            spots = points[:, None, :] + offset
-            return pd.DataFrame({
-                "mesh_id": np.repeat(batch["mesh_id"].to_numpy(), marks), "idx": np.tile(np.arange(marks), n),
-                "vid": np.repeat(batch["slot"].to_numpy(), marks), "p": heat.reshape(-1).astype(float),
-                **{a: spots[:, :, i].reshape(-1).astype(float) for i, a in enumerate("xyz")}, "error": None})
+            spots = np.asarray(points[:, None, :] + offset, dtype=float)
+            values = np.asarray(heat, dtype=float)
+            if n != batch.num_rows or spots.shape != (n, marks, 3):
+                raise ValueError(f"{heat.shape} probabilities and {offset.shape} offsets for {batch.num_rows} points")
+            ids = batch.column("mesh_id").take(pa.array(np.zeros(n * marks, np.int64)))
+            return pa.table([ids, pa.array(np.tile(np.arange(marks, dtype=np.int32), n)), pa.array(np.repeat(batch.column("slot").to_numpy(), marks)),
+                             *[pa.array(a.reshape(-1), from_pandas=True) for a in (values, *np.moveaxis(spots, 2, 0))], pa.nulls(n * marks, pa.string())], names=names)
         except Exception as error:
             if not isolate:
                 raise
-            return _failure(batch, ["idx", "vid", "p", *"xyz"], error)
+            return _failure(batch, names, error)
 
+    names = ["mesh_id", "idx", "vid", "p", *"xyz", "error"]
     schema = T.StructType([
         located.schema["mesh_id"], T.StructField("idx", T.IntegerType()), T.StructField("vid", T.LongType()),
         *[T.StructField(c, T.DoubleType()) for c in ("p", "x", "y", "z")], T.StructField("error", T.StringType())])
-    votes = located.groupBy("mesh_id").applyInPandas(run, schema)
+    votes = bounded.each_group(located, ["mesh_id"], ["slot"], run, schema)
     if isolate:
         votes, errors = split_errors(cut(votes, "heat"))
     decoded = decode_heatmaps(votes, top_k)
