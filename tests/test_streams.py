@@ -12,7 +12,7 @@ from meshwright.plans.meshset import MeshSet
 from meshwright.session import cut
 
 
-def calls(spark, kept, rows):
+def calls(spark, schema, rows):
     """What ``each_mesh`` calls its work with, in batches of three rows."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
     try:
@@ -21,7 +21,7 @@ def calls(spark, kept, rows):
             return pa.table({"mesh_id": pa.array(list(ids), pa.int64()), "n": pa.array([mesh.num_rows])})
 
         frame = spark.createDataFrame(rows, "mesh_id bigint, vid bigint")
-        return sorted(tuple(r) for r in bounded.each_mesh(frame, work, "mesh_id bigint, n bigint" if kept is None else kept).collect())
+        return sorted(tuple(r) for r in bounded.each_mesh(frame, work, schema).collect())
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
@@ -66,7 +66,7 @@ def test_matching_in_one_task_equals_matching_by_joins(spark, monkeypatch, symme
     sets = mesh_set(spark, {1: bumpy_sheet(5), 2: bumpy_sheet(4), 3: TETRAHEDRON})
     moving = cut(register.features(sets))
     target = cut(moving.withColumn("x", F.col("x") * 1.1 + 0.2))
-    flags = sets.vertices.where("vid != 3").select("mesh_id", "nv", "vid", (F.col("vid") % 5 > 0).cast("double").alias("flag"))
+    flags = cut(sets.vertices.where("vid != 3").select("mesh_id", "nv", "vid", (F.col("vid") % 5 > 0).cast("double").alias("flag")))
     found = lambda: register.correspondences(moving, target, flags, flags, 3, 0.6, symmetric, equalize)
     assert "Join" not in found()._jdf.queryExecution().executedPlan().toString()
     both_ways(spark, monkeypatch, found)
