@@ -7,14 +7,11 @@ the weighted Jaccard similarity; they are cut into bands, and texts that share a
 band meet. Every link is verified by the exact weighted Jaccard similarity of
 the whole texts.
 
-The document frequency is floored at ``df_floor`` of all documents: a large
-family of near copies makes its own shingles frequent, and without the floor
-their weight would sink against the few words in which the copies differ. Only
-the at most (mean shingles / df_floor) shingles above the floor need a count. A
-shingle above it in all documents is above it in some block of documents, so
-blocks nominate and a second pass counts exactly. Blocks of few long texts
-nominate nearly all their shingles; where the nominations exceed ``NOMINATED``
-they stay a table and all shingles are counted by a shuffle.
+Document frequencies are counted over all texts, equal ones once. A shingle's
+frequency is that of its hash slot, as in feature hashing: 2^SLOT_BITS counts,
+however many texts there are. Slots that shingles share add (mean shingles /
+2^SLOT_BITS) of the texts to a frequency, a share that does not grow with the
+corpus; it lifts the rarest shingles most and evens out their factors.
 
 Equal texts are one node. In a bucket of at most ``small_bucket`` texts all are
 compared. A larger one is compared with one text first, the one that meets most
@@ -39,7 +36,6 @@ through, and input columns named like an output are replaced.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -50,15 +46,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meshwright.llm.common import passing, small_batches
+from meshwright.llm.common import passing, sized, small_batches
 from meshwright.session import cut
 
 KEPT_WORDS = 300_000
 STEP, OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-BLOCK_SHINGLES = 1_000_000
 TABLE_BITS = 15
-NOMINATED = 1_000_000  # shingles that a task holds beside its texts: 8 MB
-SLOT_BITS = 20  # counts that order the shingles: 4 MB
+SLOT_BITS = 20  # counts of shingles: 4 MB in a task
+SLOT_SHIFT = np.uint64(64 - SLOT_BITS)
+COUNT_BLOCK = 1 << 10  # slots whose counts travel in one row
 
 
 class WordHashes(dict):
@@ -90,68 +86,57 @@ def shingles(text: str | None, width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.unique((rolled ^ (rolled >> np.uint64(31))) * OTHER, return_counts=True)
 
 
+def slots(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> SLOT_SHIFT).view(np.int64)
+
+
 class Weights:
-    """TF-IDF weights: frequent shingles have their own factor, all others the factor 1."""
+    """TF-IDF weights from a factor for each hash slot; without factors, plain counts."""
 
-    def __init__(self, frequent: dict[int, float]) -> None:
-        self.hashes = np.array(sorted(frequent), np.uint64)
-        self.factors = np.array([frequent[h] for h in sorted(frequent)])
+    def __init__(self, factors: np.ndarray | dict) -> None:
+        self.factors = factors if len(factors) else None
 
     def of(self, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
         weights = counts.astype(np.float64)
-        if len(self.hashes) and len(hashes):
-            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-            known = self.hashes[at] == hashes
-            weights[known] *= self.factors[at[known]]
-        return weights
+        return weights if self.factors is None else weights * self.factors[slots(hashes)]
 
 
 class Sampler:
     """Improved consistent weighted samples.
 
     The random r, c and beta of a shingle and sample come from tables, addressed
-    by a hash of both; a tie goes to the smaller shingle hash. Most weights are
-    1, and for those the whole sampling value is in a table.
+    by a hash of both; a tie goes to the smaller shingle hash. What the sampling
+    value needs of them lies together, so that one look-up brings all of it.
     """
 
     def __init__(self, samples: int, seed: int = 1) -> None:
         rng = np.random.default_rng(seed)
-        shape = (samples, 1 << TABLE_BITS)
-        self.r, self.c = (rng.gamma(2, 1, shape).astype(np.float32) for _ in range(2))
-        self.beta = rng.random(shape).astype(np.float32)
+        size = 1 << TABLE_BITS
         self.odd = rng.integers(0, 1 << 63, samples, np.uint64) * np.uint64(2) + np.uint64(1)
         self.base = (np.arange(samples, dtype=np.int64) << TABLE_BITS)[:, None]
-        self.unit_t = np.floor(self.beta)
-        self.unit = self._value(self.r, self.c, self.beta, self.unit_t)
-
-    @staticmethod
-    def _value(r: np.ndarray, c: np.ndarray, beta: np.ndarray, t: np.ndarray) -> np.ndarray:
-        """The logarithm of the sampling value; the smallest wins."""
-        return np.log(c) - r * (t - beta) - r
+        numbers = np.empty((samples, size, 4), np.float32)
+        for row in numbers:
+            r, c, beta = rng.gamma(2, 1, size), rng.gamma(2, 1, size), rng.random(size)
+            row[:] = np.stack([1 / r, beta, np.log(c) - r + r * beta, r], 1)
+        self.numbers = numbers.view(np.complex128).ravel()
 
     def samples(self, hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
         best = np.full(len(self.odd), np.inf, np.float32)
         chosen, level = np.zeros(len(self.odd), np.uint64), np.zeros(len(self.odd), np.float32)
-        unit = weights == 1.0
-        for plain, part in ((True, np.flatnonzero(unit)), (False, np.flatnonzero(~unit))):
-            for start in range(0, len(part), 2048):
-                take = part[start:start + 2048]
-                keys = hashes[take]
-                at = (self.odd[:, None] * keys[None, :] >> np.uint64(64 - TABLE_BITS)).view(np.int64)
-                at += self.base
-                if plain:
-                    value = self.unit.ravel().take(at)
-                else:
-                    r, beta = self.r.ravel().take(at), self.beta.ravel().take(at)
-                    t = np.floor(np.log(weights[take]).astype(np.float32)[None, :] / r + beta)
-                    value = self._value(r, self.c.ravel().take(at), beta, t)
-                first = value.argmin(1)
-                rows = np.arange(len(first))
-                found, key = value[rows, first], keys[first]
-                better = (found < best) | ((found == best) & (key < chosen))
-                best = np.where(better, found, best)
-                chosen = np.where(better, key, chosen)
-                level = np.where(better, self.unit_t.ravel()[at[rows, first]] if plain else t[rows, first], level)
+        rows, logs = np.arange(len(self.odd)), np.log(weights).astype(np.float32)
+        for start in range(0, len(hashes), 512):
+            keys = hashes[start:start + 512]
+            at = (self.odd[:, None] * keys[None, :] >> np.uint64(64 - TABLE_BITS)).view(np.int64)
+            at += self.base
+            inverse, beta, offset, r = np.moveaxis(self.numbers.take(at).view(np.float32).reshape(*at.shape, 4), -1, 0)
+            t = np.floor(logs[None, start:start + 512] * inverse + beta)
+            value = offset - r * t  # the logarithm of the sampling value; the smallest wins
+            first = value.argmin(1)
+            found, key = value[rows, first], keys[first]
+            better = (found < best) | ((found == best) & (key < chosen))
+            best = np.where(better, found, best)
+            chosen = np.where(better, key, chosen)
+            level = np.where(better, t[rows, first], level)
         return (chosen ^ (level.astype(np.int64).view(np.uint64) * OTHER)) * STEP
 
 
@@ -199,47 +184,41 @@ def read_set(hashes: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
     return found, np.frombuffer(counts, np.int32) if counts else np.ones(len(found), np.int32)
 
 
-def frequent_shingles(texts: DataFrame, width: int, df_floor: float) -> dict[int, float]:
-    """Factors of the shingles that at least ``df_floor`` of all documents hold; the rest have the factor 1."""
-    with passing(shingle_sets(texts.select("text"), width), "shingled") as sets:
-        return frequent_in_sets(sets, df_floor)
+def one_of_equal(texts: DataFrame) -> DataFrame:
+    """``texts`` (id, content, ...) with counted: true in one of equal texts, that of the smallest id."""
+    copies = sized(texts.groupBy(F.col("content").alias("c")).agg(F.count("*").alias("n"), F.min("id").alias("i")).where("n > 1").drop("n"), 200_000, "copies")
+    return texts.join(copies, F.col("content") == F.col("c"), "left").withColumn(
+        "counted", F.col("c").isNull() | F.col("id").eqNullSafe(F.col("i"))).drop("c", "i")
 
 
-def frequent_in_sets(sets: DataFrame, df_floor: float) -> dict[int, float]:
-    sets = sets.select("hashes")
+def inverse_frequencies(sets: DataFrame) -> np.ndarray:
+    """The factor of every slot, log(1 + texts / texts that hold the slot), over the ``sets`` marked counted."""
 
-    def nominate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        docs = size = 0
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, texts = np.zeros(1 << SLOT_BITS, np.int32), 0
+        for batch in small_batches(batches, "hashes"):
+            for hashes, counted in zip(batch.column("hashes").to_pylist(), batch.column("counted").to_pylist(), strict=True):
+                if counted and hashes:
+                    seen[slots(np.frombuffer(hashes, np.uint64))] += 1  # once for each slot
+                    texts += 1
+        if texts:
+            blocks = seen.reshape(-1, COUNT_BLOCK)
+            used = np.flatnonzero(blocks.any(1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([-1, *used.tolist()], pa.int32()), pa.array([np.array([texts], np.int32).tobytes(), *[blocks[k].tobytes() for k in used]])], names=["block", "seen"])
 
-        def flush() -> pa.RecordBatch:
-            hashes, seen = np.unique(np.concatenate(held), return_counts=True)
-            keep = hashes[seen >= df_floor * docs].view(np.int64)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([keep, [0]])), pa.array(np.concatenate([np.zeros(len(keep), np.int64), [docs]]))], names=["shingle", "docs"])
+    def add(rows: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(seen, np.int32).astype(np.int64) for seen in rows.column("seen").to_pylist())
+        return pa.table({"block": rows.column("block").slice(0, 1), "seen": pa.array([total.tobytes()])})
 
-        for found in _each_set(batches):
-            if len(found):
-                held.append(found)
-                docs, size = docs + 1, size + len(found)
-                if size >= BLOCK_SHINGLES:
-                    yield flush()
-                    held, docs, size = [], 0, 0
-        if held:
-            yield flush()
-
-    # A row with docs > 0 counts the documents of a block.
-    nominated = cut(sets.mapInArrow(nominate, "shingle bigint, docs bigint").groupBy("shingle", (F.col("docs") > 0).alias("total"))
-                    .agg(F.sum("docs").alias("docs")), "nominated")
-    documents = nominated.where("total").agg(F.sum("docs")).first()[0]
-    candidates = nominated.where("not total").select("shingle")
-    found = candidates.count()
-    if not found:
-        return {}
-    counted = _count_nominated(sets, candidates) if found <= NOMINATED else _count_all(sets, candidates)
-    frequent = counted.where(F.col("n") >= df_floor * documents).collect()
-    light = math.log1p(1 / df_floor)
-    return {r["shingle"] & (2**64 - 1): math.log1p(documents / r["n"]) / light for r in frequent}
+    schema = "block int, seen binary"
+    found = sets.select("hashes", "counted").mapInArrow(count, schema).groupBy("block").applyInArrow(add, schema).collect()
+    blocks = {r["block"]: np.frombuffer(r["seen"], np.int64) for r in found}
+    texts = int(blocks.pop(-1, [0])[0])
+    held = np.ones(1 << SLOT_BITS, np.int64)
+    for block, seen in blocks.items():
+        held[block * COUNT_BLOCK:(block + 1) * COUNT_BLOCK] = np.maximum(seen, 1)
+    return np.log1p(texts / held) if texts else np.ones(len(held))
 
 
 def _each_set(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
@@ -248,35 +227,6 @@ def _each_set(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
             yield np.frombuffer(hashes, np.uint64)
 
 
-def _count_nominated(sets: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Document counts of few candidates: every task holds them."""
-    wanted = np.array([r[0] for r in candidates.collect()], np.int64).view(np.uint64)
-    wanted.sort()
-    sought = sets.sparkSession.sparkContext.broadcast(wanted)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = sought.value
-        seen = np.zeros(len(keys), np.int64)
-        for found in _each_set(batches):
-            at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
-            seen[at[keys[at] == found]] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(seen)], names=["shingle", "n"])
-
-    return sets.mapInArrow(count, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
-
-
-def _count_all(sets: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Document counts of many candidates: shingles and candidates meet in a shuffle."""
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in _each_set(batches):
-            for start in range(0, len(found), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(found[start:start + 100_000].view(np.int64))], names=["shingle"])
-
-    held = sets.mapInArrow(each, "shingle bigint").groupBy("shingle").agg(F.count("*").alias("n"))
-    return held.join(candidates.hint("merge"), "shingle", "left_semi")
-
-
 def star_components(edges: DataFrame, spark: SparkSession) -> DataFrame:
     """(node, root) of every node of ``edges`` (a, b), by alternating large and small stars."""
     current = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "edges")
@@ -302,7 +252,7 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "te
 
 
 def _classes(docs: DataFrame, key: str, text: str, width: int = 5, threshold: float = 0.8, bands: int = 16, rows: int = 4,
-             df_floor: float = 0.25, small_bucket: int = 8) -> DataFrame:
+             small_bucket: int = 8) -> DataFrame:
     """``docs`` with __class_id, __n_links and the hashes __class_key and __content."""
     spark = docs.sparkSession
     texts = docs.select(F.col(key).alias("id"), F.unhex(F.md5(text)).alias("content"), F.col(text).alias("text")).where("content is not null")
@@ -321,8 +271,8 @@ def _classes(docs: DataFrame, key: str, text: str, width: int = 5, threshold: fl
                 [batch.column("id"), batch.column("content"), pa.array(keys, pa.list_(pa.int64())), pa.array(sums, pa.float64())],
                 names=["id", "content", "bands", "weight"])
 
-    with passing(shingle_sets(texts, width), "shingled") as sets:
-        weights = spark.sparkContext.broadcast(Weights(frequent_in_sets(sets, df_floor)))
+    with passing(shingle_sets(one_of_equal(texts), width), "shingled") as sets:
+        weights = spark.sparkContext.broadcast(Weights(inverse_frequencies(sets)))
         signed = cut(sets.mapInArrow(sign, f"id {id_type}, content binary, bands array<bigint>, weight double"), "signed")
     nodes = signed.groupBy("content").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("weight").alias("weight"))
     placed = cut(nodes.select("content", "id", "weight", F.explode("bands").alias("band")), "bands")
@@ -436,16 +386,14 @@ def _prefixes(sets: DataFrame, weights, threshold: float) -> DataFrame:
     the other's prefix. The order comes from counts in 2^SLOT_BITS hash slots:
     any order is right, a sharper one gives smaller groups.
     """
-    shift = np.uint64(64 - SLOT_BITS)
-
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def loaded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << SLOT_BITS, np.int64)
         for found in _each_set(batches):
-            np.add.at(seen, (found >> shift).view(np.int64), 1)
+            np.add.at(seen, slots(found), 1)
         used = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(seen[used])], names=["slot", "n"])
 
-    counted = sets.select("hashes").mapInArrow(slots, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).where("n > 1").toArrow()
+    counted = sets.select("hashes").mapInArrow(loaded, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).where("n > 1").toArrow()
     load = np.ones(1 << SLOT_BITS, np.uint32)
     load[counted.column("slot").to_numpy()] = np.minimum(counted.column("n").to_numpy(), (1 << 32) - 1)
     loads = sets.sparkSession.sparkContext.broadcast(load)
@@ -456,7 +404,7 @@ def _prefixes(sets: DataFrame, weights, threshold: float) -> DataFrame:
             for k, body in enumerate(zip(batch.column("hashes").to_pylist(), batch.column("counts").to_pylist(), strict=True)):
                 hashes, counts = read_set(*body)
                 own = weights.value.of(hashes, counts)
-                order = np.lexsort((hashes, loads.value[(hashes >> shift).view(np.int64)]))
+                order = np.lexsort((hashes, loads.value[slots(hashes)]))
                 behind = np.cumsum(own[order][::-1])[::-1]
                 take = order[behind >= (threshold - 1e-9) * own.sum()]
                 rows.append(np.full(len(take), k))

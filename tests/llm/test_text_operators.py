@@ -256,7 +256,14 @@ def test_language_model_on_odd_rows(spark, odd, none):
 
 def test_near_duplicate_classes_equal_all_pairs(spark, corpus):
     frame = spark.createDataFrame(corpus, "doc_id bigint, text string")
-    weights = near_duplicates.Weights(near_duplicates.frequent_shingles(frame.where("text is not null"), 5, 0.25))
+    held = Counter()
+    distinct = {t for _, t in corpus if words(t)}
+    for t in distinct:
+        held.update(set(near_duplicates.slots(near_duplicates.shingles(t, 5)[0]).tolist()))
+    factors = np.ones(1 << near_duplicates.SLOT_BITS)
+    for slot, n in held.items():
+        factors[slot] = np.log1p(len(distinct) / n)
+    weights = near_duplicates.Weights(factors)
     signed = {k: (lambda f: (f[0], weights.of(*f)))(near_duplicates.shingles(t, 5)) for k, t in corpus}
     parent = {k: k for k, _ in corpus}
 
@@ -291,25 +298,25 @@ def test_large_buckets_test_every_pair_of_different_classes(spark):
     assert sorted(map(sorted, classes.values())) == [list(range(40)), *[[40 + 2 * k, 41 + 2 * k] for k in range(8)]]
 
 
-def test_nominations_of_few_long_texts_stay_a_table(spark, monkeypatch):
-    """Two texts a block nominate all their shingles; only those above the floor may reach the driver."""
-    shared = " ".join(f"s{k}" for k in range(30))
-    rows = [(k, f"{shared} " + " ".join(f"u{k}x{j}" for j in range(300))) for k in range(16)]
-    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
-    sizes, collect = [], type(frame).collect
-
-    def counted(self):
-        got = collect(self)
-        sizes.append(len(got))
-        return got
-
-    monkeypatch.setattr(near_duplicates, "NOMINATED", 1000, raising=False)
-    monkeypatch.setattr(type(frame), "collect", counted)
-    frequent = near_duplicates.frequent_shingles(frame, 5, 0.25)
-    assert set(frequent) == set(near_duplicates.shingles(shared, 5)[0].tolist())
-    assert max(sizes) <= 1000
-    monkeypatch.setattr(near_duplicates, "NOMINATED", 1_000_000)
-    assert near_duplicates.frequent_shingles(frame, 5, 0.25) == frequent
+def test_boilerplate_below_a_quarter_of_the_documents_weighs_less(spark):
+    """Both families agree alike word by word, but a passage in a tenth of all documents says less than one in two of them."""
+    def numbered(name, n):
+        return " ".join(f"{name}{k}" for k in range(n))
+
+    passage = numbered("b", 60)
+    rows = [*[f"{passage} " + numbered(f"own{k}x", 5) for k in range(10)],
+            *[f"{numbered('near', 60)} " + numbered(f"end{k}x", 5) for k in range(2)], *[numbered(f"other{k}x", 65) for k in range(88)]]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string").repartition(8)
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates.near_duplicate_classes(frame).collect()}
+    assert got == {**{k: k for k in range(100)}, 11: 10}
+
+
+def test_document_frequencies_count_equal_texts_once(spark):
+    rows = [*[(k, "a b c d e") for k in range(6)], (None, "a b c d e"), (7, "a b c d e f"), (8, ""), (9, "v w x y z")]
+    frame = spark.createDataFrame(rows, "id bigint, text string").repartition(4).withColumn("content", F.unhex(F.md5("text")))
+    found = near_duplicates.inverse_frequencies(near_duplicates.shingle_sets(near_duplicates.one_of_equal(frame), 5))
+    for text, n in (("a b c d e", 2), ("b c d e f", 1), ("v w x y z", 1)):
+        assert found[near_duplicates.slots(near_duplicates.shingles(text, 5)[0])] == pytest.approx(np.log1p(3 / n))
 
 
 def test_sampling_collides_like_weighted_jaccard():
