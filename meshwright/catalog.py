@@ -798,16 +798,21 @@ def path_scan_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def obj_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write every strip mesh as OBJ text, read the files back."""
+    """Write every strip mesh as OBJ text, read the files back.
+
+    A file holds many small meshes, so files grow with the rows and not with the
+    meshes; the comment that ends each line names its mesh.
+    """
     from meshwright.session import scratch_path
 
     meshes = derive.strip(spark, sf_dir)
     folder = scratch_path(spark, "obj")
     lines = obj.obj_lines(meshes).repartitionByRange("mesh_id", "section", "pos").sortWithinPartitions(
         "mesh_id", "section", "pos")
-    lines.select("mesh_id", "text").write.partitionBy("mesh_id").text(folder)
+    named = F.concat("text", F.lit(" # "), F.coalesce(F.col("mesh_id").cast("string"), F.lit("")))
+    lines.select(named.alias("value")).write.text(folder)
     text = spark.read.text(folder).select(
-        F.col("mesh_id").cast("bigint").alias("path"),
+        F.substring_index("value", " # ", -1).try_cast("bigint").alias("path"),
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("id"), "value")
     # A mesh that spans part files continues in the next file name.

@@ -54,3 +54,21 @@ def test_salted_lookup_keeps_every_row(spark):
     got = skew.attach(rows, one, ["mesh_id", "nv"], rows_per_salt=7)
     assert {(r["vid"], r["tag"]) for r in got.collect()} == {(v, "ab"[v % 2]) for v in range(100)}
     assert math.isclose(got.count(), 100)
+
+
+def test_obj_roundtrip_writes_files_by_rows_not_by_meshes(spark, tmp_path):
+    from datetime import datetime
+    from pathlib import Path
+
+    from __spark_entry__ import queries
+    from meshwright.session import scratch_root
+
+    rows = [(k, k % 200, datetime(2024, 1, 1, k % 24, k % 60), "view", k / 7) for k in range(1000)]
+    spark.createDataFrame(rows, "event_id bigint, user_id bigint, ts timestamp, event_type string, value double").write.parquet(
+        str(tmp_path / "events.parquet"))
+    kept = Path(scratch_root(spark))
+    before = set(kept.rglob("obj-*/**/part-*"))
+    found = {r["mesh_id"]: r for r in queries()["obj_roundtrip"](spark, str(tmp_path)).collect()}
+    assert len({p.parent for p in set(kept.rglob("obj-*/**/part-*")) - before if "obj-lines" not in str(p)}) == 1
+    assert len(found) == 200 and all((r["vertices"], r["faces"]) == (5, 3) for r in found.values())
+    assert all(abs(r["checksum"] - sum(v * (k + 200 * v) / 7 for v in range(5))) < 1e-3 for k, r in found.items())
