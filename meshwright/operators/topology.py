@@ -263,11 +263,24 @@ def extents(meshes: MeshSet) -> DataFrame:
     )
 
 
+def lowest_reached(pair: np.ndarray, nodes: int) -> np.ndarray:
+    """Smallest node each node reaches over the edges ``pair``: neighbour minimum and pointer jumping until stable."""
+    label = np.arange(nodes)
+    while True:
+        low = np.minimum(label[pair[:, 0]], label[pair[:, 1]])
+        step = label.copy()
+        np.minimum.at(step, pair[:, 0], low)
+        np.minimum.at(step, pair[:, 1], low)
+        step = step[step]
+        if np.array_equal(step, label):
+            return label
+        label = step
+
+
 def _label_pieces(pdf: pd.DataFrame) -> pd.DataFrame:
     """Smallest vertex id each vertex reaches inside its piece of edges.
 
-    One call holds many small pieces: nodes are numbered by (piece, vertex), and
-    labels shrink by neighbour minimum and pointer jumping until stable.
+    One call holds many small pieces: nodes are numbered by (piece, vertex).
     """
     piece = pdf.groupby(["mesh_id", "_chunk", "_part"], sort=False).ngroup().to_numpy()
     ends = pdf[["lo", "hi"]].to_numpy()
@@ -278,16 +291,7 @@ def _label_pieces(pdf: pd.DataFrame) -> pd.DataFrame:
     number = np.empty(len(order), dtype=np.int64)
     number[order] = np.cumsum(fresh) - 1
     pair = number.reshape(-1, 2)
-    label = np.arange(int(fresh.sum()))
-    while True:
-        low = np.minimum(label[pair[:, 0]], label[pair[:, 1]])
-        step = label.copy()
-        np.minimum.at(step, pair[:, 0], low)
-        np.minimum.at(step, pair[:, 1], low)
-        step = step[step]
-        if np.array_equal(step, label):
-            break
-        label = step
+    label = lowest_reached(pair, int(fresh.sum()))
     vertex = keys[1][fresh]
     mesh = np.repeat(pdf["mesh_id"].to_numpy(), 2)[order][fresh]
     return pd.DataFrame({"mesh_id": mesh, "vid": vertex, "label": vertex[label]})

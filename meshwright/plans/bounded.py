@@ -24,6 +24,7 @@ from meshwright.plans.skew import attach_small
 from meshwright.session import cut
 
 ROWS = 1 << 17
+DEALT = 1 << 18  # rows of a task that takes many meshes at once
 LEAF = 128
 
 
@@ -53,16 +54,10 @@ def only(table: DataFrame, meshes: DataFrame) -> DataFrame:
 
 def per_mesh(left: DataFrame, right: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema) -> DataFrame:
     """``work`` on the rows of both tables that share a mesh_id: one exchange of both."""
-    own = [F.col(f"`{c}`") for c in left.columns]
-    other = [F.col(f"`{c}`") for c in right.columns]
-    kinds = [F.struct(*own).alias("_left"), F.struct(*other).alias("_right")]
-    none = [F.lit(None).cast(t.select(k).schema[0].dataType).alias(n) for t, k, n in zip((left, right), kinds, ("_left", "_right"))]
-    both = left.select("mesh_id", F.lit(False).alias("_second"), kinds[0], none[1]).unionByName(
-        right.select("mesh_id", F.lit(True).alias("_second"), none[0], kinds[1]))
+    both = _both(left, right)
 
     def parts(rows: pa.Table) -> Callable[[int, int], pa.Table]:
-        mine, theirs = (pa.Table.from_arrays(
-            (column := rows.column(n).combine_chunks()).flatten(), names=[f.name for f in column.type]) for n in ("_left", "_right"))
+        mine, theirs = _sides(rows)
         seconds = np.append(0, np.cumsum(rows.column("_second").to_numpy()))
 
         def one(start: int, end: int) -> pa.Table:
@@ -74,6 +69,59 @@ def per_mesh(left: DataFrame, right: DataFrame, work: Callable[[pa.Table, pa.Tab
     return _streamed(both, ["mesh_id"], ["_second"], parts, schema)
 
 
+def _both(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows of both tables, those of ``right`` marked ``_second``."""
+    own = [F.col(f"`{c}`") for c in left.columns]
+    other = [F.col(f"`{c}`") for c in right.columns]
+    kinds = [F.struct(*own).alias("_left"), F.struct(*other).alias("_right")]
+    none = [F.lit(None).cast(t.select(k).schema[0].dataType).alias(n) for t, k, n in zip((left, right), kinds, ("_left", "_right"))]
+    return left.select("mesh_id", F.lit(False).alias("_second"), kinds[0], none[1]).unionByName(
+        right.select("mesh_id", F.lit(True).alias("_second"), none[0], kinds[1]))
+
+
+def _sides(rows: pa.Table) -> list[pa.Table]:
+    return [pa.Table.from_arrays((column := rows.column(n).combine_chunks()).flatten(), names=[f.name for f in column.type]) for n in ("_left", "_right")]
+
+
+def dealt(left: DataFrame, right: DataFrame, rows: int, work: Callable[[pa.Table, pa.Table], pa.Table], schema) -> DataFrame:
+    """``work`` once per task on the rows of both tables, whole meshes together: one exchange, no sort.
+
+    ``rows``, how many both tables have, sets the number of tasks. Tasks sized by
+    their compressed bytes would hold more rows the larger the input is. Rows
+    without a mesh_id drop out.
+    """
+    target = to_arrow_schema(schema)
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            table = pa.Table.from_batches(held)
+            second = table.column("_second").to_numpy()
+            mine, theirs = _sides(table)
+            yield from work(mine.filter(pa.array(~second)), theirs.filter(pa.array(second))).select(target.names).cast(target).to_batches()
+
+    both = _both(left, right).where(F.col("mesh_id").isNotNull())
+    return both.repartition(tasks(left, rows), "mesh_id").mapInArrow(once, schema)
+
+
+def tasks(frame: DataFrame, rows: int) -> int:
+    """Tasks of about ``DEALT`` rows, fewer rows if cores would idle."""
+    return max(min(frame.sparkSession.sparkContext.defaultParallelism, rows // 1_000), rows // DEALT + 1)
+
+
+def mesh_numbers(*tables: pa.Table) -> list[np.ndarray]:
+    """The mesh of every row as a number, the same in all tables."""
+    names = pa.concat_arrays([t.column("mesh_id").combine_chunks() for t in tables]).dictionary_encode()
+    return np.split(names.indices.to_numpy().astype(np.int64), np.cumsum([t.num_rows for t in tables])[:-1])
+
+
+def ranked(*columns: pa.ChunkedArray) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """All ids in order, and of each column the ids' ranks and which are not null."""
+    known, rank = np.unique(np.concatenate([pc.fill_null(c, 0).to_numpy() for c in columns]), return_inverse=True)
+    ends = np.cumsum([len(c) for c in columns])[:-1]
+    return known, np.split(rank, ends), [pc.is_valid(c).to_numpy() for c in columns]
+
+
 def per_bin(left: DataFrame, right: DataFrame, bins: int, work: Callable[[pa.Table, pa.Table], pa.Table], schema) -> DataFrame:
     """``work`` on the rows of both tables in bins of whole meshes, for work that takes many meshes at once."""
     names = {c: f"_right_{c}" for c in right.columns}

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meshwright.operators import align, crop, landmarks, register, surface, topology
+from meshwright.plans import bounded
 from meshwright.operators.register import FEATURES, RegistrationOptions
 from meshwright.plans import grid
 from meshwright.plans.meshset import KEY, MeshSet
@@ -118,6 +119,56 @@ def test_probability_mask_and_crop(spark):
     assert smoothed[0]["probability"] == pytest.approx(float(want), abs=1e-6)
 
 
+def odd_meshes(spark):
+    """Meshes with repeated vertices and faces, and corners, face ids and mesh ids that are null, and their scores."""
+    rng = np.random.default_rng(7)
+    vertices, faces, scores = [], [], []
+    for m in (3, -1, 8, None, *range(20, 50)):
+        ids = [*range(-2, 30), 4, 4, 11]
+        vertices += [(m, len(ids), v, float(v), 0.5, None if v == 5 else 1.0) for v in ids]
+        scores += [(m, v, None if v == 9 else float(rng.random())) for v in range(-2, 28)] + [(m, 7, 0.9), (m, 7, 0.1)]
+        for n in range(40):
+            corners = [int(v) if v < 32 else None for v in rng.integers(-2, 34, 1) + rng.integers(0, 4, 3)]
+            faces.append((m, len(ids), None if n % 13 == 5 else n - 4, *corners))
+    key = "mesh_id bigint, nv bigint, "
+    return topology.MeshSet(
+        spark.createDataFrame(vertices, key + "vid bigint, x double, y double, z double"),
+        spark.createDataFrame([*faces, (99, 0, 0, 0, 1, 2)], key + "fid bigint, a bigint, b bigint, c bigint"),
+    ), spark.createDataFrame(scores, "mesh_id bigint, vid bigint, probability double")
+
+
+def test_crop_in_tasks_equals_joins(spark, monkeypatch):
+    meshes, scores = odd_meshes(spark)
+    for rows in (bounded.ROWS, 0):
+        monkeypatch.setattr(bounded, "ROWS", rows)
+        found = {}
+        for keep_largest, least in ((True, 0), (False, 3)):
+            marked = crop.masks(meshes, scores, 0.3, keep_largest, least)
+            cropped = crop.crop(meshes, marked.where("final").select("mesh_id", "vid"))
+            for name, table in (("marked", marked), ("vertices", cropped.vertices), ("faces", cropped.faces)):
+                found[name, least] = (table.columns, sorted(map(tuple, table.collect()), key=str))
+        if rows:
+            first = found
+    assert first == found
+    assert all(len(rows) > 50 for _, rows in first.values())
+
+
+def test_crop_tasks_grow_with_rows_not_bytes(spark, monkeypatch):
+    # Strips compress to a few bytes a row, and AQE joined them all in as few tasks as there are cores.
+    n, meshes = 50, 80
+    vertices = spark.range(n * meshes).selectExpr(
+        f"id div {n} as mesh_id", f"{n}L as nv", f"id % {n} as vid", "0.0d as x", "0.0d as y", "0.0d as z")
+    strip = vertices.where(f"vid + 2 < {n}").selectExpr("mesh_id", "nv", "vid as fid", "vid as a", "vid + 1 as b", "vid + 2 as c")
+    scores = vertices.selectExpr("mesh_id", "vid", "1.0d as probability")
+    monkeypatch.setattr(bounded, "DEALT", 400)
+    marked = crop.masks(topology.MeshSet(vertices, strip), scores, 0.5)
+    cropped = crop.crop(topology.MeshSet(vertices, strip), marked.select("mesh_id", "vid"))
+    for table in (marked, cropped.vertices):
+        assert table.count() == n * meshes
+        most = table.groupBy(F.spark_partition_id().alias("task")).count().agg(F.max("count")).first()[0]
+        assert most <= 400 + 6 * n
+
+
 def brute_nearest(queries, targets, k):
     d2 = ((queries[:, None, :] - targets[None, :, :]) ** 2).sum(-1)
     order = np.lexsort((np.broadcast_to(np.arange(len(targets)), d2.shape), d2))[:, :k]
