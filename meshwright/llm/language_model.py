@@ -31,7 +31,6 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +46,7 @@ ROWS_1, ROWS_2 = 1 << 14, 1 << 15
 BATCH_TOKENS = 8192
 BLOCK = 512  # rows of the weights that are averaged together
 COUNTED_WORDS = 1_000_000
+LOG_STEPS = 2.0 ** 32  # logarithms in whole steps: sums of doubles stay exact in any order, so equal texts score alike
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -351,30 +351,28 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, key: str = "doc_id",
             known = np.add.reduceat((~rare).astype(np.int64), starts) if len(starts) else starts
             rest = [Counter(map(words.__getitem__, np.flatnonzero(rare[a:a + len(words)]).tolist())) for words, a in zip(split, starts.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([xxhash.xxh64_intdigest(t or "") - (1 << 63) for t in texts], pa.int64()),
-                 pa.array(list(map(len, split)), pa.int64()), pa.array(known, pa.int64()),
+                [batch.column("id"), pa.array(list(map(len, split)), pa.int64()), pa.array(known, pa.int64()),
                  pa.array(np.add.reduceat(base[ids], starts) if len(starts) else [], pa.float64()),
                  pa.array(np.add.reduceat(told, starts) if len(starts) else [], pa.float64()),
                  pa.array([list(r) for r in rest], pa.list_(pa.binary())), pa.array([list(r.values()) for r in rest], pa.list_(pa.int64()))],
-                names=["id", "version", "n_tokens", "known", "base", "told", "rare", "times"])
+                names=["id", "n_tokens", "known", "base", "told", "rare", "times"])
 
+    # Rare words meet their counts under one number of their row, fixed by writing it out: ids may repeat or be null.
     scored = cut(docs.select(F.col(key).alias("id"), F.col(text).alias("text")).mapInArrow(
-        work, f"id {kind}, version bigint, n_tokens bigint, known bigint, base double, told double, rare array<binary>, times array<bigint>"), "scored")
-    # Rows equal in id and text have equal rare words: one row of them stands for all.
-    loose = scored.where(F.size("rare") > 0).select("id", "version", F.explode(F.arrays_zip("rare", "times")).alias("e")).select(
-        "id", "version", F.col("e.rare").alias("token"), F.col("e.times").alias("times"))
+        work, f"id {kind}, n_tokens bigint, known bigint, base double, told double, rare array<binary>, times array<bigint>")
+        .withColumn("row", F.monotonically_increasing_id()), "scored")
+    loose = scored.where(F.size("rare") > 0).select("row", F.explode(F.arrays_zip("rare", "times")).alias("e")).select(
+        "row", F.col("e.rare").alias("token"), F.col("e.times").alias("times"))
     c = F.coalesce("c", F.lit(0))
+    sums = loose.join(counts, "token", "left").groupBy("row").agg(
+        F.sum(F.col("times") * (c > 0).cast("bigint")).alias("seen"),
+        F.sum(F.col("times") * F.rint(F.log10(c + 0.1) * LOG_STEPS)).alias("logs"))
     inside = model.rare_tokens + 0.1 * (model.rare_distinct + 1)
-    sums = loose.join(counts, "token", "left").groupBy("id", "version").agg(
-        F.sum(F.col("times") * (c > 0).cast("bigint")).alias("seen"), F.sum("times").alias("all"),
-        F.sum(F.col("times") * F.log10((c + 0.1) / F.lit(whole))).alias("far"), F.sum(F.col("times") * F.log10((c + 0.1) / F.lit(inside))).alias("near"))
-    sums = sums.withColumnsRenamed({"id": "i", "version": "v"})
-    rare_here = F.aggregate("times", F.lit(0).cast("bigint"), lambda a, x: a + x)
-    same = F.coalesce(F.col("all") / rare_here, F.lit(1.0))
-    joined = scored.join(sums, scored["id"].eqNullSafe(sums["i"]) & (F.col("version") == F.col("v")), "left")
-    add = lambda a, b: F.col(a) + F.coalesce(F.col(b) / same, F.lit(0.0))
-    return joined.select(F.col("id").alias(key), "n_tokens", add("known", "seen").cast("bigint").alias("n_known"),
-                         F.lit(model.tokens).cast("bigint").alias("train_tokens"), add("base", "far").alias("base_score"), add("told", "near").alias("score"))
+    rare_here = F.col("n_tokens") - F.col("known")
+    add = lambda a, of: F.col(a) + F.coalesce(F.col("logs") / LOG_STEPS - rare_here * F.lit(math.log10(of)), F.lit(0.0))
+    return scored.drop("rare", "times").join(sums, "row", "left").select(
+        F.col("id").alias(key), "n_tokens", (F.col("known") + F.coalesce("seen", F.lit(0))).cast("bigint").alias("n_known"),
+        F.lit(model.tokens).cast("bigint").alias("train_tokens"), add("base", whole).alias("base_score"), add("told", inside).alias("score"))
 
 
 def learning_rows(docs: DataFrame, learn_from: Column, text: str = "text") -> DataFrame:

@@ -252,6 +252,24 @@ def test_language_model_on_odd_rows(spark, odd, none):
     assert {r["n_known"] for r in language_model.score(odd, empty, no_counts).collect()} == {0}
 
 
+def test_language_model_sends_one_number_with_each_rare_word(spark):
+    rng = random.Random(3)
+    texts = [prose(rng, 40, [f"w{k}" for k in range(3000)]) for _ in range(60)]
+    rows = [(k // 2 if k % 5 else None, t) for k, t in enumerate([*texts, *texts])]  # ids repeat with other texts, or are null
+    frame = spark.createDataFrame(rows, "doc_id int, text string").repartition(7)
+    model, counts = language_model.fit(frame.select("text"), head=5, rounds=1)
+    scored = language_model.score(frame, model, counts)
+    held = Counter(w for _, t in rows for w in [*t.encode().split(), b""])
+    base = {t: sum(np.log10((held[w] + 0.1) / (model.tokens + 0.1 * (model.distinct + 1))) for w in [*t.encode().split(), b""]) for t in texts}
+    want, got = Counter(k for k, _ in rows), scored.collect()
+    assert Counter(r["doc_id"] for r in got) == want and all(r["n_known"] == 41 for r in got)
+    assert np.allclose(sorted(r["base_score"] for r in got), sorted(base[t] for _, t in rows), rtol=1e-10, atol=0)
+    assert len({r["score"] for r in got}) <= len(texts)  # equal texts score alike to the last bit
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    sums = re.findall(r"Aggregate \[(row#\d+L?)\], \[row#\d+L?, sum[^\n]* AS seen#\d+L, sum[^\n]* AS logs#\d+\]", plan)
+    assert len(sums) == 1, plan
+
+
 # Near duplicates
 
 def test_near_duplicate_classes_equal_all_pairs(spark, corpus):
