@@ -169,6 +169,18 @@ def test_crop_tasks_grow_with_rows_not_bytes(spark, monkeypatch):
         assert most <= 400 + 6 * n
 
 
+def test_crop_metrics_from_many_tasks(spark, monkeypatch):
+    meshes, scores = odd_meshes(spark)
+    found = []
+    for rows, dealt in ((bounded.ROWS, 300), (bounded.ROWS, bounded.DEALT), (0, bounded.DEALT)):
+        monkeypatch.setattr(bounded, "ROWS", rows)
+        monkeypatch.setattr(bounded, "DEALT", dealt)
+        marked = crop.masks(meshes, scores, 0.3)
+        cropped = crop.crop(meshes, marked.where("final").select("mesh_id", "vid"))
+        found.append({r["mesh_id"]: r for r in crop.crop_metrics(meshes, marked, cropped).drop("probability_mean").collect()})
+    assert len(found[0]) == 33 and found[0] == found[1] == found[2]
+
+
 def brute_nearest(queries, targets, k):
     d2 = ((queries[:, None, :] - targets[None, :, :]) ** 2).sum(-1)
     order = np.lexsort((np.broadcast_to(np.arange(len(targets)), d2.shape), d2))[:, :k]
