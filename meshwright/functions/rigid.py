@@ -16,6 +16,15 @@ ROTATION_TYPE = T.StructType(
 )
 
 
+def rotations(batch: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row-major rotation, strength and middle singular value of each covariance."""
+    left, values, right = np.linalg.svd(batch)
+    mirrored = np.linalg.det(left @ right) < 0.0
+    right[mirrored, 2, :] *= -1.0
+    rotation = np.transpose(left @ right, (0, 2, 1)).reshape(-1, 9)
+    return rotation, values.sum(axis=1), values[:, 1]
+
+
 @F.pandas_udf(ROTATION_TYPE)
 def best_rotation(covariance: pd.Series) -> pd.DataFrame:
     """Proper rotation maximizing agreement, for a batch of row-major covariances.
@@ -23,11 +32,5 @@ def best_rotation(covariance: pd.Series) -> pd.DataFrame:
     ``strength`` is the sum of singular values, ``second`` the middle one; the
     covariance is source-by-target, and the rotation acts on column vectors.
     """
-    batch = np.stack(covariance.to_numpy()).astype(float).reshape(-1, 3, 3)
-    left, values, right = np.linalg.svd(batch)
-    mirrored = np.linalg.det(left @ right) < 0.0
-    right[mirrored, 2, :] *= -1.0
-    rotation = np.transpose(left @ right, (0, 2, 1)).reshape(-1, 9)
-    return pd.DataFrame(
-        {"rotation": list(rotation), "strength": values.sum(axis=1), "second": values[:, 1]}
-    )
+    rotation, strength, second = rotations(np.stack(covariance.to_numpy()).astype(float).reshape(-1, 3, 3))
+    return pd.DataFrame({"rotation": list(rotation), "strength": strength, "second": second})
